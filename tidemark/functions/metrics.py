@@ -23,13 +23,21 @@ def engagement_rate(
     ).otherwise(F.lit(0.0))
 
 
-def exact_ratio(c: Column) -> Column:
-    """A four-digit ratio as DECIMAL, so that sums do not depend on row order.
+RATIO_UNIT = 10_000  # ratios carry four decimals
 
-    28 digits hold 100 * (the largest BIGINT) with four decimals; sums get 38.
+
+def ratio_units(c: Column) -> Column:
+    """A four-digit ratio in whole ten-thousandths.
+
+    Whole numbers add up exactly in a DOUBLE (to 2^53), so a sum of them does not depend
+    on how rows were partitioned, at a fraction of the cost of DECIMAL sums.
     """
-    return c.cast("decimal(28,4)")
+    return F.rint(c * RATIO_UNIT)
 
 
 def average(total: Column, n: Column) -> Column:
     return F.try_divide(total.cast("double"), n)
+
+
+def average_ratio(units: Column, n: Column) -> Column:
+    return average(units / RATIO_UNIT, n)

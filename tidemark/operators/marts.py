@@ -9,7 +9,7 @@ Averages are exact sums divided by counts, so partial aggregation does not chang
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import metrics
@@ -29,7 +29,7 @@ def _measures() -> list[Column]:
         F.sum("likes").alias("likes"),
         F.sum("comment_count").alias("comments"),
         F.max("views").alias("max_views"),
-        F.sum(metrics.exact_ratio(F.col("engagement_rate"))).alias("engagement"),
+        F.sum(metrics.ratio_units(F.col("engagement_rate"))).alias("engagement"),
         F.count("engagement_rate").alias("n_engagement"),
     ]
 
@@ -42,6 +42,10 @@ def _mean(total: str, n: str) -> Column:
     return metrics.average(F.sum(total), F.sum(n))
 
 
+def _mean_ratio(units: str, n: str) -> Column:
+    return metrics.average_ratio(F.sum(units), F.sum(n))
+
+
 def _named(grain: DataFrame, lookup: DataFrame | None | object) -> DataFrame:
     """Grain rows with category names: from the input itself, or from the lookup."""
     if lookup is NO_LOOKUP:
@@ -60,7 +64,7 @@ def daily_grain(stats: DataFrame, *extra_keys: str) -> DataFrame:
     return stats.groupBy(*DAILY_GRAIN, *extra_keys).agg(
         *_measures(),
         F.sum("dislikes").alias("dislikes"),
-        F.sum(metrics.exact_ratio(F.col("like_ratio"))).alias("like_ratio"),
+        F.sum(metrics.ratio_units(F.col("like_ratio"))).alias("like_ratio"),
         F.count("like_ratio").alias("n_like_ratio"),
     )
 
@@ -73,16 +77,16 @@ def trending_from_grain(grain: DataFrame) -> DataFrame:
         _total("dislikes").alias("total_dislikes"),
         _total("comments").alias("total_comments"),
         _mean("views", "n_views").alias("avg_views_per_video"),
-        _mean("like_ratio", "n_like_ratio").alias("avg_like_ratio"),
-        _mean("engagement", "n_engagement").alias("avg_engagement_rate"),
+        _mean_ratio("like_ratio", "n_like_ratio").alias("avg_like_ratio"),
+        _mean_ratio("engagement", "n_engagement").alias("avg_engagement_rate"),
         F.max("max_views").alias("max_views"),
         F.count_distinct("channel_title").alias("unique_channels"),
         F.count_distinct("category_id").alias("unique_categories"),
     )
 
 
-def category_from_grain(grain: DataFrame) -> DataFrame:
-    """Grain rows must carry ``category_name``."""
+def category_from_grain(grain: DataFrame, day_totals: DataFrame | None = None) -> DataFrame:
+    """Daily category totals; grain rows must carry ``category_name``."""
     mart = grain.groupBy(
         "category_name", "category_id", "region", "trending_date_parsed"
     ).agg(
@@ -90,20 +94,32 @@ def category_from_grain(grain: DataFrame) -> DataFrame:
         _total("views").alias("total_views"),
         _total("likes").alias("total_likes"),
         _total("comments").alias("total_comments"),
-        _mean("engagement", "n_engagement").alias("avg_engagement_rate"),
+        _mean_ratio("engagement", "n_engagement").alias("avg_engagement_rate"),
         F.count_distinct("channel_title").alias("unique_channels"),
     )
-    return with_view_share(mart)
+    return with_view_share(mart, daily_views(grain) if day_totals is None else day_totals)
+
 
+def daily_views(rows: DataFrame) -> DataFrame:
+    """Views per region and day; reads three columns of statistics or of the grain."""
+    return rows.groupBy(
+        F.col("region").alias("_region"), F.col("trending_date_parsed").alias("_day")
+    ).agg(F.sum("views").alias("_day_views"))
 
-def with_view_share(mart: DataFrame) -> DataFrame:
+
+def with_view_share(mart: DataFrame, day_totals: DataFrame) -> DataFrame:
     """Share of a category in the views of its region and day; NULL for no views at all.
 
-    The window holds one row per category of one region and day.
+    Totals are joined rather than taken over a window, which would hold all rows of a
+    region and day in one task. Rows without a region or a date meet their totals too.
     """
-    day = Window.partitionBy("region", "trending_date_parsed")
-    share = metrics.percent(F.col("total_views"), F.sum("total_views").over(day), 2)
-    return mart.withColumn("view_share_pct", share)
+    same_day = F.col("region").eqNullSafe(F.col("_region")) & F.col(
+        "trending_date_parsed"
+    ).eqNullSafe(F.col("_day"))
+    share = metrics.percent(F.col("total_views"), F.col("_day_views"), 2)
+    return mart.join(day_totals, same_day).select(
+        *mart.columns, share.alias("view_share_pct")
+    )
 
 
 def channel_totals(
@@ -122,7 +138,7 @@ def channel_totals(
         _total("likes").alias("total_likes"),
         _total("comments").alias("total_comments"),
         _mean("views", "n_views").alias("avg_views_per_video"),
-        _mean("engagement", "n_engagement").alias("avg_engagement_rate"),
+        _mean_ratio("engagement", "n_engagement").alias("avg_engagement_rate"),
         F.max("max_views").alias("peak_views"),
         _total("n_days").alias("times_trending"),
         F.min("first_day").alias("first_trending"),
@@ -159,7 +175,8 @@ def category_analytics(
 ) -> DataFrame:
     """Daily category totals per region with the category's share of views."""
     extra = _keys(stats, [], lookup)
-    return category_from_grain(_named(daily_grain(stats, *extra), lookup))
+    grain = _named(daily_grain(stats, *extra), lookup)
+    return category_from_grain(grain, daily_views(stats))
 
 
 def stamp_aggregation(mart: DataFrame, as_of: Column | None = None) -> DataFrame:

@@ -30,31 +30,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _channels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    supplier, nation, region = (
-        table(spark, sf_dir, t) for t in ("supplier", "nation", "region")
-    )
-    placed = nation.join(region, nation.n_regionkey == region.r_regionkey).select(
-        "n_nationkey", F.lower("r_name").alias("region")
-    )
-    return supplier.join(placed, supplier.s_nationkey == placed.n_nationkey).select(
-        "s_suppkey", F.col("s_name").alias("channel_title"), "region"
-    )
-
-
 def facts(spark: SparkSession, sf_dir: str, *, videos: bool = True) -> DataFrame:
     """Order lines seen as trending records: part = video, supplier = channel.
 
     ``videos=False`` leaves out the join that brings title and category. The joins carry
     no hints: their inputs grow with the data, so the planner decides from their sizes.
+    They are left-deep, so that each dimension is planned by the size of its own files;
+    joined with each other first, they would be estimated at the product of their sizes.
     """
-    lines, channels = table(spark, sf_dir, "lineitem"), _channels(spark, sf_dir)
-    df = lines.join(channels, lines.l_suppkey == channels.s_suppkey)
+    lines, supplier, nation, region, part = (
+        table(spark, sf_dir, t)
+        for t in ("lineitem", "supplier", "nation", "region", "part")
+    )
+    df = (
+        lines.join(supplier, lines.l_suppkey == supplier.s_suppkey)
+        .join(nation, supplier.s_nationkey == nation.n_nationkey)
+        .join(region, nation.n_regionkey == region.r_regionkey)
+        .withColumns({"channel_title": F.col("s_name"), "region": F.lower("r_name")})
+    )
     if videos:
-        parts = table(spark, sf_dir, "part").select(
-            "p_partkey", "p_name", "p_size", "p_type", "p_brand"
-        )
-        df = df.join(parts, df.l_partkey == parts.p_partkey)
+        df = df.join(part, df.l_partkey == part.p_partkey)
     title_and_category = (
         [F.col("p_name").alias("title"), F.col("p_size").cast("bigint").alias("category_id"),
          "p_type", "p_brand"]
@@ -69,8 +64,8 @@ def facts(spark: SparkSession, sf_dir: str, *, videos: bool = True) -> DataFrame
         F.col("l_shipdate").cast("date").alias("trending_date_parsed"),
         F.floor("l_extendedprice").cast("bigint").alias("views"),
         F.col("l_quantity").cast("bigint").alias("likes"),
-        F.round(F.col("l_discount") * 100).cast("bigint").alias("dislikes"),
-        F.round(F.col("l_tax") * 100).cast("bigint").alias("comment_count"),
+        F.rint(F.col("l_discount") * 100).cast("bigint").alias("dislikes"),
+        F.rint(F.col("l_tax") * 100).cast("bigint").alias("comment_count"),
         "l_orderkey",
         "l_linenumber",
         "l_returnflag",

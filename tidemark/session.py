@@ -15,7 +15,9 @@ SESSION_CONF = {
     # collect_set runs in an object hash aggregate; the default of 128 keys per task
     # sends every realistic channel count into its sort-based path.
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "65536",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # The JVM does not compile methods above 8000 bytes of bytecode; fused stages beyond
+    # that would run interpreted, so let Spark split them instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

@@ -69,6 +69,19 @@ def read_statistics_csv(
     return in_regions(df, regions)
 
 
+def _escaped_fields(line: Column) -> Column:
+    """Fields of a comma-separated line in which a backslash escapes any character."""
+    backslash, comma = F.lit("\x01"), F.lit("\x02")
+    marked = F.replace(line, F.lit("\\\\"), backslash)
+    marked = F.replace(marked, F.lit("\\,"), comma)
+
+    def restore(field: Column) -> Column:
+        plain = F.regexp_replace(field, r"\\(.)", "$1")
+        return F.replace(F.replace(plain, comma, F.lit(",")), backslash, F.lit("\\"))
+
+    return F.transform(F.split(marked, ","), restore)
+
+
 def read_delimited_csv(
     spark: SparkSession,
     path: str | list[str],
@@ -76,16 +89,26 @@ def read_delimited_csv(
     regions: Iterable[str] | None = None,
     partition_cols: tuple[str, ...] = ("region",),
 ) -> DataFrame:
-    """Delimited text without quoting, backslash as escape (the older table layout)."""
-    df = (
-        _csv_reader(spark, None)
-        .schema(_partitioned(schemas.BRONZE_STATISTICS, *partition_cols))
-        .option("sep", ",")
-        .option("quote", "")
-        .option("escape", "\\")
-        .csv(path)
+    """Delimited text without quoting, backslash as escape (the older table layout).
+
+    Spark's CSV source only knows escapes inside quotes. Here every line is a record, so
+    the splittable text source and column functions read the format.
+    """
+    header = ",".join(schemas.BRONZE_STATISTICS_COLUMNS)
+    line = T.StructType([T.StructField("value", T.StringType())])
+    lines = in_regions(
+        spark.read.schema(_partitioned(line, *partition_cols)).text(path), regions
+    )
+    fields = lines.filter(F.col("value") != header).select(
+        _escaped_fields(F.rtrim(F.col("value"), F.lit("\r"))).alias("f"), *partition_cols
+    )
+    return fields.select(
+        *[
+            F.get("f", F.lit(i)).try_cast(f.dataType).alias(f.name)
+            for i, f in enumerate(schemas.BRONZE_STATISTICS.fields)
+        ],
+        *partition_cols,
     )
-    return in_regions(df, regions)
 
 
 def read_text_csv(

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,6 +43,18 @@ def write_parquet(
     writer.partitionBy(*partition_cols).parquet(path)
 
 
+@contextmanager
+def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
+    """Inserts into a table take the overwrite mode from the session only."""
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def write_table(
     df: DataFrame,
     table: str,
@@ -66,9 +79,8 @@ def write_table(
         (writer.option("path", path) if path else writer).saveAsTable(table)
         return
     ordered = spread_by(df, partition_cols).select(*spark.table(table).columns)
-    ordered.write.option(
-        "partitionOverwriteMode", "dynamic"
-    ).insertInto(table, overwrite=mode == "partitions")
+    with _dynamic_overwrite(spark):
+        ordered.write.insertInto(table, overwrite=mode == "partitions")
 
 
 def read_evolving(spark: SparkSession, path: str) -> DataFrame:
