@@ -44,11 +44,11 @@ def write_parquet(
 
 
 @contextmanager
-def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
-    """Inserts into a table take the overwrite mode from the session only."""
+def _partition_overwrite(spark: SparkSession, mode: str) -> Iterator[None]:
+    """Set the session's overwrite mode; an option would be stored with the table."""
     key = "spark.sql.sources.partitionOverwriteMode"
     before = spark.conf.get(key)
-    spark.conf.set(key, "dynamic")
+    spark.conf.set(key, mode)
     try:
         yield
     finally:
@@ -73,13 +73,13 @@ def write_table(
             .write.format("parquet")
             .mode("overwrite")
             .option("compression", "snappy")
-            .option("partitionOverwriteMode", "static")
             .partitionBy(*partition_cols)
         )
-        (writer.option("path", path) if path else writer).saveAsTable(table)
+        with _partition_overwrite(spark, "static"):
+            (writer.option("path", path) if path else writer).saveAsTable(table)
         return
     ordered = spread_by(df, partition_cols).select(*spark.table(table).columns)
-    with _dynamic_overwrite(spark):
+    with _partition_overwrite(spark, "dynamic"):
         ordered.write.insertInto(table, overwrite=mode == "partitions")
 
 

@@ -113,22 +113,30 @@ def ingest_available(
     latest: Sequence[str] = ("_processed_at",),
     tie_break: Sequence[Column] | None = None,
 ) -> int:
-    """Merge everything that is new into ``path``; returns the number of rows read.
+    """Merge everything that is new into ``path``; returns the number of rows merged in.
 
     ``partition_cols`` must follow from ``keys``, so that a key never changes partition;
     partitioning by day keeps what a batch rewrites as small as what it brings.
     """
 
+    sizes: list[int] = []
+
     def each(batch: DataFrame, batch_id: int) -> None:
-        merge_batch(
-            transform(batch),
-            path,
-            f"{checkpoint}/merged/batch={batch_id}",
-            partition_cols=partition_cols,
-            keys=keys,
-            latest=latest,
-            tie_break=tie_break,
-        )
+        # Used several times by the merge; persisting keeps files from being parsed again.
+        rows = transform(batch).persist()
+        try:
+            sizes.append(rows.count())
+            merge_batch(
+                rows,
+                path,
+                f"{checkpoint}/merged/batch={batch_id}",
+                partition_cols=partition_cols,
+                keys=keys,
+                latest=latest,
+                tie_break=tie_break,
+            )
+        finally:
+            rows.unpersist()
 
     query = (
         stream.writeStream.foreachBatch(each)
@@ -137,4 +145,4 @@ def ingest_available(
         .start()
     )
     query.awaitTermination()
-    return sum(p.numInputRows for p in query.recentProgress)
+    return sum(sizes)
