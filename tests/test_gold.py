@@ -187,6 +187,33 @@ def test_reference_load_isolates_bad_files(spark, tmp_path, rows):
     assert counts == {"a b.json": 4, "b.json": 1, "bare.json": 1}
 
 
+def test_newest_file_of_a_region_stands(spark, tmp_path, rows):
+    import os
+
+    for age, name, title in ((100, "new.json", "New"), (900, "old.json", "Old")):
+        put_reference(tmp_path, name, json.dumps({"items": [item("1", title)]}), "US")
+        stamp = 1_700_000_000 - age
+        os.utime(tmp_path / "region=US" / name, (stamp, stamp))
+    documents = files.read_reference_json(spark, str(tmp_path))
+    assert rows(reference.load_reference(documents).rows, "category_name") == [("New",)]
+    both = reference.load_reference(documents, newest_per_region=False)
+    assert rows(both.rows, "category_name") == [("New",), ("Old",)]
+
+
+def test_reference_documents_of_both_charsets(spark, tmp_path, rows):
+    for name, region, encoding in (("a.json", "FR", "latin-1"), ("b.json", "DE", "utf-8")):
+        folder = tmp_path / f"region={region}"
+        folder.mkdir()
+        document = json.dumps({"items": [item("1", "Été")]}, ensure_ascii=False, indent=1)
+        (folder / name).write_bytes(document.encode(encoding))
+    documents = files.read_any_charset(
+        spark, str(tmp_path),
+        lambda path, enc: files.read_reference_json(spark, path, encoding=enc),
+    )
+    loaded = reference.load_reference(documents)
+    assert rows(loaded.rows, "region", "category_name") == [("DE", "Été"), ("FR", "Été")]
+
+
 def test_missing_reference_columns_warn_only():
     assert reference.missing_columns(["id", "snippet.title", "x"]) == set()
     assert reference.missing_columns(["id"]) == {"snippet.title"}

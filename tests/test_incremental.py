@@ -92,3 +92,31 @@ def test_scratch_folder_follows_the_session(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     assert scratch_path(spark, "x").startswith(root)
     assert not path_exists(spark, scratch_path(spark, "x"))
+
+
+def test_reference_files_are_loaded_once_each(spark, tmp_path, rows):
+    source, stored, checkpoint = (str(tmp_path / n) for n in ("ref", "out", "cp"))
+
+    def put(region, name, body):
+        folder = tmp_path / "ref" / f"region={region}"
+        folder.mkdir(parents=True, exist_ok=True)
+        (folder / name).write_text(body)
+
+    def document(title):
+        return f'{{"items": [{{"id": "1",\n "snippet": {{"title": "{title}"}}}}]}}'
+
+    def load():
+        return incremental.ingest_reference(spark, source, stored, checkpoint)
+
+    def names():
+        return rows(spark.read.parquet(stored), "region", "category_name")
+
+    put("us", "a.json", document("Film"))
+    put("gb", "a.json", document("Film"))
+    put("de", "a.json", "{")
+    assert [r.error for r in load().collect()] == ["malformed JSON document"]
+    assert names() == [("gb", "Film"), ("us", "Film")]
+    assert load() is None
+    put("us", "b.json", document("Movies"))
+    assert load().count() == 0
+    assert names() == [("gb", "Film"), ("us", "Movies")]

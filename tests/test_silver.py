@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from samples import VIDEO, api_item, csv_frame, flat_frame, write_api_document
 from tidemark import schemas
 from tidemark.operators import cleanse, dedup, flatten, normalize
+from tidemark.plans.repair import run_csv_repair
 from tidemark.plans.silver import clean_statistics, run_bronze_to_silver
 from tidemark.sources import files
 from tidemark.sources.files import CORRUPT
@@ -174,7 +175,7 @@ def test_repair(spark, rows):
     assert rows(fixed, "video_id", "description", "comments_disabled", "category_id") == [
         ("v1", "a b", "true", 10), ("v3", "d", "false", 10),
     ]
-    assert rows(cleanse.repair_counts(raw)) == [("us", 3, 1, 1, 2)]
+    assert rows(cleanse.repair_counts(cleanse.flag_repairs(raw))) == [("us", 3, 1, 1, 2)]
 
 
 def test_repair_file_round_trip(spark, tmp_path):
@@ -190,6 +191,24 @@ def test_repair_file_round_trip(spark, tmp_path):
     }
 
 
+def test_repair_run_over_both_charsets(spark, tmp_path, rows):
+    src, dst = tmp_path / "src" / "region=us", str(tmp_path / "dst")
+    src.mkdir(parents=True)
+    header = ",".join(schemas.BRONZE_STATISTICS_COLUMNS)
+
+    def line(**over):
+        return ",".join({**VIDEO, **over}[c] for c in schemas.BRONZE_STATISTICS_COLUMNS)
+
+    old = [header, line(title="café"), line(video_id="v2", category_id="x"), line() + ",,"]
+    (src / "old.csv").write_bytes("\n".join(old).encode("latin-1"))
+    new = [header, line(video_id="v3", title='"a\nñ"')]
+    (src / "new.csv").write_bytes("\n".join(new).encode("utf-8"))
+    counts = run_csv_repair(spark, str(tmp_path / "src"), dst)
+    assert rows(counts) == [("us", 3, 1, 1, 2)]
+    clean = files.read_statistics_csv(spark, dst, multi_line=False)
+    assert rows(clean, "video_id", "title") == [("v1", "café"), ("v3", "a ñ")]
+
+
 PAYLOADS = ['{"a":1,"b":{"c":"x"}}', '{"a":2}', "not json", None, "[1,2]"]
 
 

@@ -57,6 +57,7 @@ def test_text_csv_keeps_empty_strings_and_splits_malformed(spark, tmp_path):
     assert rows["v1"].tags == "" and rows["v1"].description == ""
     assert rows["v9"].category_id == ""
     assert [r._corrupt_record for r in bad.collect()] == [long]
+    assert bad.count() == 1 and good.count() == 2
 
 
 def test_field_count_ignores_quoted_separators(spark):
@@ -129,6 +130,30 @@ def test_table_write_modes(spark, rows):
     assert rows(spark.table("wdb.t"), "region", "n") == [("us", 1)]
 
 
+def test_table_write_evolves_the_schema(spark, rows):
+    writers.create_database(spark, "edb")
+    writers.write_table(spark.createDataFrame([("us", 1)], "region string,n int"), "edb.t")
+    newer = spark.createDataFrame([("gb", "x")], "region string,extra string")
+    writers.write_table(newer, "edb.t")
+    assert rows(spark.table("edb.t"), "region", "n", "extra") == [
+        ("gb", None, "x"), ("us", 1, None),
+    ]
+    assert writers.evolve_table(spark, "edb.t", newer) == []
+
+
+def test_rewrite_json_lines(spark, tmp_path, rows):
+    folder = tmp_path / "in" / "region=us"
+    folder.mkdir(parents=True)
+    (folder / "a.json").write_text('{\n "kind": "é",\n "items": []\n}', "utf-8")
+    (folder / "b.json").write_text('{"kind": ', "utf-8")
+    bad = writers.rewrite_json_lines(
+        spark, str(tmp_path / "in"), str(tmp_path / "out"), schemas.BRONZE_REFERENCE
+    )
+    assert [r.region for r in bad.collect()] == ["us"]
+    lines = spark.read.text(str(tmp_path / "out"))
+    assert rows(lines, "value") == [('{"kind":"é","items":[]}',)]
+
+
 def test_register_table_over_files(spark, tmp_path):
     path = put(tmp_path, "us", line(), line(video_id="v2"))
     ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schemas.BRONZE_STATISTICS)

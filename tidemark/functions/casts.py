@@ -6,9 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_DIRECT_TO_LONG = (
-    T.ByteType, T.ShortType, T.IntegerType, T.LongType,
-)
+_DIRECT_TO_LONG = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
 def to_number(c: Column) -> Column:
@@ -19,11 +17,12 @@ def to_number(c: Column) -> Column:
 def to_long(c: Column, dtype: T.DataType | None = None) -> Column:
     """BIGINT reading: fractions are truncated ('12.7' -> 12), junk gives NULL.
 
-    Going through DECIMAL keeps large integers exact, which DOUBLE would not.
+    Plain integers are read directly. What is left goes through DECIMAL, which keeps
+    large values exact, as DOUBLE would not.
     """
     if isinstance(dtype, _DIRECT_TO_LONG):
         return c.cast("bigint")
-    return to_number(c).try_cast("bigint")
+    return F.coalesce(c.try_cast("bigint"), to_number(c).try_cast("bigint"))
 
 
 def to_flag(c: Column, dtype: T.DataType | None = None) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 # --- fixed values: text formats of the delivered files and landing paths -----------
 TRENDING_DATE_PATTERN = r"^\d{2}\.\d{2}\.\d{2}$"
 TRENDING_DATE_FORMAT = "yy.dd.MM"
+CENTURY = "20"  # two-digit years
 DAY_FORMAT = "yyyy-MM-dd"
 HOUR_FORMAT = "HH"
 INGESTION_ID_FORMAT = "yyyyMMdd_HHmmss"
@@ -15,10 +16,16 @@ ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"
 
 
 def parse_trending_date(c: Column) -> Column:
-    """'17.14.11' (year.day.month) or an ISO date; anything else gives NULL."""
-    return F.when(
-        c.rlike(TRENDING_DATE_PATTERN), F.try_to_date(c, TRENDING_DATE_FORMAT)
-    ).otherwise(F.try_to_date(c))
+    """'17.14.11' (year.day.month) or an ISO date; anything else gives NULL.
+
+    The short form is rearranged into ISO and cast: a pattern-based parser raises and
+    catches an exception for each bad value, the cast does not.
+    """
+    iso = F.concat(
+        F.lit(CENTURY), F.substring(c, 1, 2), F.lit("-"), F.substring(c, 7, 2),
+        F.lit("-"), F.substring(c, 4, 2),
+    )
+    return F.when(c.rlike(TRENDING_DATE_PATTERN), iso).otherwise(c).try_cast("date")
 
 
 def trending_stamp(c: Column) -> Column:

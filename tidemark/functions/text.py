@@ -5,13 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Everything Python's str.strip() removes, spelt so that Java's regex agrees.
-WHITESPACE = r"[\s\x0b\x{1c}-\x{1f}\x{85}\p{Z}]"
+# --- fixed values: the characters that count as white space, in code point order -----
+WHITESPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def strip_whitespace(c: Column) -> Column:
     """Trim all leading and trailing white space (``F.trim`` only removes blanks)."""
-    return F.regexp_replace(c, f"^{WHITESPACE}+|{WHITESPACE}+$", "")
+    return F.btrim(c, F.lit(WHITESPACE))
 
 
 def collapse_line_breaks(c: Column) -> Column:

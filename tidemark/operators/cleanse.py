@@ -56,16 +56,16 @@ def tidy_strings(df: DataFrame) -> DataFrame:
     )
 
 
-_CATEGORY = "_category_number"
+_OVERLONG, _CATEGORY = "_overlong", "_category_number"
 
 
-def _with_repairs(raw: DataFrame) -> DataFrame:
+def flag_repairs(raw: DataFrame) -> DataFrame:
+    """Tidied rows of ``files.read_text_csv``, flagged with what is wrong with them."""
     n = len(BRONZE_STATISTICS_COLUMNS)
     kept = raw.select(
-        *BRONZE_STATISTICS_COLUMNS, "region", is_overlong(n).alias("_overlong")
+        *BRONZE_STATISTICS_COLUMNS, "region", is_overlong(n).alias(_OVERLONG)
     )
-    tidied = tidy_strings(kept)
-    return tidied.withColumns(
+    return tidy_strings(kept).withColumns(
         {
             **{c: F.lower(c) for c in FLAGS},
             _CATEGORY: casts.to_number(F.col("category_id")),
@@ -73,30 +73,29 @@ def _with_repairs(raw: DataFrame) -> DataFrame:
     )
 
 
-def repair(raw: DataFrame) -> DataFrame:
-    """Usable rows of ``files.read_text_csv``: tidied text, numeric category ids only."""
+def repaired(flagged: DataFrame) -> DataFrame:
+    """The usable ones of flagged rows: well-formed, with a numeric category id."""
     return (
-        _with_repairs(raw)
-        .filter(~F.col("_overlong") & F.col(_CATEGORY).isNotNull())
+        flagged.filter(~F.col(_OVERLONG) & F.col(_CATEGORY).isNotNull())
         .withColumn("category_id", F.col(_CATEGORY).cast("bigint"))
-        .drop("_overlong", _CATEGORY)
+        .drop(_OVERLONG, _CATEGORY)
     )
 
 
-def repair_counts(raw: DataFrame) -> DataFrame:
-    """Per region: rows before, malformed lines skipped, rows dropped, rows after.
+def repair(raw: DataFrame) -> DataFrame:
+    return repaired(flag_repairs(raw))
+
 
-    Like the rows themselves, malformed lines do not count as rows read.
+def repair_counts(flagged: DataFrame) -> DataFrame:
+    """Per region: rows read, malformed lines skipped, rows dropped, rows kept.
+
+    Malformed lines do not count as rows read.
     """
-    bad = F.col("_overlong")
+    bad = F.col(_OVERLONG)
     numeric = F.col(_CATEGORY).isNotNull()
-    return (
-        _with_repairs(raw)
-        .groupBy("region")
-        .agg(
-            F.count_if(~bad).alias("rows_before"),
-            F.count_if(bad).alias("lines_skipped"),
-            F.count_if(~bad & ~numeric).alias("rows_dropped"),
-            F.count_if(~bad & numeric).alias("rows_after"),
-        )
+    return flagged.groupBy("region").agg(
+        F.count_if(~bad).alias("rows_before"),
+        F.count_if(bad).alias("lines_skipped"),
+        F.count_if(~bad & ~numeric).alias("rows_dropped"),
+        F.count_if(~bad & numeric).alias("rows_after"),
     )

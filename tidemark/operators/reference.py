@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import casts, dates
 from ..schemas import SILVER_REFERENCE_COLUMNS
 from ..sources.files import CORRUPT
-from .dedup import dedup_keep_last
+from .dedup import dedup_keep_last, keep_first
 from .normalize import explode_items
 
 log = logging.getLogger(__name__)
@@ -51,16 +51,22 @@ def load_reference(
     documents: DataFrame,
     *,
     document_keys: Sequence[str] = ("_source_file",),
+    newest_per_region: bool = True,
     as_of: Column | None = None,
 ) -> ReferenceLoad:
     """Flatten documents read by ``files.read_reference_json``.
 
     A bad document becomes an error row and does not stop the others. Within a document
     the last item of an id wins; the document is what ``document_keys`` identify. A
-    document without ``items`` is taken as a single item itself.
+    document without ``items`` is taken as a single item itself. Of several good files
+    for a region the newest stands, as if they had been loaded one after the other, each
+    replacing its region.
     """
     judged = documents.withColumn("_error", _error())
     good = judged.filter(F.col("_error").isNull())
+    if newest_per_region:
+        newest = [F.col("_modified").desc(), F.col("_source_file").desc()]
+        good = keep_first(good, ["region"], newest)
     whole = F.struct("kind", "etag", "id", "snippet")
     extra = [c for c in document_keys if c not in ("_source_file", "region")]
     items = explode_items(

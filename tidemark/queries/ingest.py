@@ -177,7 +177,9 @@ def reference_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     writers.land_reference(documents, path, F.lit("2024-01-01").cast("timestamp"), SOURCE)
     read = files.read_reference_json(spark, path, multi_line=False)
-    loaded = load_reference(read, document_keys=("_source_file", "etag"))
+    loaded = load_reference(
+        read, document_keys=("_source_file", "etag"), newest_per_region=False
+    )
     return loaded.rows.select(
         "category_id", "category_name", F.col("etag").alias("document"), "region"
     )

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import marts, quality
-from ..operators.cleanse import repair_counts
+from ..operators.cleanse import flag_repairs, repair_counts
 from ..plans.medallion import gated
 from ..sources.files import CORRUPT
 from ..schemas import BRONZE_STATISTICS_COLUMNS
@@ -249,4 +249,4 @@ def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
         "region",
         F.when(line == 6, record).alias(CORRUPT),
     )
-    return repair_counts(raw)
+    return repair_counts(flag_repairs(raw))

@@ -13,15 +13,8 @@ from ..plans.silver import clean_statistics
 from ..sources.catalog import read_table
 from .registry import FACTS, facts, query, table
 
-# The white space class of functions.text, in the oracle's regex dialect.
-_SPACE = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]"
-
-
 def tidy_sql(column: str) -> str:
-    return (
-        rf"regexp_replace(regexp_replace({column}, '[\r\n]+', ' ', 'g'), "
-        rf"'^{_SPACE}+|{_SPACE}+$', '', 'g')"
-    )
+    return rf"trim(regexp_replace({column}, '[\r\n]+', ' ', 'g'), '{text.WHITESPACE}')"
 
 
 @query(

@@ -151,9 +151,27 @@ def is_overlong(n_fields: int) -> Column:
 
 
 def split_malformed(df: DataFrame, n_fields: int) -> tuple[DataFrame, DataFrame]:
-    """(usable rows, lines with too many fields)."""
+    """(usable rows, lines with too many fields) of a frame with text columns."""
     bad = is_overlong(n_fields)
-    return df.filter(~bad).drop(CORRUPT), df.filter(bad)
+    # Spark refuses raw-file queries that need nothing but the corrupt record, as a count
+    # of the bad lines would, so the condition looks at a parsed column too.
+    parsed = F.length(F.coalesce(F.col(df.columns[0]), F.lit(""))) >= 0
+    return df.filter(~bad).drop(CORRUPT), df.filter(bad & parsed)
+
+
+REFERENCE_DOCUMENT = T.StructType(
+    schemas.BRONZE_REFERENCE.fields + [T.StructField(CORRUPT, T.StringType())]
+)
+
+
+def document_options(multi_line: bool = True) -> dict[str, str]:
+    """JSON source options for category documents, for batch and streaming reads."""
+    return {
+        "multiLine": str(multi_line).lower(),
+        "mode": "PERMISSIVE",
+        "columnNameOfCorruptRecord": CORRUPT,
+        "recursiveFileLookup": "true",
+    }
 
 
 def read_reference_json(
@@ -168,16 +186,7 @@ def read_reference_json(
     The region comes from the path rather than from partition discovery, so that
     directories of differing depth can be loaded together.
     """
-    declared = T.StructType(
-        schemas.BRONZE_REFERENCE.fields + [T.StructField(CORRUPT, T.StringType())]
-    )
-    reader = (
-        spark.read.schema(declared)
-        .option("multiLine", multi_line)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("recursiveFileLookup", True)
-    )
+    reader = spark.read.schema(REFERENCE_DOCUMENT).options(**document_options(multi_line))
     if encoding:
         reader = reader.option("encoding", encoding)
     return with_lineage(reader.json(path))
@@ -201,10 +210,14 @@ def read_api_json(
 
 
 def with_lineage(df: DataFrame) -> DataFrame:
-    """Add ``_source_file`` (decoded path) and ``region`` (from that path)."""
+    """Add ``_source_file`` (decoded path), ``region`` from it, and facts on the file."""
     source = text.decode_file_path(F.col("_metadata.file_path"))
-    return df.withColumn("_source_file", source).withColumn(
-        "region", text.region_from_path(F.col("_source_file"))
+    return df.select(
+        "*",
+        source.alias("_source_file"),
+        text.region_from_path(source).alias("region"),
+        F.col("_metadata.file_path").alias("file_path"),
+        F.col("_metadata.file_modification_time").alias("_modified"),
     )
 
 

@@ -7,6 +7,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import dates, text
 from ..schemas import BRONZE_STATISTICS_COLUMNS
@@ -63,7 +64,10 @@ def write_table(
     partition_cols: Sequence[str] = ("region",),
     mode: str = "partitions",
 ) -> None:
-    """Like ``write_parquet`` but registered in the catalog."""
+    """Like ``write_parquet`` but registered in the catalog.
+
+    Columns the table lacks are added to it; columns ``df`` lacks are written as NULL.
+    """
     spark = df.sparkSession
     if mode not in ("partitions", "overwrite", "append"):
         raise ValueError(f"unknown write mode: {mode}")
@@ -78,11 +82,29 @@ def write_table(
         with _partition_overwrite(spark, "static"):
             (writer.option("path", path) if path else writer).saveAsTable(table)
         return
-    ordered = spread_by(df, partition_cols).select(*spark.table(table).columns)
+    evolve_table(spark, table, df)
+    known = set(df.columns)
+    ordered = spread_by(df, partition_cols).select(
+        *[
+            F.col(f"`{f.name}`") if f.name in known
+            else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in spark.table(table).schema.fields
+        ]
+    )
     with _partition_overwrite(spark, "dynamic"):
         ordered.write.insertInto(table, overwrite=mode == "partitions")
 
 
+def evolve_table(spark: SparkSession, table: str, df: DataFrame) -> list[str]:
+    """Add the columns of ``df`` that the table does not have yet."""
+    known = set(spark.table(table).columns)
+    new = [f for f in df.schema.fields if f.name not in known]
+    if new:
+        rendered = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({rendered})")
+    return [f.name for f in new]
+
+
 def read_evolving(spark: SparkSession, path: str) -> DataFrame:
     """Read a dataset whose files were written with differing column sets."""
     return spark.read.option("mergeSchema", True).parquet(path)
@@ -159,16 +181,18 @@ def landed_reference(documents: DataFrame, at: Column, source: str) -> DataFrame
 
 def land_videos(documents: DataFrame, path: str, at: Column, source: str) -> None:
     """Append video documents as JSON under region=/date=/hour=."""
-    landed_videos(documents, at, source).write.mode("append").partitionBy(
-        "region", "date", "hour"
-    ).json(path)
+    folders = ("region", "date", "hour")
+    landed = spread_by(landed_videos(documents, at, source), folders)
+    landed.write.mode("append").partitionBy(*folders).json(path)
 
 
 def land_reference(documents: DataFrame, path: str, at: Column, source: str) -> None:
     """Write category documents as JSON under region=/date=, replacing a rerun's own."""
-    landed_reference(documents, at, source).write.mode("overwrite").option(
+    folders = ("region", "date")
+    landed = spread_by(landed_reference(documents, at, source), folders)
+    landed.write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic"
-    ).partitionBy("region", "date").json(path)
+    ).partitionBy(*folders).json(path)
 
 
 def write_csv(df: DataFrame, path: str, *, partition_cols: Sequence[str] = ("region",)) -> None:
@@ -196,3 +220,29 @@ def write_json_lines(
     """One document per line, UTF-8, non-ASCII characters unescaped."""
     writer = df.write.mode("errorifexists")
     (writer.partitionBy(*partition_cols) if partition_cols else writer).json(path)
+
+
+def rewrite_json_lines(
+    spark: SparkSession,
+    source: str,
+    target: str,
+    schema: T.StructType,
+    *,
+    partition_cols: Sequence[str] = ("region",),
+) -> DataFrame:
+    """Rewrite pretty-printed documents one per line; returns those that are no JSON.
+
+    The rewritten files can be split and read without ``multiLine``.
+    """
+    bad = T.StructField("_corrupt_record", T.StringType())
+    folders = [T.StructField(c, T.StringType()) for c in partition_cols]
+    documents = (
+        spark.read.schema(T.StructType([*schema.fields, bad, *folders]))
+        .option("multiLine", True)
+        .json(source)
+    )
+    readable = documents.filter(F.col(bad.name).isNull())
+    write_json_lines(readable.drop(bad.name), target, partition_cols=partition_cols)
+    return documents.filter(F.col(bad.name).isNotNull()).select(
+        *partition_cols, F.col("_metadata.file_path"), bad.name, schema.fieldNames()[0]
+    )

@@ -16,9 +16,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.dedup import dedup_latest
+from ..operators.reference import load_reference
 from ..schemas import DEDUP_KEYS
-from ..session import path_exists
-from ..sources import writers
+from ..session import path_exists, stage
+from ..sources import files, writers
 
 MAX_LISTED_PARTITIONS = 2_000
 
@@ -146,3 +147,38 @@ def ingest_available(
     )
     query.awaitTermination()
     return sum(sizes)
+
+
+def ingest_reference(
+    spark: SparkSession, source: str, path: str, checkpoint: str, *, multi_line: bool = True
+) -> DataFrame | None:
+    """Load category documents that have arrived since the last run.
+
+    Each loaded region replaces its stored partition, so replays change nothing. Returns
+    error rows for the unusable files of this run, None if there was nothing new.
+    """
+    stream = files.with_lineage(
+        file_stream(
+            spark, source, "json", files.REFERENCE_DOCUMENT,
+            options=files.document_options(multi_line),
+        )
+    )
+    failed: list[DataFrame] = []
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        documents = batch.persist()
+        try:
+            load = load_reference(documents)
+            writers.write_parquet(load.rows, path)
+            failed.append(stage(load.errors, "reference-errors"))
+        finally:
+            documents.unpersist()
+
+    query = (
+        stream.writeStream.foreachBatch(each)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return reduce(DataFrame.unionByName, failed) if failed else None
