@@ -154,9 +154,9 @@ def split_malformed(df: DataFrame, n_fields: int) -> tuple[DataFrame, DataFrame]
     """(usable rows, lines with too many fields) of a frame with text columns."""
     bad = is_overlong(n_fields)
     # Spark refuses raw-file queries that need nothing but the corrupt record, as a count
-    # of the bad lines would, so the condition looks at a parsed column too.
+    # of the lines would, so the conditions look at a parsed column too.
     parsed = F.length(F.coalesce(F.col(df.columns[0]), F.lit(""))) >= 0
-    return df.filter(~bad).drop(CORRUPT), df.filter(bad & parsed)
+    return df.filter(~bad & parsed).drop(CORRUPT), df.filter(bad & parsed)
 
 
 REFERENCE_DOCUMENT = T.StructType(
