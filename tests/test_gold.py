@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import json
 from collections import defaultdict
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -233,6 +234,9 @@ def test_gold_build_matches_single_marts(spark, rows, tmp_path):
         assert got.columns[-1] == "_aggregated_at"
         assert rows(got.drop("_aggregated_at")) == rows(mart)
     path = lambda name: str(tmp_path / name)
+    shared = Path(spark.conf.get("spark.checkpoint.dir"), "tidemark")
+    before = set(shared.iterdir())
     assert gold.run_silver_to_gold(stats, None, path_of=path)
+    assert set(shared.iterdir()) == before  # nothing staged is left behind
     assert spark.read.parquet(path("category_analytics")).count() == 7
     assert not gold.run_silver_to_gold(stats.limit(0), None, path_of=path)

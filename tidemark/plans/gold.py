@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 
 from ..operators import marts
 from ..operators.enrich import attach_category_names, category_lookup
-from ..session import stage
+from ..session import stage, staging
 from ..sources import writers
 
 MARTS = ("trending_analytics", "channel_analytics", "category_analytics")
@@ -54,14 +54,15 @@ def run_silver_to_gold(
     """
     if stats.isEmpty():
         return False
-    gold = build_gold(stats, reference, as_of)
-    for name in MARTS:
-        mart = getattr(gold, name)
-        path = path_of(name) if path_of else None
-        if table_of:
-            writers.write_table(mart, table_of(name), path=path, mode=mode)
-        elif path:
-            writers.write_parquet(mart, path, mode=mode)
-        else:
-            raise ValueError("give path_of or table_of")
+    with staging(stats.sparkSession):
+        gold = build_gold(stats, reference, as_of)
+        for name in MARTS:
+            mart = getattr(gold, name)
+            path = path_of(name) if path_of else None
+            if table_of:
+                writers.write_table(mart, table_of(name), path=path, mode=mode)
+            elif path:
+                writers.write_parquet(mart, path, mode=mode)
+            else:
+                raise ValueError("give path_of or table_of")
     return True

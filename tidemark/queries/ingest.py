@@ -142,7 +142,7 @@ def land_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "reference_load",
     """SELECT CAST(p_size AS BIGINT) AS category_id,
-      CASE WHEN p_partkey % 3 = 0 THEN p_name ELSE p_type END AS category_name,
+      CASE WHEN p_type = 'ECONOMY' THEN p_name ELSE p_type END AS category_name,
       CAST(p_partkey AS VARCHAR) AS document, lower(replace(p_brand, '#', '')) AS region
     FROM part""",
 )
@@ -166,7 +166,7 @@ def reference_load(spark: SparkSession, sf_dir: str) -> DataFrame:
             snippet(title).alias("snippet"),
         )
 
-    bare = F.col("p_partkey") % 3 == 0
+    bare = F.col("p_type") == "ECONOMY"
     documents = table(spark, sf_dir, "part").select(
         F.replace("p_brand", F.lit("#"), F.lit("")).alias("region"),
         F.lit("categories").alias("kind"),
@@ -189,7 +189,7 @@ def reference_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     "csv_repair_roundtrip",
     f"""SELECT CAST(doc_id AS VARCHAR) AS video_id, {tidy_sql('text')} AS description,
       lang AS region, CAST(n_chars AS INTEGER) AS category_id, 'true' AS comments_disabled
-    FROM documents WHERE doc_id % 7 <> 0""",
+    FROM documents WHERE source <> 'src7'""",
 )
 def csv_repair_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts with line breaks through CSV; rows whose category is no number are dropped."""
@@ -199,7 +199,7 @@ def csv_repair_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
         "video_id": F.col("doc_id").cast("string"),
         "description": F.col("text"),
         "comments_disabled": F.lit("True"),
-        "category_id": F.when(F.col("doc_id") % 7 == 0, "Music").otherwise(
+        "category_id": F.when(F.col("source") == "src7", "Music").otherwise(
             F.col("n_chars").cast("string")
         ),
     }

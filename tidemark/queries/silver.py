@@ -99,14 +99,15 @@ def dedup_last_turn(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_DATE_TEXT = """CASE o_orderkey % 5 WHEN 1 THEN strftime(d, '%Y-%m-%d') WHEN 2 THEN 'zzz'
-  WHEN 3 THEN '17.31.02' ELSE strftime(d, '%y.%d.%m') END"""
+_DATE_TEXT = """CASE o_orderpriority WHEN '1-URGENT' THEN strftime(d, '%Y-%m-%d')
+  WHEN '2-HIGH' THEN 'zzz' WHEN '3-MEDIUM' THEN '17.31.02' ELSE strftime(d, '%y.%d.%m') END"""
 
 
 @query(
     "parse_trending_date",
     rf"""WITH dated AS (
-      SELECT o_orderkey, CAST(o_orderdate AS DATE) + INTERVAL 20 YEAR AS d FROM orders),
+      SELECT o_orderkey, o_orderpriority,
+        CAST(o_orderdate AS DATE) + INTERVAL 20 YEAR AS d FROM orders),
     texts AS (SELECT o_orderkey, {_DATE_TEXT} AS trending_date FROM dated)
     SELECT o_orderkey, trending_date,
       CASE WHEN regexp_matches(trending_date, '^\d{{2}}\.\d{{2}}\.\d{{2}}$')
@@ -116,11 +117,11 @@ _DATE_TEXT = """CASE o_orderkey % 5 WHEN 1 THEN strftime(d, '%Y-%m-%d') WHEN 2 T
 )
 def parse_trending_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = F.add_months(F.col("o_orderdate").cast("date"), 240)
-    kind = F.col("o_orderkey") % 5
+    kind = F.col("o_orderpriority")
     written = (
-        F.when(kind == 1, dates.day_stamp(day))
-        .when(kind == 2, F.lit("zzz"))
-        .when(kind == 3, F.lit("17.31.02"))
+        F.when(kind == "1-URGENT", dates.day_stamp(day))
+        .when(kind == "2-HIGH", F.lit("zzz"))
+        .when(kind == "3-MEDIUM", F.lit("17.31.02"))
         .otherwise(dates.trending_stamp(day))
     )
     texts = table(spark, sf_dir, "orders").select(
@@ -391,16 +392,16 @@ def flatten_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "path_region",
     """WITH keys AS (
-      SELECT doc_id, CASE WHEN doc_id % 10 = 0 THEN 'raw/' ELSE 'raw/region=' || lang || '/'
+      SELECT doc_id, source, CASE WHEN source = 'src0' THEN 'raw/' ELSE 'raw/region=' || lang || '/'
         END || source || '+file%20' || CAST(doc_id AS VARCHAR) || '.json' AS key
       FROM documents)
     SELECT doc_id, replace(replace(key, '+', ' '), '%20', ' ') AS source_file,
-      CASE WHEN doc_id % 10 = 0 THEN 'unknown'
+      CASE WHEN source = 'src0' THEN 'unknown'
            ELSE regexp_extract(key, 'region=([^/]*)', 1) END AS region
     FROM keys""",
 )
 def path_region(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = F.when(F.col("doc_id") % 10 == 0, F.lit("raw/")).otherwise(
+    folder = F.when(F.col("source") == "src0", F.lit("raw/")).otherwise(
         F.concat(F.lit("raw/region="), "lang", F.lit("/"))
     )
     key = F.concat(

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -50,6 +52,22 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{root.rstrip('/')}/tidemark/{label}-{uuid.uuid4().hex}"
 
 
+_open_stages: list[list[str]] = []
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Remove, at the end of the block, what was staged in it."""
+    paths: list[str] = []
+    _open_stages.append(paths)
+    try:
+        yield
+    finally:
+        _open_stages.pop()
+        for path in paths:
+            remove_path(spark, path)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared scratch folder and return a scan of what was written.
 
@@ -58,11 +76,24 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
+    for paths in _open_stages[-1:]:
+        paths.append(path)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _located(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` exists on whatever file system it names."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+    fs, target = _located(spark, path)
+    return fs.exists(target)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a path the library itself has written."""
+    fs, target = _located(spark, path)
+    fs.delete(target, True)

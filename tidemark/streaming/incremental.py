@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from ..operators.dedup import dedup_latest
 from ..operators.reference import load_reference
 from ..schemas import DEDUP_KEYS
-from ..session import path_exists, stage
+from ..session import path_exists, remove_path, stage
 from ..sources import files, writers
 
 MAX_LISTED_PARTITIONS = 2_000
@@ -138,6 +138,8 @@ def ingest_available(
             )
         finally:
             rows.unpersist()
+        # This batch is in place, so the one before will not be replayed any more.
+        remove_path(batch.sparkSession, f"{checkpoint}/merged/batch={batch_id - 1}")
 
     query = (
         stream.writeStream.foreachBatch(each)
