@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from .. import schemas
 from ..functions import text
+from ..session import stage
 
 CORRUPT = "_corrupt_record"
 
@@ -245,9 +246,10 @@ def read_any_charset(
 
     ``read(path, encoding)`` is called once per character set. Rows are matched to their
     file's character set by a join on ``file_path``, so the list of files never passes
-    through the driver; the second read is skipped when every file is UTF-8.
+    through the driver; the second read is skipped when every file is UTF-8. The flags,
+    one row per file, are staged, so that the bytes are checked once.
     """
-    charsets = file_charsets(spark, path)
+    charsets = stage(file_charsets(spark, path), "charsets")
     utf8 = read(path, None)
     if charsets.filter("NOT is_utf8").isEmpty():
         return utf8
