@@ -120,3 +120,19 @@ def test_reference_files_are_loaded_once_each(spark, tmp_path, rows):
     put("us", "b.json", document("Movies"))
     assert load().count() == 0
     assert names() == [("gb", "Film"), ("us", "Movies")]
+
+
+class _Conf:
+    def __init__(self, **settings):
+        self.conf = self
+        self.settings = settings
+
+    def get(self, key, default=None):
+        return self.settings.get(key, default)
+
+
+def test_scratch_folder_without_a_setting():
+    local = _Conf(**{"spark.master": "local[4]"})
+    assert "tidemark-scratch" in scratch_path(local, "x")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_path(_Conf(**{"spark.master": "yarn"}), "x")

@@ -48,7 +48,6 @@ def scratch_path(spark: SparkSession, label: str) -> str:
         if not spark.conf.get("spark.master", "local").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         root = f"{tempfile.gettempdir()}/tidemark-scratch"
-        spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/tidemark/{label}-{uuid.uuid4().hex}"
 
 
