@@ -4,4 +4,4 @@ from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
 
-from . import mixing  # noqa: E402, F401
+from . import decontamination, mixing  # noqa: E402, F401
