@@ -4,4 +4,4 @@ from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
 
-from . import decontamination, mixing, neardup, paragraphs  # noqa: E402, F401
+from . import decontamination, mixing, neardup, paragraphs, tokencounts  # noqa: E402, F401
