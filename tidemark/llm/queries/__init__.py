@@ -4,4 +4,4 @@ from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
 
-from . import decontamination, htmltext, langid, licenses, mixing, neardup, paragraphs, tokencounts, topk  # noqa: E402, F401
+from . import decontamination, htmltext, langid, licenses, mixing, neardup, paragraphs, suffixes, tokencounts, topk  # noqa: E402, F401
