@@ -3,9 +3,9 @@
 A paragraph is a line of a document. Lines of more than 20 words are cut further, before words
 whose hash (with the next word) is the least among six words on either side. Such cuts depend
 on nearby words only, so a passage quoted in the middle of a longer line is cut as it is
-elsewhere, and its inner pieces are paragraphs of their own. Paragraphs of fewer than 7 words
-are left alone, and so are phrases: what goes is a run of repeated paragraphs that follow on one
-another, of 14 words or more together.
+elsewhere, and its inner pieces are paragraphs of their own. Phrases are left alone: what goes
+is a run of repeated paragraphs that follow on one another, of 14 words or more together and with
+one of 7 words or more among them.
 
 Sets are the distinct 5-word shingles of a paragraph. Four bands of two MinHash values each
 catch a pair at similarity 0.75 with probability 0.96, at 0.85 with 0.99, and equal paragraphs
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .arrowmap import map_arrow
-from .linking import components, link_by_keys
+from .linking import link_by_keys
 from .scratch import Scratch
 from .textarrays import U64, byte_chunks, mix, sequence_hashes, words
 
@@ -84,7 +84,7 @@ def split(data: np.ndarray, offsets: np.ndarray):
 
 
 def paragraphs(docs: DataFrame) -> DataFrame:
-    """(row, doc_id, start, stop, n_words, unit, shingles) of every paragraph of 7 words or more.
+    """(row, doc_id, start, stop, n_words, unit, shingles) of every paragraph.
 
     ``start`` and ``stop`` are byte positions in the UTF-8 text, ``unit`` is a hash of the words,
     ``shingles`` the set as packed 32-bit values.
@@ -94,15 +94,9 @@ def paragraphs(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for base, data, offsets in byte_chunks(batch.column(2)):
                 row, first, last, start, end, w = split(data, offsets)
-                use = np.flatnonzero(last - first >= LEAST_WORDS)
-                row, first, last = row[use], first[use], last[use]
                 shingles = sequence_hashes(w.hashes, SIZE)
                 # The hash of a paragraph: a sum over its words and places.
                 place = np.arange(len(w.hashes)).astype(U64)
-                sets = [
-                    np.unique((shingles[a : b - SIZE + 1] >> U64(32)).astype(np.uint32)).tobytes()
-                    for a, b in zip(first.tolist(), last.tolist(), strict=True)
-                ]
                 unit = np.zeros(len(first), U64)
                 if len(first):
                     reps = np.repeat(first, last - first)
@@ -110,13 +104,20 @@ def paragraphs(docs: DataFrame) -> DataFrame:
                     terms = mix(w.hashes[at] + (place[at] - reps.astype(U64)) * U64(0x9E3779B97F4A7C15))
                     ends = np.cumsum(last - first)
                     unit = mix(np.add.reduceat(terms, ends - (last - first)))
+                # A paragraph of fewer words than a shingle is one shingle.
+                sets = [
+                    (np.unique(shingles[a : b - SIZE + 1] >> U64(32)) if b - a >= SIZE else unit[i : i + 1] >> U64(32))
+                    .astype(np.uint32)
+                    .tobytes()
+                    for i, (a, b) in enumerate(zip(first.tolist(), last.tolist(), strict=True))
+                ]
                 rows = pa.array(row + base)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).take(rows),
                         batch.column(1).take(rows),
-                        pa.array((start[use] - offsets[row]).astype(np.int32)),
-                        pa.array((end[use] - offsets[row]).astype(np.int32)),
+                        pa.array((start - offsets[row]).astype(np.int32)),
+                        pa.array((end - offsets[row]).astype(np.int32)),
                         pa.array((last - first).astype(np.int32)),
                         pa.array(unit.view(np.int64)),
                         pa.array(sets, pa.binary()),
@@ -188,8 +189,7 @@ def duplicate_spans(keyed: DataFrame, scratch: Scratch) -> DataFrame:
         joined = found.join(sa, "a").join(sb, "b").select("a", "b", "xa", "xb")
         return map_arrow(joined, _compare, "a long, b long")
 
-    links = link_by_keys(members, confirm, scratch, "par")
-    roots = scratch.put(components(links, scratch, "par"), "par-roots")
+    roots = link_by_keys(members, confirm, scratch, "par")
     placed = (
         held.select("row", "doc_id", "start", "stop", "n_words", "unit")
         .join(roots, held["unit"] == roots["node"], "left")
@@ -219,12 +219,12 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             merged: list[list[int]] = []
             for start, stop, n_words in sorted((x["start"], x["stop"], x["n_words"]) for x in own):
                 # Paragraphs follow on one another directly, or with the end of a line between.
-                if merged and not raw[merged[-1][1] : start].strip(b"\n"):
-                    merged[-1][1:] = [stop, merged[-1][2] + n_words]
+                if merged and not raw[merged[-1][1] : start].strip(b" \t\r\n\v\f"):
+                    merged[-1][1:] = [stop, merged[-1][2] + n_words, max(merged[-1][3], n_words)]
                 else:
-                    merged.append([start, stop, n_words])
-            merged = [x for x in merged if x[2] >= LEAST_RUN]
-            for start, stop, _ in merged:
+                    merged.append([start, stop, n_words, n_words])
+            merged = [x for x in merged if x[2] >= LEAST_RUN and x[3] >= LEAST_WORDS]
+            for start, stop, _, _ in merged:
                 whole_line = (start == 0 or raw[start - 1] == 10) and raw[stop : stop + 1] == b"\n"
                 stop += whole_line
                 parts.append(raw[at:start])
@@ -234,7 +234,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             texts.append(b"".join(parts).decode())
             removed.append(n)
             runs.append(len(merged))
-            inside = [x for x in own if any(a <= x["start"] < b for a, b, _ in merged)]
+            inside = [x for x in own if any(a <= x["start"] < b for a, b, _, _ in merged)]
             firsts.append(sorted({x["first_doc"] for x in inside if x["first_doc"] is not None}))
         column["_text"] = pa.array(texts, pa.string())
         out = [column[c] for c in names if c != "_spans"]
