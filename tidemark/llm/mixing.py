@@ -3,7 +3,9 @@
 Every source is a queue of its documents in shuffled order, passed through up to
 ``max_repeats`` times. A document's virtual finish time is the words that its source has
 queued up to its end, divided by the source's target. Served by finish time, all sources
-advance at the rates of their targets; the mix ends when the word budget is used up.
+advance at the rates of their targets; the mix ends when the word budget is used up. Documents
+are served whole, but for the one at which a source reaches its target: that one is served in
+packets of 64 words.
 
 Nulls, ties and odd input: a null source is a source of its own and comes last; a null text
 has no words; documents without words are in no queue and take 0; rows with one id stay
@@ -20,7 +22,9 @@ from .scratch import Scratch
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Rows that one slice of a running total aims at; slices are cut by hash or time, not by key.
-SLICE_ROWS = 50_000
+SLICE_ROWS = 5_000
+#: Words that a document is served at a time where a source reaches its target.
+PACKET = 64
 
 
 def sizes(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
@@ -90,7 +94,7 @@ def running_total(df: DataFrame, slices: list[str], order: list[Column], value:
 
 
 def queue_times(sized: DataFrame, targets: DataFrame, max_repeats: int = 3) -> DataFrame:
-    """One row per document and pass: its virtual finish time, and a slice of time it is in."""
+    """One row per document, pass and packet: words, virtual finish time, and a slice of time."""
     t = targets.select(F.col("source").alias("t_source"), "source_size", "n", "target", "budget", "all_n")
     digits = F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 1, 15)
     queued = (
@@ -103,15 +107,25 @@ def queue_times(sized: DataFrame, targets: DataFrame, max_repeats: int = 3) -> D
     )
     order = [F.col(c) for c in ("draw", "doc_id", "size", "row")]
     placed = running_total(queued, ["slice"], order, "size", "queued", ["source"])
-    passes = placed.withColumn("turn", F.explode(F.sequence(F.lit(0), F.lit(max_repeats - 1))))
+    passes = placed.withColumn("turn", F.explode(F.sequence(F.lit(0), F.lit(max_repeats - 1)))).withColumn(
+        "ahead", F.col("turn") * F.col("source_size") + F.col("queued") - F.col("size")
+    )
+    # The budget runs out when every source has had its target. The document that a source is at
+    # by then is served in packets, so that it is not all or nothing.
+    cut = (F.col("ahead") < F.col("target")) & (F.col("ahead") + F.col("size") > F.col("target"))
+    packets = F.when(cut, F.ceil(F.col("size") / PACKET).cast("int")).otherwise(F.lit(1))
+    words = F.when(F.col("packets") > 1, F.least(F.lit(PACKET), F.col("size") - F.col("packet") * PACKET))
     return (
-        passes.withColumn(
-            "finish", (F.col("turn") * F.col("source_size") + F.col("queued")).cast("double") / F.col("target")
+        passes.withColumn("packets", packets)
+        .withColumn("packet", F.explode(F.sequence(F.lit(0), F.col("packets") - 1)))
+        .withColumn("words", F.coalesce(words, F.col("size")).cast("bigint"))
+        .withColumn(
+            "finish", (F.col("ahead") + F.col("packet") * PACKET + F.col("words")).cast("double") / F.col("target")
         )
         # All queues together are served at a constant rate, so equal steps of time hold about
         # equal numbers of rows.
         .withColumn("slice", F.floor(F.col("finish") * F.ceil(F.col("all_n") / SLICE_ROWS)))
-        .drop("queued", "n", "all_n")
+        .drop("queued", "ahead", "packets", "n", "all_n")
     )
 
 
@@ -122,18 +136,18 @@ def serve(times: DataFrame) -> DataFrame:
     the mix takes: all up to the budget, of the document that crosses it what is left, then 0.
     """
     order = [F.col("finish"), F.col("source").asc_nulls_last()]
-    order += [F.col(c) for c in ("turn", "draw", "doc_id", "size", "row")]
-    served = running_total(times, ["slice"], order, "size", "served", [])
-    left = F.col("budget") - (F.col("served") - F.col("size"))
-    return served.withColumn("taken", F.greatest(F.least("size", left), F.lit(0)))
+    order += [F.col(c) for c in ("turn", "draw", "doc_id", "size", "row", "packet")]
+    served = running_total(times, ["slice"], order, "words", "served", [])
+    left = F.col("budget") - (F.col("served") - F.col("words"))
+    return served.withColumn("taken", F.greatest(F.least("words", left), F.lit(0)))
 
 
 def fair_mix(sized: DataFrame, targets: DataFrame, max_repeats: int = 3) -> DataFrame:
-    """The mix in its order: (doc_id, source, turn, finish, served, taken) of all it takes."""
+    """The mix in its order: (doc_id, source, turn, packet, finish, served, taken) of all it takes."""
     return (
         serve(queue_times(sized, targets, max_repeats))
         .where("taken > 0")
-        .select("doc_id", "source", "turn", "finish", "served", "taken")
+        .select("doc_id", "source", "turn", "packet", "finish", "served", "taken")
         .orderBy("served")
     )
 
@@ -145,6 +159,10 @@ def mix_to_targets(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), max_re
         sized = scratch.keep(sizes(docs), "mix-sizes")
         targets = scratch.keep(source_targets(sized, weights, max_repeats), "mix-targets")
         times = scratch.keep(queue_times(sized, targets, max_repeats), "mix-times")
+    return _shares(sized, targets, times).drop("row")
+
+
+def _shares(sized: DataFrame, targets: DataFrame, times: DataFrame) -> DataFrame:
     kept = ["row", "doc_id", "source", "size", "source_size", "target"]
     in_queue = serve(times).groupBy(*kept).agg(F.sum("taken").alias("taken"))
     t = targets.select(F.col("source").alias("t_source"), "source_size", "target")
@@ -153,4 +171,31 @@ def mix_to_targets(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), max_re
         .join(t, F.col("source").eqNullSafe(F.col("t_source")))
         .select(*kept, F.lit(0).cast("bigint").alias("taken"))
     )
-    return in_queue.unionByName(wordless).drop("row")
+    return in_queue.unionByName(wordless)
+
+
+def mix_documents(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), max_repeats: int = 3) -> DataFrame:
+    """The documents the mix takes words of: all their columns, then mix_size, mix_target, mix_taken.
+
+    Joined by doc_id and source: rows that agree in both are one document of the mix, as if their
+    texts stood one after another, and carry its figures.
+    """
+    with Scratch(docs.sparkSession) as scratch:
+        summed = sizes(docs).groupBy("doc_id", "source").agg(F.sum("size").alias("size"))
+        sized = scratch.keep(summed.withColumn("row", F.monotonically_increasing_id()), "mix-sizes")
+        targets = scratch.keep(source_targets(sized, weights, max_repeats), "mix-targets")
+        times = scratch.keep(queue_times(sized, targets, max_repeats), "mix-times")
+        taken = scratch.keep(_shares(sized, targets, times).where("taken > 0"), "mix-taken")
+    figures = taken.select(
+        F.col("doc_id").alias("_mix_doc"),
+        F.col("source").alias("_mix_source"),
+        F.col("size").alias("_size"),
+        F.col("target").alias("_target"),
+        F.col("taken").alias("_taken"),
+    )
+    same = docs["doc_id"].eqNullSafe(figures["_mix_doc"]) & docs["source"].eqNullSafe(figures["_mix_source"])
+    # Columns of an earlier mix give way to these.
+    own = [docs[c] for c in docs.columns if c not in ("mix_size", "mix_target", "mix_taken")]
+    return docs.join(figures, same).select(
+        *own, F.col("_size").alias("mix_size"), F.col("_target").alias("mix_target"), F.col("_taken").alias("mix_taken")
+    )

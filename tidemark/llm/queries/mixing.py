@@ -45,17 +45,27 @@ placed AS (
                             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS queued
   FROM queued WHERE size > 0
 ),
-times AS (
-  SELECT *, (turn * source_size + queued)::DOUBLE / target AS finish
+passes AS (
+  SELECT *, turn * source_size + queued - size AS ahead
   FROM placed, (SELECT unnest([0, 1, 2]) AS turn)
 ),
+packets AS (
+  SELECT *, unnest(range(CASE WHEN ahead < target AND ahead + size > target
+                              THEN (size + 63) // 64 ELSE 1 END)) AS packet,
+         ahead < target AND ahead + size > target AS cut
+  FROM passes
+),
+times AS (
+  SELECT *, (ahead + packet * 64 + words)::DOUBLE / target AS finish
+  FROM (SELECT *, CASE WHEN cut THEN least(64, size - packet * 64) ELSE size END AS words FROM packets)
+),
 served AS (
-  SELECT *, sum(size) OVER (ORDER BY finish, source ASC NULLS LAST, turn, draw, doc_id, size
+  SELECT *, sum(words) OVER (ORDER BY finish, source ASC NULLS LAST, turn, draw, doc_id, size, packet
                             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS served
   FROM times
 ),
 shares AS (
-  SELECT doc_id, source, sum(greatest(least(size, budget - (served - size)), 0))::BIGINT AS taken
+  SELECT doc_id, source, sum(greatest(least(words, budget - (served - words)), 0))::BIGINT AS taken
   FROM served GROUP BY doc_id, source
 )
 SELECT q.doc_id, q.source, q.size, q.source_size, q.target, coalesce(s.taken, 0)::BIGINT AS taken
