@@ -254,3 +254,47 @@ def test_flatten_with_pinned_schema_and_no_json(spark):
 
     pinned = {"payload": T.StructType([T.StructField("a", T.LongType())])}
     assert flatten.flatten(df, pinned).columns == ["id", "payload_a", "payload_unparsed", "s_a", "s_b_c"]
+
+
+def test_default_survivors_do_not_depend_on_the_run(spark, rows):
+    tied = [{"video_id": f"v{i % 20}", "title": f"T{i}", "views": "5"} for i in range(100)]
+    kept = [
+        rows(clean_statistics(csv_frame(spark, *order), job_name=job, as_of=F.lit(at).cast("timestamp")), "video_id", "title")
+        for order, job, at in ((tied, "a", "2024-01-01"), (tied[::-1], "b", "2024-02-02"))
+    ]
+    assert kept[0] == kept[1] and len(kept[0]) == 20
+
+
+def test_runs_in_which_nothing_survives(spark, tmp_path):
+    report = run_bronze_to_silver([csv_frame(spark, {"video_id": None}, {"video_id": None})], job_name="j", path=str(tmp_path / "a"))
+    assert (report.rows_read, report.rows_written, report.rows_removed) == (2, 0, 2)
+    assert set(report.profile.values()) == {0}
+    write_api_document(tmp_path / "api", "us", "2024-01-01", "00", [])
+    empty = files.read_api_json(spark, str(tmp_path / "api"))
+    assert run_bronze_to_silver([empty], job_name="j", path=str(tmp_path / "b")).rows_written == 0
+
+
+def test_a_later_run_keeps_earlier_days_and_rows(spark, tmp_path, rows):
+    path = str(tmp_path / "silver")
+    first = csv_frame(spark, {"video_id": "v1"}, {"video_id": "v2"}, {"video_id": "v1", "region": "gb"})
+    second = csv_frame(spark, {"video_id": "v1", "views": "9", "title": "new"}, {"video_id": "v3", "trending_date": "17.15.11"})
+    for day_, frame_ in ((1, first), (2, second)):
+        run_bronze_to_silver([frame_], job_name="j", path=path, as_of=F.lit(f"2024-01-0{day_}").cast("timestamp"))
+    got = rows(spark.read.parquet(path), "region", "video_id", "title")
+    assert got == [("gb", "v1", "T1"), ("us", "v1", "new"), ("us", "v2", "T1"), ("us", "v3", "T1")]
+
+
+def test_an_over_long_category_is_dropped_and_counted(spark, tmp_path):
+    from tidemark.sources import writers
+
+    raw = tmp_path / "raw"
+    writers.write_csv(csv_frame(spark, {"category_id": "9" * 20}, {"category_id": "7"}), str(raw))
+    flagged = cleanse.flag_repairs(files.read_text_csv(spark, str(raw)))
+    assert [r.category_id for r in cleanse.repaired(flagged).collect()] == [7]
+    counts = cleanse.repair_counts(flagged).first()
+    assert (counts.rows_before, counts.rows_dropped, counts.rows_after) == (2, 1, 1)
+
+
+def test_regions_match_however_they_are_spelt(spark):
+    df = csv_frame(spark, *[{"region": r} for r in ("US", "Us", " us", "us", "gb")])
+    assert files.in_regions(df, ["us"]).count() == 4

@@ -68,7 +68,8 @@ def flag_repairs(raw: DataFrame) -> DataFrame:
     return tidy_strings(kept).withColumns(
         {
             **{c: F.lower(c) for c in FLAGS},
-            _CATEGORY: casts.to_number(F.col("category_id")),
+            # An id beyond the range of a whole number is no id: dropped and counted like text.
+            _CATEGORY: casts.to_number(F.col("category_id")).try_cast("bigint"),
         }
     )
 
@@ -77,7 +78,7 @@ def repaired(flagged: DataFrame) -> DataFrame:
     """The usable ones of flagged rows: well-formed, with a numeric category id."""
     return (
         flagged.filter(~F.col(_OVERLONG) & F.col(_CATEGORY).isNotNull())
-        .withColumn("category_id", F.col(_CATEGORY).cast("bigint"))
+        .withColumn("category_id", F.col(_CATEGORY))
         .drop(_OVERLONG, _CATEGORY)
     )
 

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schemas import DEDUP_KEYS
 
@@ -29,8 +30,17 @@ def keep_first(
     )
 
 
-def row_fingerprint(df: DataFrame) -> Column:
-    return F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+#: Columns that say when and by which run a row was made, not what it holds.
+RUN_STAMPS = ("_processed_at", "_job_name")
+
+
+def content_order(df: DataFrame) -> list[Column]:
+    """An order by what rows hold: a hash first, then the columns, so a collision cannot decide."""
+    held = [f for f in df.schema.fields if f.name not in RUN_STAMPS]
+    plain = [f for f in held if isinstance(f.dataType, T.AtomicType) and not isinstance(f.dataType, T.VariantType)]
+    columns = [F.col(f"`{f.name}`") for f in plain]
+    rest = [F.to_json(F.struct(F.col(f"`{f.name}`"))) for f in held if f not in plain]
+    return [F.xxhash64(*columns, *rest), *columns, *rest]
 
 
 def dedup_latest(
@@ -41,10 +51,11 @@ def dedup_latest(
 ) -> DataFrame:
     """The latest row per key.
 
-    All rows of one run share a processing time, so ties are settled by ``tie_break``,
-    by default a hash over the whole row.
+    All rows of one run share a processing time, so ties are settled by ``tie_break``, by
+    default by the content of the rows without the stamps of the run, so that another run
+    over the same rows keeps the same ones.
     """
-    ties = [row_fingerprint(df)] if tie_break is None else list(tie_break)
+    ties = content_order(df) if tie_break is None else list(tie_break)
     present = [F.col(c).desc_nulls_last() for c in latest if c in df.columns]
     return keep_first(df, keys, [*present, *ties])
 

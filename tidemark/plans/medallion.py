@@ -59,10 +59,13 @@ def run_medallion(
     layers: Layers,
     *,
     job_name: str,
-    mode: str = "partitions",
+    mode: str = "merge",
     as_of: Column | None = None,
 ) -> Outcome:
-    """Run all stages; failing checks are stored in ``dq_results`` and stop before Gold."""
+    """Run all stages; failing checks are stored in ``dq_results`` and stop before Gold.
+
+    With the default ``mode`` each run adds its rows to Silver; Gold is built from all of Silver.
+    """
     for db in (layers.silver_db, layers.gold_db):
         writers.create_database(spark, db)
     stats, ref = layers.silver(layers.statistics), layers.silver(layers.reference)
@@ -98,7 +101,7 @@ def run_medallion(
         read_optional(spark, ref),
         path_of=(lambda name: layers.path("gold", name)) if layers.root else None,
         table_of=layers.gold,
-        mode=mode,
+        mode="partitions" if mode == "merge" else mode,
         as_of=as_of,
     )
     return Outcome(report, passed, built)

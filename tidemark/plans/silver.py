@@ -5,16 +5,19 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..operators.cleanse import cleanse, derive, stamp_run
 from ..operators.dedup import dedup_latest
 from ..operators.normalize import INGEST_ORDER, unify
-from ..operators.quality import null_profile_columns, warn_on_profile
+from ..operators.quality import null_profile_columns, null_profile_names, warn_on_profile
 from ..operators.reference import ReferenceLoad
 from ..schemas import DEDUP_KEYS, SILVER_COLUMNS
+from ..session import path_exists, stage, staging
 from ..sources import writers
+from ..streaming.incremental import in_touched_partitions
 
 
 @dataclass(frozen=True)
@@ -48,11 +51,15 @@ def run_bronze_to_silver(
     path: str | None = None,
     table: str | None = None,
     partition_cols: Sequence[str] = ("region",),
-    mode: str = "partitions",
+    mode: str = "merge",
     as_of: Column | None = None,
 ) -> RunReport:
     """Clean and write; with no input rows nothing is written.
 
+    ``mode="merge"`` adds to what is stored: the partitions the run touches become the latest
+    rows of what they held and what is new. The other modes are those of ``writers``;
+    ``partitions`` replaces every partition the run brings by its rows alone.
+
     Row counts and the null profile are observed by the write itself, so the input is
     read once.
     """
@@ -67,11 +74,46 @@ def run_bronze_to_silver(
     rows = rows.select(*SILVER_COLUMNS).observe(
         kept, F.count("*").alias("rows_written"), *null_profile_columns()
     )
-    _write(rows, path, table, partition_cols, mode)
-    profile = dict(kept.get)
-    written = profile.pop("rows_written")
-    warn_on_profile(profile)
-    return RunReport(seen.get["rows_read"], written, profile)
+    with staging(rows.sparkSession):
+        if mode == "merge":
+            rows = _merged(rows, path, table, partition_cols)
+        _write(rows, path, table, partition_cols, "partitions" if mode == "merge" else mode)
+    counts = _observed(kept)
+    if counts is None:
+        # Nothing survived, and the planner dropped the counters with the empty plan.
+        counts = {"rows_written": 0, **dict.fromkeys(null_profile_names(), 0)}
+    read = _observed(seen) or {"rows_read": unify(*bronze, as_of=as_of).count()}
+    written = counts.pop("rows_written")
+    warn_on_profile(counts)
+    return RunReport(read["rows_read"], written, counts)
+
+
+def _merged(
+    rows: DataFrame, path: str | None, table: str | None, partition_cols: Sequence[str]
+) -> DataFrame:
+    """``rows`` with the stored rows of the partitions they touch, completed before any is replaced."""
+    spark = rows.sparkSession
+    if table and spark.catalog.tableExists(table):
+        stored = spark.table(table)
+    elif path and not table and path_exists(spark, path):
+        stored = spark.read.schema(rows.schema).parquet(path)
+    else:
+        return rows
+    new = stage(rows, "silver-new")
+    old = in_touched_partitions(stored, new, partition_cols)
+    both = new.unionByName(old, allowMissingColumns=True)
+    return stage(dedup_latest(both, DEDUP_KEYS, latest=("_processed_at",)), "silver-merged")
+
+
+def _observed(counters: Observation) -> dict[str, int] | None:
+    """What an observation has collected; None if its part of the plan was not run."""
+    try:
+        return dict(counters.get)
+    except Py4JJavaError as reason:
+        # An assertion of Spark: it finds no row of counters to hand out.
+        if "AssertionError" not in str(reason.java_exception):
+            raise
+        return None
 
 
 def run_reference_load(

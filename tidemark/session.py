@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,29 +41,39 @@ def build_session(
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the folder all executors share.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``. A machine-local
-    folder is only ever used in local mode, where driver and executors are one process.
+    The folder is the one the cluster names in ``spark.checkpoint.dir``. Where it names none, a
+    machine-local folder is used in local mode only, where driver and executors are one process.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.conf.get("spark.master", "local").startswith("local"):
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         root = f"{tempfile.gettempdir()}/tidemark-scratch"
     return f"{root.rstrip('/')}/tidemark/{label}-{uuid.uuid4().hex}"
 
 
-_open_stages: list[list[str]] = []
+def scratch_dir(spark: SparkSession, label: str) -> str:
+    """A scratch path that is removed when the application ends, if not before."""
+    path = scratch_path(spark, label)
+    fs, target = _located(spark, path)
+    fs.deleteOnExit(target)
+    return path
+
+
+#: What the innermost ``staging`` block of this thread or task has staged.
+_open_stage: ContextVar[list[str] | None] = ContextVar("open_stage", default=None)
 
 
 @contextmanager
 def staging(spark: SparkSession) -> Iterator[None]:
-    """Remove, at the end of the block, what was staged in it."""
+    """Remove, at the end of the block, what was staged in it by the same thread."""
     paths: list[str] = []
-    _open_stages.append(paths)
+    token = _open_stage.set(paths)
     try:
         yield
     finally:
-        _open_stages.pop()
+        _open_stage.reset(token)
         for path in paths:
             remove_path(spark, path)
 
@@ -74,8 +85,9 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     keeps column pruning, push-down and size statistics for the readers of the result.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, label)
-    for paths in _open_stages[-1:]:
+    path = scratch_dir(spark, label)
+    paths = _open_stage.get()
+    if paths is not None:
         paths.append(path)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -21,9 +21,6 @@ from ..schemas import DEDUP_KEYS
 from ..session import path_exists, remove_path, stage
 from ..sources import files, writers
 
-MAX_LISTED_PARTITIONS = 2_000
-
-
 def file_stream(
     spark: SparkSession,
     path: str,
@@ -40,20 +37,22 @@ def file_stream(
     return reader.load(path)
 
 
-def touched_partitions(batch: DataFrame, partition_cols: Sequence[str]) -> Column | None:
-    """A literal predicate on the partitions a batch falls into, for directory pruning.
+def touched_values(batch: DataFrame, partition_cols: Sequence[str]) -> Column:
+    """A literal predicate per partition column on the values in a batch, which prunes directories.
 
-    None when there are more than ``MAX_LISTED_PARTITIONS`` of them; no more than this
-    many partition values, never rows, come to the driver.
+    It may let in more than the partitions touched: all combinations of their values. What comes
+    to the driver are values of single partition columns, no more of them than directories that
+    the batch is about to be written to.
     """
-    keys = batch.select(*partition_cols).distinct().limit(MAX_LISTED_PARTITIONS + 1).collect()
-    if len(keys) > MAX_LISTED_PARTITIONS:
-        return None
-    each = [
-        reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(k[c])) for c in partition_cols])
-        for k in keys
-    ]
-    return reduce(lambda a, b: a | b, each, F.lit(False))
+    found = batch.agg(
+        *[F.collect_set(c).alias(f"values_{i}") for i, c in enumerate(partition_cols)],
+        *[F.bool_or(F.col(c).isNull()).alias(f"null_{i}") for i, c in enumerate(partition_cols)],
+    ).first()
+    predicate = F.lit(True)
+    for i, c in enumerate(partition_cols):
+        listed = F.col(c).isin(found[f"values_{i}"])
+        predicate = predicate & (listed | F.col(c).isNull() if found[f"null_{i}"] else listed)
+    return predicate
 
 
 def stored_rows(
@@ -63,16 +62,18 @@ def stored_rows(
     spark = batch.sparkSession
     if not path_exists(spark, path):
         return None
-    stored = spark.read.schema(batch.schema).parquet(path)
-    listed = touched_partitions(batch, partition_cols)
-    if listed is not None:
-        return stored.filter(listed)
+    return in_touched_partitions(spark.read.schema(batch.schema).parquet(path), batch, partition_cols)
+
+
+def in_touched_partitions(stored: DataFrame, batch: DataFrame, partition_cols: Sequence[str]) -> DataFrame:
+    """Rows of ``stored`` in exactly the partitions of ``batch``; prunes directories first."""
+    near = stored.filter(touched_values(batch, partition_cols))
     touched = batch.select(*[F.col(c).alias(f"_t_{c}") for c in partition_cols]).distinct()
     same = reduce(
         lambda a, b: a & b,
         [F.col(c).eqNullSafe(F.col(f"_t_{c}")) for c in partition_cols],
     )
-    return stored.join(touched, same, "left_semi")
+    return near.join(touched, same, "left_semi")
 
 
 def merge_batch(
