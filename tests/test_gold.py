@@ -51,20 +51,22 @@ def test_enrich_keeps_rows_and_names_the_unmatched(spark, rows):
     assert {(r.category_id, r.category_name) for r in named.collect()} == {
         (10, "Music"), (20, "Comedy"), (99, "Unknown"), (None, "Unknown"),
     }
-    assert "BroadcastHashJoin" in named._jdf.queryExecution().executedPlan().toString()
     nothing = enrich.attach_category_names(stats, None)
     assert {r.category_name for r in nothing.collect()} == {"Unknown"}
 
 
-def test_large_lookup_is_salted_with_the_same_result(spark, rows, monkeypatch):
+def test_lookup_join_is_left_to_the_planner(spark, rows):
     stats, lookup = silver_frame(spark, *STATS), lookup_frame(spark)
-    expected = rows(enrich.attach_category_names(stats, lookup), "video_id", "category_name")
-    monkeypatch.setattr(enrich, "BROADCAST_ROWS", 1)
-    assert not enrich.is_small(lookup)
-    salted = enrich.attach_category_names(stats, lookup)
-    assert "_salt" in salted._jdf.queryExecution().logical().toString()
-    assert rows(salted, "video_id", "category_name") == expected
-    assert "_salt" not in salted.columns
+    named = enrich.attach_category_names(stats, lookup)
+    assert "hint" not in named._jdf.queryExecution().logical().toString().lower()
+    expected = rows(named, "video_id", "category_name")
+    setting = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "-1")
+    try:
+        assert rows(enrich.attach_category_names(stats, lookup), "video_id", "category_name") == expected
+    finally:
+        spark.conf.set(setting, before)
 
 
 def test_trending_mart(spark):
@@ -240,3 +242,10 @@ def test_gold_build_matches_single_marts(spark, rows, tmp_path):
     assert set(shared.iterdir()) == before  # nothing staged is left behind
     assert spark.read.parquet(path("category_analytics")).count() == 7
     assert not gold.run_silver_to_gold(stats.limit(0), None, path_of=path)
+
+
+def test_top_k_is_limited_before_the_shuffle_at_any_k(spark):
+    df = spark.range(20_000).selectExpr("id % 2 as g", "id as v")
+    top = ranking.top_within(df, ["g"], [F.col("v").desc()], 5_000, "rank")
+    assert "WindowGroupLimit" in top._jdf.queryExecution().executedPlan().toString()
+    assert top.count() == 10_000

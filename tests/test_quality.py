@@ -112,6 +112,23 @@ def test_unreadable_table_does_not_stop_the_others(spark):
     assert [r.check for r in quality.failures(sampled).collect()] == ["row_count"]
 
 
+def test_unreadable_files_do_not_stop_the_others(spark, tmp_path):
+    table(spark).createOrReplaceTempView("dq_present")
+    broken = tmp_path / "broken"
+    spark.range(1).selectExpr("'v' as video_id", "1L as views").write.parquet(str(broken))
+    for part in broken.glob("*.parquet"):
+        part.write_bytes(b"no parquet")
+    for crc in broken.glob(".*.crc"):
+        crc.unlink()
+    spark.read.schema("video_id string, views long").parquet(str(broken)).createOrReplaceTempView("dq_broken")
+    results = quality.check_tables(
+        spark, {quality.REFERENCE: "dq_broken", TABLE: "dq_present"}, as_of=as_of()
+    )
+    bad = [(r.table, r.check) for r in quality.failures(results).collect()]
+    assert bad == [(quality.REFERENCE, "read_table")]
+    assert results.filter(F.col("table") == TABLE).count() == 9
+
+
 def test_gate(spark):
     good = quality.run_checks(table(spark), TABLE, as_of=as_of())
     bad = quality.run_checks(table(spark, views=-1), TABLE, as_of=as_of())

@@ -12,9 +12,6 @@ from ..functions import casts
 log = logging.getLogger(__name__)
 
 UNKNOWN = "Unknown"
-BROADCAST_ROWS = 100_000
-BROADCAST_CHARS = 8_000_000
-SALTS = 32
 
 
 def category_lookup(reference: DataFrame) -> DataFrame | None:
@@ -50,44 +47,17 @@ def category_lookup(reference: DataFrame) -> DataFrame | None:
     )
 
 
-def is_small(lookup: DataFrame) -> bool:
-    """Whether a lookup fits the broadcast bound; looks at no more rows than the bound."""
-    size = (
-        lookup.limit(BROADCAST_ROWS + 1)
-        .agg(
-            F.count("*").alias("n"),
-            F.coalesce(F.sum(F.length("category_name")), F.lit(0)).alias("chars"),
-        )
-        .first()
-    )
-    return size["n"] <= BROADCAST_ROWS and size["chars"] <= BROADCAST_CHARS
-
-
-def _salted_left_join(stats: DataFrame, lookup: DataFrame) -> DataFrame:
-    """Shuffled left join that spreads every category over ``SALTS`` tasks.
-
-    Each statistics row draws its salt from its own content and meets the one copy of
-    its lookup row that carries this salt, so the result equals the plain join.
-    """
-    content = F.xxhash64(*[F.col(f"`{c}`") for c in stats.columns])
-    left = stats.withColumn("_salt", F.pmod(content, F.lit(SALTS)).cast("int"))
-    right = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return left.join(right, ["category_id", "_salt"], "left").drop("_salt")
-
-
 def attach_category_names(stats: DataFrame, lookup: DataFrame | None) -> DataFrame:
     """Left join on ``category_id``; ``category_name`` always exists and is never NULL.
 
     Ids without a match, and all ids when there is no lookup, are named ``Unknown``.
-    The lookup must be unique by id, as ``category_lookup`` makes it.
+    The lookup must be unique by id, as ``category_lookup`` makes it. The join carries no hint:
+    the planner broadcasts a lookup whose size it has found to be small, and otherwise shuffles
+    and splits the tasks of frequent categories.
     """
     if lookup is None:
         return stats.withColumn("category_name", F.lit(UNKNOWN))
     stats = stats.drop("category_name").withColumn(
         "category_id", F.col("category_id").cast("bigint")
     )
-    if is_small(lookup):
-        joined = stats.join(F.broadcast(lookup), "category_id", "left")
-    else:
-        joined = _salted_left_join(stats, lookup)
-    return joined.fillna(UNKNOWN, subset=["category_name"])
+    return stats.join(lookup, "category_id", "left").fillna(UNKNOWN, subset=["category_name"])

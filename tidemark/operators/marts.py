@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import metrics
+from ..session import stage
 from .enrich import attach_category_names
 from .ranking import rank_within, top_within
 
@@ -175,8 +176,9 @@ def category_analytics(
 ) -> DataFrame:
     """Daily category totals per region with the category's share of views."""
     extra = _keys(stats, [], lookup)
-    grain = _named(daily_grain(stats, *extra), lookup)
-    return category_from_grain(grain, daily_views(stats))
+    # Read twice below, for the mart and for the totals of each day.
+    grain = stage(daily_grain(stats, *extra), "grain")
+    return category_from_grain(_named(grain, lookup), daily_views(grain))
 
 
 def stamp_aggregation(mart: DataFrame, as_of: Column | None = None) -> DataFrame:

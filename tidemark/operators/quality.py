@@ -10,7 +10,8 @@ import logging
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -178,15 +179,18 @@ def check_tables(
 ) -> DataFrame:
     """Checks for several tables (check name -> table to read).
 
-    A table that cannot be read gives a failed row, and the others are still checked.
+    Each table is checked at once, by one aggregate with one row per check, so that a table
+    that is missing or whose files cannot be read gives a failed row, and the others are
+    still checked.
     ``sample_limit`` restricts the checks to that many arbitrary rows; default: all.
     """
     results = None
     for name, source in tables.items():
         try:
             df = read_table(spark, source, limit=sample_limit)
-            checked = run_checks(df, name, thresholds=thresholds, as_of=as_of)
-        except AnalysisException as reason:
+            rows = run_checks(df, name, thresholds=thresholds, as_of=as_of)
+            checked = spark.createDataFrame(rows.collect(), rows.schema)
+        except (PySparkException, Py4JJavaError) as reason:
             checked = unreadable(spark, name, str(reason).splitlines()[0])
         results = checked if results is None else results.unionByName(checked)
     if results is None:
@@ -218,6 +222,10 @@ def quality_passed(results: DataFrame) -> bool:
 PROFILED = ["video_id", "title", "channel_title", "views"]
 
 
+def null_profile_names(columns: Iterable[str] = PROFILED) -> list[str]:
+    return [*map(_nulls_name, columns), "negative_views"]
+
+
 def null_profile_columns(columns: Iterable[str] = PROFILED) -> list[Column]:
     """Counters for nulls and negative views, for an aggregate or an Observation."""
     nulls = [F.count_if(F.col(c).isNull()).alias(_nulls_name(c)) for c in columns]

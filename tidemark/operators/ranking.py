@@ -63,8 +63,12 @@ def top_within(
     """The first ``k`` rows of each group with their rank.
 
     Planned as a group limit before the shuffle, so a group's task receives at most
-    ``k`` rows from each map task and no full ranking is needed.
+    ``k`` rows from each map task and no full ranking is needed. Spark plans it up to a
+    threshold, which is raised where ``k`` is above it.
     """
+    conf, setting = df.sparkSession.conf, "spark.sql.optimizer.windowGroupLimitThreshold"
+    if int(conf.get(setting)) < k:
+        conf.set(setting, k)
     window = Window.partitionBy(*groups).orderBy(*order_by)
     ranked = df.withColumn(name, F.row_number().over(window)).filter(F.col(name) <= k)
     return ranked.withColumn(name, F.col(name).cast("bigint"))

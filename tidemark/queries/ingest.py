@@ -11,7 +11,7 @@ from ..operators.cleanse import repair
 from ..operators.normalize import explode_items
 from ..operators.reference import load_reference
 from ..schemas import BRONZE_STATISTICS_COLUMNS
-from ..session import scratch_path
+from ..session import scratch_dir
 from ..sources import files, writers
 from ..streaming.incremental import file_stream, ingest_available
 from .registry import FACTS, facts, query, table
@@ -29,7 +29,7 @@ SOURCE = "events_table"
 )
 def partition_overwrite_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A second load, with one more column, replaces only its own region, twice."""
-    path = scratch_path(spark, "overwrite")
+    path = scratch_dir(spark, "overwrite")
     rows = facts(spark, sf_dir, videos=False).select("video_id", "region", "views")
     writers.write_parquet(rows, path, mode="overwrite")
     second = files.in_regions(rows, ["asia"]).withColumns(
@@ -61,7 +61,7 @@ def partition_overwrite_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame
 def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two drops of files and a run without new files give what one batch would give."""
     landing, stored, checkpoint = (
-        scratch_path(spark, name) for name in ("landing", "stored", "checkpoint")
+        scratch_dir(spark, name) for name in ("landing", "stored", "checkpoint")
     )
     rows = facts(spark, sf_dir, videos=False).select(
         "video_id", "region", "trending_date_parsed", "views", "likes",
@@ -98,7 +98,7 @@ def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def json_lines_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pretty-printed documents, rewritten one per line, read back."""
-    path = scratch_path(spark, "json-lines")
+    path = scratch_dir(spark, "json-lines")
     turns = table(spark, sf_dir, "conversations")
     pretty = turns.select(
         F.to_json(F.struct(*turns.columns), {"pretty": "true"}).alias("document")
@@ -120,7 +120,7 @@ def json_lines_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def land_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as fetched documents, landed by region, date and six-hourly pull."""
-    path = scratch_path(spark, "bronze")
+    path = scratch_dir(spark, "bronze")
     item = F.struct(F.col("event_id").cast("string").alias("id"))
     pull = F.col("ts") - F.make_dt_interval(
         hours=F.hour("ts") % 6, mins=F.minute("ts"), secs=F.second("ts")
@@ -148,7 +148,7 @@ def land_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def reference_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts as category documents: some hold one id twice, some are a bare item."""
-    path = scratch_path(spark, "reference")
+    path = scratch_dir(spark, "reference")
     key = F.col("p_partkey").cast("string")
 
     def snippet(title: str):
@@ -193,7 +193,7 @@ def reference_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def csv_repair_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts with line breaks through CSV; rows whose category is no number are dropped."""
-    raw, clean = scratch_path(spark, "csv-raw"), scratch_path(spark, "csv-clean")
+    raw, clean = scratch_dir(spark, "csv-raw"), scratch_dir(spark, "csv-clean")
     values = {c: F.lit("1") for c in BRONZE_STATISTICS_COLUMNS}
     values |= {
         "video_id": F.col("doc_id").cast("string"),

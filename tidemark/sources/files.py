@@ -38,15 +38,15 @@ def _csv_reader(spark: SparkSession, encoding: str | None) -> DataFrameReader:
 
 
 def in_regions(df: DataFrame, regions: Iterable[str] | None, column: str = "region") -> DataFrame:
-    """Keep the named regions; on a partition column this prunes directories.
+    """Keep the named regions however they are spelt; on a partition column this prunes directories.
 
-    The list is given in both letter cases, so the column itself stays bare and the
-    predicate remains a partition filter.
+    Letter case and surrounding white space do not count, as in the cleansing of statistics. The
+    predicate reads nothing but the column, so it remains a partition filter.
     """
     if regions is None:
         return df
-    wanted = sorted({v for r in regions for v in (r.strip().lower(), r.strip().upper())})
-    return df.filter(F.col(column).isin(wanted))
+    wanted = sorted({r.strip().lower() for r in regions})
+    return df.filter(text.normalize_region(F.col(column)).isin(wanted))
 
 
 def read_statistics_csv(

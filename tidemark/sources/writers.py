@@ -223,26 +223,27 @@ def write_json_lines(
 
 
 def rewrite_json_lines(
-    spark: SparkSession,
-    source: str,
-    target: str,
-    schema: T.StructType,
-    *,
-    partition_cols: Sequence[str] = ("region",),
+    spark: SparkSession, source: str, target: str, *, partition_cols: Sequence[str] = ("region",)
 ) -> DataFrame:
-    """Rewrite pretty-printed documents one per line; returns those that are no JSON.
+    """Rewrite documents, one per file, one per line; returns (folders, file_path) of those that are no JSON.
 
-    The rewritten files can be split and read without ``multiLine``.
+    Documents are rewritten as text, so fields that no schema declares are kept. The
+    rewritten files can be split and read without ``multiLine``.
     """
-    bad = T.StructField("_corrupt_record", T.StringType())
+    value = [T.StructField("value", T.StringType())]
     folders = [T.StructField(c, T.StringType()) for c in partition_cols]
     documents = (
-        spark.read.schema(T.StructType([*schema.fields, bad, *folders]))
-        .option("multiLine", True)
-        .json(source)
+        spark.read.schema(T.StructType([*value, *folders]))
+        .option("wholetext", True)
+        .format("text")
+        .load(source)
+        .select("*", F.col("_metadata.file_path").alias("file_path"))
     )
-    readable = documents.filter(F.col(bad.name).isNull())
-    write_json_lines(readable.drop(bad.name), target, partition_cols=partition_cols)
-    return documents.filter(F.col(bad.name).isNotNull()).select(
-        *partition_cols, F.col("_metadata.file_path"), bad.name, schema.fieldNames()[0]
+    rendered = text.minify_json(F.col("value"))
+    writer = (
+        documents.select(rendered.alias("value"), *partition_cols)
+        .filter(F.col("value").isNotNull())
+        .write.mode("errorifexists")
     )
+    (writer.partitionBy(*partition_cols) if partition_cols else writer).text(target)
+    return documents.filter(rendered.isNull()).select(*partition_cols, "file_path")
