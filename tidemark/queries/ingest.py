@@ -108,32 +108,80 @@ def json_lines_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(turns.schema).json(path).select(*turns.columns)
 
 
+@query(
+    "json_rewrite",
+    """WITH c AS (SELECT conv_id, conv_id % 7 = 3 AS broken, COUNT(*) AS turns,
+        CAST(SUM(length(text)) AS BIGINT) AS chars FROM conversations GROUP BY ALL)
+    SELECT conv_id, broken, CASE WHEN NOT broken THEN turns END AS turns,
+      CASE WHEN NOT broken THEN chars END AS chars,
+      CASE WHEN NOT broken THEN conv_id END AS undeclared FROM c""",
+)
+def json_rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pretty-printed conversations, one file each and some cut off, rewritten one per line."""
+    source, target = scratch_dir(spark, "json-pretty"), scratch_dir(spark, "json-rewritten")
+    turns = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(
+        F.collect_list(F.struct("turn", "role", "text")).alias("items")
+    )
+    document = F.to_json(
+        F.struct("items", F.col("conv_id").alias("undeclared")), {"pretty": "true"}
+    )
+    whole = F.col("conv_id") % 7 != 3
+    turns.select(
+        F.when(whole, document).otherwise(F.left(document, F.lit(20))).alias("value"), "conv_id"
+    ).write.partitionBy("conv_id").text(source)
+    bad = writers.rewrite_json_lines(spark, source, target, partition_cols=("conv_id",))
+    read = spark.read.schema(
+        "items array<struct<text: string>>, undeclared bigint, conv_id string"
+    ).json(target)
+    nothing = F.lit(None).cast("bigint")
+    key = F.col("conv_id").cast("bigint").alias("conv_id")
+    chars = F.aggregate("items", F.lit(0).cast("bigint"), lambda n, i: n + F.length(i["text"]))
+    good = read.select(
+        key,
+        F.lit(False).alias("broken"),
+        F.size("items").cast("bigint").alias("turns"),
+        chars.alias("chars"),
+        "undeclared",
+    )
+    return good.unionByName(
+        bad.select(
+            key,
+            F.lit(True).alias("broken"),
+            nothing.alias("turns"),
+            nothing.alias("chars"),
+            nothing.alias("undeclared"),
+        )
+    )
+
+
 @query(
     "land_bronze",
     """SELECT event_type AS region, strftime(ts, '%Y-%m-%d') AS date,
       printf('%02d', CAST(floor(hour(ts) / 6) * 6 AS INTEGER)) AS hour,
-      COUNT(*) AS documents, CAST(COUNT(*) AS BIGINT) AS videos,
+      1 AS documents, CAST(COUNT(*) AS BIGINT) AS videos,
       CAST(SUM(event_id) AS BIGINT) AS ids,
       max(strftime(ts, '%Y%m%d') || '_' ||
           printf('%02d', CAST(floor(hour(ts) / 6) * 6 AS INTEGER)) || '0000') AS ingestion_id
     FROM events GROUP BY ALL""",
 )
 def land_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as fetched documents, landed by region, date and six-hourly pull."""
+    """Events as items of fetched documents: one per region and six-hourly pull, landed by both."""
     path = scratch_dir(spark, "bronze")
     item = F.struct(F.col("event_id").cast("string").alias("id"))
     pull = F.col("ts") - F.make_dt_interval(
         hours=F.hour("ts") % 6, mins=F.minute("ts"), secs=F.second("ts")
     )
-    documents = table(spark, sf_dir, "events").select(
-        F.upper("event_type").alias("region"), F.array(item).alias("items"), pull.alias("at")
+    landed = (
+        table(spark, sf_dir, "events")
+        .groupBy(F.upper("event_type").alias("region"), F.date_trunc("second", pull).alias("at"))
+        .agg(F.collect_list(item).alias("items"))
+        .select("region", "items", "at")
     )
-    landed = documents.select("region", "items", "at")
     writers.land_videos(landed, path, F.col("at"), SOURCE)
     read = files.read_api_json(spark, path, multi_line=False)
     return explode_items(read).groupBy("region", "date", "hour").agg(
-        F.count("*").alias("documents"),
-        F.sum(F.col("_pipeline_metadata.video_count").cast("bigint")).alias("videos"),
+        F.count_distinct("_pipeline_metadata.ingestion_id").cast("int").alias("documents"),
+        F.max(F.col("_pipeline_metadata.video_count").cast("bigint")).alias("videos"),
         F.sum(F.col("item.id").cast("bigint")).alias("ids"),
         F.max("_pipeline_metadata.ingestion_id").alias("ingestion_id"),
     )
