@@ -13,60 +13,62 @@ from .scratch import Scratch
 def components(links: DataFrame, scratch: Scratch, label: str = "labels") -> DataFrame:
     """(node, root) for every node in ``links`` (a, b): root is the least node reachable.
 
-    Alternates two steps on the stored links until nothing changes: every node's larger
-    neighbours are hung on its least neighbour, then every node's neighbours up to itself are.
-    The number of rounds grows with the logarithm of the longest chain. Only the count of
-    changed links comes to the driver.
+    Alternates two steps on the stored links: every node's larger neighbours are hung on the
+    least of its neighbours and itself, then a node and its smaller neighbours on the least of
+    these. It ends when only stars are left: every node hangs on one root, and no root on another
+    node. The number of rounds grows with the logarithm of the longest chain; nothing but the
+    answer to that question comes to the driver.
     """
-    edges = scratch.put(
-        links.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).where("hi <> lo").distinct(),
-        f"{label}-links",
-    )
+    edges = links.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).where("hi <> lo")
+    stored = None
     while True:
-        # Large star: neighbours above a node move to the least of its neighbours and itself.
         both = edges.select(F.col("hi").alias("n"), F.col("lo").alias("m")).union(
             edges.select(F.col("lo").alias("n"), F.col("hi").alias("m"))
         )
         least = both.groupBy("n").agg(F.least(F.min("m"), F.col("n")).alias("least"))
-        large = (
-            edges.join(least, edges["lo"] == least["n"])
-            .select(F.col("hi"), F.col("least").alias("lo"))
-            .where("hi <> lo")
-            .distinct()
-        )
-        # Small star: a node and its lower neighbours move to the least of these.
+        large = edges.join(least, edges["lo"] == least["n"]).select("hi", F.col("least").alias("lo")).where("hi <> lo")
         lower = large.groupBy("hi").agg(F.min("lo").alias("least"))
         moved = large.join(lower, "hi").select(F.col("lo").alias("hi"), F.col("least").alias("lo")).where("hi <> lo")
-        small = lower.select("hi", F.col("least").alias("lo")).union(moved).distinct()
-        after = scratch.put(small, f"{label}-round")
-        changed = after.join(edges, ["hi", "lo"], "left_anti").limit(1).count() or edges.join(
-            after, ["hi", "lo"], "left_anti"
-        ).limit(1).count()
-        scratch.drop(edges)
-        edges = after
-        if not changed:
+        after = scratch.put(lower.select("hi", F.col("least").alias("lo")).union(moved).distinct(), f"{label}-round")
+        if stored is not None:
+            scratch.drop(stored)
+        edges = stored = after
+        ends = edges.select(F.col("hi").alias("n"), F.lit(1).alias("hangs"), F.lit(0).alias("holds")).union(
+            edges.select(F.col("lo"), F.lit(0), F.lit(1))
+        )
+        per_node = ends.groupBy("n").agg(F.sum("hangs").alias("hangs"), F.max("holds").alias("holds"))
+        if per_node.where("hangs > 1 or hangs = 1 and holds = 1").isEmpty():
             break
     roots = edges.select(F.col("hi").alias("node"), F.col("lo").alias("root"))
     return roots.union(edges.select(F.col("lo"), F.col("lo")).distinct())
 
 
+#: How many members of each key are compared with the rest of it in the first round, by how much
+#: that grows, and how many members a key may have left before it is divided into finer keys.
+FIRST_WIDTH, WIDER, SHORT = 1, 16, 8
+
+
 def link_by_keys(
     members: DataFrame,
     confirm: Callable[[DataFrame], DataFrame],
     scratch: Scratch,
     label: str = "link",
+    finer: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    """Links (a, b) that connect what all confirmed pairs of one key would connect.
+    """(node, root) of the components that all confirmed pairs with a common key would make.
 
     ``members``: distinct (key, node), a stored table. ``confirm`` takes distinct pairs (a, b)
-    and returns those that hold. In each round, the first members of every key (one, then two,
-    then four and so on) are compared with the members that are not yet in their component, and
-    then leave the key. A key is done when what is left of it is one component or one node. So
-    a thousand copies that are alike cost about a thousand comparisons rather than half a
-    million; only members that are truly unlike are compared with each other.
+    and returns those that hold. In each round, the first members of every key (one, then
+    sixteen times as many as before) are compared with the members that are not yet in their
+    component, and then leave the key. A key is done when what is left of it is one component or
+    one node. So a thousand copies that are alike cost about a thousand comparisons rather than half
+    a million; only members that are truly unlike are compared with each other.
+
+    Where more than ``SHORT`` unlike members of a key are left after the first round, ``finer``
+    gives these nodes more selective keys, on which the rounds go on instead.
     """
     every: DataFrame | None = None
-    width = 1
+    width = FIRST_WIDTH
     live = members.withColumn("root", F.col("node"))
     while True:
         order = Window.partitionBy("key").orderBy("node")
@@ -85,12 +87,24 @@ def link_by_keys(
         roots = scratch.put(components(every, scratch, label), f"{label}-roots")
         # Compared members leave; so do keys whose other members are all in one component.
         left = placed.where(F.col("place") > width).select("key", "node")
-        spread = (
-            left.join(roots, "node", "left")
-            .select("key", "node", F.coalesce("root", "node").alias("root"))
-        )
-        open_keys = spread.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1")
-        live = scratch.put(spread.join(open_keys.select("key"), "key", "left_semi"), f"{label}-live")
+        if left.isEmpty():
+            return roots
+        spread = left.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
+        kinds = spread.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1"))
+        unlike = kinds.where("r0 <> r1").select("key")
+        live = scratch.put(spread.join(unlike, "key", "left_semi"), f"{label}-live")
+        if finer is not None and width == FIRST_WIDTH:
+            live = scratch.put(_divided(live, finer), f"{label}-finer")
         if live.isEmpty():
-            return every
-        width *= 2
+            return roots
+        width *= WIDER
+
+
+def _divided(live: DataFrame, finer: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``live`` (key, node, root) with the members of long keys under finer keys."""
+    long_keys = live.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > SHORT).select("key")
+    nodes = live.join(long_keys, "key", "left_semi").select("node", "root").distinct()
+    keyed = finer(nodes.select("node")).join(nodes, "node").select("key", "node", "root")
+    kinds = keyed.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1"))
+    unlike = kinds.where("r0 <> r1").select("key")
+    return live.join(long_keys, "key", "left_anti").union(keyed.join(unlike, "key", "left_semi"))
