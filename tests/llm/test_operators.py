@@ -128,6 +128,25 @@ def test_near_paragraphs_are_linked(spark):
     assert got[1].text == texts[1].replace(changed + "\n", "")
 
 
+def test_finer_keys_meet_for_all_similar_small_sets(spark):
+    rng = np.random.default_rng(8)
+    base = rng.integers(0, 2**32, 14, dtype=np.uint32)
+    sets = []
+    for n in range(1, 15):
+        for _ in range(6):
+            own = np.concatenate([rng.permutation(base)[:n], rng.integers(0, 2**32, int(rng.integers(0, 3)), dtype=np.uint32)])
+            sets.append(np.unique(own))
+    df = spark.createDataFrame([(i, bytearray(x.tobytes())) for i, x in enumerate(sets)], "unit long, shingles binary")
+    keys: dict[int, set] = {}
+    for r in paragraphs.finer_keys(df).collect():
+        keys.setdefault(r.node, set()).add(r.key)
+    for i, j in combinations(range(len(sets)), 2):
+        common = len(np.intersect1d(sets[i], sets[j]))
+        union = len(sets[i]) + len(sets[j]) - common
+        if 100 * common >= 75 * union and union <= 11:
+            assert keys[i] & keys[j]
+
+
 # op6
 
 

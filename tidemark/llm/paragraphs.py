@@ -9,7 +9,8 @@ one of 7 words or more among them.
 
 Sets are the distinct 5-word shingles of a paragraph. Four bands of two MinHash values each
 catch a pair at similarity 0.75 with probability 0.96, at 0.85 with 0.99, and equal paragraphs
-always. Colliding paragraphs are compared on their sets (32-bit hashes; Jaccard 0.75), linked
+always. Keys under which many unlike paragraphs meet are divided by finer ones. Colliding
+paragraphs are compared on their sets (32-bit hashes; Jaccard 0.75), linked
 ones form components, and of each component the first paragraph in the order of (doc_id,
 position) stays. Equal paragraphs are one node throughout, so a line that stands in a third of
 all documents is one node and one count.
@@ -38,6 +39,9 @@ SIZE = 5
 LONG_LINE, REACH, LEAST_WORDS, LEAST_RUN = 20, 6, 7, 14
 BANDS, ROWS = 4, 2
 PERCENT = 75
+#: Finer keys: sizes up to which shingles are taken away and from which bands are used, and the bands.
+DELETED_UPTO, BANDED_FROM, FINER_BANDS, FINER_ROWS = 11, 9, 64, 8
+_FINER = np.random.default_rng(29).integers(1, 1 << 62, (FINER_BANDS * FINER_ROWS, 1), dtype=U64) * U64(2) + U64(1)
 _SEEDS = np.random.default_rng(11).integers(1, 1 << 62, BANDS * ROWS, dtype=U64) * U64(2) + U64(1)
 
 
@@ -148,6 +152,38 @@ def band_keys(units: DataFrame) -> DataFrame:
     return map_arrow(units.select("unit", "shingles"), run, "key long, unit long")
 
 
+def finer_keys(sets: DataFrame) -> DataFrame:
+    """(key, node) that unlike paragraphs seldom share.
+
+    Small sets at a similarity of 0.75 differ in two shingles at most: taking up to two away from
+    either leaves the same rest, which is the key. Larger sets have 64 bands of 8 values
+    (0.9988 at 0.75); those of 9 to 11 shingles, which may be similar to either kind, have both.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, nodes = [], []
+            for node, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                members = mix(np.frombuffer(packed, np.uint32).astype(U64) + U64(1))
+                own: list[np.ndarray] = []
+                n, total = len(members), members.sum(dtype=U64)
+                if n <= DELETED_UPTO:
+                    a, b = np.triu_indices(n, 1)
+                    own += [total[None], total - members, total - members[a] - members[b]]
+                if n >= BANDED_FROM:
+                    least = mix(members * _FINER + _FINER).min(1).reshape(FINER_BANDS, FINER_ROWS)
+                    own.append((least * _FINER[:FINER_ROWS, 0]).sum(1, dtype=U64) + np.arange(FINER_BANDS).astype(U64))
+                key = np.unique(mix(np.concatenate(own)))
+                keys.append(key.view(np.int64))
+                nodes.append(np.full(len(key), node, np.int64))
+            if keys:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(keys)), pa.array(np.concatenate(nodes))], ["key", "node"]
+                )
+
+    return map_arrow(sets.select("unit", "shingles"), run, "key long, node long")
+
+
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         keep = np.zeros(batch.num_rows, bool)
@@ -189,7 +225,10 @@ def duplicate_spans(keyed: DataFrame, scratch: Scratch) -> DataFrame:
         joined = found.join(sa, "a").join(sb, "b").select("a", "b", "xa", "xb")
         return map_arrow(joined, _compare, "a long, b long")
 
-    roots = link_by_keys(members, confirm, scratch, "par")
+    def finer(nodes: DataFrame) -> DataFrame:
+        return finer_keys(sets.join(nodes, sets["unit"] == nodes["node"], "left_semi"))
+
+    roots = link_by_keys(members, confirm, scratch, "par", finer)
     placed = (
         held.select("row", "doc_id", "start", "stop", "n_words", "unit")
         .join(roots, held["unit"] == roots["node"], "left")
