@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import casts, dates, metrics, text
+from ..operators.cleanse import stamp_run
 from ..operators.dedup import dedup_keep_last, dedup_latest
 from ..operators.flatten import flatten, infer_json_schemas, json_columns
 from ..operators.normalize import INGEST_ORDER, explode_items, unify
 from ..plans.silver import clean_statistics
-from ..sources.catalog import read_table
+from ..sources.catalog import query_table, read_table
 from .registry import FACTS, facts, query, table
 
 def tidy_sql(column: str) -> str:
@@ -411,3 +412,28 @@ def path_region(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", text.decode_key(key).alias("source_file")
     )
     return named.withColumn("region", text.region_from_path(F.col("source_file")))
+
+
+@query(
+    "stamped_sql_scan",
+    """SELECT o_orderkey, timestamp '2024-05-06 07:08:09' AS processed_at, 'nightly' AS job_name,
+      strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') AS ordered_at,
+      CASE o_orderstatus WHEN 'F' THEN true WHEN 'O' THEN false END AS settled
+    FROM orders""",
+)
+def stamped_sql_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of an SQL scan with run stamps of a given clock, ISO times and strictly read flags."""
+    table(spark, sf_dir, "orders").createOrReplaceTempView("orders_scan")
+    scanned = query_table(
+        spark,
+        """SELECT o_orderkey, o_orderdate, CASE o_orderstatus WHEN 'F' THEN 'TRUE'
+           WHEN 'O' THEN 'false' ELSE 'yes' END AS flag FROM orders_scan""",
+    )
+    stamped = stamp_run(scanned, "nightly", F.lit("2024-05-06 07:08:09").cast("timestamp_ntz"))
+    return stamped.select(
+        "o_orderkey",
+        F.col("_processed_at").alias("processed_at"),
+        F.col("_job_name").alias("job_name"),
+        F.substring(dates.iso_stamp(F.col("o_orderdate")), 1, 19).alias("ordered_at"),
+        casts.text_flag(F.col("flag")).alias("settled"),
+    )
