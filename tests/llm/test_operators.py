@@ -128,6 +128,29 @@ def test_near_paragraphs_are_linked(spark):
     assert got[1].text == texts[1].replace(changed + "\n", "")
 
 
+def packed_sets(spark, sizes: range, per_size: int, seed: int):
+    """Sets in pairs (2 i, 2 i + 1) at a similarity of 0.75 or little more."""
+    rng = np.random.default_rng(seed)
+    sets = []
+    for n in sizes:
+        for _ in range(per_size):
+            own = rng.integers(0, 2**32, n, dtype=np.uint32)
+            swapped = n // 7
+            other = np.concatenate([own[swapped:], rng.integers(0, 2**32, swapped, dtype=np.uint32)])
+            sets += [np.unique(own), np.unique(other)]
+    return sets, spark.createDataFrame([(i, bytearray(x.tobytes())) for i, x in enumerate(sets)], "unit long, shingles binary")
+
+
+def test_similar_sets_of_all_sizes_share_keys(spark):
+    sets, df = packed_sets(spark, range(1, 90), 20, 9)
+    for found, name in ((paragraphs.set_keys(df), "unit"), (paragraphs.finer_keys(df), "node")):
+        keys: dict[int, set] = {}
+        for r in found.collect():
+            keys.setdefault(r[name], set()).add(r.key)
+        for i in range(0, len(sets), 2):
+            assert keys[i] & keys[i + 1], len(sets[i])
+
+
 def test_finer_keys_meet_for_all_similar_small_sets(spark):
     rng = np.random.default_rng(8)
     base = rng.integers(0, 2**32, 14, dtype=np.uint32)

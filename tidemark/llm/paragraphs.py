@@ -1,15 +1,16 @@
-"""Substring dedup: paragraph MinHash banding with exact confirmation and components.
+"""Substring dedup: paragraph MinHash banding with exact confirmation and components, and repeated runs.
 
 A paragraph is a line of a document. Lines of more than 20 words are cut further, before words
 whose hash (with the next word) is the least among six words on either side. Such cuts depend
 on nearby words only, so a passage quoted in the middle of a longer line is cut as it is
-elsewhere, and its inner pieces are paragraphs of their own. Phrases are left alone: what goes
-is a run of repeated paragraphs that follow on one another, of 14 words or more together and with
-one of 7 words or more among them.
-
-Sets are the distinct 5-word shingles of a paragraph. Four bands of two MinHash values each
-catch a pair at similarity 0.75 with probability 0.96, at 0.85 with 0.99, and equal paragraphs
-always. Keys under which many unlike paragraphs meet are divided by finer ones. Colliding
+elsewhere, and its inner pieces are paragraphs of their own. Phrases are left alone: what goes is a run of
+repeated paragraphs that follow on one another, of 14 words or more together and with one
+of 7 words or more among them.
+
+Sets are the distinct 5-word shingles of a paragraph. With shingles in the order of their hashes, sets
+of n at a similarity of 0.75 share one of the first n - ceil(0.75 n) + 1 of either; up to 63 shingles
+these are the keys, and no pair is lost. Larger sets have 16 bands of two MinHash values (0.999998 at
+0.75). Keys under which many unlike paragraphs meet are divided by finer ones. Colliding
 paragraphs are compared on their sets (32-bit hashes; Jaccard 0.75), linked
 ones form components, and of each component the first paragraph in the order of (doc_id,
 position) stays. Equal paragraphs are one node throughout, so a line that stands in a third of
@@ -23,24 +24,29 @@ cut alike; a table without rows gives none.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .arrowmap import map_arrow
 from .linking import link_by_keys
 from .scratch import Scratch
-from .textarrays import U64, byte_chunks, mix, sequence_hashes, words
+from .textarrays import U64, Words, byte_chunks, mix, sequence_hashes, words
 
 SIZE = 5
 LONG_LINE, REACH, LEAST_WORDS, LEAST_RUN = 20, 6, 7, 14
-BANDS, ROWS = 4, 2
 PERCENT = 75
-#: Finer keys: sizes up to which shingles are taken away and from which bands are used, and the bands.
-DELETED_UPTO, BANDED_FROM, FINER_BANDS, FINER_ROWS = 11, 9, 64, 8
+#: Sets of up to so many shingles have their first shingles as keys. Sets of 48 or more, which may be
+#: similar to larger ones, have bands.
+FIRST_UPTO, BANDED_FROM, BANDS, ROWS = 63, 48, 16, 2
+#: Finer keys: sizes up to which shingles are taken away, sizes with so many of the first shingles in
+#: a key, and the bands of larger sets. Neighbouring sizes overlap, as similar sets differ in size.
+DELETED_UPTO, TUPLES, FINER_BANDS, FINER_ROWS = 11, ((3, 9, 31), (2, 24, 63)), 128, 8
 _FINER = np.random.default_rng(29).integers(1, 1 << 62, (FINER_BANDS * FINER_ROWS, 1), dtype=U64) * U64(2) + U64(1)
 _SEEDS = np.random.default_rng(11).integers(1, 1 << 62, BANDS * ROWS, dtype=U64) * U64(2) + U64(1)
 
@@ -77,14 +83,18 @@ def split(data: np.ndarray, offsets: np.ndarray):
     begins = new_line | (_cuts(w.hashes, number) & (length > LONG_LINE)[number])
     first = np.flatnonzero(begins)
     last = np.append(first[1:], len(line))
-    start = w.starts[first]
-    row_end = offsets[1:][row[first]]
-    feed = np.append(feeds, len(data))[np.searchsorted(feeds, w.ends[last - 1])]
-    line_end = np.minimum(feed, row_end)
-    follows = np.append(start[1:], len(data))
-    goes_on = np.append(~new_line[first[1:]], False)
-    end = np.where(goes_on, follows, line_end)
-    return row[first], first, last, start, end, w
+    return row[first], first, last, w.starts[first], _stops(w, data, offsets, last, line, row), w
+
+
+def _stops(w: Words, data: np.ndarray, offsets: np.ndarray, last: np.ndarray, line: np.ndarray, row: np.ndarray) -> np.ndarray:
+    """Where the bytes of words up to ``last`` end: at the next word of the line, or at the line's end."""
+    feeds = np.flatnonzero(data == 10)
+    before = last - 1
+    feed = np.append(feeds, len(data))[np.searchsorted(feeds, w.ends[before])]
+    line_end = np.minimum(feed, offsets[1:][row[before]])
+    after = np.minimum(last, len(line) - 1)
+    goes_on = (after == last) & (line[after] == line[before]) & (row[after] == row[before])
+    return np.where(goes_on, w.starts[after], line_end)
 
 
 def paragraphs(docs: DataFrame) -> DataFrame:
@@ -132,8 +142,13 @@ def paragraphs(docs: DataFrame) -> DataFrame:
     return map_arrow(docs, run, "row long, doc_id long, start int, stop int, n_words int, unit long, shingles binary")
 
 
-def band_keys(units: DataFrame) -> DataFrame:
-    """(key, unit) for every band of every paragraph."""
+def _first(n: np.ndarray | int, share: int = 1) -> np.ndarray | int:
+    """Of so many shingles in order, how many hold the first ``share`` that are in any similar set."""
+    return n + (-n * PERCENT) // 100 + share
+
+
+def set_keys(units: DataFrame) -> DataFrame:
+    """(key, unit): the keys under which every paragraph meets those similar to it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -143,11 +158,25 @@ def band_keys(units: DataFrame) -> DataFrame:
             offs = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
             values = np.frombuffer(column.buffers()[2], np.uint8)[offs[0] : offs[-1]].view(np.uint32).astype(U64)
             at = (offs[:-1] - offs[0]) // 4
-            least = [np.minimum.reduceat(mix(values * s + s), at) for s in _SEEDS]
+            n = np.diff(offs) // 4
             units_ = batch.column(0).to_numpy()
+            # Sets are sorted, and their values are hashes: the order of values will do.
+            small = np.flatnonzero(n <= FIRST_UPTO)
+            many = _first(n[small])
+            place = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+            first = mix(values[np.repeat(at[small], many) + place] + U64(1))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(first.view(np.int64)), pa.array(np.repeat(units_[small], many))], ["key", "unit"]
+            )
+            large = n >= BANDED_FROM
+            if not large.any():
+                continue
+            held = values[np.repeat(large, n)]
+            at = np.cumsum(n[large]) - n[large]
+            least = [np.minimum.reduceat(mix(held * s + s), at) for s in _SEEDS]
             for band in range(BANDS):
                 key = sum(least[band * ROWS + r] * _SEEDS[r] for r in range(ROWS)) + U64(band)
-                yield pa.RecordBatch.from_arrays([pa.array(mix(key).view(np.int64)), pa.array(units_)], ["key", "unit"])
+                yield pa.RecordBatch.from_arrays([pa.array(mix(key).view(np.int64)), pa.array(units_[large])], ["key", "unit"])
 
     return map_arrow(units.select("unit", "shingles"), run, "key long, unit long")
 
@@ -156,8 +185,9 @@ def finer_keys(sets: DataFrame) -> DataFrame:
     """(key, node) that unlike paragraphs seldom share.
 
     Small sets at a similarity of 0.75 differ in two shingles at most: taking up to two away from
-    either leaves the same rest, which is the key. Larger sets have 64 bands of 8 values
-    (0.9988 at 0.75); those of 9 to 11 shingles, which may be similar to either kind, have both.
+    either leaves the same rest, which is the key. Of larger ones the first two or three shingles in
+    common are among the first of either, so all twos or threes of these are keys. None of this loses a
+    pair. Sets of more than 63 shingles have 128 bands of 8 values (0.999998 at 0.75).
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,6 +200,9 @@ def finer_keys(sets: DataFrame) -> DataFrame:
                 if n <= DELETED_UPTO:
                     a, b = np.triu_indices(n, 1)
                     own += [total[None], total - members, total - members[a] - members[b]]
+                for share, least_n, most_n in TUPLES:
+                    if least_n <= n <= most_n:
+                        own.append(members[_choices(_first(n, share), share)].sum(1, dtype=U64))
                 if n >= BANDED_FROM:
                     least = mix(members * _FINER + _FINER).min(1).reshape(FINER_BANDS, FINER_ROWS)
                     own.append((least * _FINER[:FINER_ROWS, 0]).sum(1, dtype=U64) + np.arange(FINER_BANDS).astype(U64))
@@ -184,6 +217,11 @@ def finer_keys(sets: DataFrame) -> DataFrame:
     return map_arrow(sets.select("unit", "shingles"), run, "key long, node long")
 
 
+@cache
+def _choices(n: int, share: int) -> np.ndarray:
+    return np.array(list(combinations(range(n), share)))
+
+
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         keep = np.zeros(batch.num_rows, bool)
@@ -194,18 +232,24 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select([0, 1]).filter(pa.array(keep))
 
 
+def _is_apart() -> Column:
+    """Whether a span does not overlap the first copy."""
+    own_text = (F.col("row") == F.col("first.row")) & F.col("doc_id").eqNullSafe(F.col("first.doc_id"))
+    return ~own_text | (F.col("start") >= F.col("first.stop"))
+
+
 def duplicate_spans(keyed: DataFrame, scratch: Scratch) -> DataFrame:
     """(row, doc_id, start, stop, n_words, first_doc) of every paragraph that repeats an earlier one.
 
     ``keyed``: (row, doc_id, text), where row tells texts with one doc_id apart.
     """
     units = scratch.put(paragraphs(keyed), "par-units")
-    keys = band_keys(units)
+    keys = set_keys(units)
     repeated = scratch.put(
         keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "par-keys"
     )
     pairs = scratch.put(keys.join(repeated, "key", "left_semi").distinct(), "par-members")
-    # From here on only paragraphs that share a band with another one are left.
+    # From here on only paragraphs that share a key with another one are left.
     shared = pairs.select("unit").distinct()
     held = scratch.put(units.join(shared, "unit", "left_semi"), "par-held")
     scratch.drop(units)
@@ -235,10 +279,10 @@ def duplicate_spans(keyed: DataFrame, scratch: Scratch) -> DataFrame:
         .select("row", "doc_id", "start", "stop", "n_words", F.coalesce("root", "unit").alias("cluster"))
     )
     placed = scratch.put(placed, "par-placed")
-    first = placed.groupBy("cluster").agg(F.min(F.struct("doc_id", "row", "start")).alias("first"))
+    first = placed.groupBy("cluster").agg(F.min(F.struct("doc_id", "row", "start", "stop")).alias("first"))
     return (
         placed.join(first, "cluster")
-        .where(F.struct("doc_id", "row", "start") != F.col("first"))
+        .where(_is_apart())
         .select("row", "doc_id", "start", "stop", "n_words", F.col("first.doc_id").alias("first_doc"))
     )
 
@@ -257,13 +301,13 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             raw, parts, at, n = text.encode(), [], 0, 0
             merged: list[list[int]] = []
             for start, stop, n_words in sorted((x["start"], x["stop"], x["n_words"]) for x in own):
-                # Paragraphs follow on one another directly, or with the end of a line between.
+                # Spans overlap or follow on one another directly, or with the end of a line between.
                 if merged and not raw[merged[-1][1] : start].strip(b" \t\r\n\v\f"):
-                    merged[-1][1:] = [stop, merged[-1][2] + n_words, max(merged[-1][3], n_words)]
+                    merged[-1][1:] = [max(stop, merged[-1][1]), max(merged[-1][2], n_words)]
                 else:
-                    merged.append([start, stop, n_words, n_words])
-            merged = [x for x in merged if x[2] >= LEAST_RUN and x[3] >= LEAST_WORDS]
-            for start, stop, _, _ in merged:
+                    merged.append([start, stop, n_words])
+            merged = [x for x in merged if x[2] >= LEAST_WORDS and len(raw[x[0] : x[1]].split()) >= LEAST_RUN]
+            for start, stop, _ in merged:
                 whole_line = (start == 0 or raw[start - 1] == 10) and raw[stop : stop + 1] == b"\n"
                 stop += whole_line
                 parts.append(raw[at:start])
@@ -273,7 +317,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             texts.append(b"".join(parts).decode())
             removed.append(n)
             runs.append(len(merged))
-            inside = [x for x in own if any(a <= x["start"] < b for a, b, _, _ in merged)]
+            inside = [x for x in own if any(a <= x["start"] < b for a, b, _ in merged)]
             firsts.append(sorted({x["first_doc"] for x in inside if x["first_doc"] is not None}))
         column["_text"] = pa.array(texts, pa.string())
         out = [column[c] for c in names if c != "_spans"]
