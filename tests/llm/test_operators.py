@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 from collections import Counter
 from itertools import combinations
@@ -128,6 +129,49 @@ def test_near_paragraphs_are_linked(spark):
     assert got[1].text == texts[1].replace(changed + "\n", "")
 
 
+def test_long_line_with_one_changed_word_leaves_that_word(spark):
+    rng = random.Random(5)
+    line = [f"word{rng.randrange(10**6)}" for _ in range(60)]
+    changed = [*line[:30], "other", *line[31:]]
+    texts = [prose(20, 50) + "\n" + " ".join(line) + "\n" + prose(21, 50), prose(22, 50) + "\n" + " ".join(changed) + "\n" + prose(23, 50)]
+    got = {r.doc_id: r for r in paragraphs.repeat_report(frame(spark, [(i, t, "s") for i, t in enumerate(texts)])).collect()}
+    assert got[0].text == texts[0]
+    assert got[1].text == texts[1].replace(" ".join(changed), "other ")
+
+
+def test_embedded_passages_match_brute_force(spark):
+    rng = random.Random(6)
+
+    def some(n: int) -> list[str]:
+        return [f"w{rng.randrange(10**7)}" for _ in range(n)]
+
+    texts = []
+    for n in [14, 20, 30, *range(51, 101, 3)]:
+        passage = some(n)
+        for copy in range(2):
+            before, after = some(rng.randrange(5, 60)), some(rng.randrange(5, 60))
+            inner = list(passage)
+            if copy and n % 2:
+                # Line breaks elsewhere do not matter.
+                inner[n // 2] += "\n" + inner.pop(n // 2 + 1)
+            texts.append(" ".join([*before, *inner, *after]))
+    texts.append("again " * 40)
+    got = {r.doc_id: r.text for r in paragraphs.repeat_report(frame(spark, [(i, t, "s") for i, t in enumerate(texts)])).collect()}
+    seen: dict[tuple, tuple] = {}
+    for i, text in enumerate(texts):
+        w = SPACE_WORD.findall(text)
+        covered = set()
+        for at in range(len(w) - 13):
+            d, p = seen.setdefault(tuple(w[at : at + 14]), (i, at))
+            if d != i or at >= p + 14:
+                covered |= set(range(at, at + 14))
+        kept = set(SPACE_WORD.findall(got[i]))
+        gone = [x for j, x in enumerate(w) if j in covered and x != "again"]
+        assert not kept & set(gone)
+        # A piece at either end of a passage may be similar with a word or more that differ.
+        assert len(w) - len(covered) - len(SPACE_WORD.findall(got[i])) <= 6
+
+
 def packed_sets(spark, sizes: range, per_size: int, seed: int):
     """Sets in pairs (2 i, 2 i + 1) at a similarity of 0.75 or little more."""
     rng = np.random.default_rng(seed)

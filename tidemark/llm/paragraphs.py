@@ -3,9 +3,11 @@
 A paragraph is a line of a document. Lines of more than 20 words are cut further, before words
 whose hash (with the next word) is the least among six words on either side. Such cuts depend
 on nearby words only, so a passage quoted in the middle of a longer line is cut as it is
-elsewhere, and its inner pieces are paragraphs of their own. Phrases are left alone: what goes is a run of
-repeated paragraphs that follow on one another, of 14 words or more together and with one
-of 7 words or more among them.
+elsewhere, and its inner pieces are paragraphs of their own. Repeated passages do not keep to lines or
+pieces: every window of 14 words, line breaks or not, that stands somewhere before is repeated, and so a
+passage is covered from its first word to its last. Phrases are left alone: what goes is a run of
+repeated paragraphs and windows that follow on one another, of 14 words or more together and with one
+of 7 words or more among them. Of a long line with a few words changed these words stay.
 
 Sets are the distinct 5-word shingles of a paragraph. With shingles in the order of their hashes, sets
 of n at a similarity of 0.75 share one of the first n - ceil(0.75 n) + 1 of either; up to 63 shingles
@@ -16,6 +18,10 @@ ones form components, and of each component the first paragraph in the order of
 position) stays. Equal paragraphs are one node throughout, so a line that stands in a third of
 all documents is one node and one count.
 
+Of the 7-word sequences of a window the one with the least hash is its seed. Windows are written out
+only around seeds that occur twice, and of equal windows the first in the order of (doc_id, position)
+stays; one that overlaps it does not count as repeated.
+
 Nulls, ties and odd input: a null text stays null and has no paragraphs; documents without
 removals keep their text byte for byte; rows equal in doc_id and text are one document and are
 cut alike; a table without rows gives none.
@@ -47,6 +53,9 @@ FIRST_UPTO, BANDED_FROM, BANDS, ROWS = 63, 48, 16, 2
 #: Finer keys: sizes up to which shingles are taken away, sizes with so many of the first shingles in
 #: a key, and the bands of larger sets. Neighbouring sizes overlap, as similar sets differ in size.
 DELETED_UPTO, TUPLES, FINER_BANDS, FINER_ROWS = 11, ((3, 9, 31), (2, 24, 63)), 128, 8
+#: Words of a seed, and how many seeds a window of LEAST_RUN words has to choose from.
+SEED = 7
+CHOICE = LEAST_RUN - SEED + 1
 _FINER = np.random.default_rng(29).integers(1, 1 << 62, (FINER_BANDS * FINER_ROWS, 1), dtype=U64) * U64(2) + U64(1)
 _SEEDS = np.random.default_rng(11).integers(1, 1 << 62, BANDS * ROWS, dtype=U64) * U64(2) + U64(1)
 
@@ -222,6 +231,103 @@ def _choices(n: int, share: int) -> np.ndarray:
     return np.array(list(combinations(range(n), share)))
 
 
+def _seeds(hashes: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First words of all windows of LEAST_RUN words, and the first words of their seeds."""
+    n = len(hashes) - LEAST_RUN + 1
+    if n <= 0:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    keys = sequence_hashes(hashes, SEED)
+    best, at = keys[:n].copy(), np.arange(n)
+    for j in range(1, CHOICE):
+        less = keys[j : j + n] < best
+        best[less] = keys[j : j + n][less]
+        at[less] = np.flatnonzero(less) + j
+    inside = np.ones(n, bool)
+    for edge in rows[1:-1].tolist():
+        inside[max(0, edge - LEAST_RUN + 1) : edge] = False
+    windows = np.flatnonzero(inside)
+    return windows, at[windows]
+
+
+def seeds(docs: DataFrame) -> DataFrame:
+    """(row, doc_id, key, place): the seeds of every document; ``place`` is the first word's number."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for base, data, offsets in byte_chunks(batch.column(2)):
+                w = words(data, offsets)
+                at = np.unique(_seeds(w.hashes, w.rows)[1])
+                own = np.searchsorted(w.rows, at, "right") - 1
+                rows = pa.array(own + base)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).take(rows),
+                        batch.column(1).take(rows),
+                        pa.array(sequence_hashes(w.hashes, SEED)[at].view(np.int64)),
+                        pa.array((at - w.rows[own]).astype(np.int32)),
+                    ],
+                    ["row", "doc_id", "key", "place"],
+                )
+
+    return map_arrow(docs, run, "row long, doc_id long, key long, place int")
+
+
+def windows(held: DataFrame) -> DataFrame:
+    """(row, doc_id, start, stop, window) of the windows of each text around the seeds in ``places``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            places = batch.column(3)
+            for base, data, offsets in byte_chunks(batch.column(2)):
+                w = words(data, offsets)
+                first, seed = _seeds(w.hashes, w.rows)
+                wanted = np.zeros(len(w.hashes) + 1, bool)
+                for i, lo in enumerate(w.rows[:-1].tolist()):
+                    wanted[lo + np.array(places[base + i].as_py(), np.int64)] = True
+                first = first[wanted[seed]]
+                row = w.row_of()
+                line = np.searchsorted(np.flatnonzero(data == 10), w.starts) + row
+                own = row[first]
+                stop = _stops(w, data, offsets, first + LEAST_RUN, line, row) if len(first) else first
+                rows = pa.array(own + base)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).take(rows),
+                        batch.column(1).take(rows),
+                        pa.array((w.starts[first] - offsets[own]).astype(np.int32)),
+                        pa.array((stop - offsets[own]).astype(np.int32)),
+                        pa.array(sequence_hashes(w.hashes, LEAST_RUN)[first].view(np.int64)),
+                    ],
+                    ["row", "doc_id", "start", "stop", "window"],
+                )
+
+    return map_arrow(held, run, "row long, doc_id long, start int, stop int, window long")
+
+
+def repeated_windows(keyed: DataFrame, scratch: Scratch) -> DataFrame:
+    """(row, doc_id, start, stop, n_words, first_doc) of every window that stands before as well."""
+    found = scratch.put(seeds(keyed), "par-seeds")
+    several = found.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    places = scratch.put(
+        found.join(several, "key", "left_semi").groupBy("row", "doc_id").agg(F.collect_set("place").alias("places")),
+        "par-places",
+    )
+    scratch.drop(found)
+    same = (keyed["row"] == places["row"]) & keyed["doc_id"].eqNullSafe(places["doc_id"])
+    held = keyed.join(places, same).select(keyed["row"], keyed["doc_id"], "text", "places")
+    all_windows = scratch.put(windows(held), "par-windows")
+    first = (
+        all_windows.groupBy("window")
+        .agg(F.min(F.struct("doc_id", "row", "start", "stop")).alias("first"), F.count("*").alias("n"))
+        .where("n > 1")
+    )
+    return (
+        all_windows.join(first, "window")
+        .where(_is_apart())
+        .select("row", "doc_id", "start", "stop", F.lit(LEAST_RUN).alias("n_words"), F.col("first.doc_id").alias("first_doc"))
+    )
+
+
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         keep = np.zeros(batch.num_rows, bool)
@@ -336,7 +442,7 @@ def cut_repeats(docs: DataFrame) -> DataFrame:
     text, doc_id = F.col("text").cast("string"), F.col("doc_id").cast("bigint")
     with Scratch(docs.sparkSession) as scratch:
         keyed = docs.select(F.xxhash64(text).alias("row"), doc_id.alias("doc_id"), text.alias("text"))
-        spans = duplicate_spans(keyed, scratch)
+        spans = duplicate_spans(keyed, scratch).union(repeated_windows(keyed, scratch))
         found = scratch.keep(
             spans.groupBy("row", "doc_id").agg(F.collect_set(F.struct("start", "stop", "n_words", "first_doc")).alias("_spans")),
             "par-spans",
