@@ -434,6 +434,27 @@ def test_main_text(spark):
     assert htmltext.extract(pages.limit(0)).count() == 0
 
 
+def test_layout_names_do_not_hide_the_article():
+    first, second = prose(60, 80).replace("\n", " "), prose(61, 80).replace("\n", " ")
+    text = f"<p>{first}</p><p>{second}</p>"
+    junk = "<div class='sidebar'><p>Short words, of a side column, that nobody wants.</p></div>"
+    want = " ".join(f"{first} {second}".split())
+    for opening in (
+        "<div class='content has-sidebar'>",
+        "<div class='no-sidebar'>",
+        "<div id='page' class='has-header-image'>",
+        "<section class='social-studies'>",
+        "<div class='page sidebar-left'>",
+    ):
+        closing = f"</{opening[1:].split()[0]}>"
+        for inner in (text, f"<article>{text}</article>", f"<main>{text}</main>"):
+            assert htmltext.main_text(f"<html><body>{opening}{inner}{junk}{closing}</body></html>") == want
+    # What is junk stays junk: side columns and comments, even if these are longer than the article.
+    for name in ("comments", "comment-list"):
+        page = f"<div class='post'>{text}</div>{junk}<div class='{name}'><article class='comment'>{text * 3}</article></div>"
+        assert htmltext.main_text(f"<html><body>{page}</body></html>") == want
+
+
 def test_deep_and_broken_pages_end():
     assert htmltext.main_text("<div>" * 20_000 + "deep text") == "deep text"
     assert htmltext.main_text("</p></div><b><i><a href='x>y'>t</a>" * 2_000).startswith("t")

@@ -5,7 +5,9 @@ ones; an element's points are discounted by the share of its text that stands in
 element with most points, lifted to the article or main element around it if there is one, is
 kept together with those siblings that look like text as well. Elements that are menus, page
 headers, footers, sidebars, notices, adverts, forms, scripts, styles or reader comments by their
-tag, role, class or id count for nothing and give no text.
+tag, role, class or id count for nothing and give no text. A class or id says so only of an element that
+does not hold the main or article element, nor (comments aside) most of the page's text: there it names
+the layout. Names that begin with has-, no-, with- or without- say nothing.
 
 Nulls, ties and odd input: a null or empty page, or one without text, gives an empty text; of
 equal scores the first element wins; unclosed and misnested tags are closed as they come, a tag
@@ -67,47 +69,54 @@ JUNK_WORDS = frozenset(
 JUNK_PARTS = re.compile(r"sidebar|advert|sponsor|cookie|breadcrumb|newsletter|navbar|popup|comment[s-]|disqus")
 _TAG = re.compile(r"<(?:!--|!\[CDATA\[|[!?]|(/?)([a-zA-Z][^\s/>]*)([^>]*)(>|\Z))")
 _ATTRIBUTE = re.compile(r"""([a-zA-Z][\w:-]*)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
+READERS = frozenset("comment comments commentlist disqus respond reply replies discussion".split())
+_LAYOUT = re.compile(r"(?:has|no|with|without)[-_]")
+#: Not junk; junk by a name, by a name for readers' comments, or by what the element is.
+TEXT, NAMED, COMMENTS, JUNK = range(4)
 _NAME_WORD = re.compile(r"[a-z]+")
 _COMMAS = re.compile("[,،、，]")
 
 
 class _Node:
-    __slots__ = ("commas", "direct", "junk", "links", "parent", "points", "size", "tag", "within")
+    __slots__ = ("commas", "direct", "junk", "kind", "links", "parent", "points", "size", "tag", "within")
 
-    def __init__(self, tag: str, parent: int, junk: bool, within: bool) -> None:
-        self.tag, self.parent, self.junk, self.within = tag, parent, junk, within
+    def __init__(self, tag: str, parent: int, kind: int, within: bool) -> None:
+        self.tag, self.parent, self.kind, self.within = tag, parent, kind, within
+        self.junk = False
         self.size = self.links = self.direct = self.commas = 0
         self.points = 0.0
 
 
-def _is_junk(tag: str, attributes: str, within: bool) -> bool:
+def _kind(tag: str, attributes: str, within: bool) -> int:
     """``within``: inside an article or main element, where a header is the article's own."""
     if tag in JUNK_TAGS or (tag == "header" and not within):
-        return True
+        return JUNK
     if not attributes or tag in ("html", "body", "article", "main") and "comment" not in attributes.lower():
-        return False
+        return TEXT
     if tag in INLINE and tag not in ("span", "a"):
-        return False
+        return TEXT
+    kind = TEXT
     for name, value in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'").lower()
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
-            return True
+            return JUNK
         if name == "style" and "display:none" in value.replace(" ", ""):
-            return True
+            return JUNK
         if name == "role" and value in JUNK_ROLES:
-            return True
+            return JUNK
         if name in ("class", "id"):
+            value = " ".join(x for x in value.split() if not _LAYOUT.match(x))
             words = set(_NAME_WORD.findall(value)) & JUNK_WORDS
             if within:
                 words.discard("header")
             if words or JUNK_PARTS.search(value):
-                return True
-    return False
+                kind = max(kind, COMMENTS if words & READERS or re.search("comment[s-]|disqus", value) else NAMED)
+    return kind
 
 
 def _parse(html: str) -> tuple[list[_Node], list[tuple[int, str | None]]]:
     """Elements in page order, and pieces of text (element, text); None marks a block's edge."""
-    nodes = [_Node("#root", -1, False, False)]
+    nodes = [_Node("#root", -1, TEXT, False)]
     events: list[tuple[int, str | None]] = []
     stack = [0]
     opened: dict[str, int] = {}
@@ -172,7 +181,7 @@ def _parse(html: str) -> tuple[list[_Node], list[tuple[int, str | None]]]:
         if tag not in INLINE:
             events.append((stack[-1], None))
         above = nodes[stack[-1]]
-        junk = above.junk or _is_junk(tag, attributes, above.within)
+        kind = _kind(tag, attributes, above.within)
         if tag in VOID:
             continue
         if tag in RAW:
@@ -184,12 +193,39 @@ def _parse(html: str) -> tuple[list[_Node], list[tuple[int, str | None]]]:
             continue
         if attributes.endswith("/") and tag in ("svg", "path"):
             continue
-        nodes.append(_Node(tag, stack[-1], junk, above.within or tag in ("article", "main")))
+        nodes.append(_Node(tag, stack[-1], kind, above.within or tag in ("article", "main")))
         stack.append(len(nodes) - 1)
         opened[tag] = opened.get(tag, 0) + 1
     return nodes, events
 
 
+def _settle(nodes: list[_Node], events: list[tuple[int, str | None]]) -> None:
+    """Which elements are junk, or stand in junk."""
+    hard, linked = [False] * len(nodes), [False] * len(nodes)
+    for i, node in enumerate(nodes[1:], 1):
+        hard[i] = hard[node.parent] or node.kind == JUNK
+        linked[i] = linked[node.parent] or node.tag == "a"
+    sizes = [0] * len(nodes)
+    for i, text in events:
+        if text and not hard[i] and not linked[i]:
+            sizes[i] += len(" ".join(text.split()))
+    for i in range(len(nodes) - 1, 0, -1):
+        sizes[nodes[i].parent] += sizes[i]
+    # Every main element counts, and the longest article if it is a good part of the page.
+    own = [i for i, n in enumerate(nodes) if n.tag in ("article", "main") and n.kind == TEXT and sizes[i]]
+    longest = max((i for i in own if nodes[i].tag == "article"), key=lambda i: sizes[i], default=0)
+    holds = [False] * len(nodes)
+    for i in own:
+        if nodes[i].tag == "main" or (i == longest and 4 * sizes[i] >= sizes[0]):
+            while i > 0 and not holds[nodes[i].parent]:
+                i = nodes[i].parent
+                holds[i] = True
+    for i, node in enumerate(nodes[1:], 1):
+        named = node.kind in (NAMED, COMMENTS) and not holds[i]
+        most = node.kind == NAMED and 2 * sizes[i] > sizes[0]
+        node.junk = nodes[node.parent].junk or node.kind == JUNK or (named and not most)
+
+
 def _score(nodes: list[_Node], events: list[tuple[int, str | None]]) -> None:
     for i, text in events:
         if text and not nodes[i].junk:
@@ -229,6 +265,7 @@ def main_text(html: str | None) -> str:
     if not html:
         return ""
     nodes, events = _parse(html)
+    _settle(nodes, events)
     _score(nodes, events)
     best, top = -1, 0.0
     for i, node in enumerate(nodes):
