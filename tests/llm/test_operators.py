@@ -7,6 +7,7 @@ from collections import Counter
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from corpus_cases import frame, no_documents, odd_documents, odd_texts, prose
@@ -15,6 +16,7 @@ from tidemark.llm import (
     htmltext,
     langid,
     licenses,
+    licensetexts,
     linking,
     mixing,
     neardup,
@@ -24,6 +26,7 @@ from tidemark.llm import (
     topk,
 )
 from tidemark.llm.scratch import Scratch
+from tidemark.llm.textarrays import ALNUM, LOWER, byte_chunks, sequence_hashes, words
 
 SPACE_WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -434,6 +437,24 @@ def test_main_text(spark):
     assert htmltext.extract(pages.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize(
+    ("wording", "name"),
+    [
+        ("SPDX-License-Identifier: MIT", "MIT"),
+        ("SPDX-License-Identifier: GPL-2.0-or-later", "GPL-2.0"),
+        ("licensed under the terms of the MIT license", "MIT"),
+        *((text, name) for name, text in [*licensetexts.whole_texts(), *licensetexts.MORE_TEXTS]),
+    ],
+)
+def test_licence_texts_and_tags_are_found(wording, name):
+    scanner = licenses.Scanner(licensetexts.templates())
+    ((_, data, offsets),) = byte_chunks(pa.array([f"{prose(70, 50)} {wording} {prose(71, 900)}"]))
+    w = words(LOWER[data], offsets, ALNUM, lower=False)
+    found = scanner.row_matches(sequence_hashes(w.hashes, 2))
+    assert name in {scanner.names[t] for _, t, _, _ in found}
+    assert max(n for _, _, _, n in found) >= 0.9 * len(licenses._word_hashes(wording))
+
+
 def test_layout_names_do_not_hide_the_article():
     first, second = prose(60, 80).replace("\n", " "), prose(61, 80).replace("\n", " ")
     text = f"<p>{first}</p><p>{second}</p>"

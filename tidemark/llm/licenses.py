@@ -13,6 +13,7 @@ result. Whole texts are scanned, in memory bounded by one text.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,6 +34,26 @@ def _word_hashes(text: str) -> np.ndarray:
     return words(LOWER[data], offsets, ALNUM, lower=False).hashes
 
 
+def _stretches(bigrams: np.ndarray, starts: list[int], span: int, own: frozenset) -> Iterator[tuple[int, int, int]]:
+    """(start, distinct bigrams, those of the template) of stretches in order, each from the one before."""
+    counts: Counter = Counter()
+    common, end = 0, 0
+    at = 0
+    for lo in starts:
+        if lo >= end:
+            counts, common, at, end = Counter(), 0, lo, lo
+        for x in bigrams[at:lo].tolist():
+            counts[x] -= 1
+            if not counts[x]:
+                del counts[x]
+                common -= x in own
+        for x in bigrams[end : lo + span].tolist():
+            common += not counts[x] and x in own
+            counts[x] += 1
+        at, end = lo, lo + span
+        yield lo, len(counts), common
+
+
 class Scanner:
     """Templates as bigram sets, and a table from hashed bigrams to the templates that hold them."""
 
@@ -75,11 +96,10 @@ class Scanner:
                     continue
                 # Bound: of the hits from each one on, those within a stretch.
                 inside = np.searchsorted(hits, hits + span) - np.arange(len(hits))
-                for i in hits[inside >= need].tolist():
-                    # A hit stands first in its stretch, or one or two places in, if words were changed.
-                    lo = min(i, len(bigrams) - span)
-                    stretch = set(bigrams[lo : lo + span].tolist())
-                    dice = 2 * len(stretch & own) / (len(stretch) + len(own))
+                # A hit stands first in its stretch, or one or two places in, if words were changed.
+                starts = np.unique(np.minimum(hits[inside >= need], len(bigrams) - span))
+                for lo, distinct, common in _stretches(bigrams, starts.tolist(), span, own):
+                    dice = 2 * common / (distinct + len(own))
                     if dice >= self.least:
                         found.append((dice, t, lo, span + 1))
         found.sort(key=lambda m: (-m[0], -m[3], m[1], m[2]))

@@ -1,4 +1,11 @@
-"""Licence notices and texts to compare with. Names are SPDX identifiers."""
+"""Licence notices and texts to compare with. Names are SPDX identifiers.
+
+``licensedata`` holds whole texts, one file for each licence.
+"""
+
+from __future__ import annotations
+
+from pathlib import Path
 
 # Names under which licences are referred to in notices.
 NAMES = {
@@ -36,6 +43,10 @@ NAMES = {
 }
 # How a notice begins.
 OPENINGS = ["Released under", "Licensed under", "Distributed under", "This work is licensed under", "Made available under"]
+OPENINGS += [f"{verb} under the terms of" for verb in ("Released", "Licensed", "Distributed", "Made available")]
+OPENINGS += ["This project is licensed under", "This software is licensed under"]
+# Identifiers in tag lines beside the names of licences here.
+TAGS = ["MIT-0", "0BSD", "Unlicense", "WTFPL"]
 
 # Wordings of the licences themselves, without titles and copyright lines.
 TEXTS = {
@@ -96,13 +107,60 @@ publish, use, compile, sell, or distribute this software, either in source code
 purpose, commercial or non-commercial, and by any means.""",
 }
 
+BSD_DISCLAIMER = """THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED
+WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE
+ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL,
+SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES;
+LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN
+CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS
+SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+#: Further wordings: with the disclaimer, and of licences that have others above or in ``licensedata``.
+MORE_TEXTS = [
+    *((name, f"{TEXTS[name]} {BSD_DISCLAIMER}") for name in ("BSD-2-Clause", "BSD-3-Clause")),
+    (
+        "BSL-1.0",
+        """Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software
+and accompanying documentation covered by this license (the "Software") to use, reproduce, display, distribute, execute,
+and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the
+Software is furnished to do so, all subject to the following: The copyright notices in the Software and this entire
+statement, including the above license grant, this restriction and the following disclaimer, must be included in all
+copies of the Software, in whole or in part, and all derivative works of the Software, unless such copies or derivative
+works are solely in the form of machine-executable object code generated by a source language processor. THE SOFTWARE IS
+PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF
+MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE, TITLE AND NON-INFRINGEMENT. IN NO EVENT SHALL THE COPYRIGHT HOLDERS OR
+ANYONE DISTRIBUTING THE SOFTWARE BE LIABLE FOR ANY DAMAGES OR OTHER LIABILITY, WHETHER IN CONTRACT, TORT OR OTHERWISE,
+ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.""",
+    ),
+    (
+        "LGPL-2.1",
+        """This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser
+General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your
+option) any later version. This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY;
+without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General
+Public License for more details.""",
+    ),
+]
+
+
+def whole_texts() -> list[tuple[str, str]]:
+    """(licence, text) of the files in ``licensedata``."""
+    files = sorted((Path(__file__).parent / "licensedata").glob("*.txt"))
+    return [(f.stem, f.read_text(encoding="utf-8")) for f in files]
+
+
+def tag_lines() -> list[tuple[str, str]]:
+    """(licence, wording) of tag lines in source files."""
+    names = dict.fromkeys([*(n.split("#")[0] for n in NAMES), *TEXTS, *(n for n, _ in whole_texts()), *TAGS])
+    ends = {n: ["", "-only", "-or-later"] if "GPL" in n or n.startswith("GFDL") else [""] for n in names}
+    return [(n, f"SPDX-License-Identifier: {n}{end}") for n in names for end in ends[n]]
+
 
 def templates() -> list[tuple[str, str]]:
-    """(licence, wording) of all notices, each opening before each name, and of all texts."""
+    """(licence, wording) of all notices, each opening before each name, of all texts and of tag lines."""
     notices = [
         (name.split("#")[0], f"{opening} {'' if title.startswith('CC') else 'the '}{title}")
         for name, titles in NAMES.items()
         for title in titles
         for opening in OPENINGS
     ]
-    return notices + list(TEXTS.items())
+    return notices + list(TEXTS.items()) + MORE_TEXTS + tag_lines() + whole_texts()
