@@ -12,7 +12,7 @@ import numpy as np
 
 from .textarrays import U64, mix
 
-_STEP_MULTIPLIER = U64(0xA0761D6478BD642F)
+_STEP_MULTIPLIER = 0xA0761D6478BD642F
 
 
 def scale(base: float, top: int = 1 << 53) -> np.ndarray:
@@ -58,7 +58,7 @@ class CountFilter:
         return out
 
     def _walk(self, keys: np.ndarray, step: int) -> tuple[np.ndarray, np.ndarray]:
-        x = mix(keys ^ (U64(step) * _STEP_MULTIPLIER))
+        x = mix(keys ^ U64(step * _STEP_MULTIPLIER % (1 << 64)))
         return x >> U64(32), (x & U64(0xFFFFFFFF)) | U64(1)
 
     def _place(self, start: np.ndarray, stride: np.ndarray, i: int) -> np.ndarray:
