@@ -4,4 +4,4 @@ from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
 
-from . import decontamination, fillmiddle, htmltext, langid, licenses, lmscore, mixing, neardup, paragraphs, suffixes, tokencounts, topk  # noqa: E402, F401
+from . import decontamination, dialogues, fillmiddle, htmltext, langid, licenses, lmscore, mixing, neardup, paragraphs, suffixes, tokencounts, topk  # noqa: E402, F401
