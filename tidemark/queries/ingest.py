@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -10,6 +10,7 @@ from ..functions import text
 from ..operators.cleanse import repair
 from ..operators.normalize import explode_items
 from ..operators.reference import load_reference
+from ..plans.repair import run_csv_repair
 from ..schemas import BRONZE_STATISTICS_COLUMNS
 from ..session import scratch_dir
 from ..sources import files, writers
@@ -233,6 +234,22 @@ def reference_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _as_videos(documents: DataFrame, **values) -> DataFrame:
+    """Documents in the columns of delivered statistics, their text as the description."""
+    columns = {c: F.lit("1") for c in BRONZE_STATISTICS_COLUMNS}
+    columns |= {
+        "video_id": F.col("doc_id").cast("string"),
+        "description": F.col("text"),
+        "comments_disabled": F.lit("True"),
+        **values,
+    }
+    return documents.select(*[v.alias(c) for c, v in columns.items()], F.col("lang").alias("region"))
+
+
+def _category():
+    return F.when(F.col("source") == "src7", "Music").otherwise(F.col("n_chars").cast("string"))
+
+
 @query(
     "csv_repair_roundtrip",
     f"""SELECT CAST(doc_id AS VARCHAR) AS video_id, {tidy_sql('text')} AS description,
@@ -242,25 +259,58 @@ def reference_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 def csv_repair_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts with line breaks through CSV; rows whose category is no number are dropped."""
     raw, clean = scratch_dir(spark, "csv-raw"), scratch_dir(spark, "csv-clean")
-    values = {c: F.lit("1") for c in BRONZE_STATISTICS_COLUMNS}
-    values |= {
-        "video_id": F.col("doc_id").cast("string"),
-        "description": F.col("text"),
-        "comments_disabled": F.lit("True"),
-        "category_id": F.when(F.col("source") == "src7", "Music").otherwise(
-            F.col("n_chars").cast("string")
-        ),
-    }
-    documents = table(spark, sf_dir, "documents").select(
-        *[v.alias(c) for c, v in values.items()], F.col("lang").alias("region")
-    )
-    writers.write_csv(documents, raw)
+    writers.write_csv(_as_videos(table(spark, sf_dir, "documents"), category_id=_category()), raw)
     writers.write_repaired_csv(repair(files.read_text_csv(spark, raw)), clean)
     return files.read_statistics_csv(spark, clean, multi_line=False).select(
         "video_id", "description", "region", "category_id", "comments_disabled"
     )
 
 
+def _latin1() -> Column:
+    return F.col("text").rlike(r"^[\x00-\xff]*$")
+
+
+def _deliver_mixed(documents: DataFrame, path: str) -> None:
+    """Documents as multi-line CSV, in ISO-8859-1 files where that can be and UTF-8 files else."""
+    writers.write_csv(_as_videos(documents.filter(_latin1()), category_id=_category()), path, encoding="ISO-8859-1")
+    rest = documents.filter(~F.coalesce(_latin1(), F.lit(False)))
+    writers.write_csv(_as_videos(rest, category_id=_category()), path, mode="append")
+
+
+@query(
+    "csv_split_charsets",
+    "SELECT CAST(doc_id AS VARCHAR) AS video_id, coalesce(text, '') AS description, lang AS region FROM documents",
+)
+def csv_split_charsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Multi-line files of two character sets, cut into pieces and read back as they were written."""
+    raw = scratch_dir(spark, "csv-mixed")
+    _deliver_mixed(table(spark, sf_dir, "documents"), raw)
+    return files.read_text_csv(spark, raw, splittable=True).select("video_id", "description", "region")
+
+
+@query(
+    "csv_repair_counts",
+    f"""WITH d AS (SELECT lang AS region, source, source = 'src3' AS long, {tidy_sql('text')} AS t FROM documents),
+    counts AS (SELECT region, COUNT(*) FILTER (NOT long) AS rows_before, COUNT(*) FILTER (long) AS lines_skipped,
+      COUNT(*) FILTER (source = 'src7') AS rows_dropped,
+      COUNT(*) FILTER (source NOT IN ('src3', 'src7')) AS rows_after FROM d GROUP BY region)
+    SELECT counts.*, CAST(SUM(length(t)) AS BIGINT) AS chars
+    FROM counts JOIN d USING (region) WHERE source NOT IN ('src3', 'src7') GROUP BY ALL""",
+)
+def csv_repair_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole repair over files of two character sets, some of whose lines have a field too many."""
+    raw, clean = scratch_dir(spark, "csv-raw"), scratch_dir(spark, "csv-clean")
+    documents = table(spark, sf_dir, "documents")
+    long = F.col("source") == "src3"
+    _deliver_mixed(documents.filter(~long), raw)
+    extra = _as_videos(documents.filter(long), category_id=_category(), more=F.lit("x"))
+    writers.write_csv(extra, raw, mode="append")
+    counts = run_csv_repair(spark, raw, clean)
+    read = files.read_statistics_csv(spark, clean, multi_line=False)
+    chars = read.groupBy("region").agg(F.sum(F.length("description")).alias("chars"))
+    return counts.join(chars, "region")
+
+
 @query(
     "schema_evolution",
     """SELECT o_orderstatus, COUNT(*) AS n, COUNT(*) FILTER (o_orderstatus = 'P') AS with_priority,

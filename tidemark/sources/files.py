@@ -1,9 +1,9 @@
 """Bronze file readers.
 
-``multi_line=True`` is needed for files whose quoted fields contain line breaks, and costs
-splitting: such a file is read by one task, so land large regions as many files. Files
-written by ``writers.write_repaired_csv`` hold one record per line and are read with
-``multi_line=False``, which splits them at ``spark.sql.files.maxPartitionBytes``.
+Files whose quoted fields contain line breaks are read in one of two ways: ``multi_line=True`` gives a
+file to one task, which is right for small files; ``splittable=True`` cuts files of any size into pieces
+that are read by many tasks (see ``records``). Files written by ``writers.write_repaired_csv`` hold one
+record per line and are read with ``multi_line=False``, which splits them at ``spark.sql.files.maxPartitionBytes``.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from .. import schemas
 from ..functions import text
 from ..session import stage
+from .records import parse_record, read_records
 
 CORRUPT = "_corrupt_record"
 
@@ -28,12 +29,19 @@ def _partitioned(schema: T.StructType, *partition_cols: str) -> T.StructType:
     return T.StructType(schema.fields + fields)
 
 
+#: The dialect of quoted files.
+QUOTED = {
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
+#: All columns as text: empty strings stay, malformed lines are kept apart.
+AS_TEXT = {"emptyValue": "", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+
+
 def _csv_reader(spark: SparkSession, encoding: str | None) -> DataFrameReader:
-    reader = (
-        spark.read.option("header", True)
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
-    )
+    reader = spark.read.option("header", True).options(**QUOTED)
     return reader.option("encoding", encoding) if encoding else reader
 
 
@@ -43,10 +51,12 @@ def in_regions(df: DataFrame, regions: Iterable[str] | None, column: str = "regi
     Letter case and surrounding white space do not count, as in the cleansing of statistics. The
     predicate reads nothing but the column, so it remains a partition filter.
     """
-    if regions is None:
-        return df
+    return df if regions is None else df.filter(_is_region(regions, column))
+
+
+def _is_region(regions: Iterable[str], column: str = "region") -> Column:
     wanted = sorted({r.strip().lower() for r in regions})
-    return df.filter(text.normalize_region(F.col(column)).isin(wanted))
+    return text.normalize_region(F.col(column)).isin(wanted)
 
 
 def read_statistics_csv(
@@ -56,14 +66,21 @@ def read_statistics_csv(
     regions: Iterable[str] | None = None,
     multi_line: bool = True,
     encoding: str | None = None,
+    splittable: bool = False,
     partition_cols: tuple[str, ...] = ("region",),
 ) -> DataFrame:
-    """Quoted CSV with header, declared types and region partitions."""
+    """Quoted CSV with header, declared types and region partitions.
+
+    ``splittable`` reads files of UTF-8 and of ISO-8859-1 alike, whatever ``encoding`` says.
+    """
+    if splittable:
+        only = None if regions is None else _is_region(regions)
+        records = read_records(spark, path, partition_cols=partition_cols, only=only)
+        parsed = parse_record(schemas.BRONZE_STATISTICS, QUOTED)
+        return records.select(parsed.alias("r"), *partition_cols).select("r.*", *partition_cols)
     df = (
         _csv_reader(spark, encoding)
         .schema(_partitioned(schemas.BRONZE_STATISTICS, *partition_cols))
-        .option("quote", '"')
-        .option("escape", '"')
         .option("multiLine", multi_line)
         .csv(path)
     )
@@ -119,24 +136,28 @@ def read_text_csv(
     schema: T.StructType = schemas.BRONZE_STATISTICS_TEXT,
     multi_line: bool = True,
     encoding: str | None = None,
+    splittable: bool = False,
     partition_cols: tuple[str, ...] = ("region",),
 ) -> DataFrame:
-    """All columns as text, empty strings kept, malformed lines kept in ``_corrupt_record``."""
+    """All columns as text, empty strings kept, malformed lines kept in ``_corrupt_record``.
+
+    ``splittable`` reads files of UTF-8 and of ISO-8859-1 alike, whatever ``encoding`` says.
+    """
     declared = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
+    filled = [F.coalesce(F.col(c), F.lit("")).alias(c) for c in schema.fieldNames()]
+    if splittable:
+        records = read_records(spark, path, partition_cols=partition_cols)
+        parsed = parse_record(declared, {**QUOTED, **AS_TEXT}).alias("r")
+        rows = records.select(parsed, *partition_cols, "file_path").select("r.*", *partition_cols, "file_path")
+        return rows.select(*filled, CORRUPT, *partition_cols, "file_path")
     df = (
         _csv_reader(spark, encoding)
         .schema(_partitioned(declared, *partition_cols))
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("emptyValue", "")
+        .options(**AS_TEXT)
         .option("multiLine", multi_line)
         .option("columnPruning", False)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
         .csv(path)
     )
-    names = schema.fieldNames()
-    filled = [F.coalesce(F.col(c), F.lit("")).alias(c) for c in names]
     return df.select(*filled, CORRUPT, *partition_cols, "_metadata.file_path")
 
 

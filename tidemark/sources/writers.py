@@ -195,11 +195,19 @@ def land_reference(documents: DataFrame, path: str, at: Column, source: str) ->
     ).partitionBy(*folders).json(path)
 
 
-def write_csv(df: DataFrame, path: str, *, partition_cols: Sequence[str] = ("region",)) -> None:
+def write_csv(
+    df: DataFrame,
+    path: str,
+    *,
+    partition_cols: Sequence[str] = ("region",),
+    mode: str = "errorifexists",
+    encoding: str = "UTF-8",
+) -> None:
     """CSV with header and doubled-quote escaping, in the dialect the readers expect."""
     writer = (
         spread_by(df, partition_cols)
-        .write.mode("errorifexists")
+        .write.mode(mode)
+        .option("encoding", encoding)
         .option("header", True)
         .option("quote", '"')
         .option("escape", '"')
