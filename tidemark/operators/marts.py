@@ -67,6 +67,7 @@ def daily_grain(stats: DataFrame, *extra_keys: str) -> DataFrame:
         F.sum("dislikes").alias("dislikes"),
         F.sum(metrics.ratio_units(F.col("like_ratio"))).alias("like_ratio"),
         F.count("like_ratio").alias("n_like_ratio"),
+        F.count("trending_date_parsed").alias("n_days"),
     )
 
 
@@ -134,7 +135,12 @@ def channel_totals(
         F.max("trending_date_parsed").alias("last_day"),
     )
     return _named(grain, lookup).groupBy("channel_title", "region").agg(
-        F.count_distinct("video_id").alias("total_videos"),
+        F.count_distinct("video_id").alias("total_videos"), *_channel_measures("first_day", "last_day")
+    )
+
+
+def _channel_measures(first_day: str, last_day: str) -> list[Column]:
+    return [
         _total("views").alias("total_views"),
         _total("likes").alias("total_likes"),
         _total("comments").alias("total_comments"),
@@ -142,12 +148,64 @@ def channel_totals(
         _mean_ratio("engagement", "n_engagement").alias("avg_engagement_rate"),
         F.max("max_views").alias("peak_views"),
         _total("n_days").alias("times_trending"),
-        F.min("first_day").alias("first_trending"),
-        F.max("last_day").alias("last_trending"),
+        F.min(first_day).alias("first_trending"),
+        F.max(last_day).alias("last_trending"),
         F.array_sort(F.collect_set("category_name")).alias("categories"),
+    ]
+
+
+def channel_from_grain(grain: DataFrame, video_counts: DataFrame) -> DataFrame:
+    """Channel mart without ranks, from grain rows with ``category_name`` and counts of distinct videos."""
+    day = "trending_date_parsed"
+    totals = grain.groupBy("channel_title", "region").agg(*_channel_measures(day, day))
+    counts = video_counts.select(F.col("channel_title").alias("_c"), F.col("region").alias("_r"), "total_videos")
+    same = F.col("channel_title").eqNullSafe(F.col("_c")) & F.col("region").eqNullSafe(F.col("_r"))
+    measures = [c for c in totals.columns if c not in ("channel_title", "region")]
+    return totals.join(counts, same).select("channel_title", "region", "total_videos", *measures)
+
+
+def new_videos(stats: DataFrame, known: DataFrame | None) -> DataFrame:
+    """(region, video_id, number) for videos that have no number yet, from the region's highest number on.
+
+    Numbers go by channel, so that videos of a channel that arrive together lie close to each other.
+    """
+    found = stats.groupBy("region", "video_id").agg(F.min("channel_title").alias("channel_title"))
+    highest = F.lit(0)
+    if known is not None:
+        own = known.select(F.col("region").alias("_r"), F.col("video_id").alias("_v"), "number")
+        same_region = F.col("region").eqNullSafe(F.col("_r"))
+        found = found.join(own, same_region & (F.col("video_id") == F.col("_v")), "left_anti")
+        tops = own.groupBy("_r").agg(F.max("number").alias("_top"))
+    ranked = rank_within(found, ["region"], [F.col("channel_title").asc_nulls_first(), F.col("video_id").asc()], "number")
+    if known is not None:
+        ranked = ranked.join(tops, same_region, "left")
+        highest = F.coalesce("_top", F.lit(0))
+    return ranked.select("region", "video_id", (F.col("number") + highest).alias("number"))
+
+
+def video_bitmaps(stats: DataFrame, numbers: DataFrame, keys: list[str]) -> DataFrame:
+    """Which videos a channel has, per ``keys``, as bitmaps over their numbers, 32,768 numbers each."""
+    own = numbers.select(F.col("region").alias("_r"), F.col("video_id").alias("_v"), "number")
+    same = F.col("region").eqNullSafe(F.col("_r")) & (F.col("video_id") == F.col("_v"))
+    rows = stats.select(*dict.fromkeys([*keys, "region", "channel_title", "video_id"])).join(own, same)
+    return rows.groupBy(*dict.fromkeys([*keys, "region", "channel_title"]), F.bitmap_bucket_number("number").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("number")).alias("videos")
     )
 
 
+def distinct_videos(bitmaps: DataFrame) -> DataFrame:
+    """Exact numbers of distinct videos per channel, whatever days and parts their bitmaps are from."""
+    merged = bitmaps.groupBy("channel_title", "region", "bucket").agg(F.bitmap_or_agg("videos").alias("videos"))
+    counted = merged.groupBy("channel_title", "region").agg(F.sum(F.bitmap_count("videos")).alias("total_videos"))
+    return counted.select("channel_title", "region", F.col("total_videos").cast("bigint"))
+
+
+def ranked_channels(totals: DataFrame) -> DataFrame:
+    """Channel totals with the channel's rank by views in its region."""
+    order = [F.col("total_views").desc(), F.col("channel_title").asc()]
+    return rank_within(totals, ["region"], order, "rank_in_region")
+
+
 def trending_analytics(stats: DataFrame) -> DataFrame:
     """Daily totals per region."""
     return trending_from_grain(daily_grain(stats))
@@ -161,8 +219,7 @@ def channel_analytics(
     Without ``lookup`` the input must have ``category_name``; ``lookup=None`` means the
     lookup is missing, and every category is unknown.
     """
-    order = [F.col("total_views").desc(), F.col("channel_title").asc()]
-    return rank_within(channel_totals(stats, lookup), ["region"], order, "rank_in_region")
+    return ranked_channels(channel_totals(stats, lookup))
 
 
 def top_channels_by_region(totals: DataFrame, k: int) -> DataFrame:

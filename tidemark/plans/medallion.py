@@ -12,7 +12,7 @@ from ..operators.reference import ReferenceLoad
 from ..sources import writers
 from ..sources.catalog import read_optional
 from .gold import run_silver_to_gold
-from .silver import RunReport, run_bronze_to_silver, run_reference_load
+from .silver import DAY_PARTITIONS, RunReport, run_bronze_to_silver, run_reference_load
 
 
 @dataclass(frozen=True)
@@ -25,7 +25,7 @@ class Layers:
     reference: str = quality.REFERENCE
     results: str = "dq_results"
     root: str | None = None
-    partition_cols: tuple[str, ...] = ("region",)
+    partition_cols: tuple[str, ...] = DAY_PARTITIONS
     thresholds: quality.Thresholds = field(default_factory=quality.Thresholds)
 
     def silver(self, name: str) -> str:

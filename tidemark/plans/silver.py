@@ -15,9 +15,12 @@ from ..operators.normalize import INGEST_ORDER, unify
 from ..operators.quality import null_profile_columns, null_profile_names, warn_on_profile
 from ..operators.reference import ReferenceLoad
 from ..schemas import DEDUP_KEYS, SILVER_COLUMNS
-from ..session import path_exists, stage, staging
-from ..sources import writers
-from ..streaming.incremental import in_touched_partitions
+from ..session import stage, staging
+from ..sources import versions, writers
+from ..streaming.incremental import merge_into_path, merged_with_table
+
+#: Silver is kept by day, so that a run rewrites no more than the days it brings.
+DAY_PARTITIONS = ("region", "trending_date_parsed")
 
 
 @dataclass(frozen=True)
@@ -50,15 +53,19 @@ def run_bronze_to_silver(
     job_name: str,
     path: str | None = None,
     table: str | None = None,
-    partition_cols: Sequence[str] = ("region",),
+    partition_cols: Sequence[str] = DAY_PARTITIONS,
     mode: str = "merge",
     as_of: Column | None = None,
+    run_id: str | None = None,
 ) -> RunReport:
     """Clean and write; with no input rows nothing is written.
 
     ``mode="merge"`` adds to what is stored: the partitions the run touches become the latest
-    rows of what they held and what is new. The other modes are those of ``writers``;
-    ``partitions`` replaces every partition the run brings by its rows alone.
+    rows of what they held and what is new. A table is merged into through ``sources.versions``, so a
+    crash loses nothing and a run with the ``run_id`` of an earlier one does nothing; a path is
+    merged into through a complete copy beside it. A table keeps the partitions it was made with.
+    The other modes are those of ``writers``; ``partitions`` replaces every partition the run brings
+    by its rows alone.
 
     Row counts and the null profile are observed by the write itself, so the input is
     read once.
@@ -75,9 +82,18 @@ def run_bronze_to_silver(
         kept, F.count("*").alias("rows_written"), *null_profile_columns()
     )
     with staging(rows.sparkSession):
-        if mode == "merge":
-            rows = _merged(rows, path, table, partition_cols)
-        _write(rows, path, table, partition_cols, "partitions" if mode == "merge" else mode)
+        if mode != "merge":
+            _write(rows, path, table, partition_cols, mode)
+        elif table:
+            spark, latest = rows.sparkSession, ("_processed_at",)
+            if not merged_with_table(
+                spark, table, lambda: rows, rows.schema, partition_cols, DEDUP_KEYS, latest, run_id=run_id, path=path
+            ):
+                return RunReport(0, 0, {})
+        elif path:
+            merge_into_path(rows, path, partition_cols=partition_cols, keys=DEDUP_KEYS, latest=("_processed_at",))
+        else:
+            raise ValueError("give a path or a table to write to")
     counts = _observed(kept)
     if counts is None:
         # Nothing survived, and the planner dropped the counters with the empty plan.
@@ -88,23 +104,6 @@ def run_bronze_to_silver(
     return RunReport(read["rows_read"], written, counts)
 
 
-def _merged(
-    rows: DataFrame, path: str | None, table: str | None, partition_cols: Sequence[str]
-) -> DataFrame:
-    """``rows`` with the stored rows of the partitions they touch, completed before any is replaced."""
-    spark = rows.sparkSession
-    if table and spark.catalog.tableExists(table):
-        stored = spark.table(table)
-    elif path and not table and path_exists(spark, path):
-        stored = spark.read.schema(rows.schema).parquet(path)
-    else:
-        return rows
-    new = stage(rows, "silver-new")
-    old = in_touched_partitions(stored, new, partition_cols)
-    both = new.unionByName(old, allowMissingColumns=True)
-    return stage(dedup_latest(both, DEDUP_KEYS, latest=("_processed_at",)), "silver-merged")
-
-
 def _observed(counters: Observation) -> dict[str, int] | None:
     """What an observation has collected; None if its part of the plan was not run."""
     try:

@@ -108,3 +108,15 @@ def remove_path(spark: SparkSession, path: str) -> None:
     """Delete a path the library itself has written."""
     fs, target = _located(spark, path)
     fs.delete(target, True)
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, sorted; none if there is no such folder."""
+    fs, target = _located(spark, path)
+    return sorted(f.getPath().getName() for f in fs.listStatus(target)) if fs.exists(target) else []
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """Create an empty file."""
+    fs, target = _located(spark, path)
+    fs.create(target, True).close()

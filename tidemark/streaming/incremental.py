@@ -3,13 +3,15 @@
 The checkpoint of an available-now file stream records which files were taken, so a run
 reads each new file once and ends; a run without new files does nothing. Each batch is
 merged with the stored partitions it touches, which makes replays idempotent and keeps no
-de-duplication state between runs.
+de-duplication state between runs. A catalog table takes each batch as a run of
+``sources.versions``, named by checkpoint and batch, so a replayed batch is applied once.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from functools import reduce
+from hashlib import sha256
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,8 +20,8 @@ from pyspark.sql import types as T
 from ..operators.dedup import dedup_latest
 from ..operators.reference import load_reference
 from ..schemas import DEDUP_KEYS
-from ..session import path_exists, remove_path, stage
-from ..sources import files, writers
+from ..session import path_exists, remove_path, stage, staging
+from ..sources import files, versions, writers
 
 def file_stream(
     spark: SparkSession,
@@ -104,6 +106,96 @@ def merge_batch(
     writers.write_parquet(merged, path, partition_cols=partition_cols)
 
 
+def merge_into_path(
+    rows: DataFrame,
+    path: str,
+    *,
+    partition_cols: Sequence[str],
+    keys: Sequence[str],
+    latest: Sequence[str],
+) -> None:
+    """Merge ``rows`` into a dataset; the merged partitions are completed beside it before any is replaced.
+
+    What a run that died while replacing has left there is put in place by the next run, first of all.
+    """
+    spark, ahead = rows.sparkSession, f"{path.rstrip('/')}.merging"
+    if path_exists(spark, f"{ahead}/_SUCCESS"):
+        merged = spark.read.schema(rows.schema).parquet(ahead)
+        writers.write_parquet(merged, path, partition_cols=partition_cols)
+    remove_path(spark, ahead)
+    new = stage(rows, "merge-new")
+    merge_batch(new, path, ahead, partition_cols=partition_cols, keys=keys, latest=latest)
+    remove_path(spark, ahead)
+
+
+def merged_with_table(
+    spark: SparkSession,
+    table: str,
+    build: Callable[[], DataFrame],
+    schema: T.StructType,
+    partition_cols: Sequence[str],
+    keys: Sequence[str],
+    latest: Sequence[str],
+    *,
+    tie_break: Sequence[Column] | None = None,
+    run_id: str | None = None,
+    path: str | None = None,
+) -> bool:
+    """Merge the rows of ``build()`` into a table by ``keys``; False if the run was applied before."""
+    if spark.catalog.tableExists(table):
+        partition_cols = versions.partition_columns(spark, table)
+
+    def merged() -> DataFrame:
+        new = stage(build(), "merge-new")
+        old = in_touched_partitions(spark.table(table), new, partition_cols)
+        return dedup_latest(new.unionByName(old, allowMissingColumns=True), keys, latest=latest, tie_break=tie_break)
+
+    return versions.replace_partitions(spark, table, merged, schema, partition_cols, run_id=run_id, path=path)
+
+
+def batch_run(checkpoint: str, batch_id: int) -> str:
+    """The name of a batch as a run of the table that it goes to; names sort by batch."""
+    return f"{sha256(checkpoint.encode()).hexdigest()[:16]}-{batch_id:012d}"
+
+
+def ingest_into_table(
+    stream: DataFrame,
+    table: str,
+    checkpoint: str,
+    transform: Callable[[DataFrame], DataFrame],
+    *,
+    partition_cols: Sequence[str] = ("region", "trending_date_parsed"),
+    keys: Sequence[str] = tuple(DEDUP_KEYS),
+    latest: Sequence[str] = ("_processed_at",),
+    tie_break: Sequence[Column] | None = None,
+    path: str | None = None,
+) -> list[str]:
+    """Merge everything that is new into a catalog table; returns the runs that were applied.
+
+    ``partition_cols`` must follow from ``keys``. ``checkpoint`` is the stream's bookmark: files are taken
+    once, and a batch that is repeated after a crash, or by a checkpoint set back, changes nothing.
+    """
+    runs: list[str] = []
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        run_id, rows = batch_run(checkpoint, batch_id), transform(batch)
+        with staging(batch.sparkSession):
+            if merged_with_table(
+                batch.sparkSession, table, lambda: rows, rows.schema, partition_cols, keys, latest,
+                tie_break=tie_break, run_id=run_id, path=path,
+            ):
+                runs.append(run_id)
+
+    query = (
+        stream.writeStream.foreachBatch(each)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return runs
+
+
 def ingest_available(
     stream: DataFrame,
     path: str,
