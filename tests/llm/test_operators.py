@@ -504,3 +504,25 @@ def test_licences_match_brute_force(spark):
         assert (max((m.dice for m in got[i]), default=0) == pytest.approx(top)) if top >= 0.8 else not got[i]
     assert licenses.license_report(no_documents(spark)).count() == 0
     assert licenses.license_report(docs).where("doc_id = 16").collect()[0].licenses == ["MIT"]
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_suffixes_that_share_less_than_a_window_are_not_covered(seed):
+    rng = np.random.default_rng(seed)
+    left = [bytes(rng.integers(97, 123, 100, dtype=np.uint8)) for _ in range(400)]
+    shared = np.array([0, *rng.integers(100, 105, 399)])
+    nearest, farthest = suffixes._covered(shared, np.full(400, 200), left, np.zeros(400, bool))
+    assert (nearest == -1).all() and (farthest == -1).all()
+
+
+def test_bytes_before_anchors_are_grouped_exactly():
+    rng = np.random.default_rng(1)
+    back = rng.integers(0, 2, (300, 100)).astype(np.uint8)
+    back[50:90] = back[0]
+    back[60:70, 37] ^= 1
+    order, agree = suffixes._sorted_back(back)
+    for d in (0, 1, 5, 37, 38, 100):
+        same = np.empty(300, np.int64)
+        same[order] = np.cumsum(agree < d)
+        pairs = [(i, j) for i in range(300) for j in range(i) if i % 7 == 0]
+        assert all((same[i] == same[j]) == (back[i, :d] == back[j, :d]).all() for i, j in pairs)

@@ -11,8 +11,9 @@ a look at their bytes, and equal ones are compared from there on only.
 
 In the merged order, suffixes that share n bytes or more stand together. A window that begins d
 bytes before an anchor is repeated if another suffix shares 200 - d bytes on the right and d on
-the left (compared as a 64-bit hash). Windows of one anchor overlap, so the first and last of
-them give what it covers.
+the left. The bytes before the suffixes are sorted too, nearest first, and common prefixes of
+neighbours number the groups that share d of them; so both sides are compared byte by byte.
+Windows of one anchor overlap, so the first and last of them give what it covers.
 
 Equal surroundings within a run are settled there and sent on once, so a passage that stands in
 a third of all documents is sent once per run. Buckets hold about 20,000 suffixes.
@@ -35,7 +36,7 @@ from pyspark.sql import functions as F
 
 from .arrowmap import map_arrow, ship_package
 from .scratch import Scratch
-from .textarrays import U64, RangeHash, byte_chunks, mix
+from .textarrays import U64, RangeHash, byte_chunks
 
 WIDTH, CONTEXT = 200, 100
 BUCKET_SUFFIXES = 20_000
@@ -261,6 +262,20 @@ def suffix_runs(held: DataFrame, buckets: int) -> DataFrame:
     return map_arrow(held, run, schema_text)
 
 
+def _sorted_back(back: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order of rows of bytes, and how many bytes each shares with the row before it."""
+    m, width = back.shape
+    padded = np.zeros((m, -(-width // 8) * 8), np.uint8)
+    padded[:, :width] = back
+    order = np.lexsort(padded.view(">u8").T[::-1])
+    agree = np.zeros(m, np.int64)
+    for lo in range(1, m, _PIECE // width):
+        rows = order[lo - 1 : lo + _PIECE // width]
+        differ = back[rows[1:]] != back[rows[:-1]]
+        agree[lo : lo + len(differ)] = np.where(differ.any(axis=1), differ.argmax(axis=1), width)
+    return order, agree
+
+
 def _covered(shared: np.ndarray, right: np.ndarray, left: list[bytes], settled: np.ndarray):
     """First and last repeated window of each merged suffix, as bytes before it (-1: none)."""
     m = len(shared)
@@ -273,18 +288,16 @@ def _covered(shared: np.ndarray, right: np.ndarray, left: list[bytes], settled:
     alone = shared < CONTEXT
     group = np.cumsum(alone)
     open_ = ~settled
-    lefts = np.zeros(m, U64)
-    hashes = [lefts]
-    for d in range(CONTEXT):
-        lefts = mix(lefts + back[:, d] + U64(1))
-        hashes.append(lefts)
+    by_left, agree = _sorted_back(back)
+    same_left = np.empty(m, np.int64)
 
     def test(d: int, use: np.ndarray) -> None:
         fit = use[(lengths[use] >= d) & (right[use] >= WIDTH - d)]
         if len(fit) < 2:
             return
-        part = np.cumsum(shared < WIDTH - d)[fit].astype(U64)
-        key = mix(part) ^ hashes[d][fit]
+        # Groups that share all bytes from d before the anchor on: those of the right side, divided by the left.
+        same_left[by_left] = np.cumsum(agree < d)
+        key = np.cumsum(shared < WIDTH - d)[fit] * (m + 1) + same_left[fit]
         _, inverse, counts = np.unique(key, return_inverse=True, return_counts=True)
         twice = fit[counts[inverse] > 1]
         nearest[twice] = np.where(nearest[twice] < 0, d, np.minimum(nearest[twice], d))
