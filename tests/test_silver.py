@@ -298,3 +298,41 @@ def test_an_over_long_category_is_dropped_and_counted(spark, tmp_path):
 def test_regions_match_however_they_are_spelt(spark):
     df = csv_frame(spark, *[{"region": r} for r in ("US", "Us", " us", "us", "gb")])
     assert files.in_regions(df, ["us"]).count() == 4
+
+
+def test_flatten_until_nothing_nested_remains(spark, tmp_path):
+    import json
+
+    from tidemark.plans.flat import run_flatten
+
+    deep = json.dumps({"x": 1.5, "y": json.dumps({"z": [1, 2], "w": json.dumps({"q": "end", 'a"b?': {"c": True}})})})
+    data = [
+        (1, json.dumps({"a": json.dumps({"b": 1}), "n": {"m": None, "k": "text"}}), "plain", (7,)),
+        (2, json.dumps({"a": deep, "t": {"k1": 1, "k2": "v"}}), "{", (8,)),
+        (3, None, '  {"o": "{}"}', None),
+        (4, "[1]", "x", (9,)),
+        (5, '{"a":"not json"}', None, (9,)),
+    ]
+    df = spark.createDataFrame(data, "id int, j string, p string, s struct<v:int>")
+    assert run_flatten(df, path=str(tmp_path / "flat"), maps=["j_t"])[:2] == ["id", "s_v"]
+    got = {r.id: {k: v for k, v in r.asDict().items() if v is not None} for r in spark.read.parquet(str(tmp_path / "flat")).collect()}
+    assert got[1] == {"id": 1, "j_n_k": "text", "p_unparsed": "plain", "j_a_b": 1, "s_v": 7}
+    assert {k: str(v) for k, v in got[2].items()} == {
+        "id": "2", "j_t": '{"k1":1,"k2":"v"}', "p_unparsed": "{", "j_a_x": "1.5", "j_a_y_z": "[1, 2]", "s_v": "8",
+        "j_a_y_w_q": "end", 'j_a_y_w_a"b?_c': "True",
+    }
+    assert got[3] == {"id": 3, "p_o": "{}"}
+    assert got[4] == {"id": 4, "j_unparsed": "[1]", "p_unparsed": "x", "s_v": 9}
+    assert got[5] == {"id": 5, "j_a_unparsed": "not json", "s_v": 9}
+
+
+def test_flatten_levels_parse_and_infer_once_each(spark, monkeypatch):
+    import json
+
+    parsed, seen = flatten.F.try_parse_json, []
+    monkeypatch.setattr(flatten.F, "try_parse_json", lambda c: seen.append(c) or parsed(c))
+    df = spark.createDataFrame([(json.dumps({"a": json.dumps({"b": json.dumps({"c": 1})})}),)], "j string")
+    assert flatten.flatten_all(df).columns == ["j_unparsed", "j_a_unparsed", "j_a_b_c", "j_a_b_unparsed"]
+    assert len(seen) == 3
+    empty = flatten.flatten_all(spark.createDataFrame([], "id int, j string"))
+    assert empty.columns == ["id", "j"] and empty.count() == 0

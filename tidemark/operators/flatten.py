@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import text
+from ..session import remove_path, scratch_path
 
 UNPARSED = "_unparsed"
 
@@ -40,13 +41,14 @@ def infer_json_schemas(df: DataFrame, columns: Sequence[str]) -> dict[str, T.Dat
         for c in columns
     ]
     rendered = df.agg(*merged).first().asDict() if merged else {}
-    schemas = {}
-    for c in columns:
-        ddl = rendered[c]
-        if ddl and ddl.startswith("OBJECT<") and ddl != "OBJECT<>":
-            parsed = T.DataType.fromDDL(ddl.replace("OBJECT<", "STRUCT<"))
-            schemas[c] = _readable(parsed)
-    return schemas
+    return {c: found for c in columns if (found := _object_schema(rendered[c])) is not None}
+
+
+def _object_schema(ddl: str | None) -> T.DataType | None:
+    """The struct that a merged schema of VARIANT values stands for; None if it is no object with fields."""
+    if not ddl or not ddl.startswith("OBJECT<") or ddl == "OBJECT<>":
+        return None
+    return _readable(T.DataType.fromDDL(ddl.replace("OBJECT<", "STRUCT<")))
 
 
 def _readable(dtype: T.DataType) -> T.DataType:
@@ -102,9 +104,82 @@ def flatten(
             nested += _leaves(c, f.dataType, f.name, sep)
         else:
             flat.append((f.name, c))
-    columns = flat + nested
+    return _select(df, flat + nested)
+
+
+def _select(df: DataFrame, columns: list[tuple[str, Column]]) -> DataFrame:
     names = [n for n, _ in columns]
     clashes = sorted({n for n in names if names.count(n) > 1})
     if clashes:
         raise ValueError(f"flattening gives several columns named {clashes}")
     return df.select(*[c.alias(n) for n, c in columns])
+
+
+_PARSED = "_parsed"
+#: Characters of keys that a path into a VARIANT cannot have.
+_NOT_IN_PATHS = set("\"'?\\[]")
+
+
+def _variant_leaves(
+    parsed: Column, dtype: T.DataType, name: str, path: str, sep: str, maps: Sequence[str]
+) -> list[tuple[str, Column, bool]]:
+    """Leaves of a VARIANT column: name, value, and whether it is text that may hold JSON itself."""
+    if name in maps:
+        return [(name, F.try_variant_get(parsed, path, "variant"), False)]
+    if not isinstance(dtype, T.StructType):
+        value = F.try_variant_get(parsed, path, dtype.simpleString())
+        return [(name, value, isinstance(dtype, T.StringType))]
+    out: list[tuple[str, Column, bool]] = []
+    for f in dtype.fields:
+        child = f.name if f.name.startswith(name) else f"{name}{sep}{f.name}"
+        if set(f.name) & _NOT_IN_PATHS:
+            value = F.try_variant_get(parsed, path, "map<string,variant>")[f.name]
+            out += _variant_leaves(value, f.dataType, child, "$", sep, maps)
+        else:
+            out += _variant_leaves(parsed, f.dataType, child, f'{path}["{f.name}"]', sep, maps)
+    return out
+
+
+def flatten_all(df: DataFrame, *, sep: str = "_", maps: Sequence[str] = ()) -> DataFrame:
+    """``flatten`` until nothing nested remains: JSON text inside JSON text is flattened as well.
+
+    Works by level. A level parses the text columns that the level before has brought, once, and writes
+    the rows with the parsed values as VARIANT; one aggregate over these gives all schemas, and their
+    leaves are taken out of the stored values. Text leaves are the columns of the next level. Levels
+    end when no text holds a JSON object any more, which is after as many as JSON is nested in text.
+
+    ``maps`` names columns, as they are called after flattening, whose keys are data: they stay VARIANT, so
+    that a key is no column. Arrays stay arrays.
+    """
+    spark = df.sparkSession
+    rows = flatten(df, sep=sep)
+    fresh = [f.name for f in rows.schema.fields if isinstance(f.dataType, T.StringType)]
+    last = None
+    while fresh:
+        looks = {c: text.strip_whitespace(F.col(f"`{c}`")).startswith("{") for c in fresh}
+        parsed = [F.when(looks[c], F.try_parse_json(F.col(f"`{c}`"))).alias(c + _PARSED) for c in fresh]
+        path = scratch_path(spark, "flatten")
+        with_parsed = rows.select("*", *parsed)
+        with_parsed.write.parquet(path)
+        if last:
+            remove_path(spark, last)
+        last, stored = path, spark.read.schema(with_parsed.schema).parquet(path)
+        # An object and nothing else: of values that conflict in kind none is taken apart.
+        merged = [F.schema_of_variant_agg(F.col(f"`{c + _PARSED}`")).alias(c) for c in fresh]
+        rendered = stored.agg(*merged).first().asDict()
+        schemas = {c: found for c in fresh if (found := _object_schema(rendered[c])) is not None}
+        columns: list[tuple[str, Column]] = []
+        nested: list[tuple[str, Column]] = []
+        known = set(fresh)
+        fresh = []
+        for f in rows.schema.fields:
+            c, parsed_c = F.col(f"`{f.name}`"), F.col(f"`{f.name + _PARSED}`")
+            if f.name not in schemas or f.name not in known:
+                columns.append((f.name, c))
+                continue
+            for name, value, is_text in _variant_leaves(parsed_c, schemas[f.name], f.name, "$", sep, maps):
+                nested.append((name, value))
+                fresh += [name] * is_text
+            nested.append((f.name + UNPARSED, F.when(parsed_c.isNull(), c)))
+        rows = _select(stored, columns + nested)
+    return rows

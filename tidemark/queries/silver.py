@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import casts, dates, metrics, text
 from ..operators.cleanse import stamp_run
 from ..operators.dedup import dedup_keep_last, dedup_latest
-from ..operators.flatten import flatten, infer_json_schemas, json_columns
+from ..operators.flatten import flatten, flatten_all, infer_json_schemas, json_columns
 from ..operators.normalize import INGEST_ORDER, explode_items, unify
 from ..plans.silver import clean_statistics
 from ..sources.catalog import query_table, read_table
@@ -437,3 +437,34 @@ def stamped_sql_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.substring(dates.iso_stamp(F.col("o_orderdate")), 1, 19).alias("ordered_at"),
         casts.text_flag(F.col("flag")).alias("settled"),
     )
+
+
+@query(
+    "flatten_nested_json",
+    """SELECT o_orderkey, o_orderstatus AS payload_status, o_totalprice AS payload_price,
+      CASE WHEN o_custkey % 5 <> 0 THEN c_name END AS payload_customer_name,
+      CASE WHEN o_custkey % 5 <> 0 THEN c_mktsegment END AS payload_customer_place_segment,
+      CASE WHEN o_custkey % 5 <> 0 THEN n_name END AS payload_customer_place_nation,
+      CASE WHEN o_custkey % 5 = 0 THEN 'unknown' END AS payload_customer_unparsed,
+      o_custkey AS payload_by_key
+    FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey""",
+)
+def flatten_nested_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON text in JSON text in JSON text, some of it none, and an object whose keys are data."""
+    orders, customer, nation = (table(spark, sf_dir, t) for t in ("orders", "customer", "nation"))
+    rows = orders.join(customer, orders.o_custkey == customer.c_custkey).join(
+        nation, customer.c_nationkey == nation.n_nationkey
+    )
+    place = F.to_json(F.struct(F.col("c_mktsegment").alias("segment"), F.col("n_name").alias("nation")))
+    buyer = F.to_json(F.struct(F.col("c_name").alias("name"), place.alias("place")))
+    payload = F.struct(
+        F.col("o_orderstatus").alias("status"),
+        F.col("o_totalprice").alias("price"),
+        F.when(F.col("o_custkey") % 5 == 0, "unknown").otherwise(buyer).alias("customer"),
+        F.create_map(F.concat(F.lit("c"), "o_custkey"), F.col("o_custkey")).alias("by"),
+    )
+    flat = flatten_all(rows.select("o_orderkey", F.to_json(payload).alias("payload")), maps=["payload_by"])
+    by_key = F.map_values(F.col("payload_by").cast("map<string,bigint>"))[0]
+    return flat.withColumns(
+        {"payload_price": F.col("payload_price").cast("double"), "payload_by_key": by_key}
+    ).drop("payload_by", "payload_unparsed", "payload_customer_place_unparsed")
