@@ -3,6 +3,7 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from samples import csv_frame
@@ -79,10 +80,10 @@ def test_rows_and_messages(spark):
     results = quality.run_checks(table(spark, title_nulls=1, views=-1), TABLE, as_of=as_of())
     assert results.schema.simpleString() == quality.DQ_RESULTS.simpleString()
     got = {(r.check, r.column): r for r in results.collect()}
-    assert got["row_count", None].message == "Row count: 12 (min: 10)"
+    assert got["row_count", None].message == "row_count; value 12.0; threshold 10.0"
     title = got["null_pct", "title"]
     assert (title.value, title.threshold) == (8.33, 5.0)
-    assert title.message == "title null%: 8.33% (max: 5.0%)"
+    assert title.message == "null_pct; column title; value 8.33; threshold 5.0"
     views = got["value_range", "views"]
     assert (views.negative_count, views.extreme_count) == (1, 0)
     assert got["schema", None].missing_columns == []
@@ -129,6 +130,17 @@ def test_unreadable_files_do_not_stop_the_others(spark, tmp_path):
     assert results.filter(F.col("table") == TABLE).count() == 9
 
 
+def test_checks_without_a_probe_run_nothing(spark):
+    seen = Observation("seen")
+    table(spark).observe(seen, F.count("*").alias("n")).createOrReplaceTempView("dq_lazy")
+    tracker = spark.sparkContext.statusTracker()
+    before = len(tracker.getJobIdsForGroup())
+    results = quality.check_tables(spark, {TABLE: "dq_lazy", quality.REFERENCE: "dq_absent"}, as_of=as_of(), probe=False)
+    assert len(tracker.getJobIdsForGroup()) == before
+    assert [r.check for r in quality.failures(results).collect()] == ["read_table"]
+    assert seen.get["n"] == 12
+
+
 def test_gate(spark):
     good = quality.run_checks(table(spark), TABLE, as_of=as_of())
     bad = quality.run_checks(table(spark, views=-1), TABLE, as_of=as_of())

@@ -47,6 +47,18 @@ def test_delimited_csv_with_backslash_escape(spark, tmp_path):
     assert (row.title, row.description) == ("a,b", 'say "x"')
 
 
+def test_delimited_csv_with_any_characters(spark, tmp_path):
+    odd = {
+        "v1": "t\x02x\x01y", "v2": "", "v3": "ends with \\", "v4": ",\\,", "v5": "x" * 100_000 + ",\\" * 20_000,
+    }
+    escape = lambda t: t.replace("\\", "\\\\").replace(",", "\\,")
+    lines = [line(video_id=v, description=escape(t), tags=escape(t)) for v, t in odd.items()]
+    path = put(tmp_path, "us", *lines, "v6,short", "v7," + "," * 30, line(video_id="v8", description="lone\\"))
+    got = {r.video_id: (r.description, r.tags) for r in files.read_delimited_csv(spark, path).collect()}
+    short = {"v6": (None, None), "v7": ("", ""), "v8": ("lone\\", got["v8"][1])}
+    assert got == {v: (t, t) for v, t in odd.items()} | short
+
+
 def test_text_csv_keeps_empty_strings_and_splits_malformed(spark, tmp_path):
     short = ",".join(["v9", "17.14.11", "T"])
     long = line(video_id="v8", title='"a,b"') + ",extra"

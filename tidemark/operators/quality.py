@@ -41,12 +41,23 @@ class Thresholds:
     critical: dict[str, list[str]] = field(default_factory=lambda: CRITICAL_COLUMNS)
 
 
-def _row(table: str, check: str, passed: Column, message: Column, **values: Column) -> Column:
+def _message(given: dict[str, Column], note: Column | None) -> Column:
+    """A check row in words: the check, then whatever it has found out, name by name, and a note."""
+    found = [f.name for f in DQ_RESULTS.fields if f.name in given and f.name not in ("check", "table", "passed")]
+    shown = {
+        c: F.array_join(given[c], ",") if isinstance(DQ_RESULTS[c].dataType, T.ArrayType)
+        else given[c].cast(DQ_RESULTS[c].dataType).cast("string")
+        for c in found
+    }
+    # A value that is NULL leaves its part out.
+    parts = [F.concat(F.lit(f"{c.replace('_', ' ')} "), shown[c]) for c in found]
+    return F.concat_ws("; ", given["check"], *parts, *([] if note is None else [note]))
+
+
+def _row(table: str, check: str, passed: Column, note: Column | None = None, **values: Column) -> Column:
     """One check row in the shape of the result table."""
-    given = {
-        "check": F.lit(check), "table": F.lit(table),
-        "passed": passed, "message": message, **values,
-    }
+    given = {"check": F.lit(check), "table": F.lit(table), "passed": passed, **values}
+    given["message"] = _message(given, note)
     return F.struct(
         *[
             given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name)
@@ -61,32 +72,25 @@ def _nulls_name(c: str) -> str:
 
 def _row_count(table: str, t: Thresholds) -> Column:
     n = F.col("n")
-    return _row(
-        table, "row_count", n >= t.min_rows,
-        F.concat(F.lit("Row count: "), n, F.lit(f" (min: {t.min_rows})")),
-        value=n, threshold=F.lit(t.min_rows),
-    )
+    return _row(table, "row_count", n >= t.min_rows, value=n, threshold=F.lit(t.min_rows))
 
 
 def _null_pct(table: str, column: str, present: bool, t: Thresholds) -> Column:
     name = F.lit(column)
     if not present:
-        message = F.lit(f"Column '{column}' missing from table")
-        return _row(table, "null_pct", F.lit(False), message, column=name)
+        return _row(table, "null_pct", F.lit(False), F.lit("not a column of the table"), column=name)
     pct = F.coalesce(F.try_divide(F.col(_nulls_name(column)), F.col("n")) * 100, F.lit(0.0))
     return _row(
         table, "null_pct", pct <= t.max_null_pct,
-        F.format_string(f"{column} null%%: %.2f%% (max: {t.max_null_pct}%%)", pct),
         column=name, value=F.round(pct, 2), threshold=F.lit(t.max_null_pct),
     )
 
 
 def _schema(table: str, columns: Iterable[str], t: Thresholds) -> Column:
     missing = sorted(set(t.critical.get(table, [])) - set(columns))
-    message = f"Missing columns: {missing}" if missing else "All expected columns present"
     return _row(
-        table, "schema", F.lit(not missing), F.lit(message),
-        missing_columns=F.array(*[F.lit(m) for m in missing]),
+        table, "schema", F.lit(not missing),
+        missing_columns=F.array(*[F.lit(m) for m in missing]).cast("array<string>"),
     )
 
 
@@ -94,30 +98,21 @@ def _value_range(table: str, t: Thresholds) -> Column:
     low, high = F.col("views_negative"), F.col("views_extreme")
     return _row(
         table, "value_range", (low == 0) & (high == 0),
-        F.concat(
-            F.lit("Views: "), low, F.lit(" negative, "), high,
-            F.lit(f" extreme (>{t.max_views})"),
-        ),
+        F.lit(f"allowed 0 to {t.max_views}"),
         column=F.lit("views"), negative_count=low, extreme_count=high,
     )
 
 
 def _freshness(table: str, has_timestamp: bool, as_of: Column, t: Thresholds) -> Column:
     if not has_timestamp:
-        message = F.lit("No timestamp column, freshness not checked")
-        return _row(table, "freshness", F.lit(True), message)
+        return _row(table, "freshness", F.lit(True), F.lit("skipped: no time of processing in the table"))
     latest, cutoff = F.col("latest"), dates.hours_before(as_of, t.freshness_hours)
     # Text that is no timestamp skips the check; an all-NULL column fails it.
     unreadable = latest.isNull() & (F.col("stamped") > 0)
-    message = F.concat(
-        F.lit("Latest: "), F.coalesce(latest.cast("string"), F.lit("none")),
-        F.lit(", Cutoff: "), cutoff.cast("string"),
-    )
     return _row(
         table, "freshness",
         F.when(unreadable, True).otherwise(F.coalesce(latest >= cutoff, F.lit(False))),
-        F.when(unreadable, F.lit("Timestamps unreadable, freshness not checked"))
-        .otherwise(message),
+        F.when(unreadable, F.lit("skipped: times of processing cannot be read")),
         latest_record=latest, cutoff=cutoff,
     )
 
@@ -176,20 +171,22 @@ def check_tables(
     thresholds: Thresholds | None = None,
     as_of: Column | None = None,
     sample_limit: int | None = None,
+    probe: bool = True,
 ) -> DataFrame:
     """Checks for several tables (check name -> table to read).
 
-    Each table is checked at once, by one aggregate with one row per check, so that a table
-    that is missing or whose files cannot be read gives a failed row, and the others are
-    still checked.
+    A table that is missing gives a failed row, and the others are still checked. With ``probe`` each
+    table is checked at once, by one aggregate with one row per check, so that this holds for a table
+    whose files cannot be read as well; without, the result is a plan that has not run.
     ``sample_limit`` restricts the checks to that many arbitrary rows; default: all.
     """
     results = None
     for name, source in tables.items():
         try:
             df = read_table(spark, source, limit=sample_limit)
-            rows = run_checks(df, name, thresholds=thresholds, as_of=as_of)
-            checked = spark.createDataFrame(rows.collect(), rows.schema)
+            checked = run_checks(df, name, thresholds=thresholds, as_of=as_of)
+            if probe:
+                checked = spark.createDataFrame(checked.collect(), checked.schema)
         except (PySparkException, Py4JJavaError) as reason:
             checked = unreadable(spark, name, str(reason).splitlines()[0])
         results = checked if results is None else results.unionByName(checked)

@@ -59,7 +59,7 @@ def _checks(df: DataFrame, check: str, table: str = quality.STATISTICS) -> DataF
     "dq_row_count",
     f"""WITH {HOLES} SELECT 'clean_statistics' AS "table", CAST(COUNT(*) AS DOUBLE) AS value,
       10.0::DOUBLE AS threshold, COUNT(*) >= 10 AS passed,
-      'Row count: ' || COUNT(*) || ' (min: 10)' AS message FROM holed""",
+      'row_count; value ' || COUNT(*)::DOUBLE::VARCHAR || '; threshold 10.0' AS message FROM holed""",
 )
 def dq_row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _checks(_holed(spark, sf_dir), "row_count").select(
@@ -71,7 +71,7 @@ def _null_sql(column: str) -> str:
     pct = f"(SELECT COUNT(*) FILTER ({column} IS NULL) / COUNT(*) * 100 FROM holed)"
     return f"""SELECT '{column}' AS "column", round({pct}, 2) AS value,
       5.0::DOUBLE AS threshold, {pct} <= 5 AS passed,
-      printf('{column} null%%: %.2f%% (max: 5.0%%)', {pct}) AS message"""
+      'null_pct; column {column}; value ' || round({pct}, 2)::VARCHAR || '; threshold 5.0' AS message"""
 
 
 @query(
@@ -91,7 +91,7 @@ def dq_null_pct(spark: SparkSession, sf_dir: str) -> DataFrame:
     "dq_schema",
     f"""WITH {HOLES} SELECT 'schema' AS "check", false AS passed,
       'region,title' AS missing_columns,
-      'Missing columns: [''region'', ''title'']' AS message,
+      'schema; missing columns region,title' AS message,
       CAST((SELECT COUNT(*) FROM holed WHERE views IS NOT NULL) AS DOUBLE) AS row_count""",
 )
 def dq_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,7 +114,8 @@ def dq_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
       COUNT(*) FILTER (views > 50000000000) AS high FROM holed)
     SELECT 'views' AS "column", low AS negative_count, high AS extreme_count,
       low = 0 AND high = 0 AS passed,
-      'Views: ' || low || ' negative, ' || high || ' extreme (>50000000000)' AS message
+      'value_range; column views; negative count ' || low || '; extreme count ' || high ||
+        '; allowed 0 to 50000000000' AS message
     FROM n""",
 )
 def dq_value_range(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -163,6 +164,7 @@ def dq_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark,
         {quality.STATISTICS: "tidemark_holed", quality.REFERENCE: "tidemark_no_such_table"},
         as_of=_as_of(),
+        probe=False,
     )
     missing = F.filter("details", lambda d: d["check"] == "read_table")
     return quality.summarize(results).select(
@@ -182,7 +184,7 @@ def dq_sample_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The sampling option of the checks: at most 10,000 arbitrary rows per table."""
     table(spark, sf_dir, "lineitem").createOrReplaceTempView("tidemark_sampled")
     results = quality.check_tables(
-        spark, {"lines": "tidemark_sampled"}, as_of=_as_of(), sample_limit=10_000
+        spark, {"lines": "tidemark_sampled"}, as_of=_as_of(), sample_limit=10_000, probe=False
     )
     return results.filter(F.col("check") == "row_count").select("value", "passed")
 

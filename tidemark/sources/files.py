@@ -89,15 +89,12 @@ def read_statistics_csv(
 
 def _escaped_fields(line: Column) -> Column:
     """Fields of a comma-separated line in which a backslash escapes any character."""
-    backslash, comma = F.lit("\x01"), F.lit("\x02")
-    marked = F.replace(line, F.lit("\\\\"), backslash)
-    marked = F.replace(marked, F.lit("\\,"), comma)
-
-    def restore(field: Column) -> Column:
-        plain = F.regexp_replace(field, r"\\(.)", "$1")
-        return F.replace(F.replace(plain, comma, F.lit(",")), backslash, F.lit("\\"))
-
-    return F.transform(F.split(marked, ","), restore)
+    # Possessive groups: they never go back, so that long fields need no stack.
+    field = r"(?s)((?:[^,\\]++|\\.|\\\z)*+)(?:,|\z)"
+    separators = F.filter(F.regexp_extract_all(line, F.lit(r"(?s)(\\.|,)")), lambda c: c == ",")
+    # The pattern also matches the nothing that is left after the last field.
+    fields = F.slice(F.regexp_extract_all(line, F.lit(field)), 1, F.size(separators) + 1)
+    return F.transform(fields, lambda f: F.regexp_replace(f, r"(?s)\\(.)", "$1"))
 
 
 def read_delimited_csv(
