@@ -214,3 +214,20 @@ def test_evolving_schemas(spark, tmp_path, rows):
     expected = [("gb", 2, "x"), ("us", 1, None)]
     assert rows(writers.read_evolving(spark, path), "region", "n", "extra") == expected
     assert rows(writers.union_evolving(a, b), "region", "n", "extra") == expected
+
+
+def test_named_partitions_are_pruned_by_their_stored_spelling(spark, tmp_path, rows):
+    path = str(tmp_path / "t")
+    df = spark.createDataFrame([("US", 1), (" us", 2), ("gb", 3), ("Secret", 4), (None, 5)], "region string, n int")
+    writers.write_parquet(df, path)
+    writers.create_database(spark, "named_parts")
+    table = writers.register_table(
+        spark, "named_parts.t", path, ddl="n INT, region STRING",
+        partitions=[("US",), (" us",), ("gb",), ("not there yet",), (None,)],
+    )
+    assert rows(table, "n") == [(1,), (2,), (3,), (5,)]
+    found = catalog.read_table(spark, "named_parts.t", regions=["Us", "secret"])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [region#" in plan and " IN ( us,US)]" in plan and "InMemoryFileIndex(2 paths)" in plan
+    assert rows(found, "n") == [(1,), (2,)]
+    assert catalog.read_table(spark, "named_parts.t", regions=["nowhere"]).count() == 0

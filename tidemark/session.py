@@ -120,3 +120,8 @@ def touch(spark: SparkSession, path: str) -> None:
     """Create an empty file."""
     fs, target = _located(spark, path)
     fs.create(target, True).close()
+
+
+def rename(spark: SparkSession, path: str, new: str) -> None:
+    fs, target = _located(spark, path)
+    fs.rename(target, _located(spark, new)[1])

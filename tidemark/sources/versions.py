@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from ..functions.text import decode_file_path
 from ..session import list_names, path_exists, remove_path, touch
-from .writers import evolve_table, spread_by
+from .writers import add_partitions, evolve_table, partition_spec, spread_by, sql_literal
 
 RUNS, LEDGER, USED, COMPLETE = "runs", "ledger", "used", "_SUCCESS"
 #: How a partition without a value is called.
@@ -59,10 +59,6 @@ def partition_columns(spark: SparkSession, table: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
 
 
-def _literal(value: str | None) -> str:
-    return "null" if value is None else "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def written_partitions(spark: SparkSession, folder: str, partition_cols: Sequence[str]) -> dict[str, tuple]:
     """Values of the partitions below a folder, by their path in it."""
     paths = [""]
@@ -76,20 +72,9 @@ def written_partitions(spark: SparkSession, folder: str, partition_cols: Sequenc
     return {p[1:]: tuple(value(part) for part in p[1:].split("/")) for p in paths}
 
 
-def _specification(values: tuple, partition_cols: Sequence[str]) -> str:
-    return ", ".join(f"`{c}`={_literal(v)}" for c, v in zip(partition_cols, values, strict=True))
-
-
-def _add(spark: SparkSession, table: str, new: list[tuple[str, str]]) -> None:
-    """Enter partitions that the catalog does not have yet."""
-    for lo in range(0, len(new), 500):
-        parts = " ".join(f"PARTITION ({spec}) LOCATION {_literal(folder)}" for spec, folder in new[lo : lo + 500])
-        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {parts}")
-
-
 def _point(spark: SparkSession, table: str, spec: str, folder: str) -> None:
     """Let a partition that the catalog has be the folder that a run has written."""
-    spark.sql(f"ALTER TABLE {table} PARTITION ({spec}) SET LOCATION {_literal(folder)}")
+    spark.sql(f"ALTER TABLE {table} PARTITION ({spec}) SET LOCATION {sql_literal(folder)}")
 
 
 def _apply(spark: SparkSession, table: str, root: str, run_id: str, partition_cols: Sequence[str]) -> None:
@@ -100,11 +85,11 @@ def _apply(spark: SparkSession, table: str, root: str, run_id: str, partition_co
     run = f"{root}/{RUNS}/{run_id}"
     written = written_partitions(spark, run, partition_cols)
     known = {r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
-    parts = [(path in known, _specification(v, partition_cols), f"{run}/{path}") for path, v in written.items()]
+    parts = [(path in known, partition_spec(partition_cols, v), f"{run}/{path}") for path, v in written.items()]
     for there, spec, folder in parts:
         if there:
             _point(spark, table, spec, folder)
-    _add(spark, table, [(spec, folder) for there, spec, folder in parts if not there])
+    add_partitions(spark, table, [(spec, folder) for there, spec, folder in parts if not there])
     spark.catalog.refreshTable(table)
     touch(spark, f"{root}/{LEDGER}/{run_id}")
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -130,8 +130,13 @@ def register_table(
     fmt: str = "parquet",
     partition_cols: Sequence[str] = ("region",),
     options: dict[str, str] | None = None,
+    partitions: Iterable[Sequence[str | None]] | None = None,
 ) -> DataFrame:
-    """(Re)create a table over existing files and pick up its partitions."""
+    """(Re)create a table over existing files with the partitions that are named, or else with all found.
+
+    ``partitions`` lists values in the order of ``partition_cols``, spelt as the folders are. Naming them
+    spares the listing of the whole dataset, and keeps out folders that are not meant.
+    """
     spark.sql(f"DROP TABLE IF EXISTS {table}")
     rendered = ", ".join(f"'{k}' '{v}'" for k, v in (options or {}).items())
     spark.sql(
@@ -140,11 +145,31 @@ def register_table(
         + (f" PARTITIONED BY ({', '.join(partition_cols)})" if partition_cols else "")
         + f" LOCATION '{path}'"
     )
-    if partition_cols:
+    if partitions is not None:
+        add_partitions(spark, table, [(partition_spec(partition_cols, p), None) for p in partitions])
+    elif partition_cols:
         spark.sql(f"MSCK REPAIR TABLE {table}")
     return spark.table(table)
 
 
+def sql_literal(value: str | None) -> str:
+    return "null" if value is None else "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def partition_spec(partition_cols: Sequence[str], values: Sequence[str | None]) -> str:
+    return ", ".join(f"`{c}`={sql_literal(v)}" for c, v in zip(partition_cols, values, strict=True))
+
+
+def add_partitions(spark: SparkSession, table: str, new: Sequence[tuple[str, str | None]]) -> None:
+    """Enter partitions that the catalog does not have yet: (specification, folder if not the usual one)."""
+    for lo in range(0, len(new), 500):
+        parts = [
+            f"PARTITION ({spec})" + (f" LOCATION {sql_literal(folder)}" if folder else "")
+            for spec, folder in new[lo : lo + 500]
+        ]
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {' '.join(parts)}")
+
+
 def _metadata(region: Column, at: Column, source: str, *extra: Column) -> Column:
     return F.struct(
         dates.ingestion_id(at).alias("ingestion_id"),

@@ -21,7 +21,8 @@ from ..operators.dedup import dedup_latest
 from ..operators.reference import load_reference
 from ..schemas import DEDUP_KEYS
 from ..session import path_exists, remove_path, stage, staging
-from ..sources import files, versions, writers
+from ..functions.text import decode_file_path
+from ..sources import files, manifest, versions, writers
 
 def file_stream(
     spark: SparkSession,
@@ -277,3 +278,49 @@ def ingest_reference(
     )
     query.awaitTermination()
     return reduce(DataFrame.unionByName, failed) if failed else None
+
+
+def taken_files(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """(file_path, batch) of the files that a stream has taken, from the log that its source keeps."""
+    entry = F.from_json("value", "path string, batchId long")
+    entries = spark.read.text(f"{checkpoint}/sources/0").select(entry.alias("e")).filter("e.path IS NOT NULL")
+    path = F.regexp_replace(decode_file_path(F.col("e.path")), "^file:/+", "file:/")
+    return entries.select(path.alias("file_path"), F.col("e.batchId").alias("batch")).distinct()
+
+
+def ingest_json_lines(
+    spark: SparkSession, source: str, path: str, checkpoint: str, schema: T.StructType, *, partition_cols: Sequence[str]
+) -> DataFrame | None:
+    """Append the sound records of JSON files that have arrived since the last run to ``path``.
+
+    Returns error rows (see ``sources.manifest``) for the files of this run, None if there was nothing
+    new. The stream's log says which files it has taken, so that one of which no line came is named as
+    well. A batch that is repeated writes its own folder again, ``<path>/batch=…``.
+    """
+    text = T.StructType([T.StructField("value", T.StringType())])
+    options = {"ignoreCorruptFiles": "true", "recursiveFileLookup": "true"}
+    stream = file_stream(spark, source, "text", text, options=options)
+    lines = stream.select("value", F.col("_metadata.file_path").alias("file_path"))
+    before = -1
+    if path_exists(spark, f"{checkpoint}/sources/0"):
+        before = taken_files(spark, checkpoint).agg(F.max("batch")).first()[0]
+    staged: list[DataFrame] = []
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        records = stage(manifest.parse_lines(batch, schema), "json-lines")
+        sound = records.filter(manifest.usable()).select(*schema.fieldNames(), "file_path")
+        writers.write_parquet(sound, f"{path}/batch={batch_id}", partition_cols=partition_cols, mode="overwrite")
+        staged.append(records)
+
+    query = (
+        lines.writeStream.foreachBatch(each)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    if not staged:
+        return None
+    new = taken_files(spark, checkpoint).filter(F.col("batch") > before).select("file_path")
+    there = manifest.delivered_files(spark, source).join(new, "file_path", "left_semi")
+    return stage(manifest.file_errors(reduce(DataFrame.unionByName, staged), there), "json-errors")
