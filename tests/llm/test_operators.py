@@ -526,3 +526,16 @@ def test_bytes_before_anchors_are_grouped_exactly():
         same[order] = np.cumsum(agree < d)
         pairs = [(i, j) for i in range(300) for j in range(i) if i % 7 == 0]
         assert all((same[i] == same[j]) == (back[i, :d] == back[j, :d]).all() for i, j in pairs)
+
+
+@pytest.mark.parametrize("bucket_bytes", [1 << 30, 3_000])
+def test_token_counts_do_not_depend_on_buckets(spark, monkeypatch, bucket_bytes):
+    public = pytest.importorskip("public_tokenizers")
+    path = public.path("byte_bpe_50k.json")
+    monkeypatch.setattr(tokencounts, "BUCKET_BYTES", bucket_bytes)
+    docs = frame(spark, [(i, prose(100 + i, 300), "s") for i in range(40)])
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(path)
+    want = {i: len(tok.encode(prose(100 + i, 300), add_special_tokens=False)) for i in range(40)}
+    assert {r.doc_id: r.n_tokens for r in tokencounts.token_counts(docs, path, public.PATTERN).collect()} == want

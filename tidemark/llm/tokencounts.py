@@ -5,7 +5,8 @@ are packed, so that a pre-token is written once per slice, and dealt to buckets
 the pre-token. So every pre-token of the corpus meets one task, which asks the tokenizer once for
 its number of pieces, joins that number to the frequencies, and sums per document; the sums of
 all buckets are added up by slice. A pre-token that stands in every document is one small number
-per document in its bucket.
+per document in its bucket. There is a bucket for every few megabytes of text, a task takes its
+buckets one after the other, and keeps the pieces of no more than one of them.
 
 Pre-tokens are cut by the tokenizer's own pattern. The regex package and the tokenizer agree on
 all characters below U+0530; texts with others are cut by the tokenizer itself.
@@ -31,7 +32,9 @@ from .arrowmap import map_arrow
 
 #: Separates pre-tokens in a packed string.
 _SEPARATOR = "\x00"
-SLICE_DOCS, SLICE_CHARS, COUNTED_ROWS = 512, 1 << 21, 128
+SLICE_DOCS, SLICE_CHARS, COUNTED_ROWS = 512, 1 << 21, 32
+#: Bytes of text for each bucket; pre-tokens that are given to the tokenizer at once.
+BUCKET_BYTES, ENCODED = 4 << 20, 2048
 _NO_ID = -(1 << 63)
 
 
@@ -45,7 +48,10 @@ def _tokenizer(path: str):
 
 
 def _pieces(tok, pretokens: list[str]) -> list[int]:
-    return [len(e) for e in tok.encode_batch_fast(pretokens, add_special_tokens=False)]
+    counts: list[int] = []
+    for lo in range(0, len(pretokens), ENCODED):
+        counts += [len(e) for e in tok.encode_batch_fast(pretokens[lo : lo + ENCODED], add_special_tokens=False)]
+    return counts
 
 
 class _Cutter:
@@ -162,18 +168,22 @@ def pretoken_frequencies(docs: DataFrame, path: str, pattern: str, buckets: int)
 def count_pieces(frequencies: DataFrame, path: str) -> DataFrame:
     """(slice, sums, docs, n_bytes, ready): tokens of the slice's documents from one bucket, in ``sums``.
 
-    Each pre-token of a bucket is sent to the tokenizer once. Rows that carry documents pass
-    through, with ``sums`` null.
+    Each pre-token of a bucket is sent to the tokenizer once, if the rows of a task come by bucket. Rows
+    that carry documents pass through, with ``sums`` null.
     """
     names = ["slice", "sums", "docs", "n_bytes", "ready"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = _tokenizer(path)
         pieces: dict[str, int] = {}
+        current = None
         # A few packed rows at a time: a batch of them holds many documents.
         for batch in (b.slice(lo, COUNTED_ROWS) for b in batches for lo in range(0, b.num_rows, COUNTED_ROWS)):
             out: list[tuple] = []
-            for number, _, packed, docs, places, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for number, bucket, packed, docs, places, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if bucket != current:
+                    current = bucket
+                    pieces.clear()
                 if packed is None:
                     out.append((number, None, docs, places, counts))
                     continue
@@ -211,7 +221,10 @@ def token_counts(docs: DataFrame, path: str, pattern: str, limit: int = 512) ->
 
     ``path`` is the tokenizer file as executors see it, ``pattern`` the pattern it cuts texts by.
     """
-    buckets = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = pretoken_frequencies(docs, path, pattern, buckets).repartition("bucket")
+    size = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
+    buckets = -(-size // BUCKET_BYTES) or 1
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # With a number, so that the planner does not merge tasks.
+    dealt = pretoken_frequencies(docs, path, pattern, buckets).repartition(tasks, "bucket").sortWithinPartitions("bucket")
     counted = count_pieces(dealt, path).groupBy("slice").applyInArrow(_add_up, "doc_id long, n_bytes long, n_tokens long")
     return counted.withColumn("over_limit", F.col("n_tokens") > limit)
