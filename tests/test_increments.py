@@ -194,3 +194,23 @@ def test_a_crash_while_replacing_paths_is_finished_by_the_next_run(spark, tmp_pa
     assert rows(spark.read.parquet(path), "region", "video_id") == [
         ("gb", "v2"), ("us", "v1"), ("us", "v3"), ("us", "v4"),
     ]
+
+
+def test_checks_from_kept_counters_equal_checks_on_all_rows(spark, lake, rows):
+    from tidemark.operators import quality
+
+    for records in (FIRST, SECOND, ()):
+        lake(*records)
+        kept = increments.refresh_profile(spark, lake.table, f"{lake.db}.profile")
+        want = quality.run_checks(spark.table(lake.table), quality.STATISTICS)
+        assert rows(kept) == rows(want)
+    assert spark.table(f"{lake.db}.profile").count() == 6
+
+
+def test_observed_checks_need_no_second_read(spark, tmp_path, rows):
+    from tidemark.operators import quality
+
+    for name, frame in (("some", silver_frame(spark, *FIRST)), ("none", silver_frame(spark, *FIRST).limit(0))):
+        watched, checks = quality.observed_checks(frame, quality.STATISTICS)
+        watched.write.parquet(str(tmp_path / name))
+        assert rows(checks()) == rows(quality.run_checks(frame, quality.STATISTICS))

@@ -7,12 +7,12 @@ from column names while the plan is built.
 from __future__ import annotations
 
 import logging
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -117,16 +117,17 @@ def _freshness(table: str, has_timestamp: bool, as_of: Column, t: Thresholds) ->
     )
 
 
-def _profile(
-    df: DataFrame, columns: list[str], views: bool, stamp: str | None, t: Thresholds
-) -> DataFrame:
+def profile_measures(df: DataFrame, table: str, t: Thresholds) -> list[Column]:
+    """Counters that all value checks of a table are made from; those of parts of it can be merged."""
     measures = [F.count("*").alias("n")]
-    measures += [F.count_if(F.col(c).isNull()).alias(_nulls_name(c)) for c in columns]
-    if views:
+    critical = [c for c in t.critical.get(table, []) if c in df.columns]
+    measures += [F.count_if(F.col(c).isNull()).alias(_nulls_name(c)) for c in critical]
+    if _has_views(df, table):
         measures += [
             F.count_if(F.col("views") < 0).alias("views_negative"),
             F.count_if(F.col("views") > t.max_views).alias("views_extreme"),
         ]
+    stamp = _stamp(df)
     if stamp:
         c = F.col(stamp)
         if isinstance(df.schema[stamp].dataType, T.StringType):
@@ -134,7 +135,37 @@ def _profile(
         else:
             read = c.cast("timestamp")
         measures += [F.max(read).alias("latest"), F.count(c).alias("stamped")]
-    return df.agg(*measures)
+    return measures
+
+
+def _has_views(df: DataFrame, table: str) -> bool:
+    return table == STATISTICS and "views" in df.columns
+
+
+def _stamp(df: DataFrame) -> str | None:
+    return next((c for c in TIMESTAMP_COLUMNS if c in df.columns), None)
+
+
+def merged_profile(profiles: DataFrame, measures: Iterable[str]) -> DataFrame:
+    """The profile of a table from those of its parts."""
+    return profiles.agg(
+        *[(F.max(m) if m == "latest" else F.coalesce(F.sum(m), F.lit(0)).cast("bigint")).alias(m) for m in measures]
+    )
+
+
+def checks_of_profile(
+    profile: DataFrame, df: DataFrame, table: str, *, thresholds: Thresholds | None = None, as_of: Column | None = None
+) -> DataFrame:
+    """Check rows from a profile of ``df``, of which only the columns are looked at."""
+    t = thresholds or Thresholds()
+    now = F.current_timestamp() if as_of is None else as_of
+    critical = t.critical.get(table, [])
+    rows = [_row_count(table, t)]
+    rows += [_null_pct(table, c, c in df.columns, t) for c in critical]
+    rows += [_schema(table, df.columns, t)]
+    rows += [_value_range(table, t)] if _has_views(df, table) else []
+    rows += [_freshness(table, _stamp(df) is not None, now, t)]
+    return profile.select(F.inline(F.array(*rows)))
 
 
 def run_checks(
@@ -146,17 +177,35 @@ def run_checks(
 ) -> DataFrame:
     """Check rows for one table: row_count, null_pct, schema, value_range, freshness."""
     t = thresholds or Thresholds()
-    now = F.current_timestamp() if as_of is None else as_of
-    critical = t.critical.get(table, [])
-    views = table == STATISTICS and "views" in df.columns
-    stamp = next((c for c in TIMESTAMP_COLUMNS if c in df.columns), None)
-    profile = _profile(df, [c for c in critical if c in df.columns], views, stamp, t)
-    rows = [_row_count(table, t)]
-    rows += [_null_pct(table, c, c in df.columns, t) for c in critical]
-    rows += [_schema(table, df.columns, t)]
-    rows += [_value_range(table, t)] if views else []
-    rows += [_freshness(table, stamp is not None, now, t)]
-    return profile.select(F.inline(F.array(*rows)))
+    profile = df.agg(*profile_measures(df, table, t))
+    return checks_of_profile(profile, df, table, thresholds=t, as_of=as_of)
+
+
+def observed_checks(
+    df: DataFrame, table: str, *, thresholds: Thresholds | None = None, as_of: Column | None = None
+) -> tuple[DataFrame, Callable[[], DataFrame]]:
+    """``df`` to be written, and its check rows once that has been done, without reading it again."""
+    t = thresholds or Thresholds()
+    counters, measures = Observation(table), profile_measures(df, table, t)
+    empty = df.limit(0).agg(*measures)
+
+    def checks() -> DataFrame:
+        found = observed(counters)
+        profile = empty if found is None else df.sparkSession.createDataFrame([tuple(found.values())], empty.schema)
+        return checks_of_profile(profile, df, table, thresholds=t, as_of=as_of)
+
+    return df.observe(counters, *measures), checks
+
+
+def observed(counters: Observation) -> dict | None:
+    """What an observation has collected; None if its part of the plan was not run, as that of an empty input."""
+    try:
+        return dict(counters.get)
+    except Py4JJavaError as reason:
+        # An assertion of Spark: it finds no row of counters to hand out.
+        if "AssertionError" not in str(reason.java_exception):
+            raise
+        return None
 
 
 def unreadable(spark: SparkSession, table: str, reason: str) -> DataFrame:

@@ -7,6 +7,8 @@ partition, which an OR combines exactly. A run reads from Silver the partitions
 its last time, and puts their grain and bitmaps in place of the old ones. Daily marts are then made for
 these partitions; the channel mart for their regions, from grain and bitmaps.
 
+Checks on Silver work alike: counters of each partition are kept, and added up for the whole.
+
 Silver's ledger says what is new: runs that Gold has not used yet. They count as used when all Gold tables
 are in place, and each of these is replaced by a run named after them, so a run that died is repeated
 without harm.
@@ -32,7 +34,7 @@ from .medallion import Layers
 from .silver import clean_statistics, run_reference_load
 
 CONSUMER = "gold"
-GRAIN, NUMBERS, BITMAPS = "daily_grain", "video_numbers", "channel_videos"
+GRAIN, NUMBERS, BITMAPS, PROFILE = "daily_grain", "video_numbers", "channel_videos", "quality_profile"
 
 
 def _same(df: DataFrame) -> DataFrame:
@@ -95,6 +97,37 @@ def refresh_gold(
     return runs
 
 
+def refresh_profile(
+    spark: SparkSession,
+    silver: str,
+    profile: str,
+    *,
+    thresholds: quality.Thresholds | None = None,
+    as_of: Column | None = None,
+) -> DataFrame:
+    """Check rows on all of Silver, from counters of its partitions that are kept in the table ``profile``.
+
+    Only partitions that were replaced since the last time are read. Counters hold for the thresholds
+    they were made with: use another table for others.
+    """
+    t = thresholds or quality.Thresholds()
+    runs, cols = versions.open_runs(spark, silver, profile), versions.partition_columns(spark, silver)
+    stats = spark.table(silver)
+    measures = quality.profile_measures(stats, quality.STATISTICS, t)
+    if runs:
+        touched = versions.partitions_of(spark, silver, runs, cols)
+        # Partition columns go by names of their own, as they can be among the columns that are counted.
+        parts = {c: f"part_{c}" for c in cols}
+        changed = in_touched_partitions(stats, touched, cols).withColumns({p: F.col(c) for c, p in parts.items()})
+        counted = changed.groupBy(*parts.values()).agg(*measures)
+        run_id = sha256("\n".join([*runs, silver]).encode()).hexdigest()[:32]
+        versions.replace_partitions(spark, profile, lambda: counted, counted.schema, list(parts.values()), run_id=run_id)
+        versions.mark_used(spark, silver, profile, runs)
+    names = [c for c in spark.table(profile).columns if not c.startswith("part_")]
+    merged = quality.merged_profile(spark.table(profile), names)
+    return quality.checks_of_profile(merged, stats, quality.STATISTICS, thresholds=t, as_of=as_of)
+
+
 def run_incremental(
     spark: SparkSession,
     streams: Sequence[DataFrame],
@@ -124,15 +157,18 @@ def run_incremental(
             stream, stats, f"{checkpoint}/statistics-{i}", clean,
             partition_cols=layers.partition_cols, path=layers.path("silver", layers.statistics),
         )
-    checked = {quality.STATISTICS: stats}
+    how = {"thresholds": layers.thresholds, "as_of": as_of}
+    if spark.catalog.tableExists(stats):
+        results = refresh_profile(spark, stats, layers.silver(PROFILE), **how)
+    else:
+        results = quality.unreadable(spark, quality.STATISTICS, "no such table")
     if reference is not None:
         run_reference_load(reference, table=ref, path=layers.path("silver", layers.reference))
-        checked[quality.REFERENCE] = ref
-    results = quality.check_tables(spark, checked, thresholds=layers.thresholds, as_of=as_of)
+        results = results.unionByName(quality.check_tables(spark, {quality.REFERENCE: ref}, **how))
     stored = layers.silver(layers.results)
     writers.write_table(results, stored, path=layers.path("silver", layers.results), partition_cols=(), mode="overwrite")
     passed = quality.quality_passed(spark.table(stored))
-    if not passed or not spark.catalog.tableExists(stats):
+    if not passed:
         return loaded, passed, []
     names = read_optional(spark, ref)
     built = refresh_gold(spark, stats, layers.gold, names, renamed=reference is not None, as_of=as_of)

@@ -5,14 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..operators.cleanse import cleanse, derive, stamp_run
 from ..operators.dedup import dedup_latest
 from ..operators.normalize import INGEST_ORDER, unify
-from ..operators.quality import null_profile_columns, null_profile_names, warn_on_profile
+from ..operators.quality import null_profile_columns, null_profile_names, observed, warn_on_profile
 from ..operators.reference import ReferenceLoad
 from ..schemas import DEDUP_KEYS, SILVER_COLUMNS
 from ..session import stage, staging
@@ -94,27 +93,16 @@ def run_bronze_to_silver(
             merge_into_path(rows, path, partition_cols=partition_cols, keys=DEDUP_KEYS, latest=("_processed_at",))
         else:
             raise ValueError("give a path or a table to write to")
-    counts = _observed(kept)
+    counts = observed(kept)
     if counts is None:
         # Nothing survived, and the planner dropped the counters with the empty plan.
         counts = {"rows_written": 0, **dict.fromkeys(null_profile_names(), 0)}
-    read = _observed(seen) or {"rows_read": unify(*bronze, as_of=as_of).count()}
+    read = observed(seen) or {"rows_read": unify(*bronze, as_of=as_of).count()}
     written = counts.pop("rows_written")
     warn_on_profile(counts)
     return RunReport(read["rows_read"], written, counts)
 
 
-def _observed(counters: Observation) -> dict[str, int] | None:
-    """What an observation has collected; None if its part of the plan was not run."""
-    try:
-        return dict(counters.get)
-    except Py4JJavaError as reason:
-        # An assertion of Spark: it finds no row of counters to hand out.
-        if "AssertionError" not in str(reason.java_exception):
-            raise
-        return None
-
-
 def run_reference_load(
     load: ReferenceLoad, *, path: str | None = None, table: str | None = None
 ) -> None:

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..plans.increments import refresh_gold
+from ..plans.increments import refresh_gold, refresh_profile
 from ..session import remove_path, scratch_dir
 from ..streaming.incremental import file_stream, ingest_into_table
 from .registry import FACTS, category_reference, facts, mean_sql, query
@@ -32,12 +32,19 @@ def _by_year(df: DataFrame) -> DataFrame:
     return df.withColumn("trending_year", F.year("trending_date_parsed"))
 
 
-def _load(spark: SparkSession, sf_dir: str, *, gold: bool) -> str:
+def _load(spark: SparkSession, sf_dir: str, *, gold: bool = False, checks: bool = False) -> str:
     """The database of a small lake: two pulls of files from different days, the second one repeated."""
     home, db = scratch_dir(spark, "lake"), f"lake_{uuid.uuid4().hex[:12]}"
     spark.sql(f"CREATE DATABASE {db} LOCATION '{home}/{db}'")
     landing, checkpoint = f"{home}/landing", f"{home}/checkpoint"
-    rows = _by_year(facts(spark, sf_dir, videos=gold))
+    rows = _by_year(facts(spark, sf_dir, videos=gold or checks))
+    if checks:
+        rows = rows.withColumns(
+            {
+                "title": F.when(F.col("l_linenumber") < 7, F.col("title")),
+                "views": F.when(F.col("l_linenumber") == 2, F.lit(-1)).otherwise(F.col("views")).cast("bigint"),
+            }
+        )
     names = category_reference(spark, sf_dir)
 
     def pull() -> list[str]:
@@ -56,6 +63,8 @@ def _load(spark: SparkSession, sf_dir: str, *, gold: bool) -> str:
         pull()
         if gold:
             refresh_gold(spark, f"{db}.statistics", lambda name: f"{db}.{name}", names, partitioned=_by_year)
+        if checks:
+            refresh_profile(spark, f"{db}.statistics", f"{db}.profile")
     # A checkpoint that has lost the end of the last batch, as after a crash: the batch comes again.
     remove_path(spark, f"{checkpoint}/commits/1")
     if pull():
@@ -70,7 +79,7 @@ def _load(spark: SparkSession, sf_dir: str, *, gold: bool) -> str:
 )
 def silver_bookmarked(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A catalog table after two bookmarked pulls and a repeated batch."""
-    stored = spark.table(f"{_load(spark, sf_dir, gold=False)}.statistics")
+    stored = spark.table(f"{_load(spark, sf_dir)}.statistics")
     return stored.groupBy("region", "trending_year").agg(
         F.count("*").alias("n"), F.sum("views").alias("views"), F.sum("likes").alias("likes")
     )
@@ -125,3 +134,20 @@ def gold_increment_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     mart = shares.join(days, ["region", "trending_date_parsed"])
     return mart.drop("trending_year", "total_likes", "total_comments", "avg_engagement_rate", "_aggregated_at")
+
+
+@query(
+    "dq_by_partition",
+    f"""WITH {LATEST.replace("FROM facts)", "FROM (SELECT * REPLACE (CASE WHEN l_linenumber < 7 THEN title END AS title, CASE WHEN l_linenumber = 2 THEN -1 ELSE views END AS views) FROM facts))")}
+    SELECT 'row_count' AS "check", NULL AS "column", CAST(COUNT(*) AS DOUBLE) AS value, NULL AS negative_count,
+      COUNT(*) >= 10 AS passed FROM latest
+    UNION ALL SELECT 'null_pct', 'title', round(COUNT(*) FILTER (title IS NULL) / COUNT(*) * 100, 2), NULL,
+      COUNT(*) FILTER (title IS NULL) / COUNT(*) <= 0.05 FROM latest
+    UNION ALL SELECT 'value_range', 'views', NULL, COUNT(*) FILTER (views < 0), COUNT(*) FILTER (views < 0) = 0 FROM latest""",
+)
+def dq_by_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Checks on a table from counters of its partitions, after two pulls that touch some of them each."""
+    db = _load(spark, sf_dir, checks=True)
+    results = refresh_profile(spark, f"{db}.statistics", f"{db}.profile")
+    wanted = F.col("check").isin("row_count", "value_range") | ((F.col("check") == "null_pct") & (F.col("column") == "title"))
+    return results.filter(wanted).select("check", "column", "value", "negative_count", "passed")

@@ -166,23 +166,27 @@ def json_rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM events GROUP BY ALL""",
 )
 def land_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as items of fetched documents: one per region and six-hourly pull, landed by both."""
+    """Events as items of fetched documents of a region and six-hourly pull, about fifty each, landed by both."""
     path = scratch_dir(spark, "bronze")
     item = F.struct(F.col("event_id").cast("string").alias("id"))
     pull = F.col("ts") - F.make_dt_interval(
         hours=F.hour("ts") % 6, mins=F.minute("ts"), secs=F.second("ts")
     )
-    landed = (
-        table(spark, sf_dir, "events")
-        .groupBy(F.upper("event_type").alias("region"), F.date_trunc("second", pull).alias("at"))
-        .agg(F.collect_list(item).alias("items"))
-        .select("region", "items", "at")
+    events = table(spark, sf_dir, "events").select(
+        F.upper("event_type").alias("region"), F.date_trunc("second", pull).alias("at"), "event_id"
     )
+    # A pull comes as documents of a bounded size, however many events it has.
+    pages = events.groupBy(F.col("region").alias("r"), F.col("at").alias("a")).agg(F.ceil(F.count("*") / 50).alias("pages"))
+    paged = events.join(pages, (F.col("region") == F.col("r")) & (F.col("at") == F.col("a"))).select(
+        "region", "at", "event_id", F.pmod(F.xxhash64("event_id"), F.col("pages")).alias("page")
+    )
+    landed = paged.groupBy("region", "at", "page").agg(F.collect_list(item).alias("items")).select("region", "items", "at")
     writers.land_videos(landed, path, F.col("at"), SOURCE)
     read = files.read_api_json(spark, path, multi_line=False)
+    first = F.col("position") == 0
     return explode_items(read).groupBy("region", "date", "hour").agg(
         F.count_distinct("_pipeline_metadata.ingestion_id").cast("int").alias("documents"),
-        F.max(F.col("_pipeline_metadata.video_count").cast("bigint")).alias("videos"),
+        F.sum(F.when(first, F.col("_pipeline_metadata.video_count").cast("bigint"))).alias("videos"),
         F.sum(F.col("item.id").cast("bigint")).alias("ids"),
         F.max("_pipeline_metadata.ingestion_id").alias("ingestion_id"),
     )
