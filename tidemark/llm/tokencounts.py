@@ -18,6 +18,7 @@ empty result. Very long texts are counted whole.
 
 from __future__ import annotations
 
+import os
 from collections import Counter
 from collections.abc import Iterator
 from zlib import crc32
@@ -39,6 +40,8 @@ _NO_ID = -(1 << 63)
 
 
 def _tokenizer(path: str):
+    # Tasks run side by side already; threads of its own cost the library memory for each.
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(path)
@@ -157,6 +160,8 @@ def pretoken_frequencies(docs: DataFrame, path: str, pattern: str, buckets: int)
                         )
                     )
                 number += 1
+                # Freed buffers go back, as the other tasks of the executor need them.
+                pa.default_memory_pool().release_unused()
                 columns = zip(*rows, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
@@ -195,6 +200,7 @@ def count_pieces(frequencies: DataFrame, path: str) -> DataFrame:
                 tokens = each[_from_planes(places, np.uint32)] * _from_planes(counts, np.uint32)
                 sums = np.bincount(_from_planes(docs, np.uint16), tokens).astype(np.int64)
                 out.append((number, _planes(sums, np.int64), None, None, None))
+            pa.default_memory_pool().release_unused()
             columns = zip(*out, strict=True)
             kinds = [pa.int64()] + [pa.binary()] * 4
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
