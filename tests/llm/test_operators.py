@@ -476,6 +476,33 @@ def test_layout_names_do_not_hide_the_article():
         assert htmltext.main_text(f"<html><body>{page}</body></html>") == want
 
 
+def test_names_and_forms_around_articles_do_not_hide_them():
+    first, second = prose(62, 80).replace("\n", " "), prose(63, 80).replace("\n", " ")
+    tidy = lambda *t: " ".join(" ".join(t).split())
+    text = f"<p>{first}</p><p>{second}</p>"
+    for page in (
+        f"<form id='aspnetForm' action='/'><div>{text}</div></form>",
+        f"<form><main>{text}</main><div class='search-form'>Search, here, for, more, things</div></form>",
+        f"<article><p>{first}</p><p class='share-price'>{second}</p></article>",
+        f"<article><p>{first}</p><section id='search-results-analysis'><p>{second}</p></section></article>",
+        f"<article><p>{first}</p><div class='rail-network'><p>{second}</p></div></article>",
+    ):
+        assert htmltext.main_text(f"<html><body>{page}</body></html>") == tidy(first, second)
+    # A short last section, in an article or beside its other sections, belongs to the text.
+    sections = f"<section><h2>One</h2><p>{first}</p></section><section><h2>Two</h2><p>{second}</p></section>"
+    short = "<section><h2>Three</h2><p>The end, so far.</p></section>"
+    want = tidy("One", first, "Two", second, "Three The end, so far.")
+    for opening in ("<div>", "<article>", "<div id='content'>", "<main>"):
+        page = f"<html><body><ul><li><a href='/'>Home</a></li></ul>{opening}{sections}{short}</{opening[1:].split()[0].rstrip('>')}><div><a>Next</a></div></body></html>"
+        assert htmltext.main_text(page) == want
+    # What is none of the article goes, by whatever compound name.
+    for name in ("site-footer", "cookie-banner", "ad-slot", "share-buttons", "related-posts", "main-nav", "sidebar2", "newsletter_signup"):
+        page = f"<div id='content'>{text}<div class='{name}'><p>Words, more words, and some that nobody wants to read here.</p></div></div>"
+        assert htmltext.main_text(f"<html><body>{page}</body></html>") == tidy(first, second), name
+    page = f"<div>{text}</div><form><p>Sign up, with your name, to get, every week, some news.</p></form>"
+    assert htmltext.main_text(f"<html><body>{page}</body></html>") == tidy(first, second)
+
+
 def test_deep_and_broken_pages_end():
     assert htmltext.main_text("<div>" * 20_000 + "deep text") == "deep text"
     assert htmltext.main_text("</p></div><b><i><a href='x>y'>t</a>" * 2_000).startswith("t")

@@ -2,12 +2,14 @@
 
 Paragraphs pass points for their length and commas to the elements around them, less to farther
 ones; an element's points are discounted by the share of its text that stands in links. The
-element with most points, lifted to the article or main element around it if there is one, is
-kept together with those siblings that look like text as well. Elements that are menus, page
+element with most points, lifted to the article or main element around it if there is one, and
+otherwise to the lowest element around all scored paragraphs, is kept together with its siblings that
+are text and not links. Elements that are menus, page
 headers, footers, sidebars, notices, adverts, forms, scripts, styles or reader comments by their
 tag, role, class or id count for nothing and give no text. A class or id says so only of an element that
 does not hold the main or article element, nor (comments aside) most of the page's text: there it names
-the layout. Names that begin with has-, no-, with- or without- say nothing.
+the layout, and so does a form around these. Of a name of several words (share-price) all must be words for
+such things or for places on a page. Names that begin with has-, no-, with- or without- say nothing.
 
 Nulls, ties and odd input: a null or empty page, or one without text, gives an empty text; of
 equal scores the first element wins; unclosed and misnested tags are closed as they come, a tag
@@ -52,7 +54,7 @@ PARAGRAPHS = frozenset("p pre blockquote td li dd".split())
 CONTAINERS = frozenset("article section div main body td blockquote html center table tbody tr ul ol dl figure details".split())
 
 JUNK_TAGS = frozenset(
-    "nav footer aside form script style noscript template svg math button select input iframe object embed applet "
+    "nav footer aside script style noscript template svg math button select input iframe object embed applet "
     "canvas dialog menu head datalist audio video map".split()
 )
 JUNK_ROLES = frozenset(
@@ -74,15 +76,25 @@ _LAYOUT = re.compile(r"(?:has|no|with|without)[-_]")
 #: Not junk; junk by a name, by a name for readers' comments, or by what the element is.
 TEXT, NAMED, COMMENTS, JUNK = range(4)
 _NAME_WORD = re.compile(r"[a-z]+")
+#: Words that names of layout elements are made of besides, and that say nothing by themselves.
+PLACES = frozenset(
+    "main site page web global local home top bottom left right center middle upper lower first second third last "
+    "primary secondary tertiary sticky fixed floating mobile desktop tablet small medium large wide narrow inner outer "
+    "box boxes block blocks area areas region zone slot slots unit units panel panels pane bar bars strip row rows col "
+    "cols column columns grid cell section sections list lists item items entry group groups set container containers "
+    "wrapper wrap holder placeholder frame layer module modules component element content contents body text title "
+    "heading label icon icons logo image img button buttons btn link links form forms field input post posts article "
+    "articles story stories news latest popular more by of to for the and in on under count number id js css is".split()
+)
 _COMMAS = re.compile("[,،、，]")
 
 
 class _Node:
-    __slots__ = ("commas", "direct", "junk", "kind", "links", "parent", "points", "size", "tag", "within")
+    __slots__ = ("commas", "direct", "junk", "kind", "links", "parent", "points", "scored", "size", "tag", "within")
 
     def __init__(self, tag: str, parent: int, kind: int, within: bool) -> None:
         self.tag, self.parent, self.kind, self.within = tag, parent, kind, within
-        self.junk = False
+        self.junk = self.scored = False
         self.size = self.links = self.direct = self.commas = 0
         self.points = 0.0
 
@@ -91,6 +103,8 @@ def _kind(tag: str, attributes: str, within: bool) -> int:
     """``within``: inside an article or main element, where a header is the article's own."""
     if tag in JUNK_TAGS or (tag == "header" and not within):
         return JUNK
+    if tag == "form":
+        return NAMED
     if not attributes or tag in ("html", "body", "article", "main") and "comment" not in attributes.lower():
         return TEXT
     if tag in INLINE and tag not in ("span", "a"):
@@ -105,15 +119,21 @@ def _kind(tag: str, attributes: str, within: bool) -> int:
         if name == "role" and value in JUNK_ROLES:
             return JUNK
         if name in ("class", "id"):
-            value = " ".join(x for x in value.split() if not _LAYOUT.match(x))
-            words = set(_NAME_WORD.findall(value)) & JUNK_WORDS
-            if within:
-                words.discard("header")
-            if words or JUNK_PARTS.search(value):
-                kind = max(kind, COMMENTS if words & READERS or re.search("comment[s-]|disqus", value) else NAMED)
+            kind = max([kind, *(_named(x, within) for x in value.split() if not _LAYOUT.match(x))])
     return kind
 
 
+def _named(token: str, within: bool) -> int:
+    """What one class, or an id, says of its element."""
+    words = _NAME_WORD.findall(token)
+    junk = {w for w in words if w in JUNK_WORDS or JUNK_PARTS.search(w)}
+    if within:
+        junk.discard("header")
+    if not junk or any(w not in junk and w not in PLACES for w in words):
+        return TEXT
+    return COMMENTS if any(w in READERS or w.startswith(("comments", "disqus")) for w in junk) else NAMED
+
+
 def _parse(html: str) -> tuple[list[_Node], list[tuple[int, str | None]]]:
     """Elements in page order, and pieces of text (element, text); None marks a block's edge."""
     nodes = [_Node("#root", -1, TEXT, False)]
@@ -252,6 +272,7 @@ def _score(nodes: list[_Node], events: list[tuple[int, str | None]]) -> None:
             continue
         share = 1 + node.commas * length / max(1, node.size) + min(length // 100, 3)
         share *= 1 - node.links / max(1, node.size)
+        node.scored = 2 * node.links < node.size
         if node.tag in CONTAINERS and node.tag not in PARAGRAPHS:
             node.points += share
         above, level = node.parent, 1
@@ -260,6 +281,19 @@ def _score(nodes: list[_Node], events: list[tuple[int, str | None]]) -> None:
             above, level = nodes[above].parent, level + 1
 
 
+#: What is text beside the main element, and what is a menu there if it holds links and little else.
+SIBLINGS = frozenset("h1 h2 h3 h4 h5 h6 p section blockquote pre figure table dl ul ol".split())
+MENUS = frozenset("ul ol dl div section table".split())
+
+
+def _around_scored(nodes: list[_Node]) -> int:
+    """The lowest element that holds all scored paragraphs."""
+    held = [int(n.scored) for n in nodes]
+    for i in range(len(nodes) - 1, 0, -1):
+        held[nodes[i].parent] += held[i]
+    return max(i for i, n in enumerate(held) if n == held[0])
+
+
 def main_text(html: str | None) -> str:
     """The page's main text, white space single, blocks joined by one space."""
     if not html:
@@ -279,25 +313,22 @@ def main_text(html: str | None) -> str:
         mains = [i for i, n in enumerate(nodes) if n.tag in ("article", "main") and n.size and not n.junk]
         roots.add(mains[0] if mains else 0)
     else:
-        i = best
-        while i > 0:
-            if nodes[i].tag in ("article", "main"):
-                best = i
-                break
+        i, inner = best, best
+        while i > 0 and nodes[i].tag not in ("article", "main"):
             i = nodes[i].parent
+        best = i if i > 0 else min(best, _around_scored(nodes))
         roots.add(best)
         for i, node in enumerate(nodes):
             if i == best or node.junk or not node.size or node.parent != nodes[best].parent:
                 continue
-            density = node.links / node.size
-            points = node.points * (1 - density)
-            is_text = node.tag == "p" and node.size > 80 and density < 0.25
-            is_heading = node.tag in ("h1", "h2") and i < best and density < 0.5
-            if points >= max(10.0, 0.2 * top) or is_text or is_heading:
+            if node.tag in SIBLINGS and 2 * node.links < node.size and (i > best or node.tag != "p" or node.size > 80):
                 roots.add(i)
-    kept = [False] * len(nodes)
+    kept, deep = [False] * len(nodes), [False] * len(nodes)
     for i, node in enumerate(nodes):
-        kept[i] = i in roots or (node.parent >= 0 and kept[node.parent] and not node.junk)
+        # Beside the element with most points, lists of links are menus.
+        deep[i] = best < 0 or i == inner or (node.parent >= 0 and deep[node.parent])
+        menu = not deep[i] and node.tag in MENUS and 5 * node.links > 4 * node.size
+        kept[i] = i in roots or (node.parent >= 0 and kept[node.parent] and not node.junk and not menu)
     parts = [" " if text is None else unescape(text) for i, text in events if kept[i] or text is None]
     return " ".join("".join(parts).split())
 
