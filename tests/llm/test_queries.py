@@ -53,3 +53,22 @@ def test_language_of_held_out_documents(spark):
     got = QUERIES["op5_language_id"](spark, "/root/testdata/sf0.01").where("held_out").join(docs, "doc_id")
     right = got.where("lang_pred = lang").count() / got.count()
     assert right > 0.97
+
+
+@pytest.mark.parametrize("stage", range(5))
+def test_stages_leave_foreign_columns_alone(spark, stage):
+    names = ["_lang_pred", "_lang_score", "_window_hits", "_window_items", "_gone", "_taken", "_size", "row", "a.b", "x y", "kept"]
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(120)
+    odd = docs.selectExpr("*", *[f"concat('{i}', doc_id) AS `{n}`" for i, n in enumerate(names)])
+    out = corpus_pipeline.STAGES[stage][1](spark, odd, str(SF))
+    assert out.columns[: len(odd.columns)] == odd.columns
+    got = {r.doc_id: r for r in out.collect()}
+    assert got
+    for r in got.values():
+        assert all(r[n] == f"{i}{r.doc_id}" for i, n in enumerate(names))
+
+
+@pytest.mark.parametrize("stage", range(5))
+def test_stages_run_on_empty_tables(spark, stage):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
+    assert corpus_pipeline.STAGES[stage][1](spark, docs, str(SF)).count() == 0

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .arrowmap import map_arrow
-from .scratch import Scratch
+from .scratch import Scratch, rows_of, with_row
 from .textarrays import ALNUM, LOWER, U64, Words, byte_chunks, sequence_hashes, words
 
 WINDOW = 10
@@ -201,4 +201,5 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) ->
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
     """The rows of ``docs`` that hold no window, with their columns as they were."""
-    return find_windows(docs, benchmark, size).where(F.size(HITS) == 0).select(docs.columns)
+    found = find_windows(with_row(docs), benchmark, size)
+    return rows_of(found.where(F.size(HITS) == 0), docs.columns)

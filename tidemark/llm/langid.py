@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .arrowmap import map_arrow, ship_package
-from .scratch import Scratch
+from .scratch import Scratch, rows_of, with_row
 from .textarrays import U64, mix
 
 BITS, ORDERS = 16, (1, 2, 3)
@@ -308,5 +308,5 @@ def identify(docs: DataFrame, per_label: int = PER_LABEL) -> DataFrame:
 
 def keep_identified(docs: DataFrame, least_score: float = 0.5, per_label: int = PER_LABEL) -> DataFrame:
     """The rows of ``docs`` whose language is known with at least ``least_score``."""
-    found = predict(docs, fit(docs, per_label))
-    return found.where((F.col(PREDICTED) != UNKNOWN) & (F.col(SCORE) >= least_score)).select(docs.columns)
+    found = predict(with_row(docs), fit(docs, per_label))
+    return rows_of(found.where((F.col(PREDICTED) != UNKNOWN) & (F.col(SCORE) >= least_score)), docs.columns)

@@ -195,7 +195,10 @@ def mix_documents(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), max_rep
     )
     same = docs["doc_id"].eqNullSafe(figures["_mix_doc"]) & docs["source"].eqNullSafe(figures["_mix_source"])
     # Columns of an earlier mix give way to these.
-    own = [docs[c] for c in docs.columns if c not in ("mix_size", "mix_target", "mix_taken")]
+    own = [docs[f"`{c}`"] for c in docs.columns if c not in ("mix_size", "mix_target", "mix_taken")]
     return docs.join(figures, same).select(
-        *own, F.col("_size").alias("mix_size"), F.col("_target").alias("mix_target"), F.col("_taken").alias("mix_taken")
+        *own,
+        figures["_size"].alias("mix_size"),
+        figures["_target"].alias("mix_target"),
+        figures["_taken"].alias("mix_taken"),
     )

@@ -194,4 +194,4 @@ def keep_representatives(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are kept: of each group the document with the least id."""
     found = near_duplicates(docs)
     gone = found.where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")

@@ -3,10 +3,22 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import remove_path, scratch_path
 
 
+def with_row(docs: DataFrame) -> DataFrame:
+    """``text`` beside one struct of all other columns, so that no name can clash with those of an operator."""
+    rest = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
+    return docs.select(F.struct(*rest).alias("row"), "text")
+
+
+def rows_of(df: DataFrame, columns: list[str]) -> DataFrame:
+    """The columns that ``with_row`` has put away."""
+    return df.select(*[F.col("text") if c == "text" else F.col("row").getField(c).alias(c) for c in columns])
+
+
 class Scratch:
     """Tables written in the course of one call.
 
