@@ -455,6 +455,48 @@ def test_licence_texts_and_tags_are_found(wording, name):
     assert max(n for _, _, _, n in found) >= 0.9 * len(licenses._word_hashes(wording))
 
 
+@pytest.mark.parametrize(
+    ("wording", "names"),
+    [
+        ("This work is licensed under the Mozilla Public License, version 1.1.", {"MPL-1.1"}),
+        ("This software is licensed under the Eclipse Public License, version 1.0.", {"EPL-1.0"}),
+        ("This work is licensed under CC BY-NC-SA 2.0", {"CC-BY-NC-SA-2.0"}),
+        ("This work is licensed under CC BY-NC-SA 1.0", set()),
+        ("Licensed under the GNU General Public License, version 1", {"GPL-1.0"}),
+        ("Licensed under the GNU General Public License, version 2.0", {"GPL-2.0"}),
+        ("Licensed under the GNU Lesser General Public License, version 2", {"LGPL-2.0"}),
+        ("Licensed under the GNU Lesser General Public License, version 2.1", {"LGPL-2.1"}),
+        ("Licensed under the GNU Lesser General Public License, version 2.7", set()),
+        ("This work is licensed under the Common Public License, version 1.0.", set()),
+        ("MIT License", {"MIT"}),
+        ("Licensed under MIT", {"MIT"}),
+        ("This project is licensed under MIT license", {"MIT"}),
+        ("This project is licensed under the very nice conditions of nobody", set()),
+    ],
+)
+def test_notices_are_told_apart_by_name_and_version(wording, names):
+    scanner = licenses.Scanner(licensetexts.templates())
+    ((_, data, offsets),) = byte_chunks(pa.array([f"{prose(72, 50)} {wording} {prose(73, 60)}"]))
+    w = words(LOWER[data], offsets, ALNUM, lower=False)
+    assert {scanner.names[t] for _, t, _, _ in scanner.row_matches(sequence_hashes(w.hashes, 2))} == names
+
+
+def test_many_notices_in_one_text_take_time_by_its_length():
+    import time
+
+    scanner = licenses.Scanner(licensetexts.templates())
+
+    def seconds(n: int) -> float:
+        ((_, data, offsets),) = byte_chunks(pa.array(["Licensed under the MIT License and more words. " * n]))
+        w = words(LOWER[data], offsets, ALNUM, lower=False)
+        began = time.process_time()
+        assert len(scanner.row_matches(sequence_hashes(w.hashes, 2))) == n
+        return time.process_time() - began
+
+    seconds(100)
+    assert seconds(8_000) < 12 * seconds(2_000) + 0.5
+
+
 def test_layout_names_do_not_hide_the_article():
     first, second = prose(60, 80).replace("\n", " "), prose(61, 80).replace("\n", " ")
     text = f"<p>{first}</p><p>{second}</p>"

@@ -15,11 +15,15 @@ NAMES = {
     "BSD-3-Clause": ["BSD 3-Clause License", "New BSD License"],
     "ISC": ["ISC License"],
     "Zlib": ["zlib License"],
+    "MPL-1.1": ["Mozilla Public License, version 1.1", "Mozilla Public License 1.1"],
     "MPL-2.0": ["Mozilla Public License, version 2.0", "Mozilla Public License 2.0"],
+    "EPL-1.0": ["Eclipse Public License 1.0", "Eclipse Public License, version 1.0"],
     "EPL-2.0": ["Eclipse Public License 2.0", "Eclipse Public License, version 2.0"],
     "BSL-1.0": ["Boost Software License, Version 1.0"],
+    "GPL-1.0": ["GNU General Public License, version 1"],
     "GPL-2.0": ["GNU General Public License, version 2", "GNU General Public License v2.0"],
     "GPL-3.0": ["GNU General Public License, version 3", "GNU General Public License v3.0"],
+    "LGPL-2.0": ["GNU Lesser General Public License, version 2", "GNU Library General Public License, version 2"],
     "LGPL-2.1": ["GNU Lesser General Public License, version 2.1"],
     "LGPL-3.0": ["GNU Lesser General Public License, version 3"],
     "AGPL-3.0": ["GNU Affero General Public License, version 3"],
@@ -27,7 +31,7 @@ NAMES = {
     **{
         f"CC-{kind.replace(' ', '-')}-{version}": [f"CC {kind} {version}"]
         for kind in ("BY", "BY-SA", "BY-NC", "BY-ND", "BY-NC-SA", "BY-NC-ND")
-        for version in ("3.0", "4.0")
+        for version in ("2.0", "3.0", "4.0")
     },
     **{
         f"CC-{short}-4.0#name": [f"Creative Commons {long} 4.0 International License"]
@@ -45,6 +49,8 @@ NAMES = {
 OPENINGS = ["Released under", "Licensed under", "Distributed under", "This work is licensed under", "Made available under"]
 OPENINGS += [f"{verb} under the terms of" for verb in ("Released", "Licensed", "Distributed", "Made available")]
 OPENINGS += ["This project is licensed under", "This software is licensed under"]
+# Openings that names follow without an article too.
+BARE_OPENINGS = ["Released under", "Licensed under", "This project is licensed under"]
 # Identifiers in tag lines beside the names of licences here.
 TAGS = ["MIT-0", "0BSD", "Unlicense", "WTFPL"]
 
@@ -148,19 +154,30 @@ def whole_texts() -> list[tuple[str, str]]:
     return [(f.stem, f.read_text(encoding="utf-8")) for f in files]
 
 
-def tag_lines() -> list[tuple[str, str]]:
-    """(licence, wording) of tag lines in source files."""
+def tag_lines() -> list[tuple[str, str, str]]:
+    """(licence, wording, what must stand in it) of tag lines in source files."""
     names = dict.fromkeys([*(n.split("#")[0] for n in NAMES), *TEXTS, *(n for n, _ in whole_texts()), *TAGS])
     ends = {n: ["", "-only", "-or-later"] if "GPL" in n or n.startswith("GFDL") else [""] for n in names}
-    return [(n, f"SPDX-License-Identifier: {n}{end}") for n in names for end in ends[n]]
+    return [(n, f"SPDX-License-Identifier: {n}{end}", f"Identifier: {n}") for n in names for end in ends[n]]
 
 
-def templates() -> list[tuple[str, str]]:
-    """(licence, wording) of all notices, each opening before each name, of all texts and of tag lines."""
-    notices = [
-        (name.split("#")[0], f"{opening} {'' if title.startswith('CC') else 'the '}{title}")
-        for name, titles in NAMES.items()
-        for title in titles
-        for opening in OPENINGS
-    ]
-    return notices + list(TEXTS.items()) + MORE_TEXTS + tag_lines() + whole_texts()
+def notices() -> list[tuple[str, str, str]]:
+    """(licence, wording, what must stand in it): each opening before each name, and names as headings."""
+    out = []
+    for name, titles in NAMES.items():
+        name = name.split("#")[0]
+        for title in titles:
+            article = "" if title.startswith("CC") else "the "
+            for opening in OPENINGS:
+                before = article or f"{opening.split()[-1]} "
+                out.append((name, f"{opening} {article}{title}", before + title))
+            if article:
+                out += [(name, f"{opening} {title}", f"under {title}") for opening in BARE_OPENINGS]
+            if len(title.split()) > 1 and "License" in title:
+                out.append((name, title, title))
+    return out
+
+
+def templates() -> list[tuple[str, ...]]:
+    """(licence, wording, and for notices and tag lines what must stand in it word for word)."""
+    return notices() + list(TEXTS.items()) + MORE_TEXTS + tag_lines() + whole_texts()
