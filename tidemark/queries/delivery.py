@@ -165,7 +165,7 @@ def registered_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     spelt = F.when(turn == 0, F.col("r_name")).when(turn == 1, F.lower("r_name")).otherwise(F.concat(F.lit(" "), F.initcap("r_name")))
     spelt = F.when(turn == 3, F.concat(F.col("r_name"), F.lit(" "))).otherwise(spelt)
     writers.write_parquet(rows.select("c_custkey", "c_name", spelt.alias("region")), f"{home}/t")
-    writers.create_database(spark, db)
+    writers.create_database(spark, db, f"{home}/{db}")
     names = [r[0] for r in region.select("r_name").collect()]
     stored = [(s,) for n in names for s in (n, n.lower(), f" {n.title()}")]
     writers.register_table(

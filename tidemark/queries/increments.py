@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..plans.increments import refresh_gold, refresh_profile
 from ..session import remove_path, scratch_dir
+from ..sources.writers import create_database
 from ..streaming.incremental import file_stream, ingest_into_table
 from .registry import FACTS, category_reference, facts, mean_sql, query
 
@@ -35,7 +36,7 @@ def _by_year(df: DataFrame) -> DataFrame:
 def _load(spark: SparkSession, sf_dir: str, *, gold: bool = False, checks: bool = False) -> str:
     """The database of a small lake: two pulls of files from different days, the second one repeated."""
     home, db = scratch_dir(spark, "lake"), f"lake_{uuid.uuid4().hex[:12]}"
-    spark.sql(f"CREATE DATABASE {db} LOCATION '{home}/{db}'")
+    create_database(spark, db, f"{home}/{db}")
     landing, checkpoint = f"{home}/landing", f"{home}/checkpoint"
     rows = _by_year(facts(spark, sf_dir, videos=gold or checks))
     if checks:

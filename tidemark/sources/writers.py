@@ -117,8 +117,9 @@ def union_evolving(first: DataFrame, *others: DataFrame) -> DataFrame:
     return first
 
 
-def create_database(spark: SparkSession, name: str) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`")
+def create_database(spark: SparkSession, name: str, path: str | None = None) -> None:
+    where = f" LOCATION {sql_literal(path)}" if path else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`{where}")
 
 
 def register_table(
