@@ -114,3 +114,11 @@ def test_the_plan_scans_text_only_and_does_not_shuffle_whole_records(spark, tmp_
     assert "FileScan csv" not in plan
     whole = plan.split("Union", 1)[1].split("FileScan text", 1)[0]
     assert "Exchange hashpartitioning" not in whole
+
+
+def test_files_that_are_divided_otherwise_later_are_not_read_in_part(spark, tmp_path, small_pieces):
+    put(tmp_path / "region=us", random.Random(9), 60, name="a.csv")
+    df = records.read_records(spark, str(tmp_path))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2300")
+    with pytest.raises(Exception, match="divided otherwise"):
+        df.collect()

@@ -44,6 +44,7 @@ def read_lines(spark: SparkSession, path: str | list[str], partition_cols: tuple
         *partition_cols,
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_block_start").alias("piece"),
+        F.col("_metadata.file_block_length").alias("length"),
     )
 
 
@@ -52,7 +53,7 @@ def scan_pieces(lines: DataFrame) -> DataFrame:
     in UTF-8, and its lines end, going by the first one, with a carriage return too."""
     text = F.col("value").cast("string")
     quotes = F.length("value") - F.octet_length(F.replace(text, F.lit('"'), F.lit("")))
-    counted = lines.groupBy("file_path", "piece").agg(
+    counted = lines.groupBy("file_path", "piece", "length").agg(
         F.sum(quotes).alias("quotes"),
         F.bool_and(F.is_valid_utf8(text)).alias("is_utf8"),
         # Lines of a piece come in order within one task.
@@ -63,6 +64,7 @@ def scan_pieces(lines: DataFrame) -> DataFrame:
     return counted.select(
         "file_path",
         "piece",
+        "length",
         ((through - F.col("quotes")) % 2 == 1).alias("inside"),
         (through % 2 == 1).alias("open"),
         F.bool_and("is_utf8").over(own).alias("is_utf8"),
@@ -163,13 +165,19 @@ def read_records(
     The first record of a file is left out as its ``header``, and so are records without any text.
     ``only`` is a condition on the partition columns, which prunes folders.
     One small job runs at once: the scan of the pieces. Its result is broadcast for the other scans,
-    at a row for each piece, about a hundred bytes for 128 MB of input.
+    at a row for each piece, about a hundred bytes for 128 MB of input. Should Spark divide the files
+    otherwise by then, as it can where cores come and go and there are few files, the read fails.
     """
     lines = read_lines(spark, path, partition_cols)
     if only is not None:
         lines = lines.filter(only)
     pieces = F.broadcast(stage(scan_pieces(lines), "csv-pieces"))
-    known = lines.join(pieces, ["file_path", "piece"]).withColumn("piece_id", F.xxhash64("file_path", "piece"))
+    # Spark divides files by their sizes and by the cores it has; other cores, other pieces.
+    other = F.raise_error("files are divided otherwise than when quotes were counted: read them again")
+    inside = F.when(F.col("inside").isNull(), other).otherwise(F.col("inside"))
+    known = lines.join(pieces, ["file_path", "piece", "length"], "left").withColumns(
+        {"inside": inside, "piece_id": F.xxhash64("file_path", "piece")}
+    )
     shared = ["is_utf8", "crlf", *partition_cols]
     wanted = known.select("value", "inside", "open", "piece_id", "file_path", "piece", *shared)
     whole = _mapped(wanted, fragments=False)
