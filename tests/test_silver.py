@@ -336,3 +336,21 @@ def test_flatten_levels_parse_and_infer_once_each(spark, monkeypatch):
     assert len(seen) == 3
     empty = flatten.flatten_all(spark.createDataFrame([], "id int, j string"))
     assert empty.columns == ["id", "j"] and empty.count() == 0
+
+
+def test_keys_of_maps_take_no_part_in_inference(spark, monkeypatch):
+    import json
+
+    seen, fields = [], flatten._object_schema
+    monkeypatch.setattr(flatten, "_object_schema", lambda ddl: seen.append(ddl) or fields(ddl))
+    data = [(i, json.dumps({"a": {"n": i, "by": {f"k{i}": i}}, f"j_{i}": 1, "j_m": {f"m{i}": 1}})) for i in range(50)]
+    data += [(50, json.dumps({"a": {"n": 50, "by": None}})), (51, json.dumps({"a": "text"})), (52, "none")]
+    df = spark.createDataFrame([(i, j, json.dumps({f"p{i}": i})) for i, j in data], "id int, j string, p string")
+    flat = flatten.flatten_all(df.filter("id < 51"), maps=["j_a_by", "j_m", "p"])
+    assert [c for c in flat.columns if not c.removeprefix("j_").isdigit()] == ["id", "j_a_by", "j_a_n", "j_m", "j_unparsed", "p", "p_unparsed"]
+    got = {r.id: r for r in flat.selectExpr("id", "j_a_n", "CAST(j_a_by AS STRING) by", "CAST(p AS STRING) p").collect()}
+    assert got[7].j_a_n == 7 and got[7].by == '{"k7":7}' and got[7].p == '{"p7":7}'
+    assert not any("k7" in ddl or "m7" in ddl or "p7" in ddl for ddl in seen if ddl)
+    # A value that is an object in some rows only is text, which the next level parses.
+    mixed = flatten.flatten_all(df.filter("id >= 50"), maps=["j_a_by"])
+    assert mixed.columns == ["id", "j_unparsed", "p50", "p51", "p52", "p_unparsed", "j_a_by", "j_a_n", "j_a_unparsed"]

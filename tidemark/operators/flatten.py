@@ -48,7 +48,11 @@ def _object_schema(ddl: str | None) -> T.DataType | None:
     """The struct that a merged schema of VARIANT values stands for; None if it is no object with fields."""
     if not ddl or not ddl.startswith("OBJECT<") or ddl == "OBJECT<>":
         return None
-    return _readable(T.DataType.fromDDL(ddl.replace("OBJECT<", "STRUCT<")))
+    return _readable(T.DataType.fromDDL(_ddl(ddl)))
+
+
+def _ddl(rendered: str) -> str:
+    return rendered.replace("OBJECT<", "STRUCT<")
 
 
 def _readable(dtype: T.DataType) -> T.DataType:
@@ -70,7 +74,7 @@ def _leaves(
         return [(name, c)]
     out: list[tuple[str, Column]] = []
     for f in dtype.fields:
-        child = f.name if f.name.startswith(name) else f"{name}{sep}{f.name}"
+        child = _child(name, f.name, sep)
         out += _leaves(c.getField(f.name), f.dataType, child, sep)
     return out
 
@@ -131,7 +135,7 @@ def _variant_leaves(
         return [(name, value, isinstance(dtype, T.StringType))]
     out: list[tuple[str, Column, bool]] = []
     for f in dtype.fields:
-        child = f.name if f.name.startswith(name) else f"{name}{sep}{f.name}"
+        child = _child(name, f.name, sep)
         if set(f.name) & _NOT_IN_PATHS:
             value = F.try_variant_get(parsed, path, "map<string,variant>")[f.name]
             out += _variant_leaves(value, f.dataType, child, "$", sep, maps)
@@ -140,12 +144,84 @@ def _variant_leaves(
     return out
 
 
+def _child(name: str, key: str, sep: str) -> str:
+    return key if key.startswith(name) else f"{name}{sep}{key}"
+
+
+def _keys_towards(maps: Sequence[str], name: str, sep: str) -> list[str]:
+    """Keys that an object called ``name`` may have on the way to one of ``maps``, or as one of them."""
+    starts = {m[:i] for m in maps for i in range(len(m) + 1)}
+    keys = starts | {s[len(name + sep) :] for s in starts if s.startswith(name + sep)}
+    return sorted(k for k in keys if _child(name, k, sep) in starts)
+
+
+def _infer_without_maps(
+    stored: DataFrame, columns: Sequence[str], maps: Sequence[str], sep: str
+) -> dict[str, T.DataType]:
+    """Object schemas of the VARIANT columns of text columns, in which ``maps`` are leaves.
+
+    Keys of a map are no fields, so they take no part in the merging of schemas, which would grow with the
+    data. One aggregate, and another one for each further object on the way to a map.
+    """
+    rest: dict[tuple[str, ...], str | None] = {}
+    found: dict[tuple[str, ...], str] = {(c,): c for c in columns}
+    opened = dict(found)
+    while opened:
+        measures: list[Column] = []
+        towards: dict[tuple[str, ...], list[str]] = {}
+        for i, (at, name) in enumerate(opened.items()):
+            value = F.col(f"`{at[0]}{_PARSED}`")
+            for key in at[1:]:
+                value = F.try_variant_get(value, "$", "map<string,variant>")[key]
+            fields = F.try_variant_get(value, "$", "map<string,variant>")
+            towards[at] = [] if name in maps else _keys_towards(maps, name, sep)
+            if name in maps:
+                kept = F.when(F.size(fields) > 0, F.parse_json(F.lit('{"key":null}'))).otherwise(value)
+            elif towards[at]:
+                known = towards[at]
+                others = F.map_filter(fields, lambda k, _: ~k.isin(known))
+                kept = F.coalesce(F.to_variant_object(others), value)
+            else:
+                kept = value
+            measures.append(F.schema_of_variant_agg(kept).alias(f"rest_{i}"))
+            measures += [
+                F.coalesce(F.bool_or(F.map_contains_key(fields, key)), F.lit(False)).alias(f"has_{i}_{j}")
+                for j, key in enumerate(towards[at])
+            ]
+        row = stored.agg(*measures).first()
+        new: dict[tuple[str, ...], str] = {}
+        for i, at in enumerate(opened):
+            rest[at] = row[f"rest_{i}"]
+            new |= {
+                (*at, key): _child(opened[at], key, sep) for j, key in enumerate(towards[at]) if row[f"has_{i}_{j}"]
+            }
+        found |= new
+        opened = {at: name for at, name in new.items() if name not in maps}
+
+    def schema(at: tuple[str, ...]) -> T.DataType:
+        if at not in rest:
+            return T.StringType()
+        inner = [T.StructField(deeper[-1], schema(deeper)) for deeper in found if deeper[:-1] == at]
+        if rest[at] == "OBJECT<>" and inner:
+            fields = inner
+        else:
+            own = _object_schema(rest[at])
+            if own is None:
+                ddl = rest[at] or "VOID"
+                return T.StringType() if ddl.startswith("OBJECT<") else _readable(T.DataType.fromDDL(_ddl(ddl)))
+            fields = own.fields + inner
+        return T.StructType(sorted(fields, key=lambda f: f.name.encode("utf-16-be")))
+
+    schemas = {c: schema((c,)) for c in columns}
+    return {c: s for c, s in schemas.items() if isinstance(s, T.StructType)}
+
+
 def flatten_all(df: DataFrame, *, sep: str = "_", maps: Sequence[str] = ()) -> DataFrame:
     """``flatten`` until nothing nested remains: JSON text inside JSON text is flattened as well.
 
     Works by level. A level parses the text columns that the level before has brought, once, and writes
-    the rows with the parsed values as VARIANT; one aggregate over these gives all schemas, and their
-    leaves are taken out of the stored values. Text leaves are the columns of the next level. Levels
+    the rows with the parsed values as VARIANT; one aggregate over these gives all schemas (one more for each
+    object on the way to a map), and their leaves are taken out of the stored values. Text leaves are the columns of the next level. Levels
     end when no text holds a JSON object any more, which is after as many as JSON is nested in text.
 
     ``maps`` names columns, as they are called after flattening, whose keys are data: they stay VARIANT, so
@@ -165,9 +241,7 @@ def flatten_all(df: DataFrame, *, sep: str = "_", maps: Sequence[str] = ()) -> D
             remove_path(spark, last)
         last, stored = path, spark.read.schema(with_parsed.schema).parquet(path)
         # An object and nothing else: of values that conflict in kind none is taken apart.
-        merged = [F.schema_of_variant_agg(F.col(f"`{c + _PARSED}`")).alias(c) for c in fresh]
-        rendered = stored.agg(*merged).first().asDict()
-        schemas = {c: found for c in fresh if (found := _object_schema(rendered[c])) is not None}
+        schemas = _infer_without_maps(stored, fresh, maps, sep)
         columns: list[tuple[str, Column]] = []
         nested: list[tuple[str, Column]] = []
         known = set(fresh)
