@@ -214,3 +214,17 @@ def test_observed_checks_need_no_second_read(spark, tmp_path, rows):
         watched, checks = quality.observed_checks(frame, quality.STATISTICS)
         watched.write.parquet(str(tmp_path / name))
         assert rows(checks()) == rows(quality.run_checks(frame, quality.STATISTICS))
+
+
+def test_bitmaps_take_no_more_than_their_videos(spark, rows):
+    # Videos of a channel lie far apart, as many channels share them.
+    stats = spark.range(200_000).select(
+        F.concat(F.lit("v"), F.col("id")).alias("video_id"),
+        F.concat(F.lit("c"), F.xxhash64("id") % 500).alias("channel_title"),
+        F.lit("us").alias("region"),
+    )
+    numbers = stats.select("region", "video_id", F.substr("video_id", F.lit(2)).cast("bigint").alias("number"))
+    bitmaps = marts.video_bitmaps(stats, numbers, [])
+    stored = bitmaps.agg(F.count("*"), F.sum(F.octet_length(F.to_binary(F.hex("videos"), F.lit("hex"))))).first()
+    assert stored[0] <= 200_000 and stored[1] <= 8 * 200_000
+    assert marts.distinct_videos(bitmaps).agg(F.sum("total_videos")).first()[0] == 200_000

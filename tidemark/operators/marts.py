@@ -184,19 +184,24 @@ def new_videos(stats: DataFrame, known: DataFrame | None) -> DataFrame:
 
 
 def video_bitmaps(stats: DataFrame, numbers: DataFrame, keys: list[str]) -> DataFrame:
-    """Which videos a channel has, per ``keys``, as bitmaps over their numbers, 32,768 numbers each."""
+    """Which videos a channel has, per ``keys``, as bitmaps over their numbers, 64 numbers each.
+
+    A bitmap is one long, so there are at most as many of them as distinct videos of channels, however far
+    apart the numbers of a channel lie, and they are merged in a hash aggregate.
+    """
     own = numbers.select(F.col("region").alias("_r"), F.col("video_id").alias("_v"), "number")
     same = F.col("region").eqNullSafe(F.col("_r")) & (F.col("video_id") == F.col("_v"))
     rows = stats.select(*dict.fromkeys([*keys, "region", "channel_title", "video_id"])).join(own, same)
-    return rows.groupBy(*dict.fromkeys([*keys, "region", "channel_title"]), F.bitmap_bucket_number("number").alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("number")).alias("videos")
-    )
+    bit = F.expr("shiftleft(1L, CAST(number & 63 AS INT))")
+    return rows.groupBy(
+        *dict.fromkeys([*keys, "region", "channel_title"]), F.shiftright("number", 6).alias("bucket")
+    ).agg(F.bit_or(bit).alias("videos"))
 
 
 def distinct_videos(bitmaps: DataFrame) -> DataFrame:
     """Exact numbers of distinct videos per channel, whatever days and parts their bitmaps are from."""
-    merged = bitmaps.groupBy("channel_title", "region", "bucket").agg(F.bitmap_or_agg("videos").alias("videos"))
-    counted = merged.groupBy("channel_title", "region").agg(F.sum(F.bitmap_count("videos")).alias("total_videos"))
+    merged = bitmaps.groupBy("channel_title", "region", "bucket").agg(F.bit_or("videos").alias("videos"))
+    counted = merged.groupBy("channel_title", "region").agg(F.sum(F.bit_count("videos")).alias("total_videos"))
     return counted.select("channel_title", "region", F.col("total_videos").cast("bigint"))
 
 
