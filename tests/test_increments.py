@@ -228,3 +228,24 @@ def test_bitmaps_take_no_more_than_their_videos(spark, rows):
     stored = bitmaps.agg(F.count("*"), F.sum(F.octet_length(F.to_binary(F.hex("videos"), F.lit("hex"))))).first()
     assert stored[0] <= 200_000 and stored[1] <= 8 * 200_000
     assert marts.distinct_videos(bitmaps).agg(F.sum("total_videos")).first()[0] == 200_000
+
+
+def test_a_merge_shuffles_rows_once_however_often_keys_repeat(spark, lake, rows, monkeypatch):
+    spread, staged = [], []
+    real, stage = versions.spread_by, incremental.stage
+    monkeypatch.setattr(versions, "spread_by", lambda *a: spread.append(a) or real(*a))
+    monkeypatch.setattr(incremental, "stage", lambda df, name: staged.append(name) or stage(df, name))
+    monkeypatch.setattr(incremental, "FREQUENT_ROWS", 2)
+    monkeypatch.setattr(incremental, "PIECE_ROWS", 2)
+    often = [("v9", "A", 1, region, day(1), i, 1) for i in range(40) for region in ("us", None)]
+    both = [[*FIRST, *often], [*SECOND, ("v9", "A", 1, None, day(1), 99, 1)]]
+    best = {}
+    for records in both:
+        silver_frame(spark, *records).write.mode("append").parquet(f"{lake.checkpoint}-in")
+        stream = incremental.file_stream(spark, f"{lake.checkpoint}-in", "parquet", SILVER)
+        incremental.ingest_into_table(stream, lake.table, str(lake.checkpoint), None, latest=("views",))
+        for v, _, _, r, d, views, _ in records:
+            best[v, r, d] = max(best.get((v, r, d), 0), views)
+    got = rows(spark.table(lake.table), "video_id", "region", "trending_date_parsed", "views")
+    assert got == sorted(((*k, n) for k, n in best.items()), key=repr)
+    assert spread == [] and "merge-new" not in staged

@@ -47,20 +47,22 @@ def _load(spark: SparkSession, sf_dir: str, *, gold: bool = False, checks: bool
             }
         )
     names = category_reference(spark, sf_dir)
+    #: Columns of order lines and parts that statistics do not have; the first says which pull a row comes with.
+    others = ("l_linestatus", "l_returnflag", "l_shipdate", "p_type", "p_brand")
 
     def pull() -> list[str]:
         return ingest_into_table(
-            file_stream(spark, landing, "parquet", rows.schema),
+            file_stream(spark, landing, "parquet", rows.drop(*others).schema),
             f"{db}.statistics",
             checkpoint,
-            lambda batch: batch,
+            None,
             partition_cols=("region", "trending_year"),
             latest=("l_orderkey", "l_linenumber"),
             tie_break=[F.col("views").desc(), F.col("likes").desc()],
         )
 
     for status in (F.col("l_linestatus") == "F", F.col("l_linestatus") != "F"):
-        rows.filter(status).write.mode("append").parquet(landing)
+        rows.filter(status).drop(*others).write.mode("append").parquet(landing)
         pull()
         if gold:
             refresh_gold(spark, f"{db}.statistics", lambda name: f"{db}.{name}", names, partitioned=_by_year)

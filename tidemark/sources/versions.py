@@ -140,10 +140,12 @@ def replace_partitions(
     *,
     run_id: str | None = None,
     path: str | None = None,
+    spread: bool = True,
 ) -> bool:
     """Replace the partitions that ``build()`` brings by its rows; False if the run was applied before.
 
     ``build`` is called once the table is in order, so it may read the stored rows that it replaces.
+    ``spread=False`` is for rows that are dealt out by partition already.
     """
     create_versioned_table(spark, table, schema, partition_cols, path)
     finish_runs(spark, table, partition_cols)
@@ -152,7 +154,8 @@ def replace_partitions(
         return False
     root, rows = location(spark, table), build()
     evolve_table(spark, table, rows)
-    writer = spread_by(rows, partition_cols).write.mode("overwrite").option("compression", "snappy")
+    dealt = spread_by(rows, partition_cols) if spread else rows
+    writer = dealt.write.mode("overwrite").option("compression", "snappy")
     writer.partitionBy(*partition_cols).parquet(f"{root}/{RUNS}/{run_id}")
     _apply(spark, table, root, run_id, partition_cols)
     return True

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.dedup import dedup_latest
+from ..operators.dedup import content_order, dedup_latest
 from ..operators.reference import load_reference
 from ..schemas import DEDUP_KEYS
 from ..session import path_exists, remove_path, stage, staging
@@ -129,6 +129,52 @@ def merge_into_path(
     remove_path(spark, ahead)
 
 
+#: A task of a merge takes about this many rows of a partition; a key may repeat in it up to so often.
+PIECE_ROWS, FREQUENT_ROWS, KEY_BUCKETS = 250_000, 1_000_000, 4096
+_BUCKET, _PIECE = "_bucket", "_piece"
+
+
+def _beside(rows: DataFrame, small: DataFrame, columns: Sequence[str], how: str) -> DataFrame:
+    """``rows`` joined with ``small`` by ``columns``, in which NULL equals NULL; keeps the columns of ``rows`` first."""
+    other = small.withColumnsRenamed({c: f"_t_{c}" for c in columns})
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_t_{c}")) for c in columns])
+    return rows.join(other, same, how).drop(*[f"_t_{c}" for c in columns])
+
+
+def _merged(
+    new: DataFrame,
+    stored: DataFrame,
+    partition_cols: Sequence[str],
+    keys: Sequence[str],
+    latest: Sequence[str],
+    tie_break: Sequence[Column] | None,
+) -> DataFrame:
+    """The latest row per key of new rows and the stored partitions they touch, dealt out as they are written.
+
+    One shuffle serves both the de-duplication and the write: rows go by partition and piece, and a key is
+    always in one piece of one partition. Rows of keys that repeat very often are cut by a group limit before.
+    """
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(KEY_BUCKETS))
+    sizes = stage(
+        new.groupBy(*partition_cols, bucket.alias(_BUCKET)).agg(F.count("*").alias("rows")), "merge-sizes"
+    )
+    old = in_touched_partitions(stored, sizes, partition_cols)
+    counted = sizes.drop(_BUCKET).unionByName(old.groupBy(*partition_cols).agg(F.count("*").alias("rows")))
+    pieces = stage(
+        counted.groupBy(*partition_cols).agg(F.ceil(F.sum("rows") / PIECE_ROWS).alias("_pieces")), "merge-pieces"
+    )
+    ties = content_order(new.unionByName(old, allowMissingColumns=True)) if tie_break is None else tie_break
+    frequent = sizes.filter(F.col("rows") > FREQUENT_ROWS)
+    if not frequent.isEmpty():
+        at = [*partition_cols, _BUCKET]
+        frequent, by_bucket = frequent.select(*at), new.withColumn(_BUCKET, bucket)
+        cut = dedup_latest(_beside(by_bucket, frequent, at, "left_semi"), keys, latest, ties)
+        new = _beside(by_bucket, frequent, at, "left_anti").unionByName(cut).drop(_BUCKET)
+    both = _beside(new.unionByName(old, allowMissingColumns=True), pieces, partition_cols, "inner")
+    dealt = both.withColumn(_PIECE, F.pmod(F.xxhash64(*keys), "_pieces")).repartition(*partition_cols, _PIECE)
+    return dedup_latest(dealt, list(dict.fromkeys([*partition_cols, _PIECE, *keys])), latest, ties).drop(_PIECE, "_pieces")
+
+
 def merged_with_table(
     spark: SparkSession,
     table: str,
@@ -141,17 +187,23 @@ def merged_with_table(
     tie_break: Sequence[Column] | None = None,
     run_id: str | None = None,
     path: str | None = None,
+    staged: bool = True,
 ) -> bool:
-    """Merge the rows of ``build()`` into a table by ``keys``; False if the run was applied before."""
+    """Merge the rows of ``build()`` into a table by ``keys``; False if the run was applied before.
+
+    The table's partition columns must follow from ``keys``. ``staged=False`` leaves out the copy of the new
+    rows: they are then computed two or three times, and must come out the same each time.
+    """
     if spark.catalog.tableExists(table):
         partition_cols = versions.partition_columns(spark, table)
 
     def merged() -> DataFrame:
-        new = stage(build(), "merge-new")
-        old = in_touched_partitions(spark.table(table), new, partition_cols)
-        return dedup_latest(new.unionByName(old, allowMissingColumns=True), keys, latest=latest, tie_break=tie_break)
+        new = stage(build(), "merge-new") if staged else build()
+        return _merged(new, spark.table(table), partition_cols, keys, latest, tie_break)
 
-    return versions.replace_partitions(spark, table, merged, schema, partition_cols, run_id=run_id, path=path)
+    return versions.replace_partitions(
+        spark, table, merged, schema, partition_cols, run_id=run_id, path=path, spread=False
+    )
 
 
 def batch_run(checkpoint: str, batch_id: int) -> str:
@@ -163,7 +215,7 @@ def ingest_into_table(
     stream: DataFrame,
     table: str,
     checkpoint: str,
-    transform: Callable[[DataFrame], DataFrame],
+    transform: Callable[[DataFrame], DataFrame] | None,
     *,
     partition_cols: Sequence[str] = ("region", "trending_date_parsed"),
     keys: Sequence[str] = tuple(DEDUP_KEYS),
@@ -173,17 +225,19 @@ def ingest_into_table(
 ) -> list[str]:
     """Merge everything that is new into a catalog table; returns the runs that were applied.
 
+    Without a ``transform`` rows are merged as they are read, and are not copied before.
+
     ``partition_cols`` must follow from ``keys``. ``checkpoint`` is the stream's bookmark: files are taken
     once, and a batch that is repeated after a crash, or by a checkpoint set back, changes nothing.
     """
     runs: list[str] = []
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        run_id, rows = batch_run(checkpoint, batch_id), transform(batch)
+        run_id, rows = batch_run(checkpoint, batch_id), transform(batch) if transform else batch
         with staging(batch.sparkSession):
             if merged_with_table(
                 batch.sparkSession, table, lambda: rows, rows.schema, partition_cols, keys, latest,
-                tie_break=tie_break, run_id=run_id, path=path,
+                tie_break=tie_break, run_id=run_id, path=path, staged=transform is not None,
             ):
                 runs.append(run_id)
 
