@@ -2,7 +2,7 @@
 
 Gold keeps two things between runs. The daily grain (region, day, channel, category) has every measure as
 a sum or a bound, so totals of any span of days come from it. Distinct videos of a channel cannot be
-added up over days; they are kept as bitmaps over dense video numbers, one for each channel and Silver
+added up over days; they are kept as bitmaps of 64 dense video numbers each, by channel and Silver
 partition, which an OR combines exactly. A run reads from Silver the partitions that were replaced since
 its last time, and puts their grain and bitmaps in place of the old ones. Daily marts are then made for
 these partitions; the channel mart for their regions, from grain and bitmaps.
