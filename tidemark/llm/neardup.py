@@ -5,8 +5,9 @@ them. Equal sets are one node. Retained values make inverted lists, of which onl
 kept that can generate an overlap: with values ordered from rare to frequent, two sketches with
 the overlap that is needed share a value among the first few of both, so frequent values (a
 passage that many documents share) seldom form lists. A list that still holds many unlike
-documents after a first comparison (variants of one text, too far apart to be linked) is divided
-by finer keys made of several values each. Pairs from the lists are filtered by the
+documents after a first comparison (variants of one text, too far apart to be linked) gives way to
+lists of the values of their whole sets, in which a value's place tells which pairs can still be
+similar. Pairs from the lists are filtered by the
 sketch of the union, and confirmed on the full sets, which are read again from the texts.
 
 The needed overlap is exact for sets whose similar sets all fit into the sketch. For larger ones
@@ -36,9 +37,6 @@ from .textarrays import U64, byte_chunks, long_lists, mix, shingle_sets, words
 SIZE = 5
 SKETCH = 128
 PERCENT = 75
-#: Finer keys: 64 bands of 8 values meet at a similarity of 0.75 with probability 0.9988.
-FINER_BANDS, FINER_ROWS = 64, 8
-_SEEDS = np.random.default_rng(23).integers(1, 1 << 62, FINER_BANDS * FINER_ROWS, dtype=U64) * U64(2) + U64(1)
 #: Standard deviations of slack in the overlap of two sketches.
 SLACK = 6
 
@@ -108,20 +106,37 @@ def prefix_members(nodes: DataFrame, scratch: Scratch) -> DataFrame:
     return scratch.put(out.join(several, "key", "left_semi"), "near-members")
 
 
-def finer_keys(sets: DataFrame) -> DataFrame:
-    """(key, node): values of the set under several scramblings, so many of them in one key."""
+def set_values(sets: DataFrame) -> DataFrame:
+    """(key, node, n) of every value of the sets (node, members); ``n`` is the size of the set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                members = np.frombuffer(batch.column(1)[i].as_buffer(), U64)
-                least = np.concatenate([mix(members * s + s).min(1) for s in _SEEDS.reshape(FINER_ROWS, -1, 1)])
-                least = least.reshape(FINER_BANDS, FINER_ROWS)
-                key = (least * _SEEDS[:FINER_ROWS]).sum(1, dtype=U64) + np.arange(FINER_BANDS).astype(U64)
-                node = pa.repeat(batch.column(0)[i], FINER_BANDS)
-                yield pa.RecordBatch.from_arrays([pa.array(mix(key).view(np.int64)), node], ["key", "node"])
+                # Inverted, as keys of retained values may be left beside these.
+                members = ~np.frombuffer(batch.column(1)[i].as_buffer(), np.int64)
+                n = len(members)
+                node, size = pa.repeat(batch.column(0)[i], n), pa.repeat(pa.scalar(n, pa.int64()), n)
+                yield pa.RecordBatch.from_arrays([pa.array(members), node, size], ["key", "node", "n"])
 
-    return map_arrow(sets, run, "key long, node long")
+    return map_arrow(sets, run, "key long, node long, n long")
+
+
+def finer_keys(sets: DataFrame, scratch: Scratch) -> DataFrame:
+    """(key, node, n, rest): values of whole sets from rare to frequent, as far as they can be the first in common.
+
+    ``rest`` is the number of values of the set from this one on. The first value that two similar sets
+    have in common leaves at least their overlap in both, so pairs with less under a key cannot be similar
+    by that key (see ``link_by_keys``). No pair is lost.
+    """
+    values = scratch.put(set_values(sets), "near-values")
+    frequency = values.groupBy("key").agg(F.count("*").alias("df")).where("df > 1")
+    shared = values.join(frequency, "key")
+    n_shared = F.count("*").over(Window.partitionBy("node"))
+    # Values that no other set here has come first in the order.
+    after = n_shared - F.row_number().over(Window.partitionBy("node").orderBy("df", "key")) + 1
+    return shared.withColumn("rest", after.cast("long")).where(F.col("rest") * 100 >= F.col("n") * PERCENT).select(
+        "key", "node", "n", "rest"
+    )
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,7 +196,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         def confirm(pairs: DataFrame) -> DataFrame:
             return similar_pairs(pairs, few, sets)
 
-        roots = link_by_keys(members, confirm, scratch, "near", lambda n: finer_keys(sets.join(n, "node", "left_semi")))
+        def finer(live: DataFrame) -> DataFrame:
+            return finer_keys(sets.join(live, "node", "left_semi"), scratch)
+
+        roots = link_by_keys(members, confirm, scratch, "near", finer)
         out = (
             member_of.join(roots, "node", "left")
             .withColumn("component_id", F.coalesce("root", "node", "doc_id"))
