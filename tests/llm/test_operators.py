@@ -233,6 +233,23 @@ def test_similar_sets_of_all_sizes_share_keys(spark):
             assert keys[i] & keys[i + 1], len(sets[i])
 
 
+def test_shingles_that_many_share_are_keys_of_few(spark):
+    rng = np.random.default_rng(10)
+    often = rng.integers(0, 2**31, 6, dtype=np.uint32)  # the lower half, so among the first by value
+    sets = []
+    for _ in range(400):
+        own = rng.integers(0, 2**32, 18, dtype=np.uint32)
+        other = np.concatenate([own[2:], rng.integers(0, 2**32, 2, dtype=np.uint32)])
+        sets += [np.unique(np.concatenate([often, x])) for x in (own, other)]
+    df = spark.createDataFrame([(i, bytearray(x.tobytes())) for i, x in enumerate(sets)], "unit long, shingles binary")
+    found = paragraphs.set_keys(df, paragraphs.common_shingles(df)).collect()
+    keys: dict[int, set] = {}
+    for r in found:
+        keys.setdefault(r.unit, set()).add(r.key)
+    assert all(keys[i] & keys[i + 1] for i in range(0, len(sets), 2))
+    assert max(Counter(r.key for r in found).values()) <= 4
+
+
 def test_finer_keys_meet_for_all_similar_small_sets(spark):
     rng = np.random.default_rng(8)
     base = rng.integers(0, 2**32, 14, dtype=np.uint32)

@@ -9,7 +9,7 @@ passage is covered from its first word to its last. Phrases are left alone: what
 repeated paragraphs and windows that follow on one another, of 14 words or more together and with one
 of 7 words or more among them. Of a long line with a few words changed these words stay.
 
-Sets are the distinct 5-word shingles of a paragraph. With shingles in the order of their hashes, sets
+Sets are the distinct 5-word shingles of a paragraph. With shingles from rare to frequent, sets
 of n at a similarity of 0.75 share one of the first n - ceil(0.75 n) + 1 of either; up to 63 shingles
 these are the keys, and no pair is lost. Larger sets have 16 bands of two MinHash values (0.999998 at
 0.75). Keys under which many unlike paragraphs meet are divided by finer ones. Colliding
@@ -53,6 +53,8 @@ FIRST_UPTO, BANDED_FROM, BANDS, ROWS = 63, 48, 16, 2
 #: Finer keys: sizes up to which shingles are taken away, sizes with so many of the first shingles in
 #: a key, and the bands of larger sets. Neighbouring sizes overlap, as similar sets differ in size.
 DELETED_UPTO, TUPLES, FINER_BANDS, FINER_ROWS = 11, ((3, 9, 31), (2, 24, 63)), 128, 8
+#: How many frequent shingles are known by their number, and shingles that are counted at a time.
+COMMON, RUN_OF_SHINGLES = 500_000, 1 << 20
 #: Words of a seed, and how many seeds a window of LEAST_RUN words has to choose from.
 SEED = 7
 CHOICE = LEAST_RUN - SEED + 1
@@ -118,22 +120,23 @@ def paragraphs(docs: DataFrame) -> DataFrame:
             for base, data, offsets in byte_chunks(batch.column(2)):
                 row, first, last, start, end, w = split(data, offsets)
                 shingles = sequence_hashes(w.hashes, SIZE)
-                # The hash of a paragraph: a sum over its words and places.
-                place = np.arange(len(w.hashes)).astype(U64)
+                # The hash of a paragraph: a sum over its words and places. Paragraphs follow on one another.
+                place = np.arange(len(w.hashes)) - np.repeat(first, last - first)
                 unit = np.zeros(len(first), U64)
                 if len(first):
-                    reps = np.repeat(first, last - first)
-                    at = np.concatenate([np.arange(a, b) for a, b in zip(first.tolist(), last.tolist(), strict=True)])
-                    terms = mix(w.hashes[at] + (place[at] - reps.astype(U64)) * U64(0x9E3779B97F4A7C15))
-                    ends = np.cumsum(last - first)
-                    unit = mix(np.add.reduceat(terms, ends - (last - first)))
+                    unit = mix(np.add.reduceat(mix(w.hashes + place.astype(U64) * U64(0x9E3779B97F4A7C15)), first))
                 # A paragraph of fewer words than a shingle is one shingle.
-                sets = [
-                    (np.unique(shingles[a : b - SIZE + 1] >> U64(32)) if b - a >= SIZE else unit[i : i + 1] >> U64(32))
-                    .astype(np.uint32)
-                    .tobytes()
-                    for i, (a, b) in enumerate(zip(first.tolist(), last.tolist(), strict=True))
-                ]
+                short = last - first < SIZE
+                own = np.repeat(np.arange(len(first)), np.where(short, 1, last - first - SIZE + 1))
+                value = np.zeros(len(own), U64)
+                value[short[own]] = unit[short] >> U64(32)
+                value[~short[own]] = shingles[np.flatnonzero(place + SIZE <= np.repeat(last - first, last - first))] >> U64(32)
+                sets = np.sort(own.astype(U64) << U64(32) | value)
+                new = np.ones(len(sets), bool)
+                new[1:] = sets[1:] != sets[:-1]
+                sets = sets[new]
+                offs = 4 * np.searchsorted(sets >> U64(32), np.arange(len(first) + 1).astype(U64)).astype(np.int32)
+                packed = pa.py_buffer((sets & U64(0xFFFFFFFF)).astype(np.uint32).tobytes())
                 rows = pa.array(row + base)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -143,7 +146,7 @@ def paragraphs(docs: DataFrame) -> DataFrame:
                         pa.array((end - offsets[row]).astype(np.int32)),
                         pa.array((last - first).astype(np.int32)),
                         pa.array(unit.view(np.int64)),
-                        pa.array(sets, pa.binary()),
+                        pa.BinaryArray.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offs.tobytes()), packed]),
                     ],
                     ["row", "doc_id", "start", "stop", "n_words", "unit", "shingles"],
                 )
@@ -156,20 +159,72 @@ def _first(n: np.ndarray | int, share: int = 1) -> np.ndarray | int:
     return n + (-n * PERCENT) // 100 + share
 
 
-def set_keys(units: DataFrame) -> DataFrame:
-    """(key, unit): the keys under which every paragraph meets those similar to it."""
+def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All values of a column of packed sets, and the size of each set."""
+    column = column.cast(pa.large_binary())
+    offs = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+    values = np.frombuffer(column.buffers()[2], np.uint8)[offs[0] : offs[-1]].view(np.uint32)
+    return values, np.diff(offs) // 4
+
+
+def common_shingles(units: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that occur often, sorted, and how often.
+
+    What a run of about a million shingles holds twice or more is added up; of the sums the ``COMMON`` largest
+    come to the driver, at most 12 bytes each. They settle only the order of shingles, any of which is right.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+
+        def counted() -> pa.RecordBatch:
+            values, n = np.unique(np.concatenate(held), return_counts=True)
+            held.clear()
+            return pa.RecordBatch.from_arrays(
+                [pa.array(values[n > 1].astype(np.int64)), pa.array(n[n > 1].astype(np.int64))], ["value", "n"]
+            )
+
+        for batch in batches:
+            if batch.num_rows:
+                held.append(_flat(batch.column(0))[0])
+                if sum(map(len, held)) >= RUN_OF_SHINGLES:
+                    yield counted()
+        if held:
+            yield counted()
+
+    counts = map_arrow(units.select("shingles"), run, "value long, n long").groupBy("value").agg(F.sum("n").alias("n"))
+    most = counts.orderBy(F.desc("n"), "value").limit(COMMON).toArrow()
+    values, n = most["value"].to_numpy().astype(np.uint32), most["n"].to_numpy()
+    order = np.argsort(values)
+    return values[order], n[order]
+
+
+def _rarest_first(values: np.ndarray, n: np.ndarray, common: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """The values of each set in the order of how often they occur, then of their hashes."""
+    if not len(common[0]):
+        return values
+    at = np.minimum(np.searchsorted(common[0], values), len(common[0]) - 1)
+    often = np.where(common[0][at] == values, common[1][at], 0)
+    return values[np.lexsort((values, often, np.repeat(np.arange(len(n)), n)))]
+
+
+def set_keys(units: DataFrame, common: tuple[np.ndarray, np.ndarray] | None = None) -> DataFrame:
+    """(key, unit): the keys under which every paragraph meets those similar to it.
+
+    ``common``: shingles that come last in the order, and how often they occur.
+    """
+    nothing = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+    shared = units.sparkSession.sparkContext.broadcast(nothing if common is None else common)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            column = batch.column(1).cast(pa.large_binary())
-            offs = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
-            values = np.frombuffer(column.buffers()[2], np.uint8)[offs[0] : offs[-1]].view(np.uint32).astype(U64)
-            at = (offs[:-1] - offs[0]) // 4
-            n = np.diff(offs) // 4
+            values, n = _flat(batch.column(1))
+            values = _rarest_first(values, n, shared.value).astype(U64)
+            at = np.cumsum(n) - n
             units_ = batch.column(0).to_numpy()
-            # Sets are sorted, and their values are hashes: the order of values will do.
+            # Any order that all sets share will do; the rarest first have the fewest in common by chance.
             small = np.flatnonzero(n <= FIRST_UPTO)
             many = _first(n[small])
             place = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
@@ -350,7 +405,7 @@ def duplicate_spans(keyed: DataFrame, scratch: Scratch) -> DataFrame:
     ``keyed``: (row, doc_id, text), where row tells texts with one doc_id apart.
     """
     units = scratch.put(paragraphs(keyed), "par-units")
-    keys = set_keys(units)
+    keys = set_keys(units, common_shingles(units))
     repeated = scratch.put(
         keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "par-keys"
     )
