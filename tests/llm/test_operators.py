@@ -269,6 +269,64 @@ def test_finer_keys_meet_for_all_similar_small_sets(spark):
             assert keys[i] & keys[j]
 
 
+def test_finer_keys_are_no_more_than_first_ones(spark):
+    sets, df = packed_sets(spark, range(1, 48), 4, 12)
+    found = Counter(r.node for r in paragraphs.finer_keys(df).collect())
+    for i, x in enumerate(sets):
+        assert found[i] <= len(x) - -(-len(x) * 75 // 100) + 1
+
+
+def test_variants_of_one_paragraph_meet_its_middle_first(spark):
+    rng = np.random.default_rng(14)
+    base = rng.integers(0, 2**32, 40, dtype=np.uint32)
+    sets = [base]
+    for at in rng.integers(0, 36, 60).tolist():
+        sets.append(np.concatenate([base[:at], rng.integers(0, 2**32, 5, dtype=np.uint32), base[at + 5 :]]))
+    # The middle has the largest id.
+    sets = [np.unique(x) for x in reversed(sets)]
+    df = spark.createDataFrame([(i, bytearray(x.tobytes())) for i, x in enumerate(sets)], "unit long, shingles binary")
+    compared = []
+
+    def similar(a: int, b: int) -> bool:
+        common = len(np.intersect1d(sets[a], sets[b]))
+        return 100 * common >= 75 * (len(sets[a]) + len(sets[b]) - common)
+
+    def confirm(pairs):
+        compared.extend(own := [(r.a, r.b) for r in pairs.collect()])
+        return spark.createDataFrame([x for x in own if similar(*x)], "a long, b long")
+
+    with Scratch(spark) as scratch:
+        keys = paragraphs.set_keys(df, paragraphs.common_shingles(df)).withColumnRenamed("unit", "node")
+        members = scratch.put(keys, "test-members")
+        roots = {r.node: r.root for r in linking.link_by_keys(members, confirm, scratch, "test", None).collect()}
+    assert set(roots.values()) == {0} and len(roots) == 61
+    assert len(compared) < 300
+
+
+def test_runs_are_the_same_in_batches_of_any_size():
+    rng = random.Random(15)
+    spans = sorted((ord_ << 30 | rng.randrange(60), rng.choice([3, 7, 14]), rng.randrange(4) << 30) for ord_ in range(6) for _ in range(9))
+
+    def runs(size: int) -> list[tuple]:
+        parts = [list(zip(*spans[i : i + size], strict=True)) for i in range(0, len(spans), size)]
+        batches = [pa.RecordBatch.from_arrays([pa.array(c) for c in p], ["pos", "n_words", "first"]) for p in parts]
+        return sorted(tuple(r.values()) for b in paragraphs._runs(iter(batches)) for r in b.to_pylist())
+
+    want = set()
+    for ord_ in range(6):
+        own = [(p & 0xFFFF, n, f >> 30) for p, n, f in spans if p >> 30 == ord_]
+        covered = {w for p, n, _ in own for w in range(p, p + n)}
+        for p, _, _ in own:
+            lo = hi = p
+            while lo - 1 in covered:
+                lo -= 1
+            while hi in covered:
+                hi += 1
+            inside = [x for x in own if lo <= x[0] < hi]
+            want |= {(ord_, lo, hi - lo, max(x[1] for x in inside), x[2]) for x in inside}
+    assert runs(1) == runs(7) == runs(100) == sorted(want)
+
+
 # op6
 
 

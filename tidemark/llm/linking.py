@@ -48,9 +48,9 @@ def components(links: DataFrame, scratch: Scratch, label: str = "labels") -> Dat
 FIRST_WIDTH, WIDER, SHORT = 1, 16, 8
 
 
-def _unplaced() -> list[Column]:
-    """Of members of keys that say nothing about the place of a value in the set: n and rest."""
-    return [F.lit(None).cast("long").alias(c) for c in ("n", "rest")]
+def _of_sets(members: DataFrame) -> list[Column]:
+    """n and rest, null where keys say nothing about the place of a value in the set."""
+    return [(F.col(c) if c in members.columns else F.lit(None)).cast("long").alias(c) for c in ("n", "rest")]
 
 
 def link_by_keys(
@@ -62,7 +62,7 @@ def link_by_keys(
 ) -> DataFrame:
     """(node, root) of the components that all confirmed pairs with a common key would make.
 
-    ``members``: distinct (key, node), a stored table. ``confirm`` takes distinct pairs (a, b)
+    ``members``: distinct (key, node), or (key, node, n, rest), a stored table. ``confirm`` takes distinct pairs (a, b)
     and returns those that hold. In each round, the first members of every key (one, then
     sixteen times as many as before) are compared with the members that are not yet in their
     component, and then leave the key. A key is done when what is left of it is one component or
@@ -70,15 +70,16 @@ def link_by_keys(
     a million; only members that are truly unlike are compared with each other.
 
     Where more than ``SHORT`` unlike members of a key are left after the first round, ``finer``
-    gives these nodes more selective keys, on which the rounds go on instead: (key, node), or
-    (key, node, n, rest) with the size of the node's set and the number of its values from this one on,
-    in an order that all sets share. Then pairs at a similarity of 0.75 have an overlap of 3 / 7 of
-    both sizes, and are formed only where both leave as much. First among the members are those that
+    gives these nodes more selective keys, on which the rounds go on instead, in the same columns.
+
+    ``n`` and ``rest`` are the size of the node's set and the number of its values from this one on,
+    in an order that all sets share (null: not known). Then pairs at a similarity of 0.75 have an overlap of
+    3 / 7 of both sizes, and are formed only where both leave as much. First among the members are those that
     leave most: what is near to many others is near to the middle of the group.
     """
     every: DataFrame | None = None
     width = FIRST_WIDTH
-    live = members.select("key", "node", F.col("node").alias("root"), *_unplaced())
+    live = members.select("key", "node", F.col("node").alias("root"), *_of_sets(members))
     while True:
         order = Window.partitionBy("key").orderBy((F.col("rest") / F.col("n")).desc(), "node")
         placed = live.withColumn("place", F.row_number().over(order))
@@ -113,8 +114,7 @@ def _divided(live: DataFrame, finer: Callable[[DataFrame], DataFrame]) -> DataFr
     long_keys = live.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > SHORT).select("key")
     nodes = live.join(long_keys, "key", "left_semi").select("node", "root").distinct()
     found = finer(nodes.select("node"))
-    of_sets = ["n", "rest"] if "rest" in found.columns else _unplaced()
-    keyed = found.select("key", F.col("node"), *of_sets).join(nodes, "node").select("key", "node", "root", "n", "rest")
+    keyed = found.select("key", "node", *_of_sets(found)).join(nodes, "node").select("key", "node", "root", "n", "rest")
     kinds = keyed.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1"))
     unlike = kinds.where("r0 <> r1").select("key")
     return live.join(long_keys, "key", "left_anti").union(keyed.join(unlike, "key", "left_semi"))

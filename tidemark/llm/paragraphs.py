@@ -30,12 +30,11 @@ cut alike; a table without rows gives none.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -50,11 +49,12 @@ PERCENT = 75
 #: Sets of up to so many shingles have their first shingles as keys. Sets of 48 or more, which may be
 #: similar to larger ones, have bands.
 FIRST_UPTO, BANDED_FROM, BANDS, ROWS = 63, 48, 16, 2
-#: Finer keys: sizes up to which shingles are taken away, sizes with so many of the first shingles in
-#: a key, and the bands of larger sets. Neighbouring sizes overlap, as similar sets differ in size.
-DELETED_UPTO, TUPLES, FINER_BANDS, FINER_ROWS = 11, ((3, 9, 31), (2, 24, 63)), 128, 8
+#: Bands of the finer keys of larger sets. Neighbouring sizes overlap, as similar sets differ in size.
+FINER_BANDS, FINER_ROWS = 128, 8
 #: How many frequent shingles are known by their number, and shingles that are counted at a time.
 COMMON, RUN_OF_SHINGLES = 500_000, 1 << 20
+#: Bits of a position that are the number of a word in its text. A text has fewer words than that (2 GiB at most).
+WORD_BITS = 30
 #: Words of a seed, and how many seeds a window of LEAST_RUN words has to choose from.
 SEED = 7
 CHOICE = LEAST_RUN - SEED + 1
@@ -75,17 +75,14 @@ def _cuts(hashes: np.ndarray, line: np.ndarray) -> np.ndarray:
 
 
 def split(data: np.ndarray, offsets: np.ndarray):
-    """Paragraphs of a run of rows: row, first and last word, byte range in the run, and words.
-
-    The byte range reaches to the next paragraph of the same line, or to the end of the line.
-    """
+    """Paragraphs of a run of rows: row, first word, the word after the last, and words."""
     w = words(data, offsets)
     row = w.row_of()
     feeds = np.flatnonzero(data == 10)
     line = np.searchsorted(feeds, w.starts) + row  # rises with lines and with rows
     if not len(row):
         none = np.zeros(0, np.int64)
-        return none, none, none, none, none, w
+        return none, none, none, w
     new_line = np.ones(len(line), bool)
     new_line[1:] = (line[1:] != line[:-1]) | (row[1:] != row[:-1])
     firsts = np.flatnonzero(new_line)
@@ -94,12 +91,14 @@ def split(data: np.ndarray, offsets: np.ndarray):
     begins = new_line | (_cuts(w.hashes, number) & (length > LONG_LINE)[number])
     first = np.flatnonzero(begins)
     last = np.append(first[1:], len(line))
-    return row[first], first, last, w.starts[first], _stops(w, data, offsets, last, line, row), w
+    return row[first], first, last, w
 
 
-def _stops(w: Words, data: np.ndarray, offsets: np.ndarray, last: np.ndarray, line: np.ndarray, row: np.ndarray) -> np.ndarray:
+def _stops(w: Words, data: np.ndarray, offsets: np.ndarray, last: np.ndarray) -> np.ndarray:
     """Where the bytes of words up to ``last`` end: at the next word of the line, or at the line's end."""
     feeds = np.flatnonzero(data == 10)
+    row = w.row_of()
+    line = np.searchsorted(feeds, w.starts) + row
     before = last - 1
     feed = np.append(feeds, len(data))[np.searchsorted(feeds, w.ends[before])]
     line_end = np.minimum(feed, offsets[1:][row[before]])
@@ -108,17 +107,38 @@ def _stops(w: Words, data: np.ndarray, offsets: np.ndarray, last: np.ndarray, li
     return np.where(goes_on, w.starts[after], line_end)
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """(doc_id, row, ord): documents that differ in doc_id or text, numbered in the order of (doc_id, row)."""
+    ranged = docs.select("doc_id", "row").distinct().repartitionByRange("doc_id", "row")
+    return ranged.sortWithinPartitions("doc_id", "row").select("doc_id", "row", F.monotonically_increasing_id().alias("ord"))
+
+
+def dense(ids: DataFrame) -> DataFrame:
+    """``ids``, a stored table of ``numbered``, with numbers that leave no gaps between its slices."""
+    cut = F.shiftright("ord", 33)
+    sizes = ids.groupBy(cut.alias("slice")).agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1))
+    starts = sizes.select("slice", F.coalesce(before, F.lit(0)).alias("before"))
+    inside = F.col("ord").bitwiseAND(F.lit((1 << 33) - 1))
+    return ids.join(starts, cut == F.col("slice")).select("doc_id", "row", (inside + F.col("before")).alias("ord"))
+
+
+def _positions(ord_: np.ndarray, word: np.ndarray) -> pa.Array:
+    """Numbers of words in the order of all texts."""
+    return pa.array((ord_.astype(np.int64) << WORD_BITS) | word.astype(np.int64))
+
+
 def paragraphs(docs: DataFrame) -> DataFrame:
-    """(row, doc_id, start, stop, n_words, unit, shingles) of every paragraph.
+    """(row, doc_id, place, n_words, unit, shingles) of every paragraph of ``docs`` (row, doc_id, text).
 
-    ``start`` and ``stop`` are byte positions in the UTF-8 text, ``unit`` is a hash of the words,
+    ``place`` is the number of the first word, ``unit`` is a hash of the words,
     ``shingles`` the set as packed 32-bit values.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for base, data, offsets in byte_chunks(batch.column(2)):
-                row, first, last, start, end, w = split(data, offsets)
+                row, first, last, w = split(data, offsets)
                 shingles = sequence_hashes(w.hashes, SIZE)
                 # The hash of a paragraph: a sum over its words and places. Paragraphs follow on one another.
                 place = np.arange(len(w.hashes)) - np.repeat(first, last - first)
@@ -142,16 +162,15 @@ def paragraphs(docs: DataFrame) -> DataFrame:
                     [
                         batch.column(0).take(rows),
                         batch.column(1).take(rows),
-                        pa.array((start - offsets[row]).astype(np.int32)),
-                        pa.array((end - offsets[row]).astype(np.int32)),
+                        pa.array((first - w.rows[row]).astype(np.int32)),
                         pa.array((last - first).astype(np.int32)),
                         pa.array(unit.view(np.int64)),
                         pa.BinaryArray.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offs.tobytes()), packed]),
                     ],
-                    ["row", "doc_id", "start", "stop", "n_words", "unit", "shingles"],
+                    ["row", "doc_id", "place", "n_words", "unit", "shingles"],
                 )
 
-    return map_arrow(docs, run, "row long, doc_id long, start int, stop int, n_words int, unit long, shingles binary")
+    return map_arrow(docs, run, "row long, doc_id long, place int, n_words int, unit long, shingles binary")
 
 
 def _first(n: np.ndarray | int, share: int = 1) -> np.ndarray | int:
@@ -167,12 +186,14 @@ def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return values, np.diff(offs) // 4
 
 
-def common_shingles(units: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+def common_shingles(units: DataFrame, every: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Shingles that occur often, sorted, and how often.
 
-    What a run of about a million shingles holds twice or more is added up; of the sums the ``COMMON`` largest
-    come to the driver, at most 12 bytes each. They settle only the order of shingles, any of which is right.
+    What a run of about a million shingles holds twice or more (``every``: or once) is added up; of the sums the
+    ``COMMON`` largest come to the driver, at most 12 bytes each. They settle only the order of shingles, any
+    of which is right.
     """
+    least = 1 if every else 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -181,7 +202,7 @@ def common_shingles(units: DataFrame) -> tuple[np.ndarray, np.ndarray]:
             values, n = np.unique(np.concatenate(held), return_counts=True)
             held.clear()
             return pa.RecordBatch.from_arrays(
-                [pa.array(values[n > 1].astype(np.int64)), pa.array(n[n > 1].astype(np.int64))], ["value", "n"]
+                [pa.array(values[n >= least].astype(np.int64)), pa.array(n[n >= least].astype(np.int64))], ["value", "n"]
             )
 
         for batch in batches:
@@ -192,7 +213,7 @@ def common_shingles(units: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         if held:
             yield counted()
 
-    counts = map_arrow(units.select("shingles"), run, "value long, n long").groupBy("value").agg(F.sum("n").alias("n"))
+    counts = map_arrow(units.select("shingles"), run, "value long, n long").groupBy("value").agg(F.sum("n").alias("n")).where("n > 1")
     most = counts.orderBy(F.desc("n"), "value").limit(COMMON).toArrow()
     values, n = most["value"].to_numpy().astype(np.uint32), most["n"].to_numpy()
     order = np.argsort(values)
@@ -208,10 +229,31 @@ def _rarest_first(values: np.ndarray, n: np.ndarray, common: tuple[np.ndarray, n
     return values[np.lexsort((values, often, np.repeat(np.arange(len(n)), n)))]
 
 
+def _first_keys(values: np.ndarray, n: np.ndarray, units: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """Keys, units, sizes, and how many values are left from the key on, for the first values of sets in order."""
+    at = np.cumsum(n) - n
+    # Any order that all sets share will do; the rarest first have the fewest in common by chance.
+    small = np.flatnonzero(n <= FIRST_UPTO)
+    many = _first(n[small])
+    place = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+    size = np.repeat(n[small], many)
+    first = mix(values[np.repeat(at[small], many) + place].astype(U64) + U64(1))
+    return first, np.repeat(units[small], many), size, size - place
+
+
+_KEYS = "key long, {} long, n int, rest int"
+
+
+def _key_rows(name: str, key: np.ndarray, unit: np.ndarray, n: np.ndarray | None = None, rest: np.ndarray | None = None):
+    of_sets = [pa.nulls(len(key), pa.int32()) if x is None else pa.array(x.astype(np.int32)) for x in (n, rest)]
+    return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(unit), *of_sets], ["key", name, "n", "rest"])
+
+
 def set_keys(units: DataFrame, common: tuple[np.ndarray, np.ndarray] | None = None) -> DataFrame:
-    """(key, unit): the keys under which every paragraph meets those similar to it.
+    """(key, unit, n, rest): the keys under which every paragraph meets those similar to it.
 
-    ``common``: shingles that come last in the order, and how often they occur.
+    ``common``: shingles that come last in the order, and how often they occur. ``n`` and ``rest`` are the size
+    of the set and the number of its shingles from the key on, null for bands.
     """
     nothing = np.zeros(0, np.uint32), np.zeros(0, np.int64)
     shared = units.sparkSession.sparkContext.broadcast(nothing if common is None else common)
@@ -222,16 +264,8 @@ def set_keys(units: DataFrame, common: tuple[np.ndarray, np.ndarray] | None = No
                 continue
             values, n = _flat(batch.column(1))
             values = _rarest_first(values, n, shared.value).astype(U64)
-            at = np.cumsum(n) - n
             units_ = batch.column(0).to_numpy()
-            # Any order that all sets share will do; the rarest first have the fewest in common by chance.
-            small = np.flatnonzero(n <= FIRST_UPTO)
-            many = _first(n[small])
-            place = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-            first = mix(values[np.repeat(at[small], many) + place] + U64(1))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(first.view(np.int64)), pa.array(np.repeat(units_[small], many))], ["key", "unit"]
-            )
+            yield _key_rows("unit", *_first_keys(values, n, units_))
             large = n >= BANDED_FROM
             if not large.any():
                 continue
@@ -240,50 +274,38 @@ def set_keys(units: DataFrame, common: tuple[np.ndarray, np.ndarray] | None = No
             least = [np.minimum.reduceat(mix(held * s + s), at) for s in _SEEDS]
             for band in range(BANDS):
                 key = sum(least[band * ROWS + r] * _SEEDS[r] for r in range(ROWS)) + U64(band)
-                yield pa.RecordBatch.from_arrays([pa.array(mix(key).view(np.int64)), pa.array(units_[large])], ["key", "unit"])
+                yield _key_rows("unit", mix(key), units_[large])
 
-    return map_arrow(units.select("unit", "shingles"), run, "key long, unit long")
+    return map_arrow(units.select("unit", "shingles"), run, _KEYS.format("unit"))
 
 
 def finer_keys(sets: DataFrame) -> DataFrame:
-    """(key, node) that unlike paragraphs seldom share.
+    """(key, node, n, rest) that unlike paragraphs seldom share.
 
-    Small sets at a similarity of 0.75 differ in two shingles at most: taking up to two away from
-    either leaves the same rest, which is the key. Of larger ones the first two or three shingles in
-    common are among the first of either, so all twos or threes of these are keys. None of this loses a
-    pair. Sets of more than 63 shingles have 128 bands of 8 values (0.999998 at 0.75).
+    The shingles of these sets alone are counted, so that their rarest are the keys; what only one of them
+    has takes its place in the order and meets nothing. Sets are no longer than for ``set_keys``, and no pair is
+    lost. Sets of more than 63 shingles have 128 bands of 8 values (0.999998 at 0.75).
     """
+    shared = sets.sparkSession.sparkContext.broadcast(common_shingles(sets, every=True))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, nodes = [], []
-            for node, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                members = mix(np.frombuffer(packed, np.uint32).astype(U64) + U64(1))
-                own: list[np.ndarray] = []
-                n, total = len(members), members.sum(dtype=U64)
-                if n <= DELETED_UPTO:
-                    a, b = np.triu_indices(n, 1)
-                    own += [total[None], total - members, total - members[a] - members[b]]
-                for share, least_n, most_n in TUPLES:
-                    if least_n <= n <= most_n:
-                        own.append(members[_choices(_first(n, share), share)].sum(1, dtype=U64))
-                if n >= BANDED_FROM:
-                    least = mix(members * _FINER + _FINER).min(1).reshape(FINER_BANDS, FINER_ROWS)
-                    own.append((least * _FINER[:FINER_ROWS, 0]).sum(1, dtype=U64) + np.arange(FINER_BANDS).astype(U64))
-                key = np.unique(mix(np.concatenate(own)))
-                keys.append(key.view(np.int64))
-                nodes.append(np.full(len(key), node, np.int64))
-            if keys:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(keys)), pa.array(np.concatenate(nodes))], ["key", "node"]
-                )
-
-    return map_arrow(sets.select("unit", "shingles"), run, "key long, node long")
-
+            if not batch.num_rows:
+                continue
+            values, n = _flat(batch.column(1))
+            values = _rarest_first(values, n, shared.value)
+            nodes = batch.column(0).to_numpy()
+            key, *rest = _first_keys(values, n, nodes)
+            # Inverted, as keys of all sets may be left beside these.
+            yield _key_rows("node", ~key, *rest)
+            at = np.cumsum(n) - n
+            for i in np.flatnonzero(n >= BANDED_FROM).tolist():
+                members = mix(values[at[i] : at[i] + n[i]].astype(U64) + U64(1))
+                least = mix(members * _FINER + _FINER).min(1).reshape(FINER_BANDS, FINER_ROWS)
+                key = np.unique(mix((least * _FINER[:FINER_ROWS, 0]).sum(1, dtype=U64) + np.arange(FINER_BANDS).astype(U64)))
+                yield _key_rows("node", key, np.full(len(key), nodes[i], np.int64))
 
-@cache
-def _choices(n: int, share: int) -> np.ndarray:
-    return np.array(list(combinations(range(n), share)))
+    return map_arrow(sets.select("unit", "shingles"), run, _KEYS.format("node"))
 
 
 def _seeds(hashes: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -304,83 +326,75 @@ def _seeds(hashes: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return windows, at[windows]
 
 
-def seeds(docs: DataFrame) -> DataFrame:
-    """(row, doc_id, key, place): the seeds of every document; ``place`` is the first word's number."""
+def seeds(texts: DataFrame) -> DataFrame:
+    """(key, pos): the seeds of every text; ``pos`` is the position of the first word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for base, data, offsets in byte_chunks(batch.column(2)):
+            ords = batch.column(0).to_numpy()
+            for base, data, offsets in byte_chunks(batch.column(1)):
                 w = words(data, offsets)
                 at = np.unique(_seeds(w.hashes, w.rows)[1])
                 own = np.searchsorted(w.rows, at, "right") - 1
-                rows = pa.array(own + base)
+                key = sequence_hashes(w.hashes, SEED)[at]
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).take(rows),
-                        batch.column(1).take(rows),
-                        pa.array(sequence_hashes(w.hashes, SEED)[at].view(np.int64)),
-                        pa.array((at - w.rows[own]).astype(np.int32)),
-                    ],
-                    ["row", "doc_id", "key", "place"],
+                    [pa.array(key.view(np.int64)), _positions(ords[own + base], at - w.rows[own])], ["key", "pos"]
                 )
 
-    return map_arrow(docs, run, "row long, doc_id long, key long, place int")
+    return map_arrow(texts.select("ord", "text"), run, "key long, pos long")
 
 
 def windows(held: DataFrame) -> DataFrame:
-    """(row, doc_id, start, stop, window) of the windows of each text around the seeds in ``places``."""
+    """(window, pos) of the windows of each text of ``held`` (ord, text, places) around the seeds in ``places``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            places = batch.column(3)
-            for base, data, offsets in byte_chunks(batch.column(2)):
+            ords = batch.column(0).to_numpy()
+            places = batch.column(2)
+            many = pc.list_value_length(places).to_numpy().astype(np.int64)
+            at = np.append(0, np.cumsum(many))
+            places = places.flatten().to_numpy().astype(np.int64)
+            for base, data, offsets in byte_chunks(batch.column(1)):
                 w = words(data, offsets)
                 first, seed = _seeds(w.hashes, w.rows)
                 wanted = np.zeros(len(w.hashes) + 1, bool)
-                for i, lo in enumerate(w.rows[:-1].tolist()):
-                    wanted[lo + np.array(places[base + i].as_py(), np.int64)] = True
+                end = base + len(offsets) - 1
+                wanted[np.repeat(w.rows[:-1], many[base:end]) + places[at[base] : at[end]]] = True
                 first = first[wanted[seed]]
-                row = w.row_of()
-                line = np.searchsorted(np.flatnonzero(data == 10), w.starts) + row
-                own = row[first]
-                stop = _stops(w, data, offsets, first + LEAST_RUN, line, row) if len(first) else first
-                rows = pa.array(own + base)
+                own = np.searchsorted(w.rows, first, "right") - 1
+                key = sequence_hashes(w.hashes, LEAST_RUN)[first]
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).take(rows),
-                        batch.column(1).take(rows),
-                        pa.array((w.starts[first] - offsets[own]).astype(np.int32)),
-                        pa.array((stop - offsets[own]).astype(np.int32)),
-                        pa.array(sequence_hashes(w.hashes, LEAST_RUN)[first].view(np.int64)),
-                    ],
-                    ["row", "doc_id", "start", "stop", "window"],
+                    [pa.array(key.view(np.int64)), _positions(ords[own + base], first - w.rows[own])], ["window", "pos"]
                 )
 
-    return map_arrow(held, run, "row long, doc_id long, start int, stop int, window long")
+    return map_arrow(held, run, "window long, pos long")
+
 
+def repeated_windows(texts: DataFrame, scratch: Scratch) -> DataFrame:
+    """(pos, n_words, first) of every window that stands before as well.
 
-def repeated_windows(keyed: DataFrame, scratch: Scratch) -> DataFrame:
-    """(row, doc_id, start, stop, n_words, first_doc) of every window that stands before as well."""
-    found = scratch.put(seeds(keyed), "par-seeds")
-    several = found.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    ``texts``: (ord, text), a stored table, which goes.
+    """
+    found = scratch.put(seeds(texts), "par-seeds")
+    several = scratch.put(found.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "par-several")
+    word = F.col("pos").bitwiseAND(F.lit((1 << WORD_BITS) - 1)).cast("int")
     places = scratch.put(
-        found.join(several, "key", "left_semi").groupBy("row", "doc_id").agg(F.collect_set("place").alias("places")),
-        "par-places",
+        found.join(several, "key", "left_semi").groupBy(_ord("pos")).agg(F.collect_set(word).alias("places")), "par-places"
     )
     scratch.drop(found)
-    same = (keyed["row"] == places["row"]) & keyed["doc_id"].eqNullSafe(places["doc_id"])
-    held = keyed.join(places, same).select(keyed["row"], keyed["doc_id"], "text", "places")
-    all_windows = scratch.put(windows(held), "par-windows")
-    first = (
-        all_windows.groupBy("window")
-        .agg(F.min(F.struct("doc_id", "row", "start", "stop")).alias("first"), F.count("*").alias("n"))
-        .where("n > 1")
-    )
-    return (
-        all_windows.join(first, "window")
-        .where(_is_apart())
-        .select("row", "doc_id", "start", "stop", F.lit(LEAST_RUN).alias("n_words"), F.col("first.doc_id").alias("first_doc"))
-    )
+    scratch.drop(several)
+    all_windows = scratch.put(windows(texts.join(places, "ord").select("ord", "text", "places")), "par-windows")
+    scratch.drop(texts)
+    scratch.drop(places)
+    # A copy that overlaps the first does not count. Positions of different texts are further apart.
+    apart = F.col("first") + LEAST_RUN
+    copies = all_windows.groupBy("window").agg(F.min("pos").alias("first"), F.max("pos").alias("last"))
+    first = scratch.put(copies.where(F.col("last") >= apart).select("window", "first"), "par-first")
+    repeats = all_windows.join(first, "window").where(F.col("pos") >= apart)
+    out = scratch.put(repeats.select("pos", F.lit(LEAST_RUN).alias("n_words"), "first"), "par-repeats")
+    scratch.drop(all_windows)
+    scratch.drop(first)
+    return out
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -393,16 +407,15 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select([0, 1]).filter(pa.array(keep))
 
 
-def _is_apart() -> Column:
-    """Whether a span does not overlap the first copy."""
-    own_text = (F.col("row") == F.col("first.row")) & F.col("doc_id").eqNullSafe(F.col("first.doc_id"))
-    return ~own_text | (F.col("start") >= F.col("first.stop"))
+def _ord(pos: str, name: str = "ord") -> Column:
+    return F.shiftright(pos, WORD_BITS).alias(name)
 
 
-def duplicate_spans(keyed: DataFrame, scratch: Scratch) -> DataFrame:
-    """(row, doc_id, start, stop, n_words, first_doc) of every paragraph that repeats an earlier one.
+def duplicate_spans(keyed: DataFrame, ids: DataFrame, scratch: Scratch) -> DataFrame:
+    """(pos, n_words, first) of every paragraph that repeats an earlier one.
 
-    ``keyed``: (row, doc_id, text), where row tells texts with one doc_id apart.
+    ``keyed``: (row, doc_id, text), where row tells texts with one doc_id apart; ``ids``: (doc_id, row, ord),
+    a stored table. ``first`` is the position of the earliest copy.
     """
     units = scratch.put(paragraphs(keyed), "par-units")
     keys = set_keys(units, common_shingles(units))
@@ -410,14 +423,16 @@ def duplicate_spans(keyed: DataFrame, scratch: Scratch) -> DataFrame:
         keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "par-keys"
     )
     pairs = scratch.put(keys.join(repeated, "key", "left_semi").distinct(), "par-members")
+    scratch.drop(repeated)
     # From here on only paragraphs that share a key with another one are left.
     shared = pairs.select("unit").distinct()
     held = scratch.put(units.join(shared, "unit", "left_semi"), "par-held")
     scratch.drop(units)
     unlike = pairs.groupBy("key").agg(F.min("unit").alias("u0"), F.max("unit").alias("u1")).where("u0 <> u1")
     members = scratch.put(
-        pairs.join(unlike.select("key"), "key", "left_semi").select("key", F.col("unit").alias("node")), "par-open"
+        pairs.join(unlike.select("key"), "key", "left_semi").select("key", F.col("unit").alias("node"), "n", "rest"), "par-open"
     )
+    scratch.drop(pairs)
     wanted = members.select(F.col("node").alias("unit")).distinct()
     sets = scratch.put(
         held.join(wanted, "unit", "left_semi").groupBy("unit").agg(F.any_value("shingles").alias("shingles")),
@@ -434,58 +449,138 @@ def duplicate_spans(keyed: DataFrame, scratch: Scratch) -> DataFrame:
         return finer_keys(sets.join(nodes, sets["unit"] == nodes["node"], "left_semi"))
 
     roots = link_by_keys(members, confirm, scratch, "par", finer)
+    own = (held["row"] == ids["row"]) & held["doc_id"].eqNullSafe(ids["doc_id"])
     placed = (
-        held.select("row", "doc_id", "start", "stop", "n_words", "unit")
-        .join(roots, held["unit"] == roots["node"], "left")
-        .select("row", "doc_id", "start", "stop", "n_words", F.coalesce("root", "unit").alias("cluster"))
+        held.join(ids, own)
+        .select(F.shiftleft("ord", WORD_BITS).bitwiseOR(F.col("place")).alias("pos"), "n_words", "unit")
+        .join(roots, F.col("unit") == F.col("node"), "left")
+        .select("pos", "n_words", F.coalesce("root", "unit").alias("cluster"))
     )
     placed = scratch.put(placed, "par-placed")
-    first = placed.groupBy("cluster").agg(F.min(F.struct("doc_id", "row", "start", "stop")).alias("first"))
-    return (
-        placed.join(first, "cluster")
-        .where(_is_apart())
-        .select("row", "doc_id", "start", "stop", "n_words", F.col("first.doc_id").alias("first_doc"))
-    )
+    scratch.drop(held)
+    copies = placed.groupBy("cluster").agg(F.min("pos").alias("first"), F.max("pos").alias("last"))
+    first = copies.where("first < last").select("cluster", "first")
+    out = scratch.put(placed.join(first, "cluster").where("pos > first").select("pos", "n_words", "first"), "par-copies")
+    scratch.drop(placed)
+    return out
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Spans (pos, n_words, first) in order that overlap or follow on one another, as one for each first document."""
+    names = ["ord", "place", "n_words", "most", "first_ord"]
+    open_ = np.zeros((4, 0), np.int64)  # the last run, which may go on: pos, end, longest span, first_ord
+
+    def rows(pos: np.ndarray, end: np.ndarray, most: np.ndarray, first: np.ndarray) -> pa.RecordBatch:
+        small = [pa.array(x.astype(np.int32)) for x in (pos & ((1 << WORD_BITS) - 1), end - pos, most)]
+        return pa.RecordBatch.from_arrays([pa.array(pos >> WORD_BITS), *small, pa.array(first)], names)
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        pos, n, first = (batch.column(i).to_numpy().astype(np.int64) for i in range(3))
+        pos, end, most, first = np.concatenate([open_, [pos, pos + n, n, first >> WORD_BITS]], axis=1)
+        new = np.ones(len(pos), bool)
+        new[1:] = (pos[1:] > np.maximum.accumulate(end)[:-1]) | (pos[1:] >> WORD_BITS != pos[:-1] >> WORD_BITS)
+        at, run = np.flatnonzero(new), np.cumsum(new) - 1
+        end, most = np.maximum.reduceat(end, at), np.maximum.reduceat(most, at)
+        order = np.lexsort((first, run))
+        run, first = run[order], first[order]
+        other = np.ones(len(run), bool)
+        other[1:] = (run[1:] != run[:-1]) | (first[1:] != first[:-1])
+        run, first = run[other], first[other]
+        out = np.stack([pos[at][run], end[run], most[run], first])
+        over = run < len(at) - 1
+        yield rows(*out[:, over])
+        open_ = out[:, ~over]
+    yield rows(*open_)
+
+
+def spans_by_document(spans: DataFrame, ids: DataFrame, scratch: Scratch) -> DataFrame:
+    """(row, doc_id, _spans) of documents with ``spans`` (pos, n_words, first): runs, one for each of their first documents.
+
+    ``ids``: (doc_id, row, ord), a stored table.
+    """
+    ordered = spans.select("pos", "n_words", "first").repartition(_ord("pos")).sortWithinPartitions("pos")
+    schema = "ord long, place int, n_words int, most int, first_ord long"
+    runs = scratch.put(map_arrow(ordered, _runs, schema), "par-runs")
+    first = ids.select(F.col("ord").alias("first_ord"), F.col("doc_id").alias("first_doc"))
+    named = runs.join(first, "first_ord").select("ord", F.struct("place", "n_words", "most", "first_doc").alias("span"))
+    return named.join(ids, "ord").groupBy("row", "doc_id").agg(F.collect_list("span").alias("_spans"))
+
+
+def _without(data: np.ndarray, offsets: np.ndarray, row: np.ndarray, spans: tuple[np.ndarray, ...]):
+    """What is left of a run of texts: bytes, removed bytes and runs of each text, and the spans that went.
+
+    ``row``: the text of each span; ``spans``: their first words, numbers of words, and longest spans.
+    """
+    n = len(offsets) - 1
+    w = words(data, offsets)
+    place, n_words, most = spans
+    # The words of all texts in one count, with a number left out between texts.
+    begin = w.rows[row] + row + place
+    order = np.argsort(begin, kind="stable")
+    begin, end = begin[order], (begin + n_words)[order]
+    new = np.ones(len(begin), bool)
+    # Spans overlap or follow on one another directly, or with the end of a line between.
+    new[1:] = begin[1:] > np.maximum.accumulate(end)[:-1]
+    at = np.flatnonzero(new)
+    ends, own = np.maximum.reduceat(end, at), row[order][at]
+    long = (np.maximum.reduceat(most[order], at) >= LEAST_WORDS) & (ends - begin[at] >= LEAST_RUN)
+    went = np.zeros(len(row), bool)
+    went[order] = long[np.cumsum(new) - 1]
+    own, start = own[long], w.starts[(begin[at] - own)[long]]
+    stop = _stops(w, data, offsets, (ends[long] - own)) if len(own) else start
+    feed = np.append(data, 0) == 10
+    stop = stop + (((start == offsets[own]) | feed[start - 1]) & (stop < offsets[own + 1]) & feed[stop])
+    edge = np.zeros(len(data) + 1, np.int8)
+    edge[start] += 1
+    edge[stop] -= 1
+    left = data[np.cumsum(edge[:-1], dtype=np.int8) == 0]
+    removed = np.zeros(n, np.int64)
+    np.add.at(removed, own, stop - start)
+    return left, removed, np.bincount(own, minlength=n), went
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        names = batch.schema.names
-        column = {c: batch.column(i) for i, c in enumerate(names)}
-        spans = column["_spans"].to_pylist()
-        texts, removed, runs, firsts = [], [], [], []
-        for text, own in zip(column["_text"].to_pylist(), spans, strict=True):
-            if not own:
-                texts.append(text)
-                removed.append(0), runs.append(0), firsts.append([])
-                continue
-            raw, parts, at, n = text.encode(), [], 0, 0
-            merged: list[list[int]] = []
-            for start, stop, n_words in sorted((x["start"], x["stop"], x["n_words"]) for x in own):
-                # Spans overlap or follow on one another directly, or with the end of a line between.
-                if merged and not raw[merged[-1][1] : start].strip(b" \t\r\n\v\f"):
-                    merged[-1][1:] = [max(stop, merged[-1][1]), max(merged[-1][2], n_words)]
-                else:
-                    merged.append([start, stop, n_words])
-            merged = [x for x in merged if x[2] >= LEAST_WORDS and len(raw[x[0] : x[1]].split()) >= LEAST_RUN]
-            for start, stop, _ in merged:
-                whole_line = (start == 0 or raw[start - 1] == 10) and raw[stop : stop + 1] == b"\n"
-                stop += whole_line
-                parts.append(raw[at:start])
-                n += stop - start
-                at = stop
-            parts.append(raw[at:])
-            texts.append(b"".join(parts).decode())
-            removed.append(n)
-            runs.append(len(merged))
-            inside = [x for x in own if any(a <= x["start"] < b for a, b, _ in merged)]
-            firsts.append(sorted({x["first_doc"] for x in inside if x["first_doc"] is not None}))
-        column["_text"] = pa.array(texts, pa.string())
-        out = [column[c] for c in names if c != "_spans"]
-        yield pa.RecordBatch.from_arrays(
-            [*out, pa.array(removed, pa.int64()), pa.array(runs, pa.int64()), pa.array(firsts, pa.list_(pa.int64()))],
-            [c for c in names if c != "_spans"] + ["_removed", "_runs", "_first_docs"],
-        )
+        names = [c for c in batch.schema.names if c != "_spans"]
+        text, spans = batch.column("_text"), batch.column("_spans")
+        many = pc.fill_null(pc.list_value_length(spans), 0).to_numpy().astype(np.int64)
+        at = np.append(0, np.cumsum(many))
+        flat = spans.flatten()
+        place, n_words, most = (pc.struct_field(flat, c).to_numpy().astype(np.int64) for c in ("place", "n_words", "most"))
+        first_doc = pc.struct_field(flat, "first_doc")
+        parts, sizes = [], np.zeros(batch.num_rows, np.int64)
+        removed, runs = np.zeros_like(sizes), np.zeros_like(sizes)
+        went = np.zeros(len(flat), bool)
+        for base, data, offsets in byte_chunks(text):
+            end = base + len(offsets) - 1
+            mine = slice(at[base], at[end])
+            if mine.start < mine.stop:
+                row = np.repeat(np.arange(end - base), many[base:end])
+                own = place[mine], n_words[mine], most[mine]
+                data, removed[base:end], runs[base:end], went[mine] = _without(data, offsets, row, own)
+            parts.append(data)
+            sizes[base:end] = np.diff(offsets) - removed[base:end]
+        ends = pa.py_buffer(np.append(0, np.cumsum(sizes)).astype(np.int32).tobytes())
+        joined = np.concatenate(parts) if parts else np.zeros(0, np.uint8)
+        left = pa.StringArray.from_buffers(batch.num_rows, ends, pa.py_buffer(joined.tobytes()))
+        column = {c: batch.column(c) for c in names}
+        column["_text"] = pc.if_else(pc.is_valid(text), left, pa.scalar(None, pa.string()))
+        added = [pa.array(removed), pa.array(runs), _first_docs(first_doc, np.repeat(np.arange(batch.num_rows), many), went, batch.num_rows)]
+        yield pa.RecordBatch.from_arrays([*(column[c] for c in names), *added], [*names, REMOVED, SPANS, FIRST_DOCS])
+
+
+def _first_docs(first_doc: pa.Array, row: np.ndarray, went: np.ndarray, n: int) -> pa.Array:
+    """Per row the distinct documents, sorted, that hold the first copies of the spans that went."""
+    known = went & first_doc.is_valid().to_numpy(zero_copy_only=False)
+    row, doc = row[known], pc.fill_null(first_doc, 0).to_numpy()[known]
+    order = np.lexsort((doc, row))
+    row, doc = row[order], doc[order]
+    new = np.ones(len(row), bool)
+    new[1:] = (row[1:] != row[:-1]) | (doc[1:] != doc[:-1])
+    offsets = np.append(0, np.cumsum(np.bincount(row[new], minlength=n))).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(doc[new]))
 
 
 #: What the cut adds to a document: bytes and spans removed, and where the first copies are.
@@ -497,11 +592,12 @@ def cut_repeats(docs: DataFrame) -> DataFrame:
     text, doc_id = F.col("text").cast("string"), F.col("doc_id").cast("bigint")
     with Scratch(docs.sparkSession) as scratch:
         keyed = docs.select(F.xxhash64(text).alias("row"), doc_id.alias("doc_id"), text.alias("text"))
-        spans = duplicate_spans(keyed, scratch).union(repeated_windows(keyed, scratch))
-        found = scratch.keep(
-            spans.groupBy("row", "doc_id").agg(F.collect_set(F.struct("start", "stop", "n_words", "first_doc")).alias("_spans")),
-            "par-spans",
-        )
+        ids = scratch.put(dense(scratch.put(numbered(keyed), "par-numbers")), "par-ids")
+        copies = duplicate_spans(keyed, ids, scratch)
+        own = (keyed["row"] == ids["row"]) & keyed["doc_id"].eqNullSafe(ids["doc_id"])
+        texts = scratch.put(keyed.join(ids, own).select("ord", "text"), "par-texts")
+        spans = copies.union(repeated_windows(texts, scratch))
+        found = scratch.keep(spans_by_document(spans, ids, scratch), "par-spans")
     rest = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
     whole = docs.select(
         F.xxhash64(text).alias("_row"), doc_id.alias("_id"), F.struct(*rest).alias("_rest"), text.alias("_text")
