@@ -327,6 +327,15 @@ def test_runs_are_the_same_in_batches_of_any_size():
     assert runs(1) == runs(7) == runs(100) == sorted(want)
 
 
+def test_shuffle_files_go_with_the_table(spark):
+    files = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+    before = files.getAllFiles().size()
+    with Scratch(spark) as scratch:
+        out = scratch.put(spark.range(1000).groupBy((F.col("id") % 100).alias("k")).count(), "test-freed")
+        assert files.getAllFiles().size() <= before
+        assert out.count() == 100
+
+
 # op6
 
 

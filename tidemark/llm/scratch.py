@@ -19,12 +19,17 @@ def rows_of(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.select(*[F.col("text") if c == "text" else F.col("row").getField(c).alias(c) for c in columns])
 
 
+#: Frees the shuffle files of a statement when it ends, and not when the driver next collects garbage.
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 class Scratch:
     """Tables written in the course of one call.
 
     ``put`` writes a table that only the call itself reads: it goes when the ``with``
     block ends. ``keep`` writes one that the returned DataFrame still reads: it goes when
-    the Spark application ends. Both cut lineage in a form that survives lost executors.
+    the Spark application ends. Both cut lineage in a form that survives lost executors. The
+    shuffle files of a table go as soon as it is written.
     """
 
     def __init__(self, spark: SparkSession) -> None:
@@ -40,7 +45,13 @@ class Scratch:
 
     def _write(self, df: DataFrame, label: str) -> tuple[DataFrame, str]:
         path = scratch_path(self.spark, label)
-        df.write.mode("overwrite").parquet(path)
+        conf = self.spark.conf
+        before = conf.get(FREE_SHUFFLES, None)
+        conf.set(FREE_SHUFFLES, "true")
+        try:
+            df.write.mode("overwrite").parquet(path)
+        finally:
+            conf.unset(FREE_SHUFFLES) if before is None else conf.set(FREE_SHUFFLES, before)
         return self.spark.read.schema(df.schema).parquet(path), path
 
     def put(self, df: DataFrame, label: str) -> DataFrame:
