@@ -327,6 +327,44 @@ def test_runs_are_the_same_in_batches_of_any_size():
     assert runs(1) == runs(7) == runs(100) == sorted(want)
 
 
+def test_repeated_windows_travel_as_rows_of_blocks(spark):
+    rng = random.Random(16)
+    common = [f"c{i}" for i in range(30)]
+    texts = [[*(f"w{rng.randrange(10**7)}" for _ in range(rng.randrange(5, 60))), *common[rng.randrange(9) :]] * (1 + i % 2) for i in range(40)]
+    buckets = 3
+    with Scratch(spark) as scratch:
+        rows = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)] + [(40, None)], "ord long, text string")
+        held = scratch.put(paragraphs.blocks(rows.repartition(4)), "test-blocks")
+        found = paragraphs.repeated_seeds(held, buckets)
+        n_blocks = held.count()
+        assert n_blocks <= 4 and found.count() <= buckets * n_blocks
+        listed = found.groupBy("block").agg(F.collect_list("seeds").alias("seeds"))
+        dealt = scratch.put(paragraphs.windows(held.join(listed, "block"), buckets), "test-dealt")
+        assert dealt.count() <= (buckets + 1) * n_blocks
+        met = paragraphs.met(dealt).collect()
+    first_of: dict[int, int] = {}
+    later: list[tuple[int, int]] = []
+    for r in met:
+        lo, first, pos, later_lo = (np.frombuffer(x or b"", np.int64).tolist() for x in (r.lo, r.first, r.pos, r.later_lo))
+        first_of.update(zip(lo, first, strict=True))
+        later += zip(pos, later_lo, strict=True)
+    got = {*first_of.items(), *((p, first_of[x]) for p, x in later)}
+    seen: dict[tuple, list[int]] = {}
+    for i, t in enumerate(texts):
+        for at in range(len(t) - 13):
+            seen.setdefault(tuple(t[at : at + 14]), []).append(i << 30 | at)
+    assert got == {(p, places[0]) for places in seen.values() if len(places) > 1 for p in places}
+
+
+def test_order_of_shingles_is_by_count_then_value():
+    rng = np.random.default_rng(17)
+    sets = [np.unique(rng.integers(0, 60, k, dtype=np.uint32)) for k in (1, 5, 20, 40)]
+    common = np.arange(0, 60, 3, dtype=np.uint32), rng.integers(2, 6, 20)
+    often = dict(zip(*(x.tolist() for x in common), strict=True))
+    got = paragraphs._rarest_first(np.concatenate(sets), np.array([len(x) for x in sets]), common)
+    assert got.tolist() == [v for x in sets for v in sorted(x.tolist(), key=lambda v: (often.get(v, 0), v))]
+
+
 def test_shuffle_files_go_with_the_table(spark):
     files = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
     before = files.getAllFiles().size()

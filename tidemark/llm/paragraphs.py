@@ -22,6 +22,11 @@ Of the 7-word sequences of a window the one with the least hash is its seed. Win
 only around seeds that occur twice, and of equal windows the first in the order of (doc_id, position)
 stays; one that overlaps it does not count as repeated.
 
+Texts are held in blocks of about 4 MB. What has to meet (paragraphs, keys, seeds, windows) is sent as
+packed values from each block to buckets by range of its hash, distinct values of a block once, and a bucket
+answers every block in which a value occurs that occurs elsewhere too. So Spark shuffles a row for each block and
+bucket, not for each value, and a line that stands everywhere takes one place for each block.
+
 Nulls, ties and odd input: a null text stays null and has no paragraphs; documents without
 removals keep their text byte for byte; rows equal in doc_id and text are one document and are
 cut alike; a table without rows gives none.
@@ -34,7 +39,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -58,6 +64,8 @@ WORD_BITS = 30
 #: Words of a seed, and how many seeds a window of LEAST_RUN words has to choose from.
 SEED = 7
 CHOICE = LEAST_RUN - SEED + 1
+#: Bytes of text in a block, and bytes of text for each bucket.
+BLOCK_BYTES, BUCKET_BYTES = 4 << 20, 16 << 20
 _FINER = np.random.default_rng(29).integers(1, 1 << 62, (FINER_BANDS * FINER_ROWS, 1), dtype=U64) * U64(2) + U64(1)
 _SEEDS = np.random.default_rng(11).integers(1, 1 << 62, BANDS * ROWS, dtype=U64) * U64(2) + U64(1)
 
@@ -123,54 +131,185 @@ def dense(ids: DataFrame) -> DataFrame:
     return ids.join(starts, cut == F.col("slice")).select("doc_id", "row", (inside + F.col("before")).alias("ord"))
 
 
-def _positions(ord_: np.ndarray, word: np.ndarray) -> pa.Array:
+def _positions(ord_: np.ndarray, word: np.ndarray) -> np.ndarray:
     """Numbers of words in the order of all texts."""
-    return pa.array((ord_.astype(np.int64) << WORD_BITS) | word.astype(np.int64))
+    return (ord_.astype(np.int64) << WORD_BITS) | word.astype(np.int64)
+
+
+def blocks(texts: DataFrame) -> DataFrame:
+    """``texts`` (ord, text) in runs of about ``BLOCK_BYTES``: (block, size, ords, offsets, data), the last three packed."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 32
+        for batch in batches:
+            ords = batch.column(0).to_numpy().astype(np.int64)
+            for base, data, offsets in byte_chunks(batch.column(1), BLOCK_BYTES):
+                own = ords[base : base + len(offsets) - 1]
+                row = [[number], [len(data)], [own.tobytes()], [offsets.astype(np.int64).tobytes()], [data.tobytes()]]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in row], ["block", "size", "ords", "offsets", "data"])
+                number += 1
+
+    return map_arrow(texts, run, "block long, size long, ords binary, offsets binary, data binary")
+
+
+def _texts_of(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, pa.Array]]:
+    """(row, block, ords, texts) of each row of ``blocks``."""
+    for i in range(batch.num_rows):
+        ords, offsets = (np.frombuffer(batch.column(c)[i].as_buffer(), np.int64) for c in ("ords", "offsets"))
+        buffers = [None, pa.py_buffer(offsets), batch.column("data")[i].as_buffer()]
+        yield i, batch.column("block")[i].as_py(), ords, pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ords), buffers)
+
+
+def _binary(values: np.ndarray, edges: np.ndarray) -> pa.Array:
+    """Values packed as one binary for each range between ``edges``."""
+    offs = pa.py_buffer((np.asarray(edges) * values.itemsize).astype(np.int32).tobytes())
+    return pa.BinaryArray.from_buffers(pa.binary(), len(edges) - 1, [None, offs, pa.py_buffer(np.ascontiguousarray(values).tobytes())])
+
+
+def _one(values: np.ndarray) -> pa.Array:
+    return _binary(values, np.array([0, len(values)]))
+
+
+def _groups(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """An order that sorts ``values``; in it, where each distinct one begins, and which of these each is."""
+    order = np.argsort(values)
+    ranked = values[order]
+    new = np.ones(len(values), bool)
+    new[1:] = ranked[1:] != ranked[:-1]
+    return order, np.flatnonzero(new), np.cumsum(new) - 1
+
+
+def _least(values: np.ndarray, at: np.ndarray, most: bool = False) -> np.ndarray:
+    if not len(at):
+        return values[:0]
+    return (np.maximum if most else np.minimum).reduceat(values, at)
+
+
+def _edges(ranked: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets that sorted values fall into, and where these begin and end."""
+    of = ((ranked >> U64(32)) * U64(buckets) >> U64(32)).astype(np.int64)
+    edges = np.searchsorted(of, np.arange(buckets + 1))
+    some = np.flatnonzero(np.diff(edges))
+    return some, np.append(edges[some], len(ranked))
 
 
-def paragraphs(docs: DataFrame) -> DataFrame:
-    """(row, doc_id, place, n_words, unit, shingles) of every paragraph of ``docs`` (row, doc_id, text).
+_DEALT = "bucket int, block long, value binary, mark binary, several binary, pos binary, lo binary"
+_MET = "block long, lo binary, first binary, pos binary, later_lo binary"
 
-    ``place`` is the number of the first word, ``unit`` is a hash of the words,
-    ``shingles`` the set as packed 32-bit values.
+
+def _dealt(block: int, values: np.ndarray, marks: np.ndarray, buckets: int, pos: np.ndarray | None = None, lo: np.ndarray | None = None):
+    """Rows of ``_DEALT``: the distinct values of a block with their least marks, and whether they have several.
+
+    With ``pos``, a row of (``pos``, ``lo``) more, which the block gets back with the answers.
     """
+    order, at, group = _groups(values)
+    ranked, marks = values[order], marks[order]
+    least = _least(marks, at)
+    several = np.zeros(len(at), np.uint8)
+    several[group[marks != least[group]]] = 1
+    some, edges = _edges(ranked[at], buckets)
+    n = len(some)
+    nothing = pa.nulls(n, pa.binary())
+    columns = [
+        pa.array(some.astype(np.int32)), pa.array(np.full(n, block, np.int64)),
+        _binary(ranked[at], edges), _binary(least, edges), _binary(several, edges), nothing, nothing,
+    ]
+    names = [c.split()[0] for c in _DEALT.split(", ")]
+    yield pa.RecordBatch.from_arrays(columns, names)
+    if pos is not None and len(pos):
+        none = pa.nulls(1, pa.binary())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([(block + (block >> 32)) % buckets], pa.int32()), pa.array([block]), none, none, none, _one(pos), _one(lo)], names
+        )
+
+
+def _later(values: np.ndarray, marks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Marks of all but the least of each value, and that least one."""
+    order, at, group = _groups(values)
+    marks = marks[order]
+    least = _least(marks, at)[group]
+    return marks[marks != least], least[marks != least]
+
+
+def _packed(column: pa.Array | pa.ChunkedArray, dtype) -> tuple[np.ndarray, np.ndarray]:
+    """All values of a column of packed ones, and how many each row has."""
+    if isinstance(column, pa.ChunkedArray):
+        column = pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], column.type)
+    column = pc.fill_null(column, b"").cast(pa.large_binary())
+    offs = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+    data = column.buffers()[2]
+    held = np.frombuffer(data, np.uint8)[offs[0] : offs[-1]] if data is not None and data.size else np.zeros(0, np.uint8)
+    if held.ctypes.data % np.dtype(dtype).itemsize:
+        held = held.copy()
+    return held.view(dtype), np.diff(offs) // np.dtype(dtype).itemsize
+
+
+def met(dealt: DataFrame) -> DataFrame:
+    """Rows of ``_MET``: for each block the values with several marks in all, as their least mark in it (lo) and of all."""
+
+    def run(table: pa.Table) -> pa.Table:
+        values, n = _packed(table["value"], U64)
+        marks, several = _packed(table["mark"], np.int64)[0], _packed(table["several"], np.uint8)[0]
+        order, at, group = _groups(values)
+        first = _least(marks[order], at)
+        more = (first < _least(marks[order], at, most=True)) | (_least(several[order], at, most=True) > 0)
+        wanted, least = np.zeros(len(values), bool), np.zeros_like(marks)
+        wanted[order], least[order] = more[group], first[group]
+        row = np.repeat(np.arange(len(n)), n)
+        edges = np.append(0, np.cumsum(np.bincount(row[wanted], minlength=len(n))))
+        columns = [table["block"], _binary(marks[wanted], edges), _binary(least[wanted], edges), table["pos"], table["lo"]]
+        out = pa.table(columns, names=[c.split()[0] for c in _MET.split(", ")])
+        return out.filter(pc.or_(pa.array(np.diff(edges) > 0), pc.is_valid(table["pos"])))
+
+    return dealt.groupBy("bucket").applyInArrow(run, _MET)
+
+
+def paragraphs(texts: DataFrame) -> DataFrame:
+    """The distinct paragraphs of each block of ``texts``, packed: unit, lo, n_words, size, shingles; and pos, later_lo.
+
+    ``unit`` is a hash of the words, ``lo`` the position of the first copy in the block, ``size`` and ``shingles``
+    the set as 32-bit values; ``pos`` are the positions of further copies, ``later_lo`` those of their first ones.
+    """
+
+    def of_texts(data: np.ndarray, offsets: np.ndarray, ords: np.ndarray) -> tuple[np.ndarray, ...]:
+        row, first, last, w = split(data, offsets)
+        shingles = sequence_hashes(w.hashes, SIZE)
+        # The hash of a paragraph: a sum over its words and places. Paragraphs follow on one another.
+        place = np.arange(len(w.hashes)) - np.repeat(first, last - first)
+        unit = np.zeros(len(first), U64)
+        if len(first):
+            unit = mix(np.add.reduceat(mix(w.hashes + place.astype(U64) * U64(0x9E3779B97F4A7C15)), first))
+        # A paragraph of fewer words than a shingle is one shingle.
+        short = last - first < SIZE
+        own = np.repeat(np.arange(len(first)), np.where(short, 1, last - first - SIZE + 1))
+        value = np.zeros(len(own), U64)
+        value[short[own]] = unit[short] >> U64(32)
+        value[~short[own]] = shingles[np.flatnonzero(place + SIZE <= np.repeat(last - first, last - first))] >> U64(32)
+        sets = np.sort(own.astype(U64) << U64(32) | value)
+        new = np.ones(len(sets), bool)
+        new[1:] = sets[1:] != sets[:-1]
+        sets = sets[new]
+        size = np.diff(np.searchsorted(sets >> U64(32), np.arange(len(first) + 1).astype(U64)))
+        pos = _positions(ords[row], first - w.rows[row])
+        return unit, pos, (last - first).astype(np.int32), size.astype(np.int32), (sets & U64(0xFFFFFFFF)).astype(np.uint32)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for base, data, offsets in byte_chunks(batch.column(2)):
-                row, first, last, w = split(data, offsets)
-                shingles = sequence_hashes(w.hashes, SIZE)
-                # The hash of a paragraph: a sum over its words and places. Paragraphs follow on one another.
-                place = np.arange(len(w.hashes)) - np.repeat(first, last - first)
-                unit = np.zeros(len(first), U64)
-                if len(first):
-                    unit = mix(np.add.reduceat(mix(w.hashes + place.astype(U64) * U64(0x9E3779B97F4A7C15)), first))
-                # A paragraph of fewer words than a shingle is one shingle.
-                short = last - first < SIZE
-                own = np.repeat(np.arange(len(first)), np.where(short, 1, last - first - SIZE + 1))
-                value = np.zeros(len(own), U64)
-                value[short[own]] = unit[short] >> U64(32)
-                value[~short[own]] = shingles[np.flatnonzero(place + SIZE <= np.repeat(last - first, last - first))] >> U64(32)
-                sets = np.sort(own.astype(U64) << U64(32) | value)
-                new = np.ones(len(sets), bool)
-                new[1:] = sets[1:] != sets[:-1]
-                sets = sets[new]
-                offs = 4 * np.searchsorted(sets >> U64(32), np.arange(len(first) + 1).astype(U64)).astype(np.int32)
-                packed = pa.py_buffer((sets & U64(0xFFFFFFFF)).astype(np.uint32).tobytes())
-                rows = pa.array(row + base)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).take(rows),
-                        batch.column(1).take(rows),
-                        pa.array((first - w.rows[row]).astype(np.int32)),
-                        pa.array((last - first).astype(np.int32)),
-                        pa.array(unit.view(np.int64)),
-                        pa.BinaryArray.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offs.tobytes()), packed]),
-                    ],
-                    ["row", "doc_id", "place", "n_words", "unit", "shingles"],
-                )
+            for _, block, ords, column in _texts_of(batch):
+                parts = [of_texts(data, offsets, ords[base:]) for base, data, offsets in byte_chunks(column)]
+                unit, pos, n_words, size, sets = (np.concatenate(x) for x in zip(*parts, strict=True))
+                order, at, _ = _groups(unit)
+                one = order[at]
+                begin = (np.cumsum(size) - size)[one]
+                inside = np.arange(size[one].sum()) - np.repeat(np.cumsum(size[one]) - size[one], size[one])
+                packed = unit[one], _least(pos[order], at), n_words[one], size[one], sets[np.repeat(begin, size[one]) + inside]
+                columns = [pa.array([block]), *(_one(x) for x in (*packed, *_later(unit, pos)))]
+                yield pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in _UNITS.split(", ")])
+
+    return map_arrow(texts, run, _UNITS)
 
-    return map_arrow(docs, run, "row long, doc_id long, place int, n_words int, unit long, shingles binary")
+
+_UNITS = "block long, unit binary, lo binary, n_words binary, size binary, shingles binary, pos binary, later_lo binary"
 
 
 def _first(n: np.ndarray | int, share: int = 1) -> np.ndarray | int:
@@ -180,10 +319,7 @@ def _first(n: np.ndarray | int, share: int = 1) -> np.ndarray | int:
 
 def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All values of a column of packed sets, and the size of each set."""
-    column = column.cast(pa.large_binary())
-    offs = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
-    values = np.frombuffer(column.buffers()[2], np.uint8)[offs[0] : offs[-1]].view(np.uint32)
-    return values, np.diff(offs) // 4
+    return _packed(column, np.uint32)
 
 
 def common_shingles(units: DataFrame, every: bool = False) -> tuple[np.ndarray, np.ndarray]:
@@ -222,11 +358,18 @@ def common_shingles(units: DataFrame, every: bool = False) -> tuple[np.ndarray,
 
 def _rarest_first(values: np.ndarray, n: np.ndarray, common: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
     """The values of each set in the order of how often they occur, then of their hashes."""
-    if not len(common[0]):
+    if not len(common[0]) or not len(values):
         return values
     at = np.minimum(np.searchsorted(common[0], values), len(common[0]) - 1)
-    often = np.where(common[0][at] == values, common[1][at], 0)
-    return values[np.lexsort((values, often, np.repeat(np.arange(len(n)), n)))]
+    by_rank = np.lexsort(common)
+    rank = np.empty(len(by_rank), U64)
+    rank[by_rank] = np.arange(len(by_rank), dtype=U64)
+    # The set, whether the value is a common one, and its rank or else the value, in one number.
+    code = np.where(common[0][at] == values, rank[at] | U64(1 << 32), values.astype(U64))
+    code = np.sort(code | np.repeat(np.arange(len(n)), n).astype(U64) << U64(33))
+    low = code & U64(0xFFFFFFFF)
+    ranked = (code & U64(1 << 32)) > 0
+    return np.where(ranked, common[0][by_rank][np.where(ranked, low, U64(0))], low).astype(np.uint32)
 
 
 def _first_keys(values: np.ndarray, n: np.ndarray, units: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
@@ -260,25 +403,83 @@ def set_keys(units: DataFrame, common: tuple[np.ndarray, np.ndarray] | None = No
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            values, n = _flat(batch.column(1))
-            values = _rarest_first(values, n, shared.value).astype(U64)
-            units_ = batch.column(0).to_numpy()
-            yield _key_rows("unit", *_first_keys(values, n, units_))
-            large = n >= BANDED_FROM
-            if not large.any():
-                continue
-            held = values[np.repeat(large, n)]
-            at = np.cumsum(n[large]) - n[large]
-            least = [np.minimum.reduceat(mix(held * s + s), at) for s in _SEEDS]
-            for band in range(BANDS):
-                key = sum(least[band * ROWS + r] * _SEEDS[r] for r in range(ROWS)) + U64(band)
-                yield _key_rows("unit", mix(key), units_[large])
+            if batch.num_rows:
+                for rows in _set_keys(*_flat(batch.column(1)), batch.column(0).to_numpy(), shared.value):
+                    yield _key_rows("unit", *rows)
 
     return map_arrow(units.select("unit", "shingles"), run, _KEYS.format("unit"))
 
 
+def _set_keys(values: np.ndarray, n: np.ndarray, units: np.ndarray, common: tuple[np.ndarray, np.ndarray]) -> Iterator[tuple]:
+    """Keys, units and, but for bands, sizes and what is left."""
+    values = _rarest_first(values, n, common).astype(U64)
+    yield _first_keys(values, n, units)
+    large = n >= BANDED_FROM
+    if not large.any():
+        return
+    held = values[np.repeat(large, n)]
+    at = np.cumsum(n[large]) - n[large]
+    least = [np.minimum.reduceat(mix(held * s + s), at) for s in _SEEDS]
+    for band in range(BANDS):
+        key = sum(least[band * ROWS + r] * _SEEDS[r] for r in range(ROWS)) + U64(band)
+        yield mix(key), units[large]
+
+
+def open_members(units: DataFrame, common: tuple[np.ndarray, np.ndarray], buckets: int) -> DataFrame:
+    """(key, node, n, rest, block): the keys that unlike paragraphs share, once for each block (``units`` of ``paragraphs``)."""
+    shared = units.sparkSession.sparkContext.broadcast(common)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                unit, sets = (np.frombuffer(batch.column(c)[i].as_buffer(), t) for c, t in (("unit", np.int64), ("shingles", np.uint32)))
+                sizes = np.frombuffer(batch.column("size")[i].as_buffer(), np.int32).astype(np.int64)
+                rows = []
+                for key, node, *of_sets in _set_keys(sets, sizes, unit, shared.value):
+                    # None has more than FIRST_UPTO; zero stands for not known.
+                    n, rest = of_sets or (np.zeros(len(key), np.uint8),) * 2
+                    rows.append((key, node, n.astype(np.uint8), rest.astype(np.uint8)))
+                key, node, n, rest = (np.concatenate(x) for x in zip(*rows, strict=True))
+                order = np.argsort(key)
+                some, edges = _edges(key[order], buckets)
+                columns = [pa.array(some.astype(np.int32)), pa.array(np.full(len(some), batch.column("block")[i].as_py(), np.int64))]
+                columns += [_binary(x[order], edges) for x in (key, node, n, rest)]
+                yield pa.RecordBatch.from_arrays(columns, ["bucket", "block", "key", "node", "n", "rest"])
+
+    def meet(table: pa.Table) -> pa.Table:
+        key, many = _packed(table["key"], U64)
+        node = _packed(table["node"], np.int64)[0]
+        order, at, group = _groups(key)
+        ranked = node[order]
+        mine = order[(_least(ranked, at) < _least(ranked, at, most=True))[group]]
+        of_sets = [_packed(table[c], np.uint8)[0][mine].astype(np.int32) for c in ("n", "rest")]
+        block = table["block"].to_numpy()[np.repeat(np.arange(len(many)), many)[mine]]
+        known = [pa.array(x, mask=of_sets[0] == 0) for x in of_sets]
+        return pa.table([pa.array(key[mine].view(np.int64)), pa.array(node[mine]), *known, pa.array(block)], names=["key", "node", "n", "rest", "block"])
+
+    dealt = map_arrow(units.select("block", "unit", "size", "shingles"), deal, "bucket int, block long, key binary, node binary, n binary, rest binary")
+    return dealt.groupBy("bucket").applyInArrow(meet, "key long, node long, n int, rest int, block long")
+
+
+def held_units(units: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(block, unit, lo, shingles) of the ``nodes`` (block, nodes) of each block."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                unit, lo = (np.frombuffer(batch.column(c)[i].as_buffer(), np.int64) for c in ("unit", "lo"))
+                size = np.frombuffer(batch.column("size")[i].as_buffer(), np.int32).astype(np.int64)
+                sets = np.frombuffer(batch.column("shingles")[i].as_buffer(), np.uint32)
+                mine = np.isin(unit, batch.column("nodes")[i].values.to_numpy())
+                edges = np.append(0, np.cumsum(size[mine]))
+                block = np.full(mine.sum(), batch.column("block")[i].as_py(), np.int64)
+                columns = [pa.array(block), pa.array(unit[mine]), pa.array(lo[mine]), _binary(sets[np.repeat(mine, size)], edges)]
+                yield pa.RecordBatch.from_arrays(columns, ["block", "unit", "lo", "shingles"])
+
+    joined = units.join(nodes, "block").select("block", "unit", "lo", "size", "shingles", "nodes")
+    return map_arrow(joined, run, "block long, unit long, lo long, shingles binary")
+
+
 def finer_keys(sets: DataFrame) -> DataFrame:
     """(key, node, n, rest) that unlike paragraphs seldom share.
 
@@ -308,92 +509,99 @@ def finer_keys(sets: DataFrame) -> DataFrame:
     return map_arrow(sets.select("unit", "shingles"), run, _KEYS.format("node"))
 
 
-def _seeds(hashes: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First words of all windows of LEAST_RUN words, and the first words of their seeds."""
+def _seeds(hashes: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First words of all windows of LEAST_RUN words, the first words of their seeds, and hashes of all seeds there may be."""
     n = len(hashes) - LEAST_RUN + 1
     if n <= 0:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, U64)
     keys = sequence_hashes(hashes, SEED)
-    best, at = keys[:n].copy(), np.arange(n)
+    # The place in the window takes the bits that CHOICE needs.
+    high = keys & ~U64(CHOICE - 1)
+    best = high[:n].copy()
     for j in range(1, CHOICE):
-        less = keys[j : j + n] < best
-        best[less] = keys[j : j + n][less]
-        at[less] = np.flatnonzero(less) + j
+        np.minimum(best, high[j : j + n] | U64(j), out=best)
     inside = np.ones(n, bool)
     for edge in rows[1:-1].tolist():
         inside[max(0, edge - LEAST_RUN + 1) : edge] = False
     windows = np.flatnonzero(inside)
-    return windows, at[windows]
+    return windows, windows + (best[windows] & U64(CHOICE - 1)).astype(np.int64), keys
 
 
-def seeds(texts: DataFrame) -> DataFrame:
-    """(key, pos): the seeds of every text; ``pos`` is the position of the first word."""
+def repeated_seeds(texts: DataFrame, buckets: int) -> DataFrame:
+    """(block, seeds): of each block the seeds that occur twice or more, packed, in a row or more."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ords = batch.column(0).to_numpy()
-            for base, data, offsets in byte_chunks(batch.column(1)):
-                w = words(data, offsets)
-                at = np.unique(_seeds(w.hashes, w.rows)[1])
-                own = np.searchsorted(w.rows, at, "right") - 1
-                key = sequence_hashes(w.hashes, SEED)[at]
+            for _, block, _, column in _texts_of(batch):
+                found = []
+                for _, data, offsets in byte_chunks(column):
+                    w = words(data, offsets)
+                    _, at, keys = _seeds(w.hashes, w.rows)
+                    found.append(keys[np.unique(at)])
+                ranked = np.sort(np.concatenate(found))
+                new = np.ones(len(ranked), bool)
+                new[1:] = ranked[1:] != ranked[:-1]
+                several = np.zeros(len(ranked), bool)
+                several[:-1] = ~new[1:]
+                some, edges = _edges(ranked[new], buckets)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(key.view(np.int64)), _positions(ords[own + base], at - w.rows[own])], ["key", "pos"]
+                    [
+                        pa.array(some.astype(np.int32)),
+                        pa.array(np.full(len(some), block, np.int64)),
+                        _binary(ranked[new], edges),
+                        _binary(several[new].view(np.uint8), edges),
+                    ],
+                    ["bucket", "block", "value", "several"],
                 )
 
-    return map_arrow(texts.select("ord", "text"), run, "key long, pos long")
+    def meet(table: pa.Table) -> pa.Table:
+        values, n = _packed(table["value"], U64)
+        order, at, group = _groups(values)
+        several = _least(_packed(table["several"], np.uint8)[0][order], at, most=True) > 0
+        wanted = np.zeros(len(values), bool)
+        wanted[order] = (several | (np.diff(np.append(at, len(values))) > 1))[group]
+        edges = np.append(0, np.cumsum(np.bincount(np.repeat(np.arange(len(n)), n)[wanted], minlength=len(n))))
+        out = pa.table([table["block"], _binary(values[wanted], edges)], names=["block", "seeds"])
+        return out.filter(pa.array(np.diff(edges) > 0))
+
+    dealt = map_arrow(texts, deal, "bucket int, block long, value binary, several binary")
+    return dealt.groupBy("bucket").applyInArrow(meet, "block long, seeds binary")
 
 
-def windows(held: DataFrame) -> DataFrame:
-    """(window, pos) of the windows of each text of ``held`` (ord, text, places) around the seeds in ``places``."""
+def windows(held: DataFrame, buckets: int) -> DataFrame:
+    """The windows of each block of texts around ``seeds`` (a list of packed ones), dealt to buckets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ords = batch.column(0).to_numpy()
-            places = batch.column(2)
-            many = pc.list_value_length(places).to_numpy().astype(np.int64)
-            at = np.append(0, np.cumsum(many))
-            places = places.flatten().to_numpy().astype(np.int64)
-            for base, data, offsets in byte_chunks(batch.column(1)):
-                w = words(data, offsets)
-                first, seed = _seeds(w.hashes, w.rows)
-                wanted = np.zeros(len(w.hashes) + 1, bool)
-                end = base + len(offsets) - 1
-                wanted[np.repeat(w.rows[:-1], many[base:end]) + places[at[base] : at[end]]] = True
-                first = first[wanted[seed]]
-                own = np.searchsorted(w.rows, first, "right") - 1
-                key = sequence_hashes(w.hashes, LEAST_RUN)[first]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(key.view(np.int64)), _positions(ords[own + base], first - w.rows[own])], ["window", "pos"]
-                )
-
-    return map_arrow(held, run, "window long, pos long")
-
-
-def repeated_windows(texts: DataFrame, scratch: Scratch) -> DataFrame:
-    """(pos, n_words, first) of every window that stands before as well.
-
-    ``texts``: (ord, text), a stored table, which goes.
-    """
-    found = scratch.put(seeds(texts), "par-seeds")
-    several = scratch.put(found.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "par-several")
-    word = F.col("pos").bitwiseAND(F.lit((1 << WORD_BITS) - 1)).cast("int")
-    places = scratch.put(
-        found.join(several, "key", "left_semi").groupBy(_ord("pos")).agg(F.collect_set(word).alias("places")), "par-places"
-    )
+            for i, block, ords, column in _texts_of(batch):
+                wanted = np.sort(_packed(batch.column("seeds")[i].values, U64)[0])
+                found, pos = [], []
+                for base, data, offsets in byte_chunks(column):
+                    w = words(data, offsets)
+                    first, seed, keys = _seeds(w.hashes, w.rows)
+                    at = np.unique(seed)
+                    mine = np.zeros(len(w.hashes) + 1, bool)
+                    mine[at] = wanted[np.minimum(np.searchsorted(wanted, keys[at]), len(wanted) - 1)] == keys[at]
+                    first = first[mine[seed]]
+                    own = np.searchsorted(w.rows, first, "right") - 1
+                    found.append(sequence_hashes(w.hashes, LEAST_RUN)[first])
+                    pos.append(_positions(ords[own + base], first - w.rows[own]))
+                values, marks = np.concatenate(found), np.concatenate(pos)
+                yield from _dealt(block, values, marks, buckets, *_later(values, marks))
+
+    return map_arrow(held, run, _DEALT)
+
+
+def repeated_windows(texts: DataFrame, scratch: Scratch, buckets: int) -> DataFrame:
+    """(block, lo, first, pos, later_lo) of windows that stand elsewhere as well. ``texts``: a stored table of ``blocks``, which goes."""
+    found = scratch.put(repeated_seeds(texts, buckets), "par-seeds")
+    wanted = found.groupBy("block").agg(F.collect_list("seeds").alias("seeds"))
+    # In a table of their own, so that the texts, and what was shuffled of them, are gone when windows meet.
+    dealt = scratch.put(windows(texts.join(wanted, "block"), buckets), "par-dealt")
     scratch.drop(found)
-    scratch.drop(several)
-    all_windows = scratch.put(windows(texts.join(places, "ord").select("ord", "text", "places")), "par-windows")
     scratch.drop(texts)
-    scratch.drop(places)
-    # A copy that overlaps the first does not count. Positions of different texts are further apart.
-    apart = F.col("first") + LEAST_RUN
-    copies = all_windows.groupBy("window").agg(F.min("pos").alias("first"), F.max("pos").alias("last"))
-    first = scratch.put(copies.where(F.col("last") >= apart).select("window", "first"), "par-first")
-    repeats = all_windows.join(first, "window").where(F.col("pos") >= apart)
-    out = scratch.put(repeats.select("pos", F.lit(LEAST_RUN).alias("n_words"), "first"), "par-repeats")
-    scratch.drop(all_windows)
-    scratch.drop(first)
+    out = scratch.put(met(dealt), "par-windows")
+    scratch.drop(dealt)
     return out
 
 
@@ -407,37 +615,17 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select([0, 1]).filter(pa.array(keep))
 
 
-def _ord(pos: str, name: str = "ord") -> Column:
-    return F.shiftright(pos, WORD_BITS).alias(name)
-
-
-def duplicate_spans(keyed: DataFrame, ids: DataFrame, scratch: Scratch) -> DataFrame:
-    """(pos, n_words, first) of every paragraph that repeats an earlier one.
+def duplicate_spans(texts: DataFrame, scratch: Scratch, buckets: int) -> DataFrame:
+    """(block, pos, first, n_words), packed, of every paragraph that repeats an earlier one.
 
-    ``keyed``: (row, doc_id, text), where row tells texts with one doc_id apart; ``ids``: (doc_id, row, ord),
-    a stored table. ``first`` is the position of the earliest copy.
+    ``texts``: a stored table of ``blocks``. ``first`` is the position of the earliest copy.
     """
-    units = scratch.put(paragraphs(keyed), "par-units")
-    keys = set_keys(units, common_shingles(units))
-    repeated = scratch.put(
-        keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "par-keys"
-    )
-    pairs = scratch.put(keys.join(repeated, "key", "left_semi").distinct(), "par-members")
-    scratch.drop(repeated)
-    # From here on only paragraphs that share a key with another one are left.
-    shared = pairs.select("unit").distinct()
-    held = scratch.put(units.join(shared, "unit", "left_semi"), "par-held")
-    scratch.drop(units)
-    unlike = pairs.groupBy("key").agg(F.min("unit").alias("u0"), F.max("unit").alias("u1")).where("u0 <> u1")
-    members = scratch.put(
-        pairs.join(unlike.select("key"), "key", "left_semi").select("key", F.col("unit").alias("node"), "n", "rest"), "par-open"
-    )
-    scratch.drop(pairs)
-    wanted = members.select(F.col("node").alias("unit")).distinct()
-    sets = scratch.put(
-        held.join(wanted, "unit", "left_semi").groupBy("unit").agg(F.any_value("shingles").alias("shingles")),
-        "par-sets",
-    )
+    units = scratch.put(paragraphs(texts), "par-units")
+    found = scratch.put(open_members(units, common_shingles(units), buckets), "par-open")
+    members = scratch.put(found.select("key", "node", "n", "rest").distinct(), "par-members")
+    held = scratch.put(held_units(units, found.groupBy("block").agg(F.collect_set("node").alias("nodes"))), "par-held")
+    scratch.drop(found)
+    sets = scratch.put(held.groupBy("unit").agg(F.any_value("shingles").alias("shingles"), F.min("lo").alias("lo")), "par-sets")
 
     def confirm(found: DataFrame) -> DataFrame:
         sa = sets.select(F.col("unit").alias("a"), F.col("shingles").alias("xa"))
@@ -449,22 +637,84 @@ def duplicate_spans(keyed: DataFrame, ids: DataFrame, scratch: Scratch) -> DataF
         return finer_keys(sets.join(nodes, sets["unit"] == nodes["node"], "left_semi"))
 
     roots = link_by_keys(members, confirm, scratch, "par", finer)
-    own = (held["row"] == ids["row"]) & held["doc_id"].eqNullSafe(ids["doc_id"])
-    placed = (
-        held.join(ids, own)
-        .select(F.shiftleft("ord", WORD_BITS).bitwiseOR(F.col("place")).alias("pos"), "n_words", "unit")
-        .join(roots, F.col("unit") == F.col("node"), "left")
-        .select("pos", "n_words", F.coalesce("root", "unit").alias("cluster"))
-    )
-    placed = scratch.put(placed, "par-placed")
-    scratch.drop(held)
-    copies = placed.groupBy("cluster").agg(F.min("pos").alias("first"), F.max("pos").alias("last"))
-    first = copies.where("first < last").select("cluster", "first")
-    out = scratch.put(placed.join(first, "cluster").where("pos > first").select("pos", "n_words", "first"), "par-copies")
-    scratch.drop(placed)
+    # The first copies of linked paragraphs are those of their components.
+    placed = roots.join(sets.select(F.col("unit").alias("node"), "lo"), "node")
+    firsts = placed.groupBy("root").agg(F.min("lo").alias("first"))
+    linked = roots.join(firsts, "root").select(F.col("node").alias("unit"), "first")
+    linked = held.select("block", "unit", "lo").join(linked, "unit")
+    linked = linked.groupBy("block").agg(F.collect_list(F.struct("lo", "first")).alias("linked"))
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                own = {c: np.frombuffer(batch.column(c)[i].as_buffer(), t) for c, t in (("unit", U64), ("lo", np.int64), ("later_lo", np.int64))}
+                values = np.concatenate([own["unit"], own["unit"][_at(own["lo"], own["later_lo"])]])
+                further = np.frombuffer(batch.column("pos")[i].as_buffer(), np.int64)
+                yield from _dealt(batch.column("block")[i].as_py(), values, np.concatenate([own["lo"], further]), buckets)
+
+    dealt = map_arrow(units.select("block", "unit", "lo", "pos", "later_lo"), deal, _DEALT)
+    answers = met(dealt).groupBy("block").agg(F.collect_list(F.struct("lo", "first")).alias("answers"))
+    joined = units.select("block", "lo", "n_words", "pos", "later_lo").join(answers, "block", "left").join(linked, "block", "left")
+    out = scratch.put(map_arrow(joined, _copies, "block long, pos binary, first binary, n_words binary"), "par-copies")
+    for table in (units, members, held, sets):
+        scratch.drop(table)
     return out
 
 
+def _at(values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Where ``values``, distinct ones in any order, hold those that are wanted."""
+    order = np.argsort(values)
+    return order[np.searchsorted(values[order], wanted)]
+
+
+def _copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Paragraphs of each block that stand after the first copy; what is linked goes before what is equal."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            lo, pos, later_lo = (np.frombuffer(batch.column(c)[i].as_buffer(), np.int64) for c in ("lo", "pos", "later_lo"))
+            n_words = np.frombuffer(batch.column("n_words")[i].as_buffer(), np.int32)
+            first = lo.copy()
+            answers, linked = batch.column("answers")[i].values, batch.column("linked")[i].values
+            if answers is not None:
+                own, least = (_packed(pc.struct_field(answers, c), np.int64)[0] for c in ("lo", "first"))
+                first[_at(lo, own)] = least
+            if linked is not None:
+                first[_at(lo, pc.struct_field(linked, "lo").to_numpy())] = pc.struct_field(linked, "first").to_numpy()
+            of = np.concatenate([np.arange(len(lo)), _at(lo, later_lo)])
+            pos, first, n_words = np.concatenate([lo, pos]), first[of], n_words[of]
+            over = pos > first
+            columns = [batch.column("block").slice(i, 1), *(_one(x[over]) for x in (pos, first, n_words))]
+            yield pa.RecordBatch.from_arrays(columns, ["block", "pos", "first", "n_words"])
+
+
+def runs_of(copies: DataFrame, repeats: DataFrame) -> DataFrame:
+    """(ord, place, n_words, most, first_ord): runs of paragraphs and windows, one for each of their first documents.
+
+    ``copies`` of ``duplicate_spans``, ``repeats`` of ``repeated_windows``.
+    """
+
+    def run(table: pa.Table) -> pa.Table:
+        own = table.filter(pc.is_valid(table["n_words"]))
+        pos, first = (_packed(own[c], np.int64)[0] for c in ("lo", "first"))
+        n_words = _packed(own["n_words"], np.int32)[0]
+        own = table.filter(pc.is_null(table["n_words"]))
+        lo, least, further, later_lo = (_packed(own[c], np.int64)[0] for c in ("lo", "first", "pos", "later_lo"))
+        places, least = np.concatenate([lo, further]), np.concatenate([least, least[_at(lo, later_lo)]])
+        # A copy that overlaps the first does not count. Positions of different texts are further apart.
+        apart = places >= least + LEAST_RUN
+        n_words = np.concatenate([n_words, np.full(apart.sum(), LEAST_RUN, np.int32)])
+        pos, first = np.concatenate([pos, places[apart]]), np.concatenate([first, least[apart]])
+        order = np.argsort(pos, kind="stable")
+        spans = pa.RecordBatch.from_arrays([pa.array(x[order]) for x in (pos, n_words, first)], ["pos", "n_words", "first"])
+        return pa.Table.from_batches(list(_runs(iter([spans]))))
+
+    none = F.lit(None).cast("binary")
+    of_copies = copies.select("block", F.col("pos").alias("lo"), "first", none.alias("pos"), none.alias("later_lo"), "n_words")
+    of_windows = repeats.select("block", "lo", "first", "pos", "later_lo", none.alias("n_words"))
+    schema = "ord long, place int, n_words int, most int, first_ord long"
+    return of_copies.union(of_windows).groupBy("block").applyInArrow(run, schema)
+
+
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Spans (pos, n_words, first) in order that overlap or follow on one another, as one for each first document."""
     names = ["ord", "place", "n_words", "most", "first_ord"]
@@ -495,14 +745,12 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield rows(*open_)
 
 
-def spans_by_document(spans: DataFrame, ids: DataFrame, scratch: Scratch) -> DataFrame:
-    """(row, doc_id, _spans) of documents with ``spans`` (pos, n_words, first): runs, one for each of their first documents.
+def spans_by_document(runs: DataFrame, ids: DataFrame, scratch: Scratch) -> DataFrame:
+    """(row, doc_id, _spans) of documents with ``runs`` of ``runs_of``.
 
     ``ids``: (doc_id, row, ord), a stored table.
     """
-    ordered = spans.select("pos", "n_words", "first").repartition(_ord("pos")).sortWithinPartitions("pos")
-    schema = "ord long, place int, n_words int, most int, first_ord long"
-    runs = scratch.put(map_arrow(ordered, _runs, schema), "par-runs")
+    runs = scratch.put(runs, "par-runs")
     first = ids.select(F.col("ord").alias("first_ord"), F.col("doc_id").alias("first_doc"))
     named = runs.join(first, "first_ord").select("ord", F.struct("place", "n_words", "most", "first_doc").alias("span"))
     return named.join(ids, "ord").groupBy("row", "doc_id").agg(F.collect_list("span").alias("_spans"))
@@ -593,11 +841,12 @@ def cut_repeats(docs: DataFrame) -> DataFrame:
     with Scratch(docs.sparkSession) as scratch:
         keyed = docs.select(F.xxhash64(text).alias("row"), doc_id.alias("doc_id"), text.alias("text"))
         ids = scratch.put(dense(scratch.put(numbered(keyed), "par-numbers")), "par-ids")
-        copies = duplicate_spans(keyed, ids, scratch)
         own = (keyed["row"] == ids["row"]) & keyed["doc_id"].eqNullSafe(ids["doc_id"])
-        texts = scratch.put(keyed.join(ids, own).select("ord", "text"), "par-texts")
-        spans = copies.union(repeated_windows(texts, scratch))
-        found = scratch.keep(spans_by_document(spans, ids, scratch), "par-spans")
+        texts = scratch.put(blocks(keyed.join(ids, own).select("ord", "text")), "par-texts")
+        buckets = -(-(texts.agg(F.sum("size")).first()[0] or 1) // BUCKET_BYTES)
+        copies = duplicate_spans(texts, scratch, buckets)
+        runs = runs_of(copies, repeated_windows(texts, scratch, buckets))
+        found = scratch.keep(spans_by_document(runs, ids, scratch), "par-spans")
     rest = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
     whole = docs.select(
         F.xxhash64(text).alias("_row"), doc_id.alias("_id"), F.struct(*rest).alias("_rest"), text.alias("_text")
