@@ -249,3 +249,32 @@ def test_a_merge_shuffles_rows_once_however_often_keys_repeat(spark, lake, rows,
     got = rows(spark.table(lake.table), "video_id", "region", "trending_date_parsed", "views")
     assert got == sorted(((*k, n) for k, n in best.items()), key=repr)
     assert spread == [] and "merge-new" not in staged
+
+
+def test_daily_marts_come_from_totals_of_categories(spark, rows):
+    records = [*FIRST, ("v7", "B", 1, "us", day(1), 2, 1), ("v8", None, 1, "us", day(1), 2, 1), ("v9", "B", None, "us", day(1), 6, 0),
+               ("w1", None, None, None, None, 7, 1), ("w2", "B", 3, None, None, 8, 1)]
+    grain = marts.daily_grain(silver_frame(spark, *records).repartition(3))
+    lookup = increments.category_lookup(spark.createDataFrame([("1", "One"), ("3", "One")], "id string, snippet_title string"))
+    by_category = marts.category_days(grain)
+    days = marts.trending_from_categories(by_category, marts.daily_channels(grain))
+    same(rows, days, marts.trending_from_grain(grain))
+    for names in (lookup, None):
+        want = marts.category_from_grain(increments.attach_category_names(grain, names))
+        same(rows, marts.category_from_categories(by_category, names), want)
+    # Neither is made by expanding the grain for each thing that is counted.
+    for mart in (days, marts.category_from_categories(by_category, lookup)):
+        assert "Expand" not in mart._jdf.queryExecution().executedPlan().toString()
+
+
+def test_daily_marts_with_categories_that_become_one(spark, lake, rows):
+    frame = silver_frame(spark, *FIRST, ("v7", "A", 4, "us", day(1), 2, 1))
+    texts = frame.withColumn("category_id", F.when(F.col("category_id") == 4, "01").otherwise(F.col("category_id").cast("string")))
+    texts.write.parquet(f"{lake.checkpoint}-in")
+    stream = incremental.file_stream(spark, f"{lake.checkpoint}-in", "parquet", texts.schema)
+    incremental.ingest_into_table(stream, lake.table, str(lake.checkpoint), None, latest=("views",))
+    names = spark.createDataFrame([("1", "One"), ("2", "Two")], "id string, snippet_title string")
+    refresh(spark, lake, names)
+    stats, lookup = spark.table(lake.table), increments.category_lookup(names)
+    same(rows, spark.table(f"{lake.db}.category_analytics"), marts.category_analytics(stats, lookup))
+    same(rows, spark.table(f"{lake.db}.trending_analytics"), marts.trending_analytics(stats))

@@ -18,6 +18,8 @@ from .enrich import attach_category_names
 from .ranking import rank_within, top_within
 
 DAILY_GRAIN = ["region", "trending_date_parsed", "channel_title", "category_id"]
+#: Measures of the grain that are added up; ``max_views`` is a bound.
+DAILY_SUMS = ["n_videos", "views", "n_views", "likes", "comments", "engagement", "n_engagement", "dislikes", "like_ratio", "n_like_ratio"]
 VIDEO_GRAIN = ["channel_title", "region", "video_id", "category_id"]
 NO_LOOKUP = object()
 
@@ -73,6 +75,14 @@ def daily_grain(stats: DataFrame, *extra_keys: str) -> DataFrame:
 
 def trending_from_grain(grain: DataFrame) -> DataFrame:
     return grain.groupBy("region", "trending_date_parsed").agg(
+        *_trending_measures(),
+        F.count_distinct("channel_title").alias("unique_channels"),
+        F.count_distinct("category_id").alias("unique_categories"),
+    )
+
+
+def _trending_measures() -> list[Column]:
+    return [
         _total("n_videos").alias("total_videos"),
         _total("views").alias("total_views"),
         _total("likes").alias("total_likes"),
@@ -82,9 +92,7 @@ def trending_from_grain(grain: DataFrame) -> DataFrame:
         _mean_ratio("like_ratio", "n_like_ratio").alias("avg_like_ratio"),
         _mean_ratio("engagement", "n_engagement").alias("avg_engagement_rate"),
         F.max("max_views").alias("max_views"),
-        F.count_distinct("channel_title").alias("unique_channels"),
-        F.count_distinct("category_id").alias("unique_categories"),
-    )
+    ]
 
 
 def category_from_grain(grain: DataFrame, day_totals: DataFrame | None = None) -> DataFrame:
@@ -102,6 +110,60 @@ def category_from_grain(grain: DataFrame, day_totals: DataFrame | None = None) -
     return with_view_share(mart, daily_views(grain) if day_totals is None else day_totals)
 
 
+def category_days(grain: DataFrame) -> DataFrame:
+    """The grain without channels: measures per region, day and category; feeds both daily marts.
+
+    Grain rows are one per their keys, so a channel comes once in each of these groups and is counted as it comes.
+    """
+    return grain.groupBy("region", "trending_date_parsed", "category_id").agg(
+        *[_total(c).alias(c) for c in DAILY_SUMS],
+        F.max("max_views").alias("max_views"),
+        F.count("channel_title").alias("channels"),
+    )
+
+
+def daily_channels(grain: DataFrame) -> DataFrame:
+    """Distinct channels per region and day, where a channel can have several categories."""
+    once = grain.select("region", "trending_date_parsed", "channel_title").distinct()
+    return once.groupBy(F.col("region").alias("_region"), F.col("trending_date_parsed").alias("_day")).agg(
+        F.count("channel_title").alias("unique_channels")
+    )
+
+
+def trending_from_categories(by_category: DataFrame, channels: DataFrame) -> DataFrame:
+    """Daily totals from rows of ``category_days`` and ``daily_channels``."""
+    totals = by_category.groupBy("region", "trending_date_parsed").agg(
+        *_trending_measures(), F.count("category_id").alias("unique_categories")
+    )
+    names = [c for c in totals.columns if c != "unique_categories"]
+    return totals.join(channels, _same_day()).select(*names, "unique_channels", "unique_categories")
+
+
+def category_from_categories(by_category: DataFrame, lookup: DataFrame | None) -> DataFrame:
+    """Daily category totals from rows of ``category_days``, whose ids must be whole numbers.
+
+    Other ids can become equal when they are matched with the lookup's; these take ``category_from_grain``.
+    """
+    mart = attach_category_names(by_category, lookup).select(
+        "category_name",
+        "category_id",
+        "region",
+        "trending_date_parsed",
+        F.col("n_videos").alias("video_count"),
+        F.col("views").alias("total_views"),
+        F.col("likes").alias("total_likes"),
+        F.col("comments").alias("total_comments"),
+        metrics.average_ratio(F.col("engagement"), F.col("n_engagement")).alias("avg_engagement_rate"),
+        F.col("channels").alias("unique_channels"),
+    )
+    return with_view_share(mart, daily_views(by_category))
+
+
+def _same_day() -> Column:
+    """Rows without a region or a date are of one day too."""
+    return F.col("region").eqNullSafe(F.col("_region")) & F.col("trending_date_parsed").eqNullSafe(F.col("_day"))
+
+
 def daily_views(rows: DataFrame) -> DataFrame:
     """Views per region and day; reads three columns of statistics or of the grain."""
     return rows.groupBy(
@@ -115,11 +177,8 @@ def with_view_share(mart: DataFrame, day_totals: DataFrame) -> DataFrame:
     Totals are joined rather than taken over a window, which would hold all rows of a
     region and day in one task. Rows without a region or a date meet their totals too.
     """
-    same_day = F.col("region").eqNullSafe(F.col("_region")) & F.col(
-        "trending_date_parsed"
-    ).eqNullSafe(F.col("_day"))
     share = metrics.percent(F.col("total_views"), F.col("_day_views"), 2)
-    return mart.join(day_totals, same_day).select(
+    return mart.join(day_totals, _same_day()).select(
         *mart.columns, share.alias("view_share_pct")
     )
 

@@ -22,6 +22,7 @@ from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators import marts, quality
 from ..operators.enrich import attach_category_names, category_lookup
@@ -80,10 +81,14 @@ def refresh_gold(
         bitmaps = put(BITMAPS, marts.video_bitmaps(changed, in_regions, cols))
 
         fresh = in_touched_partitions(grain, touched, cols)
-        named = attach_category_names(grain if renamed else fresh, lookup)
-        days = marts.trending_from_grain(fresh)
+        by_category = stage(marts.category_days(fresh), "category-days")
+        days = marts.trending_from_categories(by_category, marts.daily_channels(fresh))
         put("trending_analytics", marts.stamp_aggregation(partitioned(days), as_of))
-        shares = marts.category_from_grain(named)
+        if isinstance(fresh.schema["category_id"].dataType, T.IntegralType):
+            rows = marts.category_days(grain) if renamed else by_category
+            shares = marts.category_from_categories(rows, lookup)
+        else:
+            shares = marts.category_from_grain(attach_category_names(grain if renamed else fresh, lookup))
         put("category_analytics", marts.stamp_aggregation(partitioned(shares), as_of))
 
         def of_regions(df: DataFrame) -> DataFrame:
