@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from samples import SILVER, csv_frame, day, silver_frame
+from tidemark import session
 from tidemark.operators import marts
 from tidemark.plans import increments, silver
 from tidemark.plans.medallion import Layers
@@ -278,3 +279,53 @@ def test_daily_marts_with_categories_that_become_one(spark, lake, rows):
     stats, lookup = spark.table(lake.table), increments.category_lookup(names)
     same(rows, spark.table(f"{lake.db}.category_analytics"), marts.category_analytics(stats, lookup))
     same(rows, spark.table(f"{lake.db}.trending_analytics"), marts.trending_analytics(stats))
+
+
+def test_grain_and_bitmaps_go_where_they_are_written_in_one_shuffle(spark, lake, rows, monkeypatch):
+    spread, real, dealt = [], versions.spread_by, incremental.dealt_out
+    tasks = []
+    monkeypatch.setattr(versions, "spread_by", lambda df, by: spread.append(df.columns) or real(df, by))
+    monkeypatch.setattr(incremental, "PIECE_ROWS", 1)
+    monkeypatch.setattr(session, "TASK_ROWS", 1)
+
+    def watched(*args):
+        tasks.append(spark.conf.get("spark.sql.shuffle.partitions"))
+        return dealt(*args)
+
+    monkeypatch.setattr(increments, "dealt_out", watched)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    for records in (FIRST, SECOND, [("v6", "B", 3, None, day(1), 9, 2), ("v8", None, None, "us", day(1), 2, 1)]):
+        lake(*records)
+        refresh(spark, lake)
+    assert not [c for c in spread if "bucket" in c or "n_views" in c]
+    # Shuffles have as many partitions as their rows need, and the session's number is back after them.
+    assert len(tasks) == 6 and int(tasks[-1]) > int(before) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    stats = spark.table(lake.table)
+    same(rows, spark.table(f"{lake.db}.daily_grain"), marts.daily_grain(stats))
+    same(rows, spark.table(f"{lake.db}.trending_analytics"), marts.trending_analytics(stats))
+    same(rows, spark.table(f"{lake.db}.category_analytics"), marts.category_analytics(stats, None))
+    same(rows, spark.table(f"{lake.db}.channel_analytics"), marts.channel_analytics(stats, None))
+
+
+def test_the_number_of_shuffle_partitions_comes_back(spark):
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    with pytest.raises(RuntimeError, match="lost"), session.sized_shuffles(spark) as size:
+        size(10)
+        assert spark.conf.get(key) == before
+        size(session.TASK_ROWS * 1000 + 1)
+        assert spark.conf.get(key) == "1001"
+        raise RuntimeError("lost")
+    assert spark.conf.get(key) == before
+
+
+def test_sets_of_categories_are_made_from_few_rows(spark, rows):
+    records = [*FIRST, *[(f"w{i}", "A", i % 2, "us", day(1 + i % 9), i, 1) for i in range(40)], ("v8", None, None, None, None, 2, 1)]
+    stats = silver_frame(spark, *records)
+    names = spark.createDataFrame([("1", "One"), ("0", "One")], "id string, snippet_title string")
+    few = marts.channel_categories(marts.daily_grain(stats))
+    assert few.count() == stats.select("channel_title", "region", "category_id").distinct().count()
+    lookup = increments.category_lookup(names)
+    counts = marts.distinct_videos(marts.video_bitmaps(stats, marts.new_videos(stats, None), []))
+    got = marts.channel_from_categories(increments.attach_category_names(few, lookup), counts)
+    same(rows, marts.ranked_channels(got), marts.channel_analytics(stats, lookup))

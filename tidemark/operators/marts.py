@@ -9,6 +9,8 @@ Averages are exact sums divided by counts, so partial aggregation does not chang
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -213,48 +215,82 @@ def _channel_measures(first_day: str, last_day: str) -> list[Column]:
     ]
 
 
-def channel_from_grain(grain: DataFrame, video_counts: DataFrame) -> DataFrame:
-    """Channel mart without ranks, from grain rows with ``category_name`` and counts of distinct videos."""
+def channel_categories(grain: DataFrame) -> DataFrame:
+    """The grain without days: measures per channel, region and category, few enough to collect sets from."""
     day = "trending_date_parsed"
-    totals = grain.groupBy("channel_title", "region").agg(*_channel_measures(day, day))
+    return grain.groupBy("channel_title", "region", "category_id").agg(
+        *[_total(c).alias(c) for c in ("views", "n_views", "likes", "comments", "engagement", "n_engagement", "n_days")],
+        F.max("max_views").alias("max_views"),
+        F.min(day).alias("first_day"),
+        F.max(day).alias("last_day"),
+    )
+
+
+def channel_from_categories(by_category: DataFrame, video_counts: DataFrame) -> DataFrame:
+    """Channel mart without ranks, from rows of ``channel_categories`` with ``category_name`` and counts of distinct videos."""
+    totals = by_category.groupBy("channel_title", "region").agg(*_channel_measures("first_day", "last_day"))
     counts = video_counts.select(F.col("channel_title").alias("_c"), F.col("region").alias("_r"), "total_videos")
     same = F.col("channel_title").eqNullSafe(F.col("_c")) & F.col("region").eqNullSafe(F.col("_r"))
     measures = [c for c in totals.columns if c not in ("channel_title", "region")]
     return totals.join(counts, same).select("channel_title", "region", "total_videos", *measures)
 
 
+def _video_hash(region: str, video: str) -> Column:
+    """Goes first among the keys of a join by video: a sort by a number rarely has to look at the texts behind it."""
+    return F.xxhash64(region, video)
+
+
 def new_videos(stats: DataFrame, known: DataFrame | None) -> DataFrame:
     """(region, video_id, number) for videos that have no number yet, from the region's highest number on.
 
-    Numbers go by channel, so that videos of a channel that arrive together lie close to each other.
+    Numbers go by channel, so that videos of a channel that arrive together lie close to each other. Which channel
+    comes first does not matter; hashes of them are aggregated without sorting.
     """
-    found = stats.groupBy("region", "video_id").agg(F.min("channel_title").alias("channel_title"))
+    found = stats.groupBy("region", "video_id").agg(F.min(F.xxhash64("channel_title")).alias("_channel"))
     highest = F.lit(0)
     if known is not None:
         own = known.select(F.col("region").alias("_r"), F.col("video_id").alias("_v"), "number")
         same_region = F.col("region").eqNullSafe(F.col("_r"))
-        found = found.join(own, same_region & (F.col("video_id") == F.col("_v")), "left_anti")
+        same_hash = _video_hash("region", "video_id") == _video_hash("_r", "_v")
+        found = found.join(own, same_hash & same_region & (F.col("video_id") == F.col("_v")), "left_anti")
+        # Mostly few, and ranking looks at them twice.
+        found = stage(found, "new-videos")
         tops = own.groupBy("_r").agg(F.max("number").alias("_top"))
-    ranked = rank_within(found, ["region"], [F.col("channel_title").asc_nulls_first(), F.col("video_id").asc()], "number")
+    ranked = rank_within(found, ["region"], [F.col("_channel").asc(), F.col("video_id").asc()], "number")
     if known is not None:
         ranked = ranked.join(tops, same_region, "left")
         highest = F.coalesce("_top", F.lit(0))
     return ranked.select("region", "video_id", (F.col("number") + highest).alias("number"))
 
 
-def video_bitmaps(stats: DataFrame, numbers: DataFrame, keys: list[str]) -> DataFrame:
+def video_bitmaps(
+    stats: DataFrame, numbers: DataFrame, keys: list[str], *, dealt: Callable[[DataFrame, list[str]], DataFrame] | None = None
+) -> DataFrame:
     """Which videos a channel has, per ``keys``, as bitmaps over their numbers, 64 numbers each.
 
     A bitmap is one long, so there are at most as many of them as distinct videos of channels, however far
-    apart the numbers of a channel lie, and they are merged in a hash aggregate.
+    apart the numbers of a channel lie, and they are merged in a hash aggregate. ``dealt`` brings the rows of
+    ``keys`` to where they are written, without parting those of one bitmap; columns that it adds are dropped.
     """
     own = numbers.select(F.col("region").alias("_r"), F.col("video_id").alias("_v"), "number")
-    same = F.col("region").eqNullSafe(F.col("_r")) & (F.col("video_id") == F.col("_v"))
-    rows = stats.select(*dict.fromkeys([*keys, "region", "channel_title", "video_id"])).join(own, same)
-    bit = F.expr("shiftleft(1L, CAST(number & 63 AS INT))")
-    return rows.groupBy(
-        *dict.fromkeys([*keys, "region", "channel_title"]), F.shiftright("number", 6).alias("bucket")
-    ).agg(F.bit_or(bit).alias("videos"))
+    same = (
+        (_video_hash("region", "video_id") == _video_hash("_r", "_v"))
+        & F.col("region").eqNullSafe(F.col("_r"))
+        & (F.col("video_id") == F.col("_v"))
+    )
+    by = list(dict.fromkeys([*keys, "region", "channel_title"]))
+    rows = stats.select(*dict.fromkeys([*by, "video_id"])).join(own, same).select(
+        *by,
+        F.shiftright("number", 6).alias("bucket"),
+        F.expr("shiftleft(1L, CAST(number & 63 AS INT))").alias("bit"),
+    )
+    found = [*by, "bucket"]
+    if dealt is not None:
+        rows = dealt(rows, ["channel_title", "bucket"])
+    # What else is in the rows is where they have been dealt to.
+    return rows.groupBy(*found, *[c for c in rows.columns if c not in (*found, "bit")]).agg(
+        F.bit_or("bit").alias("videos")
+    ).select(*found, "videos")
 
 
 def distinct_videos(bitmaps: DataFrame) -> DataFrame:

@@ -27,10 +27,10 @@ from pyspark.sql import types as T
 from ..operators import marts, quality
 from ..operators.enrich import attach_category_names, category_lookup
 from ..operators.reference import ReferenceLoad
-from ..session import stage, staging
+from ..session import sized_shuffles, stage, staging
 from ..sources import versions, writers
 from ..sources.catalog import read_optional
-from ..streaming.incremental import in_touched_partitions, ingest_into_table
+from ..streaming.incremental import PIECE, dealt_out, in_touched_partitions, ingest_into_table, pieces_of
 from .medallion import Layers
 from .silver import clean_statistics, run_reference_load
 
@@ -66,19 +66,27 @@ def refresh_gold(
     cols = versions.partition_columns(spark, silver)
     lookup = None if reference is None else category_lookup(reference)
 
-    def put(name: str, rows: DataFrame, by: Sequence[str] = tuple(cols)) -> DataFrame:
-        versions.replace_partitions(spark, table_of(name), lambda: rows, rows.schema, by, run_id=run_id)
+    def put(name: str, rows: DataFrame, by: Sequence[str] = tuple(cols), spread: bool = True) -> DataFrame:
+        versions.replace_partitions(spark, table_of(name), lambda: rows, rows.schema, by, run_id=run_id, spread=spread)
         return spark.table(table_of(name))
 
-    with staging(spark):
+    with staging(spark), sized_shuffles(spark) as size:
         touched = stage(versions.partitions_of(spark, silver, runs, cols), "touched")
         changed = in_touched_partitions(spark.table(silver), touched, cols)
-        grain = put(GRAIN, partitioned(marts.daily_grain(changed)))
+        pieces, total = pieces_of(changed.groupBy(*cols).agg(F.count("*").alias("rows")), cols)
+        size(total)
+
+        def dealt(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+            return dealt_out(rows, pieces, total, cols, keys)
+
+        # Grain rows are about as many as rows of Silver, so these are shuffled once, to where their grain is written.
+        by_day = marts.daily_grain(dealt(changed, marts.DAILY_GRAIN), *[c for c in cols if c not in marts.DAILY_GRAIN], PIECE)
+        grain = put(GRAIN, partitioned(by_day.drop(PIECE)), spread=False)
         known = spark.table(table_of(NUMBERS)) if spark.catalog.tableExists(table_of(NUMBERS)) else None
         new = marts.new_videos(changed, known).withColumn("run", F.lit(run_id))
         numbers = put(NUMBERS, new, ("region", "run"))
         in_regions = in_touched_partitions(numbers, touched, ["region"])
-        bitmaps = put(BITMAPS, marts.video_bitmaps(changed, in_regions, cols))
+        bitmaps = put(BITMAPS, marts.video_bitmaps(changed, in_regions, cols, dealt=dealt), spread=False)
 
         fresh = in_touched_partitions(grain, touched, cols)
         by_category = stage(marts.category_days(fresh), "category-days")
@@ -94,9 +102,8 @@ def refresh_gold(
         def of_regions(df: DataFrame) -> DataFrame:
             return df if renamed else in_touched_partitions(df, touched.select("region").distinct(), ["region"])
 
-        totals = marts.channel_from_grain(
-            attach_category_names(of_regions(grain), lookup), marts.distinct_videos(of_regions(bitmaps))
-        )
+        by_category = attach_category_names(marts.channel_categories(of_regions(grain)), lookup)
+        totals = marts.channel_from_categories(by_category, marts.distinct_videos(of_regions(bitmaps)))
         put("channel_analytics", marts.stamp_aggregation(marts.ranked_channels(totals), as_of), ("region",))
     versions.mark_used(spark, silver, CONSUMER, runs)
     return runs

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
@@ -93,6 +93,29 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: A task of a shuffle takes about this many rows, which it sorts and groups in memory.
+TASK_ROWS = 500_000
+
+
+@contextmanager
+def sized_shuffles(spark: SparkSession) -> Iterator[Callable[[int], None]]:
+    """Within the block, a call with a number of rows gives shuffles as many partitions as these rows need.
+
+    There are never fewer than the session has set, which comes back at the end of the block; the adaptive
+    planner puts small ones together.
+    """
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+
+    def size(rows: int) -> None:
+        spark.conf.set(key, max(int(before), -(-rows // TASK_ROWS)))
+
+    try:
+        yield size
+    finally:
+        spark.conf.set(key, before)
+
+
 def _located(spark: SparkSession, path: str):
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()), target

@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from ..operators.dedup import content_order, dedup_latest
 from ..operators.reference import load_reference
 from ..schemas import DEDUP_KEYS
-from ..session import path_exists, remove_path, stage, staging
+from ..session import path_exists, remove_path, sized_shuffles, stage, staging
 from ..functions.text import decode_file_path
 from ..sources import files, manifest, versions, writers
 
@@ -131,7 +131,7 @@ def merge_into_path(
 
 #: A task of a merge takes about this many rows of a partition; a key may repeat in it up to so often.
 PIECE_ROWS, FREQUENT_ROWS, KEY_BUCKETS = 250_000, 1_000_000, 4096
-_BUCKET, _PIECE = "_bucket", "_piece"
+_BUCKET, PIECE, _SPOT = "_bucket", "_piece", "_spot"
 
 
 def _beside(rows: DataFrame, small: DataFrame, columns: Sequence[str], how: str) -> DataFrame:
@@ -141,6 +141,29 @@ def _beside(rows: DataFrame, small: DataFrame, columns: Sequence[str], how: str)
     return rows.join(other, same, how).drop(*[f"_t_{c}" for c in columns])
 
 
+def pieces_of(counted: DataFrame, partition_cols: Sequence[str]) -> tuple[DataFrame, int]:
+    """How many pieces each partition is dealt out in, and the number of all rows, from counts in ``rows``."""
+    pieces = stage(
+        counted.groupBy(*partition_cols).agg(F.ceil(F.sum("rows") / PIECE_ROWS).alias("_pieces"), F.sum("rows").alias("rows")),
+        "merge-pieces",
+    )
+    return pieces.drop("rows"), pieces.agg(F.sum("rows")).first()[0] or 0
+
+
+def dealt_out(
+    rows: DataFrame, pieces: DataFrame, total: int, partition_cols: Sequence[str], keys: Sequence[str]
+) -> DataFrame:
+    """Rows by partition and piece, which is a column ``_piece``; those of a partition with equal ``keys`` stay together.
+
+    ``pieces`` and ``total`` are what ``pieces_of`` returns. Where there are more pieces than shuffle partitions, each
+    has a task, however well its rows are compressed.
+    """
+    both = _beside(rows, pieces, partition_cols, "left")
+    piece = F.pmod(F.xxhash64(*keys), F.coalesce("_pieces", F.lit(1)))
+    tasks, usual = -(-total // PIECE_ROWS), int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return both.withColumn(PIECE, piece).drop("_pieces").repartition(*([tasks] if tasks > usual else []), *partition_cols, PIECE)
+
+
 def _merged(
     new: DataFrame,
     stored: DataFrame,
@@ -148,11 +171,13 @@ def _merged(
     keys: Sequence[str],
     latest: Sequence[str],
     tie_break: Sequence[Column] | None,
+    size: Callable[[int], None],
 ) -> DataFrame:
     """The latest row per key of new rows and the stored partitions they touch, dealt out as they are written.
 
     One shuffle serves both the de-duplication and the write: rows go by partition and piece, and a key is
     always in one piece of one partition. Rows of keys that repeat very often are cut by a group limit before.
+    ``size`` is told how many rows there are.
     """
     bucket = F.pmod(F.xxhash64(*keys), F.lit(KEY_BUCKETS))
     sizes = stage(
@@ -160,9 +185,8 @@ def _merged(
     )
     old = in_touched_partitions(stored, sizes, partition_cols)
     counted = sizes.drop(_BUCKET).unionByName(old.groupBy(*partition_cols).agg(F.count("*").alias("rows")))
-    pieces = stage(
-        counted.groupBy(*partition_cols).agg(F.ceil(F.sum("rows") / PIECE_ROWS).alias("_pieces")), "merge-pieces"
-    )
+    pieces, total = pieces_of(counted, partition_cols)
+    size(total)
     ties = content_order(new.unionByName(old, allowMissingColumns=True)) if tie_break is None else tie_break
     frequent = sizes.filter(F.col("rows") > FREQUENT_ROWS)
     if not frequent.isEmpty():
@@ -170,9 +194,13 @@ def _merged(
         frequent, by_bucket = frequent.select(*at), new.withColumn(_BUCKET, bucket)
         cut = dedup_latest(_beside(by_bucket, frequent, at, "left_semi"), keys, latest, ties)
         new = _beside(by_bucket, frequent, at, "left_anti").unionByName(cut).drop(_BUCKET)
-    both = _beside(new.unionByName(old, allowMissingColumns=True), pieces, partition_cols, "inner")
-    dealt = both.withColumn(_PIECE, F.pmod(F.xxhash64(*keys), "_pieces")).repartition(*partition_cols, _PIECE)
-    return dedup_latest(dealt, list(dict.fromkeys([*partition_cols, _PIECE, *keys])), latest, ties).drop(_PIECE, "_pieces")
+    dealt = dealt_out(new.unionByName(old, allowMissingColumns=True), pieces, total, partition_cols, keys)
+    # Sorted by a number first, of which the upper bits are the piece: texts are compared for equal keys only, and
+    # rows of a partition stay next to each other for the write.
+    at = F.shiftleft(F.pmod(F.xxhash64(*partition_cols, PIECE), F.lit(1 << 15)), 48)
+    spot = at.bitwiseOR(F.xxhash64(*keys).bitwiseAND(F.lit((1 << 48) - 1)))
+    by = list(dict.fromkeys([_SPOT, *partition_cols, PIECE, *keys]))
+    return dedup_latest(dealt.withColumn(_SPOT, spot), by, latest, ties).drop(PIECE, _SPOT)
 
 
 def merged_with_table(
@@ -199,11 +227,12 @@ def merged_with_table(
 
     def merged() -> DataFrame:
         new = stage(build(), "merge-new") if staged else build()
-        return _merged(new, spark.table(table), partition_cols, keys, latest, tie_break)
+        return _merged(new, spark.table(table), partition_cols, keys, latest, tie_break, size)
 
-    return versions.replace_partitions(
-        spark, table, merged, schema, partition_cols, run_id=run_id, path=path, spread=False
-    )
+    with sized_shuffles(spark) as size:
+        return versions.replace_partitions(
+            spark, table, merged, schema, partition_cols, run_id=run_id, path=path, spread=False
+        )
 
 
 def batch_run(checkpoint: str, batch_id: int) -> str:
