@@ -30,11 +30,13 @@ from ..operators.reference import ReferenceLoad
 from ..session import sized_shuffles, stage, staging
 from ..sources import versions, writers
 from ..sources.catalog import read_optional
+from ..streaming import incremental
 from ..streaming.incremental import PIECE, dealt_out, in_touched_partitions, ingest_into_table, pieces_of
 from .medallion import Layers
 from .silver import clean_statistics, run_reference_load
 
 CONSUMER = "gold"
+DAY = ["region", "trending_date_parsed"]
 GRAIN, NUMBERS, BITMAPS, PROFILE = "daily_grain", "video_numbers", "channel_videos", "quality_profile"
 
 
@@ -42,6 +44,23 @@ def _same(df: DataFrame) -> DataFrame:
     return df
 
 
+def _dealt_grain(
+    changed: DataFrame, sizes: DataFrame, cols: Sequence[str], dealt: Callable[[DataFrame, Sequence[str]], DataFrame]
+) -> DataFrame:
+    """The daily grain, dealt out as it is written.
+
+    Grain rows are about as many as rows of Silver, so these are shuffled once, to where their grain is written.
+    A day of very many rows is aggregated before it is dealt out, as all of them can be of one channel and category.
+    """
+    others, at = [c for c in cols if c not in marts.DAILY_GRAIN], list(dict.fromkeys([*cols, *DAY]))
+    large = sizes.filter(F.col("rows") > incremental.FREQUENT_ROWS).select(*at)
+    if large.isEmpty():
+        return marts.daily_grain(dealt(changed, marts.DAILY_GRAIN), *others, PIECE).drop(PIECE)
+    rest = dealt(incremental.beside(changed, large, at, "left_anti"), marts.DAILY_GRAIN)
+    before = marts.daily_grain(incremental.beside(changed, large, at, "left_semi"), *others)
+    return marts.daily_grain(rest, *others, PIECE).unionByName(dealt(before, marts.DAILY_GRAIN)).drop(PIECE)
+
+
 def refresh_gold(
     spark: SparkSession,
     silver: str,
@@ -73,15 +92,14 @@ def refresh_gold(
     with staging(spark), sized_shuffles(spark) as size:
         touched = stage(versions.partitions_of(spark, silver, runs, cols), "touched")
         changed = in_touched_partitions(spark.table(silver), touched, cols)
-        pieces, total = pieces_of(changed.groupBy(*cols).agg(F.count("*").alias("rows")), cols)
+        sizes = stage(changed.groupBy(*dict.fromkeys([*cols, *DAY])).agg(F.count("*").alias("rows")), "sizes")
+        pieces, total = pieces_of(sizes, cols)
         size(total)
 
         def dealt(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
             return dealt_out(rows, pieces, total, cols, keys)
 
-        # Grain rows are about as many as rows of Silver, so these are shuffled once, to where their grain is written.
-        by_day = marts.daily_grain(dealt(changed, marts.DAILY_GRAIN), *[c for c in cols if c not in marts.DAILY_GRAIN], PIECE)
-        grain = put(GRAIN, partitioned(by_day.drop(PIECE)), spread=False)
+        grain = put(GRAIN, partitioned(_dealt_grain(changed, sizes, cols, dealt)), spread=False)
         known = spark.table(table_of(NUMBERS)) if spark.catalog.tableExists(table_of(NUMBERS)) else None
         new = marts.new_videos(changed, known).withColumn("run", F.lit(run_id))
         numbers = put(NUMBERS, new, ("region", "run"))

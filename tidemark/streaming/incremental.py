@@ -134,7 +134,7 @@ PIECE_ROWS, FREQUENT_ROWS, KEY_BUCKETS = 250_000, 1_000_000, 4096
 _BUCKET, PIECE, _SPOT = "_bucket", "_piece", "_spot"
 
 
-def _beside(rows: DataFrame, small: DataFrame, columns: Sequence[str], how: str) -> DataFrame:
+def beside(rows: DataFrame, small: DataFrame, columns: Sequence[str], how: str) -> DataFrame:
     """``rows`` joined with ``small`` by ``columns``, in which NULL equals NULL; keeps the columns of ``rows`` first."""
     other = small.withColumnsRenamed({c: f"_t_{c}" for c in columns})
     same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_t_{c}")) for c in columns])
@@ -158,7 +158,7 @@ def dealt_out(
     ``pieces`` and ``total`` are what ``pieces_of`` returns. Where there are more pieces than shuffle partitions, each
     has a task, however well its rows are compressed.
     """
-    both = _beside(rows, pieces, partition_cols, "left")
+    both = beside(rows, pieces, partition_cols, "left")
     piece = F.pmod(F.xxhash64(*keys), F.coalesce("_pieces", F.lit(1)))
     tasks, usual = -(-total // PIECE_ROWS), int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return both.withColumn(PIECE, piece).drop("_pieces").repartition(*([tasks] if tasks > usual else []), *partition_cols, PIECE)
@@ -192,8 +192,8 @@ def _merged(
     if not frequent.isEmpty():
         at = [*partition_cols, _BUCKET]
         frequent, by_bucket = frequent.select(*at), new.withColumn(_BUCKET, bucket)
-        cut = dedup_latest(_beside(by_bucket, frequent, at, "left_semi"), keys, latest, ties)
-        new = _beside(by_bucket, frequent, at, "left_anti").unionByName(cut).drop(_BUCKET)
+        cut = dedup_latest(beside(by_bucket, frequent, at, "left_semi"), keys, latest, ties)
+        new = beside(by_bucket, frequent, at, "left_anti").unionByName(cut).drop(_BUCKET)
     dealt = dealt_out(new.unionByName(old, allowMissingColumns=True), pieces, total, partition_cols, keys)
     # Sorted by a number first, of which the upper bits are the piece: texts are compared for equal keys only, and
     # rows of a partition stay next to each other for the write.
